@@ -38,7 +38,9 @@ def lloyd_ctes(d: int, k_values: list[int], iters: int) -> str:
     """Fixed-start Lloyd for several k at once over CTE ``pts``.
 
     Starts: first k rows by id. Ties in assignment go to the lowest cluster
-    id. Empty clusters keep their centre. Produces ``c<iters>`` (final
+    id. Empty clusters keep their centre. Every step is MATERIALIZED and the
+    start filter uses the 1-based ``row_number()`` directly: DuckDB 2.0 drops
+    rows for a filter on ``row_number() - 1`` inside such a chain. Produces ``c<iters>`` (final
     centres) and ``fin`` (final assignment with squared distance ``d2``).
     """
     xs = _xs(d)
@@ -46,12 +48,12 @@ def lloyd_ctes(d: int, k_values: list[int], iters: int) -> str:
     ks = ", ".join(str(k) for k in k_values)
     parts = [
         f"ks AS (SELECT unnest([{ks}]) AS k)",
-        f"rk AS (SELECT row_number() OVER (ORDER BY id) - 1 AS rn, id, {xs} FROM pts)",
-        f"c0 AS (SELECT ks.k, rk.rn AS cluster, {_xs(d, 'rk')} FROM ks JOIN rk ON rk.rn < ks.k)",
+        f"rk AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id) AS rn, id, {xs} FROM pts)",
+        f"c0 AS MATERIALIZED (SELECT ks.k, rk.rn - 1 AS cluster, {_xs(d, 'rk')} FROM ks JOIN rk ON rk.rn <= ks.k)",
     ]
 
     def assign(src: str, name: str) -> str:
-        return (f"{name} AS (SELECT k, id, cluster, d2, {xs} FROM ("
+        return (f"{name} AS MATERIALIZED (SELECT k, id, cluster, d2, {xs} FROM ("
                 f"SELECT c.k, p.id, c.cluster, {d2} AS d2, {_xs(d, 'p')}, "
                 f"row_number() OVER (PARTITION BY c.k, p.id ORDER BY {d2}, c.cluster) AS r "
                 f"FROM pts p JOIN {src} c ON TRUE) WHERE r = 1)")
@@ -59,14 +61,44 @@ def lloyd_ctes(d: int, k_values: list[int], iters: int) -> str:
     for t in range(1, iters + 1):
         parts.append(assign(f"c{t - 1}", f"a{t}"))
         means = ", ".join(f"sum(x{i}) / count(*) AS x{i}" for i in range(d))
-        parts.append(f"m{t} AS (SELECT k, cluster, {means} FROM a{t} GROUP BY k, cluster)")
+        parts.append(f"m{t} AS MATERIALIZED (SELECT k, cluster, {means} FROM a{t} GROUP BY k, cluster)")
         co = ", ".join(f"coalesce(m.x{i}, c.x{i}) AS x{i}" for i in range(d))
-        parts.append(f"c{t} AS (SELECT c.k, c.cluster, {co} FROM c{t - 1} c "
+        parts.append(f"c{t} AS MATERIALIZED (SELECT c.k, c.cluster, {co} FROM c{t - 1} c "
                      f"LEFT JOIN m{t} m ON m.k = c.k AND m.cluster = c.cluster)")
     parts.append(assign(f"c{iters}", "fin"))
     return ", ".join(parts)
 
 
+def grouped_lloyd_ctes(d: int, k: int, iters: int) -> str:
+    """Fixed-start Lloyd run separately inside every group ``g`` of ``pts(g, id, x..)``.
+
+    Starts are the first k rows of each group by id; produces ``fin``
+    (g, id, cluster, d2) under the final centres of the row's own group.
+    """
+    xs = _xs(d)
+    d2 = _d2(d)
+    parts = [
+        f"rk AS MATERIALIZED (SELECT g, row_number() OVER (PARTITION BY g ORDER BY id) AS rn, id, {xs} FROM pts)",
+        f"c0 AS MATERIALIZED (SELECT g, rn - 1 AS cluster, {xs} FROM rk WHERE rn <= {k})",
+    ]
+
+    def assign(src: str, name: str) -> str:
+        return (f"{name} AS MATERIALIZED (SELECT g, id, cluster, d2, {xs} FROM ("
+                f"SELECT p.g, p.id, c.cluster, {d2} AS d2, {_xs(d, 'p')}, "
+                f"row_number() OVER (PARTITION BY p.g, p.id ORDER BY {d2}, c.cluster) AS r "
+                f"FROM pts p JOIN {src} c ON c.g = p.g) WHERE r = 1)")
+
+    for t in range(1, iters + 1):
+        parts.append(assign(f"c{t - 1}", f"a{t}"))
+        means = ", ".join(f"sum(x{i}) / count(*) AS x{i}" for i in range(d))
+        parts.append(f"m{t} AS MATERIALIZED (SELECT g, cluster, {means} FROM a{t} GROUP BY g, cluster)")
+        co = ", ".join(f"coalesce(m.x{i}, c.x{i}) AS x{i}" for i in range(d))
+        parts.append(f"c{t} AS MATERIALIZED (SELECT c.g, c.cluster, {co} FROM c{t - 1} c "
+                     f"LEFT JOIN m{t} m ON m.g = c.g AND m.cluster = c.cluster)")
+    parts.append(assign(f"c{iters}", "fin"))
+    return ", ".join(parts)
+
+
 def emb_points() -> str:
     xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(P.EMB_DIM))
     return (f"pts AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, {xs} FROM embeddings), "
@@ -103,7 +135,7 @@ def _anomaly_base() -> str:
 
 
 def _stream_days() -> str:
-    return ("ev AS (SELECT event_id, CAST(ts AS DATE) AS day, CAST(value AS DOUBLE) AS x0 "
+    return ("ev AS (SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(value AS DOUBLE) AS x0 "
             "FROM events), "
             "days AS (SELECT day, row_number() OVER (ORDER BY day) AS b FROM "
             "(SELECT DISTINCT day FROM ev)), "
@@ -287,6 +319,7 @@ def oracle_sql() -> dict[str, str]:
     alpha = 0.5 ** (1.0 / P.STREAM_HALF_LIFE)
     q["stream_kmeans_halflife"] = _stream_final(alpha)
     q["stream_kmeans_decay1"] = _stream_final(1.0)
+    q["stream_latest_model"] = q["stream_kmeans_halflife"]
     q["stream_batch_counts"] = (
         "WITH " + _stream_days() + " SELECT day, CAST(b AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS rows "
         "FROM evb GROUP BY day, b")
@@ -296,13 +329,25 @@ def oracle_sql() -> dict[str, str]:
     q["stream_k_estimate"] = (
         "WITH " + _stream_days() + ", c AS (SELECT day, b, floor(sqrt(count(*) // 2)) AS bk FROM evb GROUP BY day, b) "
         "SELECT day, CAST(bk AS BIGINT) AS batch_k, "
-        "CAST(sum(bk) OVER (ORDER BY b) // b AS BIGINT) AS mean_k FROM c")
+        "CAST(floor(sum(bk) OVER (ORDER BY b) / b) AS BIGINT) AS mean_k FROM c")
     q["stream_predictions"] = (
         _stream_recursive(alpha) +
         " SELECT e.event_id, e.day, CAST(CASE WHEN (e.x0 - s.c1) * (e.x0 - s.c1) < (e.x0 - s.c0) * (e.x0 - s.c0) "
         "THEN 1 ELSE 0 END AS BIGINT) AS cluster, "
         "round(sqrt(least((e.x0 - s.c0) * (e.x0 - s.c0), (e.x0 - s.c1) * (e.x0 - s.c1))), 6) AS dist "
         "FROM evb e JOIN st s ON s.b = e.b")
+    q["stream_anomalies"] = (
+        "WITH " + _stream_days() + ", "
+        "zs AS (SELECT day, avg(x0) AS m, stddev_pop(x0) AS s FROM evb GROUP BY day), "
+        "pts AS (SELECT evb.day AS g, evb.event_id AS id, "
+        "CASE WHEN zs.s <= 0 THEN evb.x0 - zs.m ELSE (evb.x0 - zs.m) / zs.s END AS x0 "
+        "FROM evb JOIN zs USING (day)), " +
+        grouped_lloyd_ctes(1, P.STREAM_ANOMALY_K, P.LLOYD_ITERS) +
+        f", thr AS (SELECT g, min(dist) AS threshold FROM (SELECT g, sqrt(d2) AS dist, "
+        f"row_number() OVER (PARTITION BY g ORDER BY sqrt(d2) DESC) AS r FROM fin) "
+        f"WHERE r <= {P.STREAM_N_TOP} GROUP BY g) "
+        "SELECT fin.id AS event_id, fin.g AS day, CAST(fin.cluster AS BIGINT) AS cluster, "
+        "round(sqrt(fin.d2), 6) AS dist FROM fin JOIN thr USING (g) WHERE sqrt(fin.d2) > thr.threshold")
     q["stream_unit_scale"] = (
         "WITH " + _stream_days() + ", sd AS (SELECT b, stddev_samp(x0) AS s FROM evb GROUP BY b) "
         "SELECT e.event_id, e.day, round(CASE WHEN sd.s > 0 THEN e.x0 / sd.s ELSE 0.0 END, 6) AS scaled "

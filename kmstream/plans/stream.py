@@ -1,3 +1,135 @@
-"""Registered streaming queries (filled in below)."""
+"""Registered streaming queries: a replay of ``events`` as a file stream.
 
-STREAM_QUERIES: dict = {}
+Spark writes the events table into a day-partitioned Parquet folder under
+the shared checkpoint folder; a ``readStream`` over it feeds the
+``foreachBatch`` k-means job (``availableNow`` trigger), which cuts each
+micro-batch by UTC day and applies the days in order. The queries read the
+job's output tables back. One replay per configuration and process is
+reused by the queries that share it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kmstream.plans import params as P
+from kmstream.session import scratch_dir
+from kmstream.sources.streams import read_parquet_stream
+from kmstream.sources.tables import table
+from kmstream.streaming.jobs import AnomalyConfig, KMeansStreamJob, run_stream
+from kmstream.streaming.online_kmeans import OnlineKMeans, StreamState
+
+EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()),
+                             T.StructField("value", T.DoubleType()),
+                             T.StructField("day", T.DateType())])
+
+_RUNS: dict = {}
+
+
+def write_event_days(spark: SparkSession, sf: str, path: str) -> None:
+    """Events as (event_id, value) files partitioned by UTC day."""
+    ev = table(spark, sf, "events").select(
+        "event_id", F.col("value").cast("double").alias("value"), F.to_date("ts").alias("day"))
+    ev.write.mode("overwrite").partitionBy("day").parquet(path)
+
+
+def replay(spark: SparkSession, sf: str, half_life: float | None = P.STREAM_HALF_LIFE,
+           decay: float = 1.0, unit: str = "batches", prepare: str = "raw",
+           anomaly: bool = False) -> str:
+    key = (spark.sparkContext.applicationId, sf, half_life, decay, unit, prepare, anomaly)
+    if key in _RUNS:
+        return _RUNS[key]
+    src = scratch_dir(spark, "events-days")
+    out = scratch_dir(spark, "events-replay")
+    write_event_days(spark, sf, src)
+    model = OnlineKMeans(P.STREAM_K, decay_factor=decay, half_life=half_life, time_unit=unit)
+    init = StreamState([list(c) for c in P.STREAM_STARTS], list(P.STREAM_WEIGHTS))
+    job = KMeansStreamJob(model, init, ["value"], out, key_cols=["event_id"], batch_key="day",
+                          prepare=prepare,
+                          anomaly=AnomalyConfig(P.STREAM_ANOMALY_K, P.STREAM_N_TOP) if anomaly else None)
+    run_stream(read_parquet_stream(spark, src, EVENT_SCHEMA), job, out + "/_checkpoint")
+    _RUNS[key] = out
+    return out
+
+
+def _final_state(spark, out) -> DataFrame:
+    st = spark.read.parquet(out + "/state")
+    last = st.agg(F.max("step").alias("s"))
+    return (st.join(last, st["step"] == last["s"]).select(
+        F.col("cluster").cast("long").alias("cluster"),
+        F.round(F.col("center").getItem(0), 6).alias("center"),
+        F.round(F.col("weight"), 6).alias("weight")))
+
+
+def q_stream_kmeans_halflife(spark, sf):
+    """G-2: half-life 5 batches (one batch = one UTC day)."""
+    return _final_state(spark, replay(spark, sf))
+
+
+def q_stream_kmeans_decay1(spark, sf):
+    """G-1: decay factor 1.0 (all history weighs the same)."""
+    return _final_state(spark, replay(spark, sf, half_life=None, decay=1.0))
+
+
+def q_stream_latest_model(spark, sf):
+    """G-14: newest centres and weights of the state table."""
+    return _final_state(spark, replay(spark, sf))
+
+
+def _metrics(spark, out) -> DataFrame:
+    return spark.read.parquet(out + "/metrics").select(
+        F.col("batch_label").alias("day"), "step", "rows", "running", "batch_k", "mean_k")
+
+
+def q_stream_batch_counts(spark, sf):
+    """G-9 / C-13: rows per processed batch."""
+    return _metrics(spark, replay(spark, sf)).select(
+        "day", F.col("step").alias("batch"), "rows")
+
+
+def q_stream_running_count(spark, sf):
+    """G-8: running row count over batches."""
+    return _metrics(spark, replay(spark, sf)).select("day", "rows", "running")
+
+
+def q_stream_k_estimate(spark, sf):
+    """G-7: per-batch rule-of-thumb k and its integer running mean."""
+    return _metrics(spark, replay(spark, sf)).select("day", "batch_k", "mean_k")
+
+
+def q_stream_predictions(spark, sf):
+    """G-6 / B-3: each row's cluster and distance under the model after its batch."""
+    out = replay(spark, sf)
+    return spark.read.parquet(out + "/predictions").select(
+        "event_id", F.col("day").cast("string").alias("day"), "cluster",
+        F.round("dist", 6).alias("dist"))
+
+
+def q_stream_unit_scale(spark, sf):
+    """G-11 / B-6: per-batch unit scaling (scaler refitted each batch)."""
+    out = replay(spark, sf, prepare="unit_batch")
+    return spark.read.parquet(out + "/prepared").select(
+        "event_id", F.col("day").cast("string").alias("day"), F.round("value", 6).alias("scaled"))
+
+
+def q_stream_anomalies(spark, sf):
+    """G-13: per-batch z-score, fixed-start k-means, top-10 threshold, rows above it."""
+    out = replay(spark, sf, anomaly=True)
+    return spark.read.parquet(out + "/anomalies").select(
+        "event_id", F.col("day").cast("string").alias("day"), "cluster",
+        F.round("dist", 6).alias("dist"))
+
+
+STREAM_QUERIES = {
+    "stream_kmeans_halflife": q_stream_kmeans_halflife,
+    "stream_kmeans_decay1": q_stream_kmeans_decay1,
+    "stream_latest_model": q_stream_latest_model,
+    "stream_batch_counts": q_stream_batch_counts,
+    "stream_running_count": q_stream_running_count,
+    "stream_k_estimate": q_stream_k_estimate,
+    "stream_predictions": q_stream_predictions,
+    "stream_unit_scale": q_stream_unit_scale,
+    "stream_anomalies": q_stream_anomalies,
+}
