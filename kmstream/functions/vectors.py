@@ -32,9 +32,13 @@ class ArrayVec:
     """A vector held in one ``array<double>`` column of known width."""
 
     def __init__(self, col: str | Column, dim: int):
-        self.col = F.col(col) if isinstance(col, str) else col
+        self._col = col            # resolved lazily: no Column before a session exists
         self.dim = int(dim)
 
+    @property
+    def col(self) -> Column:
+        return F.col(self._col) if isinstance(self._col, str) else self._col
+
     def __len__(self) -> int:
         return self.dim
 

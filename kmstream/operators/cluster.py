@@ -24,9 +24,89 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+import numpy as np
+import pandas as pd
+from pyspark.sql import types as T
+
 from kmstream.functions.vectors import (EXPR_LITERAL_LIMIT, ArrayVec, as_cols, elements,
                                         nearest, nearest_any, to_double)
 
+# Up to this many centre numbers (over all models of one scan) the assignment
+# is unrolled into codegen'd arithmetic. Beyond it, assignment and the
+# map-side partial aggregation run on Arrow batches in NumPy: generated code
+# embeds the centres as constants, so every Lloyd iteration would otherwise
+# pay a fresh (and, for many centres, very large) Java compile.
+CODEGEN_LITERAL_MAX = 32
+
+
+def _np_nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest centre per row; coordinates summed left to right, ties -> lowest id."""
+    best_d = None
+    best_j = np.zeros(X.shape[0], dtype=np.int64)
+    for j in range(C.shape[0]):
+        diff = X[:, 0] - C[j, 0]
+        d2 = diff * diff
+        for i in range(1, C.shape[1]):
+            diff = X[:, i] - C[j, i]
+            d2 = d2 + diff * diff
+        if best_d is None:
+            best_d = d2
+        else:
+            better = d2 < best_d
+            best_d = np.where(better, d2, best_d)
+            best_j = np.where(better, j, best_j)
+    return best_j, best_d
+
+
+def _batch_matrix(pdf: pd.DataFrame, d: int, array_col: str | None) -> np.ndarray:
+    if array_col is not None:
+        vals = pdf[array_col].to_numpy()
+        return np.vstack(vals).astype(np.float64) if len(vals) else np.zeros((0, d))
+    return pdf[[f"_f{i}" for i in range(d)]].to_numpy(dtype=np.float64)
+
+
+def _arrow_cluster_sums(data: DataFrame, d: int, array_col: str | None,
+                        models: Mapping[object, Sequence[Sequence[float]]],
+                        ids: Mapping[object, int]) -> list:
+    """Per (model, cluster): n, sums, cost, sum of distances -- one scan.
+
+    Every Arrow batch is reduced in NumPy to at most (models x k) partial
+    rows (map-side combine); Spark shuffles only those and sums them.
+    """
+    Cs = [(ids[k], np.asarray(c, dtype=np.float64)) for k, c in models.items()]
+    fields = ["model long", "cluster long", "n long"] + [f"s{i} double" for i in range(d)] + \
+        ["cost double", "sdist double"]
+    schema = ", ".join(fields)
+
+    def partial(batches):
+        for pdf in batches:
+            X = _batch_matrix(pdf, d, array_col)
+            if X.shape[0] == 0:
+                continue
+            out = []
+            for mid, C in Cs:
+                k = C.shape[0]
+                cl, d2 = _np_nearest(X, C)
+                cnt = np.bincount(cl, minlength=k)
+                cols = {"model": np.full(k, mid, dtype=np.int64), "cluster": np.arange(k),
+                        "n": cnt.astype(np.int64)}
+                for i in range(d):
+                    cols[f"s{i}"] = np.bincount(cl, weights=X[:, i], minlength=k)
+                cols["cost"] = np.bincount(cl, weights=d2, minlength=k)
+                cols["sdist"] = np.bincount(cl, weights=np.sqrt(d2), minlength=k)
+                part = pd.DataFrame(cols)
+                out.append(part[part["n"] > 0])
+            yield pd.concat(out, ignore_index=True)
+
+    parts = data.mapInPandas(partial, schema)
+    aggs = [F.sum("n").alias("n")] + [F.sum(f"s{i}").alias(f"s{i}") for i in range(d)] + \
+        [F.sum("cost").alias("cost"), F.sum("sdist").alias("sdist")]
+    return parts.groupBy("model", "cluster").agg(*aggs).collect()
+
+
+def _literal_count(models: Mapping[object, Sequence[Sequence[float]]], d: int) -> int:
+    return sum(len(c) for c in models.values()) * d
+
 
 @dataclass
 class KMeansResult:
@@ -157,9 +237,7 @@ def lloyd(data: DataFrame, cols: Sequence[str | Column],
             if not active:
                 break
             act = {k: centers[k] for k in inits if k in active}
-            rows = []
-            for group in _model_groups(act, d):
-                rows += _cluster_sums(cached, fx, {k: act[k] for k in group}, ids, False)
+            rows = _sums(cached, fx, act, ids, False)
             by_model: dict[int, dict[int, tuple]] = {}
             for r in rows:
                 by_model.setdefault(r["model"], {})[r["cluster"]] = (
@@ -189,12 +267,25 @@ def lloyd(data: DataFrame, cols: Sequence[str | Column],
             cached.unpersist()
 
 
+def _sums(data: DataFrame, xs, models, ids, with_dist: bool) -> list:
+    """Route one shared scan to the codegen or the Arrow/NumPy path."""
+    d = len(xs)
+    if _literal_count(models, d) > CODEGEN_LITERAL_MAX:
+        if isinstance(xs, ArrayVec):
+            arr = data.select(xs.col.alias("_arr"))
+            return _arrow_cluster_sums(arr, d, "_arr", models, ids)
+        flat = data.select(*[x.alias(f"_f{i}") for i, x in enumerate(xs)])
+        return _arrow_cluster_sums(flat, d, None, models, ids)
+    rows = []
+    for group in _model_groups(models, d):
+        rows += _cluster_sums(data, xs, {k: models[k] for k in group}, ids, with_dist)
+    return rows
+
+
 def _score_into(data: DataFrame, xs: Sequence[Column], results: Mapping[object, KMeansResult],
                 ids: Mapping[object, int]) -> None:
     models = {k: r.centers for k, r in results.items()}
-    rows = []
-    for group in _model_groups(models, len(xs)):
-        rows += _cluster_sums(data, xs, {k: models[k] for k in group}, ids, True)
+    rows = _sums(data, xs, models, ids, True)
     by_id = {v: k for k, v in ids.items()}
     for r in results.values():
         r.sizes = [0] * r.k
@@ -261,8 +352,44 @@ def explode_assignments(df: DataFrame, cols: Sequence[str | Column],
     xs = to_double(as_cols(cols))
     keys = list(models)
     ids = {key: i for i, key in enumerate(keys)}
+    if _literal_count(models, len(xs)) > CODEGEN_LITERAL_MAX:
+        return _arrow_explode(df, xs, models, keys, list(keep), model_col)
     arr = _assign_many(xs, models, ids)
     out = df.select(*keep, F.explode(arr).alias("_a"))
     key_expr = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("_a.model") + 1)
     return out.select(*keep, key_expr.alias(model_col), F.col("_a.cluster").alias("cluster"),
                       F.col("_a.d2").alias("d2"))
+
+
+def _arrow_explode(df: DataFrame, xs, models, keys, keep: list[str], model_col: str) -> DataFrame:
+    """Arrow/NumPy form of :func:`explode_assignments` for many centres."""
+    d = len(xs)
+    if isinstance(xs, ArrayVec):
+        src = df.select(*keep, xs.col.alias("_arr"))
+        array_col = "_arr"
+    else:
+        src = df.select(*keep, *[x.alias(f"_f{i}") for i, x in enumerate(xs)])
+        array_col = None
+    key_type = "long" if all(isinstance(k, int) for k in keys) else "string"
+    keep_fields = [f for f in src.schema.fields if f.name in keep]
+    schema = T.StructType(keep_fields + [
+        T.StructField(model_col, T.LongType() if key_type == "long" else T.StringType()),
+        T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
+    Cs = [(k, np.asarray(models[k], dtype=np.float64)) for k in keys]
+
+    def explode(batches):
+        for pdf in batches:
+            X = _batch_matrix(pdf, d, array_col)
+            if X.shape[0] == 0:
+                continue
+            out = []
+            for key, C in Cs:
+                cl, d2 = _np_nearest(X, C)
+                part = pdf[keep].copy() if keep else pd.DataFrame(index=pdf.index)
+                part[model_col] = key if key_type == "long" else str(key)
+                part["cluster"] = cl.astype(np.int32)
+                part["d2"] = d2
+                out.append(part)
+            yield pd.concat(out, ignore_index=True)
+
+    return src.mapInPandas(explode, schema)
