@@ -50,8 +50,9 @@ class AnomalyDetector:
     """F-21: (z-score) -> k-means -> N-th largest distance -> strict ``>``.
 
     ``init="fixed"`` runs Lloyd from the first k rows by ``order_by`` (exact
-    and reproducible); ``init="k-means||"`` uses the library with ``runs``
-    restarts. ``k=None`` takes the rule of thumb, capped by ``k_max``.
+    and reproducible); ``init="k-means||"`` runs ``runs`` restarts with
+    k-means|| starts, all sharing each scan; ``init="ml"`` uses
+    ``pyspark.ml.clustering.KMeans`` for every restart. ``k=None`` takes the rule of thumb, capped by ``k_max``.
     """
 
     def __init__(self, cols: Sequence[str], k: int | None = None, n_top: int = 100,
@@ -78,13 +79,17 @@ class AnomalyDetector:
             starts = first_rows_init(scaled, self.cols, self.order_by, k)
             centers = lloyd(scaled, self.cols, {k: starts}, self.max_iter, self.tol,
                             score=False)[k].centers
-        else:
+        elif self.init == "ml":
             feats = assemble(scaled, self.cols, "_features").cache()
             try:
                 centers = fit_kmeans(feats, k, "_features", self.runs, self.tol,
                                      self.max_iter, self.seed).centers
             finally:
                 feats.unpersist()
+        else:
+            from kmstream.operators.restarts import fit_restarts
+            centers = fit_restarts(scaled, self.cols, [k], self.runs, self.tol,
+                                   self.max_iter, self.seed)[k].centers
         model = AnomalyModel(zs, centers, None, self.cols)
         thr = topn_threshold(model.transform(df), "dist", self.n_top)
         model.threshold = thr
@@ -99,3 +104,33 @@ def anomaly_rows(df: DataFrame, detector: AnomalyDetector, keep: Sequence[str] |
     if keep is not None:
         out = out.select(*keep, "cluster", "dist")
     return out
+
+
+def grouped_anomalies(df: DataFrame, group_col: str, id_col: str, cols: Sequence[str], k: int,
+                      n_top: int, max_iter: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+    """F-21 with one independent model per group (e.g. per micro-batch key).
+
+    Per group: population z-score, fixed-start Lloyd, N-th largest distance,
+    rows strictly above it. All groups are fitted together: every step is a
+    grouped aggregation or a join against a table of groups x k rows, and the
+    per-group top-N uses ``row_number() <= N`` (pre-limited per task).
+    """
+    from pyspark.sql import Window
+
+    from kmstream.operators.cluster import grouped_assign, grouped_lloyd
+    stats = df.groupBy(group_col).agg(*[a for c in cols for a in (
+        F.avg(F.col(c).cast("double")).alias(f"_m_{c}"),
+        F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}"))])
+    z = df.join(stats, group_col).select(
+        group_col, id_col, *[k_ for k_ in keep if k_ not in (group_col, id_col)],
+        *[F.when(F.col(f"_s_{c}") <= 0, F.col(c).cast("double") - F.col(f"_m_{c}"))
+          .otherwise((F.col(c).cast("double") - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c)
+          for c in cols])
+    centers = grouped_lloyd(z, group_col, id_col, cols, k, max_iter)
+    extra = [c for c in keep if c not in (group_col, id_col)]
+    scored = grouped_assign(z, group_col, cols, centers, keep=[id_col, *extra])
+    w = Window.partitionBy(group_col).orderBy(F.desc("dist"))
+    thr = (scored.select(group_col, "dist").withColumn("_r", F.row_number().over(w))
+           .where(F.col("_r") <= n_top).groupBy(group_col).agg(F.min("dist").alias("_thr")))
+    return (scored.join(thr, group_col).where(F.col("dist") > F.col("_thr"))
+            .drop("_thr"))

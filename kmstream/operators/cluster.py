@@ -393,3 +393,68 @@ def _arrow_explode(df: DataFrame, xs, models, keys, keep: list[str], model_col:
             yield pd.concat(out, ignore_index=True)
 
     return src.mapInPandas(explode, schema)
+
+
+# ---------------------------------------------------------------- one model per group
+
+def _group_centers_frame(centers: DataFrame, group_col: str) -> DataFrame:
+    """(g, cs: array<struct(cluster, v)>) sorted by cluster -- one small row per group."""
+    return centers.groupBy(group_col).agg(
+        F.array_sort(F.collect_list(F.struct("cluster", "v"))).alias("cs"))
+
+
+def _nearest_in_group(x: Column, cs: Column) -> Column:
+    """struct(d2, cluster) of the nearest centre among the row's own group's centres.
+
+    Coordinates are summed left to right; the (d2, cluster) order gives the
+    lowest id on ties. ``cs`` holds at most k entries per row.
+    """
+    cands = F.transform(cs, lambda c: F.struct(
+        F.aggregate(F.zip_with(x, c["v"], lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                    lambda acc, t: acc + t).alias("d2"),
+        c["cluster"].alias("cluster")))
+    return F.array_min(cands)
+
+
+def grouped_lloyd(df: DataFrame, group_col: str, id_col: str, cols: Sequence[str], k: int,
+                  max_iter: int) -> DataFrame:
+    """Fixed-start Lloyd fitted separately for every group, all groups in each scan.
+
+    Starts: the first k rows of each group by ``id_col`` (the window's
+    ``row_number() <= k`` filter is pre-limited per task before the shuffle,
+    so a group holding a third of all rows ships only k rows). Each update
+    is one aggregation over (group, cluster); empty clusters keep their
+    centre. The centre table (groups x k rows) is reliably checkpointed each
+    iteration, so lineage stays flat. Returns ``(group, cluster, v)``.
+    """
+    from pyspark.sql import Window
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    w = Window.partitionBy(group_col).orderBy(id_col)
+    centers = (df.select(group_col, id_col, x.alias("v"))
+               .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+               .select(group_col, (F.col("_rn") - 1).cast("int").alias("cluster"), "v"))
+    centers = centers.checkpoint(eager=True)
+    data = df.select(group_col, x.alias("_x"))
+    for _ in range(max_iter):
+        near = (data.join(_group_centers_frame(centers, group_col), group_col)
+                .select(group_col, "_x", _nearest_in_group(F.col("_x"), F.col("cs")).alias("_n")))
+        sums = (near.groupBy(group_col, F.col("_n.cluster").alias("cluster"))
+                .agg(F.count(F.lit(1)).alias("_m"),
+                     *[F.sum(F.col("_x").getItem(i)).alias(f"_s{i}") for i in range(len(cols))]))
+        means = sums.select(group_col, "cluster", F.array(*[F.col(f"_s{i}") / F.col("_m")
+                                                            for i in range(len(cols))]).alias("_new"))
+        centers = (centers.join(means, [group_col, "cluster"], "left")
+                   .select(group_col, "cluster", F.coalesce("_new", "v").alias("v"))
+                   .checkpoint(eager=True))
+    return centers
+
+
+def grouped_assign(df: DataFrame, group_col: str, cols: Sequence[str], centers: DataFrame,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Each row's cluster and distance under its own group's centres."""
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    joined = df.select(group_col, *keep, x.alias("_x")).join(
+        _group_centers_frame(centers, group_col), group_col)
+    n = _nearest_in_group(F.col("_x"), F.col("cs"))
+    return joined.select(group_col, *keep, n["cluster"].alias("cluster"),
+                         F.sqrt(n["d2"]).alias("dist"))

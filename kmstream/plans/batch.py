@@ -354,17 +354,13 @@ def q_kafka_value_decode(spark, sf):
 # ------------------------------------------------------------------ library k-means (no exact oracle)
 
 def q_kmeans_restarts(spark, sf):
-    """F-3 / F-14: best of 10 k-means|| fits (tol 1e-6) per k on z-scored part."""
+    """F-3 / F-14: best of 10 k-means|| runs (tol 1e-6) per k on z-scored part.
+
+    All 10 x 8 runs share every scan (k-means|| starts, then Lloyd)."""
+    from kmstream.operators.restarts import fit_restarts
     data, _ = part_scaled(spark, sf)
-    feats = assemble(data, P.PART_COLS).select(P.PART_KEY, "features").cache()
-    try:
-        rows = []
-        for k in P.SWEEP_K:
-            r = fit_kmeans(feats, k, runs=10, tol=1e-6, seed=7)
-            rows.append((k, r))
-        models = {k: r.centers for k, r in rows}
-    finally:
-        feats.unpersist()
+    best = fit_restarts(data, P.PART_COLS, P.SWEEP_K, runs=10, tol=1e-6, max_iter=20, seed=7)
+    models = {k: r.centers for k, r in best.items()}
     return (explode_assignments(data, P.PART_COLS, models)
             .groupBy("k").agg(F.avg(F.sqrt("d2")).alias("score"), F.sum("d2").alias("cost"))
             .select(F.col("k").cast("long").alias("k"), "score", "cost"))
@@ -431,21 +427,22 @@ def q_entropy_sweep(spark, sf):
 
 
 def q_elbow_scores_encoded(spark, sf):
-    """F-16: encoded + z-scored part rows, best-of-3 library fits per k."""
+    """F-16: encoded + z-scored part rows, best of 3 k-means|| runs per k (shared scans)."""
+    from pyspark.ml.feature import StandardScaler
+
+    from kmstream.operators.restarts import fit_restarts
     part = part_frame(spark, sf).select(P.PART_KEY, *P.PART_COLS, *P.PART_CATS)
     part = part.withColumn("p_size", F.col("p_size").cast("double"))
-    vec, _ = encode_features(part, P.PART_COLS, P.PART_CATS, "raw")
-    from pyspark.ml.feature import StandardScaler
-    scaled = StandardScaler(withMean=True, withStd=True, inputCol="raw",
-                            outputCol="features").fit(vec).transform(vec).select("features").cache()
-    try:
-        rows = []
-        for k in P.SWEEP_K:
-            r = fit_kmeans(scaled, k, runs=3, tol=1e-6, seed=11)
-            rows.append((k, float(r.cost)))
-    finally:
-        scaled.unpersist()
-    return spark.createDataFrame(rows, "k long, cost double")
+    vec, model = encode_features(part, P.PART_COLS, P.PART_CATS, "raw")
+    width = len(P.PART_COLS) + sum(model.sizes.values())
+    scaled = (StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features")
+              .fit(vec).transform(vec)
+              .select(vector_to_array(F.col("features")).alias("arr")))
+    best = fit_restarts(scaled, ArrayVec("arr", width), P.SWEEP_K, runs=3, tol=1e-6, seed=11)
+    models = {k: r.centers for k, r in best.items()}
+    return (explode_assignments(scaled, ArrayVec("arr", width), models)
+            .groupBy("k").agg(F.avg(F.sqrt("d2")).alias("score"), F.sum("d2").alias("cost"))
+            .select(F.col("k").cast("long").alias("k"), "score", "cost"))
 
 
 QUERIES = {

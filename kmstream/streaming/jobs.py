@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kmstream.functions.stats import k_rule_of_thumb
-from kmstream.operators.anomaly import AnomalyDetector
+from kmstream.operators.anomaly import AnomalyDetector, grouped_anomalies
 from kmstream.operators.scale import UnitScale
 from kmstream.streaming.online_kmeans import OnlineKMeans, StreamState
 
@@ -130,13 +130,21 @@ class KMeansStreamJob:
                 preds.append(pred)
                 if self.prepare != "raw":
                     prepared_frames.append(prep.select(*keep, *self.cols, F.lit(state.step).alias("step")))
-                if self.anomaly:
+                if self.anomaly and not self.batch_key:
                     a = self.anomaly
                     det = AnomalyDetector(self.cols, k=a.k, n_top=a.n_top, init="fixed",
                                           order_by=a.order_by, max_iter=a.max_iter, tol=0.0)
                     flagged = det.fit(prep).transform(prep).where(F.col("is_anomaly"))
                     anomalies.append(flagged.select(*keep, F.col("cluster").cast("long").alias("cluster"),
-                                                    "dist", F.lit(state.step).alias("step")))
+                                                    "dist"))
+            if self.anomaly and self.batch_key:
+                # G-13 per key: every key's own model, all keys of the batch fitted together
+                # (z-score is scale invariant, so the raw rows serve any preparation)
+                a = self.anomaly
+                flagged = grouped_anomalies(data, self.batch_key, a.order_by, self.cols, a.k,
+                                            a.n_top, a.max_iter, keep=self.keys)
+                anomalies.append(flagged.select(*self.keys, self.batch_key,
+                                                F.col("cluster").cast("long").alias("cluster"), "dist"))
             self._write(spark, epoch_id, state_rows, metric_rows, preds, prepared_frames, anomalies)
             self._state, self._epoch = state, epoch_id
         finally:
