@@ -142,10 +142,10 @@ def _stream_days() -> str:
             "evb AS (SELECT ev.*, days.b FROM ev JOIN days USING (day))")
 
 
-def _stream_recursive(alpha: float) -> str:
+def _stream_recursive(alpha: float, points: bool = False) -> str:
     c0, c1 = P.STREAM_STARTS[0][0], P.STREAM_STARTS[1][0]
     w0, w1 = P.STREAM_WEIGHTS
-    a = repr(float(alpha))
+    a = f"pow({float(alpha)!r}, g.m0 + g.m1)" if points else repr(float(alpha))
     near1 = "(e.x0 - s.c1) * (e.x0 - s.c1) < (e.x0 - s.c0) * (e.x0 - s.c0)"
 
     def upd(j: int) -> str:
@@ -172,8 +172,8 @@ def _stream_recursive(alpha: float) -> str:
     )
 
 
-def _stream_final(alpha: float) -> str:
-    return (_stream_recursive(alpha) +
+def _stream_final(alpha: float, points: bool = False) -> str:
+    return (_stream_recursive(alpha, points) +
             ", last AS (SELECT * FROM st WHERE b = (SELECT max(b) FROM st)) "
             "SELECT CAST(0 AS BIGINT) AS cluster, round(c0, 6) AS center, round(w0, 6) AS weight FROM last "
             "UNION ALL SELECT CAST(1 AS BIGINT), round(c1, 6), round(w1, 6) FROM last")
@@ -320,6 +320,10 @@ def oracle_sql() -> dict[str, str]:
     q["stream_kmeans_halflife"] = _stream_final(alpha)
     q["stream_kmeans_decay1"] = _stream_final(1.0)
     q["stream_latest_model"] = q["stream_kmeans_halflife"]
+    q["stream_kmeans_points"] = _stream_final(P.STREAM_POINTS_DECAY, points=True)
+    q["stream_file_rows"] = (
+        "WITH " + ORDERS_LINE + f" SELECT CAST(f[1] AS BIGINT) AS line_key, CAST(len(f) AS BIGINT) AS n_fields, "
+        f"f[3] AS status, {_b2z('f[5]')} AS bucket FROM fl")
     q["stream_batch_counts"] = (
         "WITH " + _stream_days() + " SELECT day, CAST(b AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS rows "
         "FROM evb GROUP BY day, b")

@@ -19,6 +19,7 @@ STREAM_K = 2
 STREAM_STARTS = [[10.0], [200.0]]
 STREAM_WEIGHTS = [1.0, 1.0]
 STREAM_HALF_LIFE = 5.0
+STREAM_POINTS_DECAY = 0.999   # per-row decay for the "points" time unit
 STREAM_N_TOP = 10
 STREAM_ANOMALY_K = 2
 

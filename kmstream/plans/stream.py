@@ -68,6 +68,39 @@ def q_stream_kmeans_halflife(spark, sf):
     return _final_state(spark, replay(spark, sf))
 
 
+def q_stream_kmeans_points(spark, sf):
+    """G-5: explicit decay per row ("points" unit): a = 0.999 ** rows in the batch."""
+    return _final_state(spark, replay(spark, sf, half_life=None, decay=P.STREAM_POINTS_DECAY,
+                                      unit="points"))
+
+
+def q_stream_file_rows(spark, sf):
+    """A-2 / C-9: a directory of text files read as a stream, parsed per micro-batch.
+
+    Spark writes the comma lines built from orders as text files; a
+    ``readStream.text`` source with a file sink (``availableNow``) parses them;
+    the query reads the sink table back.
+    """
+    from kmstream.plans.batch import ORDERS_LAYOUT, orders_lines
+    from kmstream.sources.records import parse_records, split_fields
+    from kmstream.sources.streams import read_text_stream
+    key = (spark.sparkContext.applicationId, sf, "file_rows")
+    if key not in _RUNS:
+        src = scratch_dir(spark, "orders-lines")
+        out = scratch_dir(spark, "orders-parsed")
+        orders_lines(spark, sf).write.mode("overwrite").text(src)
+        lines = read_text_stream(spark, src, max_files_per_trigger=4)
+        parsed = parse_records(lines, ORDERS_LAYOUT, "value").select(
+            F.col("orderkey").cast("long").alias("line_key"),
+            F.size(split_fields(F.col("value"), ",", ORDERS_LAYOUT.width)).cast("long").alias("n_fields"),
+            "status", "bucket")
+        q = (parsed.writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", out + "_checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+        _RUNS[key] = out
+    return spark.read.parquet(_RUNS[key])
+
+
 def q_stream_kmeans_decay1(spark, sf):
     """G-1: decay factor 1.0 (all history weighs the same)."""
     return _final_state(spark, replay(spark, sf, half_life=None, decay=1.0))
@@ -125,6 +158,8 @@ def q_stream_anomalies(spark, sf):
 STREAM_QUERIES = {
     "stream_kmeans_halflife": q_stream_kmeans_halflife,
     "stream_kmeans_decay1": q_stream_kmeans_decay1,
+    "stream_kmeans_points": q_stream_kmeans_points,
+    "stream_file_rows": q_stream_file_rows,
     "stream_latest_model": q_stream_latest_model,
     "stream_batch_counts": q_stream_batch_counts,
     "stream_running_count": q_stream_running_count,

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from kmstream.functions.stats import k_rule_of_thumb
 from kmstream.operators.anomaly import AnomalyDetector, grouped_anomalies
 from kmstream.operators.scale import UnitScale
+from kmstream.sinks.tables import write_table
 from kmstream.streaming.online_kmeans import OnlineKMeans, StreamState
 
 STATE_SCHEMA = ("epoch long, step long, batch_label string, cluster long, "
@@ -157,8 +158,8 @@ class KMeansStreamJob:
                 out = out.unionByName(f)
             return out.withColumn("epoch", F.lit(epoch).cast("long"))
 
-        w = lambda df, name: (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                              .partitionBy("epoch").parquet(self.path(name)))
+        def w(df, name):
+            write_table(df, self.path(name), ["epoch"])
         w(union(preds), "predictions")
         if prepared:
             w(union(prepared), "prepared")
