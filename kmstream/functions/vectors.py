@@ -99,7 +99,8 @@ def distance(xs, center: Sequence[float]) -> Column:
     return F.sqrt(sq_distance(xs, center))
 
 
-def nearest(xs, centers: Sequence[Sequence[float]]) -> Column:
+def nearest(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2",
+            cluster_name: str = "cluster") -> Column:
     """Struct ``(d2, cluster)`` of the nearest centre; ties go to the lowest id.
 
     ``array_min`` over ``(d2, id)`` structs orders by distance first and by id
@@ -107,22 +108,23 @@ def nearest(xs, centers: Sequence[Sequence[float]]) -> Column:
     """
     if not centers:
         raise ValueError("no centres")
-    cands = [F.struct(sq_distance(xs, c).alias("d2"), F.lit(j).cast("int").alias("cluster"))
+    cands = [F.struct(sq_distance(xs, c).alias(d2_name), F.lit(j).cast("int").alias(cluster_name))
              for j, c in enumerate(centers)]
     if len(cands) == 1:
         return cands[0]
     return F.array_min(F.array(*cands))
 
 
-def nearest_udf(centers: Sequence[Sequence[float]]):
+def nearest_udf(centers: Sequence[Sequence[float]], d2_name: str = "d2",
+                cluster_name: str = "cluster"):
     """Arrow-batched nearest-centre search for large k x d.
 
     The centres (k x d, bounded by the model size) travel in the closure;
     each Arrow batch becomes one NumPy matrix. Returns ``struct(d2, cluster)``.
     """
     C = np.asarray(centers, dtype=np.float64)
-    schema = T.StructType([T.StructField("d2", T.DoubleType()),
-                           T.StructField("cluster", T.IntegerType())])
+    schema = T.StructType([T.StructField(d2_name, T.DoubleType()),
+                           T.StructField(cluster_name, T.IntegerType())])
 
     @F.pandas_udf(schema)
     def _nearest(*cols: pd.Series) -> pd.DataFrame:
@@ -140,25 +142,39 @@ def nearest_udf(centers: Sequence[Sequence[float]]):
             better = d2 < best_d                 # strict: lowest id wins ties
             best_d[better] = d2[better]
             best_j[better] = j
-        return pd.DataFrame({"d2": best_d, "cluster": best_j})
+        return pd.DataFrame({d2_name: best_d, cluster_name: best_j})
 
     return _nearest
 
 
-def nearest_any(xs, centers: Sequence[Sequence[float]]) -> Column:
+def nearest_any(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2",
+                cluster_name: str = "cluster") -> Column:
     """Pick the expression path or the vectorised path by model size."""
     dim = len(centers[0]) if centers else 0
     if len(centers) * dim <= EXPR_LITERAL_LIMIT:
-        return nearest(xs, centers)
+        return nearest(xs, centers, d2_name, cluster_name)
     args = [xs.col] if isinstance(xs, ArrayVec) else list(xs)
-    return nearest_udf(centers)(*args)
+    return nearest_udf(centers, d2_name, cluster_name)(*args)
 
 
 def with_assignment(df: DataFrame, xs, centers: Sequence[Sequence[float]],
                     cluster_col: str = "cluster", dist_col: str | None = "dist") -> DataFrame:
     """F-4 / F-7: add nearest cluster id and (optionally) distance to it."""
-    near = nearest_any(xs, centers)
-    out = df.withColumn("_near", near).withColumn(cluster_col, F.col("_near.cluster"))
+    # 1. the vector itself (e.g. z-scored columns) is projected once per row;
+    #    left inside the k x d expression it would be re-evaluated per term
+    if isinstance(xs, ArrayVec):
+        base = df.select("*", xs.col.alias("_xv"))
+        vec, tmp = ArrayVec("_xv", xs.dim), ["_xv"]
+    else:
+        tmp = [f"_xv{i}" for i in range(len(xs))]
+        base = df.select("*", *[x.alias(t) for x, t in zip(xs, tmp)])
+        vec = [F.col(t) for t in tmp]
+    near = nearest_any(vec, centers, "_near_d2", "_near_cluster")
+    # 2. a one-element ``inline`` (a Generate node) evaluates the assignment
+    #    once: a later filter on the distance cannot be pushed below it, and
+    #    the struct is unpacked by the generator, so the expression appears once
+    out = base.select("*", F.inline(F.array(near)))
+    out = out.withColumn(cluster_col, F.col("_near_cluster"))
     if dist_col:
-        out = out.withColumn(dist_col, F.sqrt(F.col("_near.d2")))
-    return out.drop("_near")
+        out = out.withColumn(dist_col, F.sqrt(F.col("_near_d2")))
+    return out.drop("_near_cluster", "_near_d2", *tmp)

@@ -428,6 +428,9 @@ def grouped_lloyd(df: DataFrame, group_col: str, id_col: str, cols: Sequence[str
     iteration, so lineage stays flat. Returns ``(group, cluster, v)``.
     """
     from pyspark.sql import Window
+
+    from kmstream.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     x = F.array(*[F.col(c).cast("double") for c in cols])
     w = Window.partitionBy(group_col).orderBy(id_col)
     centers = (df.select(group_col, id_col, x.alias("v"))

@@ -103,6 +103,10 @@ class KMeansStreamJob:
         if batch_df.isEmpty():
             return
         state = self.restore(spark, epoch_id)
+        if self.batch_key:
+            # local sort only (no shuffle): cached column batches then carry narrow
+            # key ranges, so each per-key filter skips the other keys' batches
+            batch_df = batch_df.sortWithinPartitions(self.batch_key)
         data = batch_df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if self.batch_key:
