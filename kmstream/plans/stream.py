@@ -74,6 +74,39 @@ def q_stream_kmeans_points(spark, sf):
                                       unit="points"))
 
 
+def q_stream_pca_rows(spark, sf):
+    """G-12: per-batch features = frozen (encode event_type, PCA(2), z-score).
+
+    The encoder, PCA and z-score are fitted once on the first event day (the
+    bootstrap batch) and applied unchanged to every day of the replay; the
+    online k-means (k = 2, seeded normal starts) trains on the 2 components.
+    """
+    from kmstream.streaming.online_kmeans import random_centers
+    from kmstream.streaming.prepare import FrozenFeatures
+    key = (spark.sparkContext.applicationId, sf, "pca_rows")
+    if key not in _RUNS:
+        ev = table(spark, sf, "events").select(
+            "event_id", F.col("value").cast("double").alias("value"), "event_type",
+            F.to_date("ts").alias("day"))
+        first_day = ev.agg(F.min("day")).first()[0]
+        feats = FrozenFeatures(["value"], ["event_type"], 2).fit(ev.where(F.col("day") == first_day))
+        src = scratch_dir(spark, "events-typed")
+        out = scratch_dir(spark, "events-pca")
+        ev.write.mode("overwrite").partitionBy("day").parquet(src)
+        schema = T.StructType([T.StructField("event_id", T.LongType()),
+                               T.StructField("value", T.DoubleType()),
+                               T.StructField("event_type", T.StringType()),
+                               T.StructField("day", T.DateType())])
+        job = KMeansStreamJob(OnlineKMeans(P.STREAM_K, half_life=P.STREAM_HALF_LIFE),
+                              random_centers(P.STREAM_K, 2, 1.0, seed=7), ["value", "event_type"],
+                              out, key_cols=["event_id"], batch_key="day", prepare=feats)
+        run_stream(read_parquet_stream(spark, src, schema), job, out + "/_checkpoint")
+        _RUNS[key] = out
+    return spark.read.parquet(_RUNS[key] + "/prepared").select(
+        "event_id", F.col("day").cast("string").alias("day"),
+        F.round("pc1", 6).alias("pc1"), F.round("pc2", 6).alias("pc2"))
+
+
 def q_stream_file_rows(spark, sf):
     """A-2 / C-9: a directory of text files read as a stream, parsed per micro-batch.
 
@@ -160,6 +193,7 @@ STREAM_QUERIES = {
     "stream_kmeans_decay1": q_stream_kmeans_decay1,
     "stream_kmeans_points": q_stream_kmeans_points,
     "stream_file_rows": q_stream_file_rows,
+    "stream_pca_rows": q_stream_pca_rows,
     "stream_latest_model": q_stream_latest_model,
     "stream_batch_counts": q_stream_batch_counts,
     "stream_running_count": q_stream_running_count,

@@ -59,10 +59,12 @@ class KMeansStreamJob:
     def __init__(self, model: OnlineKMeans, init: StreamState, feature_cols: Sequence[str],
                  out_dir: str, key_cols: Sequence[str] = (), batch_key: str | None = None,
                  prepare: str = "raw", anomaly: AnomalyConfig | None = None):
-        if prepare not in ("raw", "unit_batch"):
-            raise ValueError("prepare must be 'raw' or 'unit_batch'")
+        if not (prepare in ("raw", "unit_batch") or hasattr(prepare, "transform")):
+            raise ValueError("prepare must be 'raw', 'unit_batch' or a fitted feature model")
         self.model, self.init = model, init
         self.cols, self.keys = list(feature_cols), list(key_cols)
+        # the model trains on what preparation produces (one frame feeds both, D7)
+        self.model_cols = list(prepare.cols) if hasattr(prepare, "transform") else self.cols
         self.out, self.batch_key, self.prepare, self.anomaly = out_dir, batch_key, prepare, anomaly
         self._state: StreamState | None = None
         self._epoch: int | None = None
@@ -91,6 +93,8 @@ class KMeansStreamJob:
 
     # one micro-batch -----------------------------------------------------------
     def _prepare(self, sub: DataFrame) -> DataFrame:
+        if hasattr(self.prepare, "transform"):          # frozen encode + PCA + z-score
+            return self.prepare.transform(sub)
         if self.prepare == "unit_batch":
             return UnitScale(self.cols).fit(sub).transform(sub)
         return sub
@@ -103,6 +107,10 @@ class KMeansStreamJob:
         if batch_df.isEmpty():
             return
         state = self.restore(spark, epoch_id)
+        frozen = hasattr(self.prepare, "transform")
+        if frozen:
+            # a frozen preparation does not depend on the batch: apply it once
+            batch_df = self.prepare.transform(batch_df)
         if self.batch_key:
             # local sort only (no shuffle): cached column batches then carry narrow
             # key ranges, so each per-key filter skips the other keys' batches
@@ -117,9 +125,9 @@ class KMeansStreamJob:
             state_rows, metric_rows, preds, prepared_frames, anomalies = [], [], [], [], []
             for lab in labels:
                 sub = data if lab is None else data.where(F.col(self.batch_key) == F.lit(lab))
-                prep = self._prepare(sub)
+                prep = sub if frozen else self._prepare(sub)
                 before = state.rows_seen
-                state = self.model.update(state, prep, self.cols)
+                state = self.model.update(state, prep, self.model_cols)
                 m = state.rows_seen - before
                 bk = k_rule_of_thumb(m)
                 state.k_sum += bk
@@ -129,12 +137,13 @@ class KMeansStreamJob:
                 for j, (c, w) in enumerate(zip(state.centers, state.weights)):
                     state_rows.append((epoch_id, state.step, label, j, [float(v) for v in c], float(w)))
                 keep = self.keys + ([self.batch_key] if self.batch_key else [])
-                pred = self.model.predict(state, prep, self.cols).select(
+                pred = self.model.predict(state, prep, self.model_cols).select(
                     *keep, F.lit(state.step).alias("step"),
                     F.col("cluster").cast("long").alias("cluster"), "dist")
                 preds.append(pred)
-                if self.prepare != "raw":
-                    prepared_frames.append(prep.select(*keep, *self.cols, F.lit(state.step).alias("step")))
+                if not (isinstance(self.prepare, str) and self.prepare == "raw"):
+                    prepared_frames.append(prep.select(*keep, *self.model_cols,
+                                                       F.lit(state.step).alias("step")))
                 if self.anomaly and not self.batch_key:
                     a = self.anomaly
                     det = AnomalyDetector(self.cols, k=a.k, n_top=a.n_top, init="fixed",

@@ -112,3 +112,24 @@ def test_reexecuted_batch_overwrites_its_output(spark):
     job2.process(ev, 0)
     assert _final(spark, out) == first
     assert spark.read.parquet(out + "/predictions").count() == ev.count()
+
+
+def test_frozen_features_match_vector_projection(spark):
+    from kmstream.operators.encode import encode_features
+    from kmstream.operators.reduce import project_vector
+    from kmstream.streaming.prepare import FrozenFeatures
+    rows = [(float(i % 7) * 3.0 + (i % 3), ["a", "b", "c"][i % 3]) for i in range(40)]
+    df = spark.createDataFrame(rows, "v double, t string")
+    model = FrozenFeatures(["v"], ["t"], 2).fit(df)
+    got = model.transform(df.withColumn("rid", F.monotonically_increasing_id()))
+    vec, _ = encode_features(df.withColumn("rid", F.monotonically_increasing_id()), ["v"], ["t"], "f",
+                             model=model.encoder)
+    ref = project_vector(vec, model.pca, "f", "p").select(
+        "rid", F.col("p")[0].alias("r1"), F.col("p")[1].alias("r2"))
+    z = model.zscore
+    both = got.join(ref, "rid").collect()
+    for r in both:
+        assert r["pc1"] == pytest.approx((r["r1"] - z.means[0]) / z.sds[0], abs=1e-9)
+        assert r["pc2"] == pytest.approx((r["r2"] - z.means[1]) / z.sds[1], abs=1e-9)
+    unseen = spark.createDataFrame([(1.0, "zzz")], "v double, t string")
+    assert model.transform(unseen).count() == 1          # unseen category contributes 0
