@@ -80,3 +80,19 @@ def test_blank_to_zero_expression(spark):
 @pytest.mark.parametrize("n,k", [(0, 0), (1, 0), (10, 2), (11, 2), (500, 15), (60000, 173)])
 def test_rule_of_thumb(n, k):
     assert k_rule_of_thumb(n) == k
+
+
+def test_text_source_and_kafka_decode(spark):
+    from kmstream.session import scratch_dir
+    from kmstream.sinks.tables import centers_text, write_text
+    from kmstream.sources.streams import decode_kafka_value
+    from kmstream.sources.tables import text_lines
+    lines = [trade_line(i) for i in range(3)]
+    path = scratch_dir(spark, "lines")
+    write_text(lines_df(spark, lines), "value", path)
+    back = text_lines(spark, path)
+    assert sorted(r["value"] for r in back.collect()) == sorted(lines)
+    raw = spark.createDataFrame([(b"k", lines[0].encode())], "key binary, value binary")
+    assert decode_kafka_value(raw).first()["value"] == lines[0]
+    cf = spark.createDataFrame([(0, [1.0, 2.5])], "cluster long, center array<double>")
+    assert centers_text(cf).first()["line"] == "1.0,2.5"
