@@ -445,6 +445,25 @@ def q_elbow_scores_encoded(spark, sf):
             .select(F.col("k").cast("long").alias("k"), "score", "cost"))
 
 
+def q_record_anomalies(spark, sf):
+    """F-22 end to end on delimited records (C-10: original line kept beside its vector).
+
+    lines -> parse (blank rule) -> one-hot categories + numerics -> PCA(3) ->
+    z-score -> fixed-start k-means (k = 4, first lines by key) -> top-100
+    threshold -> the anomalous original lines.
+    """
+    from kmstream.streaming.prepare import FrozenFeatures
+    parsed = _parsed_orders(spark, sf)
+    feats = FrozenFeatures(ORDERS_LAYOUT.numeric, ORDERS_LAYOUT.categorical, 3).fit(parsed)
+    prepared = feats.transform(parsed)
+    det = AnomalyDetector(feats.cols, k=P.LLOYD_K, n_top=P.N_TOP, normalize=False, init="fixed",
+                          order_by="orderkey", max_iter=P.LLOYD_ITERS, tol=0.0)
+    model = det.fit(prepared)
+    return (model.transform(prepared).where(F.col("is_anomaly"))
+            .select(F.col("value").alias("line"), F.col("cluster").cast("long").alias("cluster"),
+                    F.col("dist")))
+
+
 QUERIES = {
     "column_stats": q_column_stats,
     "zscore": q_zscore,
@@ -484,4 +503,5 @@ QUERIES = {
     "pca_project": q_pca_project,
     "pca_zscore": q_pca_zscore,
     "elbow_scores_encoded": q_elbow_scores_encoded,
+    "record_anomalies": q_record_anomalies,
 }
