@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import types as T
 
 from kmstream.functions.vectors import (EXPR_LITERAL_LIMIT, ArrayVec, as_cols, elements,
-                                        nearest, nearest_any, to_double)
+                                        nearest_any, to_double)
 
 # Up to this many centre numbers (over all models of one scan) the assignment
 # is unrolled into codegen'd arithmetic. Beyond it, assignment and the
@@ -178,13 +178,15 @@ def _model_groups(inits: Mapping, dim: int) -> list[list]:
 
 def _assign_many(xs: Sequence[Column], models: Mapping[object, Sequence[Sequence[float]]],
                  ids: Mapping[object, int]) -> Column:
-    """array<struct(model, cluster, d2)>: one entry per model for this row."""
+    """array<struct(model, n: struct(d2, cluster))>: one entry per model for this row.
+
+    The nearest-centre struct is nested whole (not split into fields), so the
+    k x d expression is evaluated once per model and row.
+    """
     entries = []
     for key, centers in models.items():
-        near = nearest_any(xs, centers)
         entries.append(F.struct(F.lit(ids[key]).alias("model"),
-                                near["cluster"].alias("cluster"),
-                                near["d2"].alias("d2")))
+                                nearest_any(xs, centers).alias("n")))
     return F.array(*entries)
 
 
@@ -195,10 +197,11 @@ def _cluster_sums(data: DataFrame, xs: Sequence[Column],
     d = len(xs)
     exploded = data.select(F.col("*"), F.explode(_assign_many(xs, models, ids)).alias("_a"))
     aggs = [F.sum(e).alias(f"s{i}") for i, e in enumerate(elements(xs))]
-    aggs += [F.count(F.lit(1)).alias("n"), F.sum("_a.d2").alias("cost")]
+    aggs += [F.count(F.lit(1)).alias("n"), F.sum("_a.n.d2").alias("cost")]
     if with_dist:
-        aggs.append(F.sum(F.sqrt(F.col("_a.d2"))).alias("sdist"))
-    return (exploded.groupBy(F.col("_a.model").alias("model"), F.col("_a.cluster").alias("cluster"))
+        aggs.append(F.sum(F.sqrt(F.col("_a.n.d2"))).alias("sdist"))
+    return (exploded.groupBy(F.col("_a.model").alias("model"),
+                             F.col("_a.n.cluster").alias("cluster"))
             .agg(*aggs).collect())
 
 
@@ -357,8 +360,8 @@ def explode_assignments(df: DataFrame, cols: Sequence[str | Column],
     arr = _assign_many(xs, models, ids)
     out = df.select(*keep, F.explode(arr).alias("_a"))
     key_expr = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("_a.model") + 1)
-    return out.select(*keep, key_expr.alias(model_col), F.col("_a.cluster").alias("cluster"),
-                      F.col("_a.d2").alias("d2"))
+    return out.select(*keep, key_expr.alias(model_col), F.col("_a.n.cluster").alias("cluster"),
+                      F.col("_a.n.d2").alias("d2"))
 
 
 def _arrow_explode(df: DataFrame, xs, models, keys, keep: list[str], model_col: str) -> DataFrame:

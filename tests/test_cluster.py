@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kmstream.functions.vectors import ArrayVec, nearest, sq_distance, with_assignment
+from kmstream.functions.vectors import ArrayVec, sq_distance, with_assignment
 from kmstream.operators.anomaly import AnomalyDetector, topn_threshold
 from kmstream.operators.cluster import (CODEGEN_LITERAL_MAX, assemble, explode_assignments,
                                         fit_kmeans, lloyd, mean_centers)

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from kmstream.operators.reduce import components_for_variance, fit_pca
 from kmstream.operators.scale import UnitScale, ZScore, column_stats

@@ -1,8 +1,5 @@
 """G-1..G-14: online k-means rule, file-stream job, restart from checkpoint."""
 
-import math
-import os
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
