@@ -20,8 +20,8 @@ from kmstream.operators.cluster import (assemble, explode_assignments, first_row
 from kmstream.operators.encode import CategoryEncoder, encode_features
 from kmstream.operators.reduce import fit_pca
 from kmstream.operators.scale import UnitScale, ZScore, column_stats
-from kmstream.operators.score import (cluster_label_count as _clc, label_entropy as _le,
-                                      weighted_entropy as _we)
+from kmstream.operators.score import (cluster_label_count as _clc, entropy_of_counts,
+                                      label_entropy as _le, weighted_entropy as _we)
 from kmstream.plans import params as P
 from kmstream.sources.records import (CATEGORY, LABEL, NUMERIC, Layout, last_field,
                                       parse_records, split_fields as _split)
@@ -418,11 +418,8 @@ def q_entropy_sweep(spark, sf):
     models = {k: r.centers for k, r in res.items()}
     counts = (explode_assignments(emb, EMB_X, models, keep=["label"])
               .groupBy("k", "cluster", "label").agg(F.count(F.lit(1)).alias("cnt")))
-    sizes = counts.groupBy("k", "cluster").agg(F.sum("cnt").alias("size"))
-    p = F.col("cnt") / F.col("size")
-    ent = (counts.join(sizes, ["k", "cluster"]).groupBy("k", "cluster", "size")
-           .agg((-F.sum(p * F.log(p))).alias("entropy")))
-    return ent.groupBy("k").agg(_r(F.sum(F.col("size") * F.col("entropy")) / F.sum("size"))
+    ent = entropy_of_counts(counts, ["k", "cluster"])
+    return ent.groupBy("k").agg(_r(F.sum(F.col("n") * F.col("entropy")) / F.sum("n"))
                                 .alias("score")).select(F.col("k").cast("long").alias("k"), "score")
 
 
