@@ -160,21 +160,43 @@ def nearest_any(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2",
 def with_assignment(df: DataFrame, xs, centers: Sequence[Sequence[float]],
                     cluster_col: str = "cluster", dist_col: str | None = "dist") -> DataFrame:
     """F-4 / F-7: add nearest cluster id and (optionally) distance to it."""
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in (cluster_col, dist_col)]
     # 1. the vector itself (e.g. z-scored columns) is projected once per row;
     #    left inside the k x d expression it would be re-evaluated per term
     if isinstance(xs, ArrayVec):
-        base = df.select("*", xs.col.alias("_xv"))
-        vec, tmp = ArrayVec("_xv", xs.dim), ["_xv"]
+        base = df.select(*cols, xs.col.alias("_xv"))
+        vec = ArrayVec("_xv", xs.dim)
     else:
         tmp = [f"_xv{i}" for i in range(len(xs))]
-        base = df.select("*", *[x.alias(t) for x, t in zip(xs, tmp)])
+        base = df.select(*cols, *[x.alias(t) for x, t in zip(xs, tmp)])
         vec = [F.col(t) for t in tmp]
     near = nearest_any(vec, centers, "_near_d2", "_near_cluster")
     # 2. a one-element ``inline`` (a Generate node) evaluates the assignment
     #    once: a later filter on the distance cannot be pushed below it, and
     #    the struct is unpacked by the generator, so the expression appears once
-    out = base.select("*", F.inline(F.array(near)))
-    out = out.withColumn(cluster_col, F.col("_near_cluster"))
-    if dist_col:
-        out = out.withColumn(dist_col, F.sqrt(F.col("_near_d2")))
-    return out.drop("_near_cluster", "_near_d2", *tmp)
+    out = base.select(*cols, F.inline(F.array(near)))
+    # 3. one final projection (each DataFrame step costs an analysis pass)
+    extra = [F.sqrt(F.col("_near_d2")).alias(dist_col)] if dist_col else []
+    return out.select(*cols, F.col("_near_cluster").alias(cluster_col), *extra)
+
+
+def with_keyed_assignment(df: DataFrame, key_col: str, xs, models: dict,
+                          cluster_col: str = "cluster", dist_col: str = "dist") -> DataFrame:
+    """Nearest centre under the model of each row's key, in ONE pass.
+
+    ``models`` maps key value -> centres. A ``CASE`` on the key selects the
+    key's (codegen'd) nearest-centre struct; keys x k x d must stay within
+    ``EXPR_LITERAL_LIMIT``. Rows whose key has no model get NULLs.
+    """
+    cols = [F.col(f"`{c}`") for c in df.columns if c not in (cluster_col, dist_col)]
+    tmp = [f"_xv{i}" for i in range(len(xs))]
+    base = df.select(*cols, *[x.alias(t) for x, t in zip(xs, tmp)])
+    vec = [F.col(t) for t in tmp]
+    near = None
+    for key, centers in models.items():
+        branch = nearest(vec, centers, "_near_d2", "_near_cluster")
+        cond = F.col(key_col) == F.lit(key)
+        near = F.when(cond, branch) if near is None else near.when(cond, branch)
+    out = base.select(*cols, F.inline(F.array(near)))
+    return out.select(*cols, F.col("_near_cluster").alias(cluster_col),
+                      F.sqrt(F.col("_near_d2")).alias(dist_col))

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kmstream.functions.stats import k_rule_of_thumb
+from kmstream.functions.vectors import EXPR_LITERAL_LIMIT, with_keyed_assignment
 from kmstream.operators.anomaly import AnomalyDetector, grouped_anomalies
 from kmstream.operators.scale import UnitScale
 from kmstream.sinks.tables import write_table
@@ -123,6 +124,10 @@ class KMeansStreamJob:
             else:
                 labels = [None]
             state_rows, metric_rows, preds, prepared_frames, anomalies = [], [], [], [], []
+            # with a batch-independent preparation, all keys are predicted in one pass
+            one_pass = (self.batch_key is not None and not self.prepare == "unit_batch"
+                        and len(labels) * self.model.k * len(self.model_cols) <= EXPR_LITERAL_LIMIT)
+            step_models, step_no = {}, {}
             for lab in labels:
                 sub = data if lab is None else data.where(F.col(self.batch_key) == F.lit(lab))
                 prep = sub if frozen else self._prepare(sub)
@@ -137,11 +142,15 @@ class KMeansStreamJob:
                 for j, (c, w) in enumerate(zip(state.centers, state.weights)):
                     state_rows.append((epoch_id, state.step, label, j, [float(v) for v in c], float(w)))
                 keep = self.keys + ([self.batch_key] if self.batch_key else [])
-                pred = self.model.predict(state, prep, self.model_cols).select(
-                    *keep, F.lit(state.step).alias("step"),
-                    F.col("cluster").cast("long").alias("cluster"), "dist")
-                preds.append(pred)
-                if not (isinstance(self.prepare, str) and self.prepare == "raw"):
+                if one_pass:
+                    step_models[lab] = [list(c) for c in state.centers]
+                    step_no[lab] = state.step
+                else:
+                    pred = self.model.predict(state, prep, self.model_cols).select(
+                        *keep, F.lit(state.step).alias("step"),
+                        F.col("cluster").cast("long").alias("cluster"), "dist")
+                    preds.append(pred)
+                if not one_pass and not (isinstance(self.prepare, str) and self.prepare == "raw"):
                     prepared_frames.append(prep.select(*keep, *self.model_cols,
                                                        F.lit(state.step).alias("step")))
                 if self.anomaly and not self.batch_key:
@@ -151,6 +160,20 @@ class KMeansStreamJob:
                     flagged = det.fit(prep).transform(prep).where(F.col("is_anomaly"))
                     anomalies.append(flagged.select(*keep, F.col("cluster").cast("long").alias("cluster"),
                                                     "dist"))
+            if one_pass:
+                # G-6: update first, then predict each key's rows with that key's model
+                step = None
+                for lab, s_no in step_no.items():
+                    cond = F.col(self.batch_key) == F.lit(lab)
+                    step = F.when(cond, F.lit(s_no)) if step is None else step.when(cond, F.lit(s_no))
+                pred = with_keyed_assignment(data, self.batch_key,
+                                             [F.col(c).cast("double") for c in self.model_cols],
+                                             step_models)
+                preds.append(pred.select(*keep, step.cast("long").alias("step"),
+                                         F.col("cluster").cast("long").alias("cluster"), "dist"))
+                if frozen:
+                    prepared_frames.append(data.select(*keep, *self.model_cols,
+                                                       step.cast("long").alias("step")))
             if self.anomaly and self.batch_key:
                 # G-13 per key: every key's own model, all keys of the batch fitted together
                 # (z-score is scale invariant, so the raw rows serve any preparation)
