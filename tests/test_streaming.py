@@ -130,3 +130,16 @@ def test_frozen_features_match_vector_projection(spark):
         assert r["pc2"] == pytest.approx((r["r2"] - z.means[1]) / z.sds[1], abs=1e-9)
     unseen = spark.createDataFrame([(1.0, "zzz")], "v double, t string")
     assert model.transform(unseen).count() == 1          # unseen category contributes 0
+
+
+def test_dying_cluster_is_split():
+    m = OnlineKMeans(2, decay_factor=1.0)
+    st = StreamState([[0.0, 0.0], [5.0, 5.0]], [1e-12, 1.0])
+    new = m.apply(st, {1: ([10.0, 10.0], 2)})
+    w = (3.0 + 1e-12) / 2.0
+    assert new.weights == pytest.approx([w, w])
+    big = [(1.0 / 3.0) * 5.0 + (2.0 / 3.0) * 5.0] * 2
+    assert new.centers[1] == pytest.approx([b + 1e-14 * b for b in big])
+    assert new.centers[0] == pytest.approx([b - 1e-14 * b for b in big])
+    off = OnlineKMeans(2, decay_factor=1.0, split_dying=False).apply(st, {1: ([10.0, 10.0], 2)})
+    assert off.weights == pytest.approx([1e-12, 3.0])
