@@ -105,8 +105,8 @@ class KMeansStreamJob:
 
     def process(self, batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
-        if batch_df.isEmpty():
-            return
+        if self.batch_key is None and batch_df.isEmpty():
+            return                       # C-13 (with a batch key: no keys = empty batch)
         state = self.restore(spark, epoch_id)
         frozen = hasattr(self.prepare, "transform")
         if frozen:
@@ -121,6 +121,8 @@ class KMeansStreamJob:
             if self.batch_key:
                 labels = [r[0] for r in data.select(self.batch_key).distinct()
                           .orderBy(self.batch_key).collect()]
+                if not labels:
+                    return
             else:
                 labels = [None]
             state_rows, metric_rows, preds, prepared_frames, anomalies = [], [], [], [], []
