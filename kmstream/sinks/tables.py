@@ -33,9 +33,17 @@ def centers_text(centers: DataFrame, center_col: str = "center") -> DataFrame:
                           .alias("line"))
 
 
-def console(stream: DataFrame, rows: int = 20, trigger: str | None = None):
+def console(stream: DataFrame, rows: int = 20, trigger: str | None = None,
+            available_now: bool = False, checkpoint: str | None = None):
     """B-7: print the first rows of every micro-batch on the driver console."""
     w = stream.writeStream.format("console").option("numRows", rows).option("truncate", False)
-    if trigger:
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
         w = w.trigger(processingTime=trigger)
-    return w.start()
+    q = w.start()
+    if available_now:
+        q.awaitTermination()
+    return q

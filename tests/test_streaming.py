@@ -143,3 +143,14 @@ def test_dying_cluster_is_split():
     assert new.centers[0] == pytest.approx([b - 1e-14 * b for b in big])
     off = OnlineKMeans(2, decay_factor=1.0, split_dying=False).apply(st, {1: ([10.0, 10.0], 2)})
     assert off.weights == pytest.approx([1e-12, 3.0])
+
+
+def test_console_sink_prints_batches(spark):
+    from kmstream.plans.stream import EVENT_SCHEMA
+    from kmstream.sinks.tables import console
+    src, ck = scratch_dir(spark, "t-con"), scratch_dir(spark, "t-con-ck")
+    _write_days(spark, src, [r[0] for r in spark.read.parquet(f"{SF}/events.parquet")
+                             .select(F.to_date("ts")).distinct().limit(2).collect()])
+    q = console(read_parquet_stream(spark, src, EVENT_SCHEMA), rows=3, available_now=True,
+                checkpoint=ck)
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
