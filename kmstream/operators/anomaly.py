@@ -70,7 +70,8 @@ class AnomalyDetector:
             *([self.order_by] if self.order_by else []))
         k = self.k
         if k is None:
-            k = min(self.k_max, max(1, k_rule_of_thumb(df.count())))
+            n = zs.n if zs is not None else df.count()     # z-score pass already counted
+            k = min(self.k_max, max(1, k_rule_of_thumb(n)))
         if k == 1:
             centers = mean_centers(scaled, self.cols)
         elif self.init == "fixed":

@@ -39,6 +39,7 @@ class ZScoreModel:
     cols: list[str]
     means: list[float]
     sds: list[float]
+    n: int = 0          # rows seen by the fit (same aggregation pass)
 
     def raw_exprs(self):
         """E-2: (x - mean) / sd; sd <= 0 -> centre only (unaliased)."""
@@ -69,10 +70,10 @@ class ZScore:
         for c in self.cols:
             x = F.col(c).cast("double")
             aggs += [F.avg(x), F.stddev_pop(x)]
-        row = df.agg(*aggs).first()
+        row = df.agg(*aggs, F.count(F.lit(1))).first()
         means = [float(row[2 * i]) for i in range(len(self.cols))]
         sds = [float(row[2 * i + 1] or 0.0) for i in range(len(self.cols))]
-        return ZScoreModel(self.cols, means, sds)
+        return ZScoreModel(self.cols, means, sds, int(row[-1]))
 
 
 @dataclass
