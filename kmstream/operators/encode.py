@@ -87,7 +87,12 @@ class CategoryModel:
             else:
                 fill = F.raise_error(F.concat(F.lit(f"unseen category in {c}: "),
                                               F.col(c).cast("string")))
-            out = out.withColumn(c + suffix, F.when(miss, fill).otherwise(F.col(c + suffix)))
+            # nominal-attribute metadata carries the category count, so a downstream
+            # OneHotEncoder.fit reads the size from the schema instead of scanning
+            meta = {"ml_attr": {"type": "nominal", "num_vals": int(self.sizes[c]),
+                                "name": c + suffix}}
+            out = out.withColumn(c + suffix, F.when(miss, fill).otherwise(F.col(c + suffix))
+                                 .cast("double").alias(c + suffix, metadata=meta))
         return out
 
     def one_hot(self, df: DataFrame, suffix: str = "_vec", handle_invalid: str = "error"
