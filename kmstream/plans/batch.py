@@ -461,6 +461,28 @@ def q_record_anomalies(spark, sf):
                     F.col("dist")))
 
 
+def q_entropy_sweep_encoded(spark, sf):
+    """F-17 as the reference composes it: encode -> PCA(3) -> z-score -> per k
+    (fixed starts, 3 updates, all k in shared scans) -> size-weighted label entropy.
+
+    Records are the comma lines built from orders; the label is the priority field.
+    """
+    from kmstream.streaming.prepare import FrozenFeatures
+    parsed = _parsed_orders(spark, sf)
+    feats = FrozenFeatures(ORDERS_LAYOUT.numeric, ORDERS_LAYOUT.categorical, 3).fit(parsed)
+    prepared = feats.transform(parsed).select("orderkey", F.col("priority").alias("label"),
+                                              *feats.cols)
+    starts = first_rows_init(prepared, feats.cols, "orderkey", max(P.SWEEP_K))
+    res = lloyd(prepared, feats.cols, {k: starts[:k] for k in P.SWEEP_K},
+                max_iter=P.LLOYD_ITERS, tol=0.0, score=False)
+    models = {k: r.centers for k, r in res.items()}
+    counts = (explode_assignments(prepared, feats.cols, models, keep=["label"])
+              .groupBy("k", "cluster", "label").agg(F.count(F.lit(1)).alias("cnt")))
+    ent = entropy_of_counts(counts, ["k", "cluster"])
+    return ent.groupBy("k").agg(_r(F.sum(F.col("n") * F.col("entropy")) / F.sum("n"))
+                                .alias("score")).select(F.col("k").cast("long").alias("k"), "score")
+
+
 QUERIES = {
     "column_stats": q_column_stats,
     "zscore": q_zscore,
@@ -501,4 +523,5 @@ QUERIES = {
     "pca_zscore": q_pca_zscore,
     "elbow_scores_encoded": q_elbow_scores_encoded,
     "record_anomalies": q_record_anomalies,
+    "entropy_sweep_encoded": q_entropy_sweep_encoded,
 }
