@@ -49,7 +49,7 @@ class QualityRules:
     shout_letters: int = 20
     shout_percent: int = 60
     bare_words: int = 4
-    lost_percent: int = 40
+    lost_percent: int = 50
 
 
 FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lost_words long, base_failed boolean, kept boolean, clean_text string"
