@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, quality
-from kmstream.llm.common import empty_text
+from kmstream.llm import chat, packing, quality
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -98,3 +97,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures and verdict of every document, lines judged first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.with_quality(docs, rules=_R, clean=False).drop("text")
+
+
+# -- op5: best-fit packing ---------------------------------------------------
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+@query("op5_best_fit_packing")
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenised whole and packed into sequences of 4096 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(spark, packing.token_pieces(docs, tokenizer_path()))
