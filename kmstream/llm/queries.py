@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, packing, quality
+from kmstream.llm import chat, packing, pages, quality
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -111,3 +111,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, tokenised whole and packed into sequences of 4096 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(spark, packing.token_pieces(docs, tokenizer_path()))
+
+
+# -- op4: HTML extraction ----------------------------------------------------
+
+@query("op4_html_extract")
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by the path its host's pages agree on."""
+    return pages.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
