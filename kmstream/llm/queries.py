@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, packing, pages, quality
+from kmstream.llm import chat, packing, pages, quality, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -119,3 +119,16 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page, by the path its host's pages agree on."""
     return pages.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+# -- op9: toxicity -----------------------------------------------------------
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score; rows whose crc32(doc_id) mod 5 is 0 are held out of the learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").filter(~held)
+    model = toxicity.learn(spark, toxicity.labelled_sample(docs, labels, toxicity.ToxicRules()))
+    scored = toxicity.score(spark, docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
