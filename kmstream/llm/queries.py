@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, packing, pages, quality, toxicity
+from kmstream.llm import chat, near, packing, pages, quality, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -113,6 +113,15 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, packing.token_pieces(docs, tokenizer_path()))
 
 
+# -- op3: near-duplicates ----------------------------------------------------
+
+@query("op3_near_duplicates")
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their 4-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near.near_duplicates(spark, docs, near.NearRules(words=4)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 # -- op4: HTML extraction ----------------------------------------------------
 
 @query("op4_html_extract")
