@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, near, packing, pages, quality, toxicity
+from kmstream.llm import chat, mixing, near, packing, pages, quality, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -26,6 +26,65 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# -- op1: mixing -------------------------------------------------------------
+
+_M = mixing.MixRules()
+
+
+def _case(column: str, given: dict) -> str:
+    return "CASE " + " ".join(f"WHEN {column} = '{k}' THEN {w}" for k, w in sorted(given.items())) + f" ELSE {_M.default} END" if given else str(_M.default)
+
+
+def _fill_sql(name: str, src: str, parent: str, child: str) -> str:
+    """CTEs that share ``budget`` among the children of ``src`` (parent, child, w, cap, budget), as ``name``."""
+    p = f"PARTITION BY {parent}"
+    o = f"{p} ORDER BY cap::DOUBLE / w::DOUBLE, {child} NULLS FIRST"
+    return f"""
+{name}1 AS (SELECT *, coalesce(sum(cap) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cb,
+              coalesce(sum(w) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wb, sum(w) OVER ({p}) AS wa FROM {src}),
+{name}2 AS (SELECT *, cap * (wa - wb) <= (budget - cb) * w AS is_full FROM {name}1),
+{name}3 AS (SELECT *, budget - coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({p}), 0) AS rest,
+              sum(CASE WHEN NOT is_full THEN w END) OVER ({p}) AS wr FROM {name}2),
+{name}4 AS (SELECT *, CASE WHEN is_full THEN cap ELSE (rest * w) // wr END AS base FROM {name}3),
+{name}5 AS (SELECT *, rest - sum(CASE WHEN NOT is_full THEN base END) OVER ({p}) AS odd,
+              sum(CASE WHEN is_full THEN 0 ELSE 1 END) OVER ({o} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nth FROM {name}4),
+{name} AS (SELECT * EXCLUDE (cb, wb, wa, is_full, rest, wr, base, odd, nth),
+             CASE WHEN NOT is_full AND nth <= odd THEN base + 1 ELSE base END AS share FROM {name}5)"""
+
+
+OP1_SQL = rf"""
+WITH n AS (SELECT doc_id, lang, source, TRY_CAST(regexp_extract(source, '(\d{{1,9}})$', 1) AS BIGINT) AS num,
+                  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
+d AS (SELECT *, CASE WHEN num < 6 THEN 'web' WHEN num < 13 THEN 'books' WHEN num IS NOT NULL THEN 'code' END AS domain FROM n),
+leaf AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens, sum(n_tokens)::HUGEINT * {_M.max_epochs} AS cap FROM d GROUP BY ALL),
+tot AS (SELECT 0 AS root, least(sum(tokens) * {_M.budget_percent} // 100, sum(cap))::HUGEINT AS budget FROM leaf),
+dom0 AS (SELECT 0 AS root, domain, sum(cap)::HUGEINT AS cap, ({_case('domain', _M.domains)})::HUGEINT AS w, any_value(budget) AS budget FROM leaf, tot GROUP BY domain),
+{_fill_sql('dom', 'dom0', 'root', 'domain').strip()},
+lan0 AS (SELECT l.domain, l.lang, l.cap, ({_case('l.lang', _M.languages)})::HUGEINT AS w, share::HUGEINT AS budget
+         FROM (SELECT domain, lang, sum(cap)::HUGEINT AS cap FROM leaf GROUP BY ALL) l JOIN dom ON l.domain IS NOT DISTINCT FROM dom.domain),
+{_fill_sql('lan', 'lan0', 'domain', 'lang').strip()},
+src0 AS (SELECT l.domain, l.lang, l.source, l.tokens, l.cap, ({_case('l.source', _M.sources)})::HUGEINT AS w, lan.share::HUGEINT AS budget
+         FROM leaf l JOIN lan ON l.domain IS NOT DISTINCT FROM lan.domain AND l.lang IS NOT DISTINCT FROM lan.lang),
+{_fill_sql('src', 'src0', 'domain, lang', 'source').strip()},
+plan AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN share // tokens ELSE {_M.max_epochs} END AS whole,
+                CASE WHEN tokens > 0 THEN share % tokens ELSE 0 END AS cut FROM src),
+k AS (SELECT d.doc_id, d.domain, d.lang, d.source, d.n_tokens, plan.whole::INTEGER AS whole, plan.cut::BIGINT AS cut
+      FROM d JOIN plan ON d.domain IS NOT DISTINCT FROM plan.domain AND d.lang IS NOT DISTINCT FROM plan.lang AND d.source IS NOT DISTINCT FROM plan.source),
+e AS (SELECT doc_id, domain, lang, source, unnest(range(whole))::INTEGER AS epoch, n_tokens, n_tokens AS taken FROM k),
+h AS (SELECT *, ('0x' || substr(md5(concat_ws(':', {_M.seed}, whole, coalesce(doc_id::VARCHAR, 'null'))), 1, 15))::BIGINT AS place FROM k WHERE cut > 0),
+r AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id NULLS FIRST, n_tokens ROWS UNBOUNDED PRECEDING) - n_tokens AS before FROM h)
+SELECT * FROM e
+UNION ALL SELECT doc_id, domain, lang, source, whole AS epoch, n_tokens, least(n_tokens, cut - before)::BIGINT AS taken FROM r WHERE before < cut
+"""
+
+
+@query("op1_mix_sources", OP1_SQL)
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document gives in each epoch to reach the target weights of domains, languages and sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(spark, docs, _M).drop("text_hash")
+
+
 # -- op2: chat formatting ----------------------------------------------------
 
 _ESC = r"regexp_replace({}, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g')"
