@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, mixing, near, packing, pages, quality, toxicity
+from kmstream.llm import chat, mixing, near, packing, pages, quality, repeats, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -115,6 +115,14 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_digest(chat.format_conversations(turns))
 
 
+# -- op6: repeated passages --------------------------------------------------
+
+@query("op6_repeated_passages")
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of 400-byte strings that start twice."""
+    return repeats.repeat_digest(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # -- op8: quality rules ------------------------------------------------------
 
 _R = quality.QualityRules()
