@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, mixing, near, packing, pages, quality, repeats, toxicity
+from kmstream.llm import chat, licences, mixing, near, packing, pages, pivots, quality, repeats, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -123,6 +123,14 @@ def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+# -- op7: embedding near-duplicates ------------------------------------------
+
+@query("op7_embedding_duplicates")
+def op7_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9, through the pivot index."""
+    return pivots.embedding_duplicates(spark, table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 # -- op8: quality rules ------------------------------------------------------
 
 _R = quality.QualityRules()
@@ -208,3 +216,59 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.learn(spark, toxicity.labelled_sample(docs, labels, toxicity.ToxicRules()))
     scored = toxicity.score(spark, docs, model)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+# -- op10: license scans -----------------------------------------------------
+
+_L = licences.LicenceRules()
+
+
+def _op10_sql() -> str:
+    """The scan in SQL: every unit against every template, no prefilter."""
+    raw = []
+    for name, texts in sorted(_L.templates.items()):
+        for k, t in enumerate(texts):
+            own = licences.words_of(t)
+            raw += [f"('{name}#{k}', '{name}', '{w}', {own.count(w)})" for w in sorted(set(own))]
+    return rf"""
+WITH raw(template, name, word, tf) AS (VALUES {', '.join(raw)}),
+d AS (SELECT row_number() OVER () AS rid, doc_id, text,
+             concat(source, '/', lang, '/', doc_id // 100, '/', doc_id, '.txt') AS path FROM documents),
+tot AS (SELECT count(*) AS n FROM d),
+df AS (SELECT word, count(*) AS n FROM (SELECT DISTINCT rid, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS word FROM d)
+       WHERE word IN (SELECT word FROM raw) GROUP BY word),
+idf AS (SELECT DISTINCT raw.word, ln((tot.n + 1) / (coalesce(df.n, 0) + 1)) + 1.0 AS idf FROM raw CROSS JOIN tot LEFT JOIN df USING (word)),
+wt AS (SELECT template, name, word, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS w FROM raw JOIN idf USING (word)),
+u AS (SELECT rid, unnest(string_split(s, chr(10))) AS sentence, generate_subscripts(string_split(s, chr(10)), 1) AS unit
+      FROM (SELECT rid, regexp_replace(text, '([.!?])[ 	]+', '' || chr(10), 'g') AS s FROM d)),
+uw AS (SELECT rid, unit, regexp_extract_all(lower(sentence), '[a-z0-9]+') AS ws FROM u WHERE regexp_matches(lower(sentence), '[a-z0-9]')),
+t AS (SELECT rid, unit, len(ws) AS n_unit, word, count(*) AS tf FROM (SELECT rid, unit, ws, unnest(ws) AS word FROM uw) GROUP BY rid, unit, ws, word),
+x AS (SELECT t.*, tf * coalesce(idf, ln(tot.n + 1) + 1.0) AS x FROM t CROSS JOIN tot LEFT JOIN idf USING (word)),
+norms AS (SELECT rid, unit, n_unit, sqrt(sum(CAST(x * x AS DECIMAL(30, 12)))::DOUBLE) AS norm FROM x GROUP BY ALL),
+dots AS (SELECT rid, unit, template, name, sum(CAST(x * w AS DECIMAL(30, 12)))::DOUBLE AS dot FROM x JOIN wt USING (word) GROUP BY ALL),
+sc AS (SELECT rid, unit, n_unit, name, round(dot / norm, 6) AS c FROM norms JOIN dots USING (rid, unit)),
+best AS (SELECT rid, unit, n_unit, name, c FROM sc WHERE c >= {_L.cosine}
+         QUALIFY row_number() OVER (PARTITION BY rid, unit ORDER BY c DESC, name) = 1),
+own AS (SELECT rid, arg_min(name, (-c, name)) AS name, max(c) AS c, sum(n_unit) AS n_match FROM best GROUP BY rid),
+nw AS (SELECT rid, len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n_words FROM d),
+f AS (SELECT d.rid, doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, own.name AS own_license, own.c AS own_cosine,
+             own.name IS NOT NULL AND 100 * n_match >= {_L.share_percent} * n_words AS is_license_file
+      FROM d LEFT JOIN own USING (rid) LEFT JOIN nw USING (rid)),
+sp AS (SELECT dir AS ancestor, arg_min(own_license, (-own_cosine, own_license, path)) AS name FROM f WHERE is_license_file AND dir IS NOT NULL GROUP BY dir),
+near AS (SELECT f.rid, sp.name, sp.ancestor FROM f JOIN sp ON f.dir = sp.ancestor OR starts_with(f.dir, sp.ancestor || '/') OR sp.ancestor = ''
+         QUALIFY row_number() OVER (PARTITION BY f.rid ORDER BY length(sp.ancestor) DESC) = 1)
+SELECT doc_id, path, own_license, own_cosine, coalesce(is_license_file, false) AS is_license_file, coalesce(own_license, near.name) AS license,
+       CASE WHEN is_license_file THEN 'licence_file' WHEN own_license IS NOT NULL THEN 'header'
+            WHEN near.name IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN own_license IS NULL THEN near.ancestor END AS from_directory
+FROM f LEFT JOIN near USING (rid)
+"""
+
+
+@query("op10_license_scan", _op10_sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, filed as source/language/hundred/document."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.expr("cast(doc_id div 100 as string)"),
+                    F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return licences.license_scan(spark, docs.select("doc_id", path.alias("path"), "text"), _L)
