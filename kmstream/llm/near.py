@@ -38,9 +38,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import stored
+from kmstream.llm.common import fresh, stored
 from kmstream.llm.graph import connected_components
 
 
@@ -184,6 +185,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, rules: NearRules = Nea
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def deduplicated(spark: SparkSession, docs: DataFrame, rules: NearRules = NearRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, one per component; same columns. Of rows with the same id and text one stays."""
+    i, h, n = (fresh(c, docs.columns) for c in ("near_id", "near_hash", "near_nth"))
+    missing = F.lit(-(1 << 62))
+    kept = (near_duplicates(spark, docs, rules, doc_id, text).filter("kept")
+            .select(F.coalesce("doc_id", missing).alias(i), F.col("text_hash").alias(h)).distinct())
+    keyed = docs.withColumns({i: F.coalesce(F.col(doc_id).cast("long"), missing), h: F.xxhash64(F.col(text))})
+    one = keyed.withColumn(n, F.row_number().over(W.partitionBy(i, h).orderBy(i))).filter(F.col(n) == 1)
+    return one.join(kept, [i, h], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def _links(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules: NearRules, doc_id: str, text: str) -> DataFrame:
     """(a, b): links that connect what is linked, each confirmed on full sets."""
     sketches = classes.select("node", "sketch", "n")

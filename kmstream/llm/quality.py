@@ -18,9 +18,9 @@ One pass over the texts, no shuffle: a row's work depends on its own text
 only, so no group can be hot. Batches are cut into blocks of a few MB of text.
 
 Defined results: null or empty text = no words, rejected; repeated rows are
-judged one by one; other columns pass through ``clean_documents`` untouched
+judged one by one; other columns pass through untouched
 (a column that clashes with an added one, case ignored, is kept and the added
-one gets a numbered name).
+one gets a numbered name; ``clean_documents`` adds none).
 """
 
 from __future__ import annotations
@@ -137,11 +137,17 @@ def with_quality(df: DataFrame, text: str = "text", rules: QualityRules = Qualit
     return out.select(*[out[f"`{c}`"] for c in df.columns], *[F.col(f"{holder}.{c}").alias(names[c]) for c in wanted])
 
 
-def keep_documents(df: DataFrame, text: str = "text", rules: QualityRules = QualityRules()) -> DataFrame:
-    """The rows whose document is kept, columns and texts as given."""
+def clean_documents(df: DataFrame, text: str = "text", rules: QualityRules = QualityRules()) -> DataFrame:
+    """The documents that stay, without their bad lines; same columns, ``n_chars`` (if there) follows the text."""
 
-    @F.pandas_udf("boolean")
-    def kept(texts: pd.Series) -> pd.Series:
-        return pd.Series([judge(t, rules)[7] for t in texts], dtype="bool")
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        done = (judge(t, rules) for t in texts)
+        return pd.Series([d[8] if d[7] else None for d in done], dtype=object)
 
-    return df.filter(kept(F.col(text).cast("string")))
+    holder = fresh("clean_text", df.columns)
+    out = df.withColumn(holder, cleaned(F.col(text).cast("string"))).filter(F.col(holder).isNotNull())
+    new = {text: F.col(holder)}
+    if "n_chars" in df.columns and text != "n_chars":
+        new["n_chars"] = F.length(holder).cast(df.schema["n_chars"].dataType)
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns])

@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import stored
+from kmstream.llm.common import fresh, stored
 
 BLOCK = 1 << 20
 
@@ -275,3 +275,34 @@ def repeat_digest(spark: SparkSession, docs: DataFrame, rules: RepeatRules = Rep
     cut = affected.select("doc_id", "z", "pairs").mapInPandas(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     zero = F.lit(0).cast("long")
     return cut.unionByName(clean.select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256")))
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, rules: RepeatRules = RepeatRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the repeated bytes; same columns and rows, ``n_chars`` (if there) follows the text.
+
+    A character that loses some of its bytes goes as a whole.
+    """
+    affected, _ = repeated_spans(spark, docs, rules, doc_id, text)
+    i, h, p, new = (fresh(c, docs.columns) for c in ("repeat_id", "repeat_hash", "repeat_runs", "repeat_text"))
+    cuts = (affected.filter("pairs is not null").groupBy(F.coalesce("doc_id", F.lit(-1)).alias(i), F.col("text_hash").alias(h))
+            .agg(F.first("pairs").alias(p)))
+    keyed = docs.withColumns({i: F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)), h: F.xxhash64(F.col(text))})
+    met = keyed.join(cuts, [i, h], "left")
+
+    @F.pandas_udf("string")
+    def rest(texts: pd.Series, pairs: pd.Series) -> pd.Series:
+        out = []
+        for t, x in zip(texts, pairs):
+            if t is None:
+                out.append(None)
+                continue
+            raw = _bytes(t)
+            out.append(_cut(raw, _runs(x, len(raw))).decode("utf-8", "ignore"))
+        return pd.Series(out, dtype=object)
+
+    cut = F.col(p).isNotNull()
+    met = met.withColumn(new, rest(F.when(cut, F.col(text)), F.col(p)))
+    own = {text: F.when(cut, F.col(new)).otherwise(F.col(text))}
+    if "n_chars" in docs.columns and text != "n_chars":
+        own["n_chars"] = F.when(cut, F.length(new)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return met.select(*[own[c].alias(c) if c in own else F.col(f"`{c}`") for c in docs.columns])
