@@ -26,14 +26,17 @@ other columns of the input are ignored.
 from __future__ import annotations
 
 import bisect
+import os
 import re
+import struct
 import sys
 import types
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,10 +45,12 @@ from kmstream.llm.common import stored
 PIECE_TYPE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED_TYPE = PIECE_TYPE + ", sequence_id long, offset long"
 
-#: Fixed value: a character that is a token of its own, put between words that are encoded in one call.
-_SEPARATOR = "\x1e"
-_plain = re.compile(r"[a-zß-öø-ÿ]+(?=[.,](?:[\x20\x09-\x0D]|\Z))|[^\x20\x09-\x0D]+")
-_beyond = re.compile("[^\x00-ſ]")
+#: Characters that may lower-case or separate words in a way of their own (RE2).
+_BEYOND = "[^\\x00-\\x1b\\x20-\\x7f\\x{a1}-\\x{12f}\\x{131}-\\x{17f}]"
+#: A stop or comma behind other punctuation (RE2).
+_MIXED = "[^a-z0-9\\x{df}-\\x{f6}\\x{f8}-\\x{ff} \\t-\\r][.,]"
+_letters = re.compile(r"[a-zß-öø-ÿ]+")
+SLICE = 8 << 20  # bytes of text whose words are looked up together
 
 
 @dataclass(frozen=True)
@@ -58,49 +63,72 @@ class PackRules:
 class WordTokenizer:
     """Token ids of whole texts for a tokenizer whose tokens never span white space.
 
-    Words between ASCII white space are encoded once and remembered. Texts whose
-    characters lower-case one by one are lower-cased first, as the tokenizer
-    does it, and a word's closing full stop or comma is looked up by itself.
+    Words are encoded once and remembered. Where the tokenizer itself lower-cases
+    and parts letters from punctuation, texts are lower-cased first and a word's
+    closing stop or comma is looked up by itself; words of letters only then go
+    straight to the model. Texts with unusual characters are split at ASCII
+    white space and their words take the tokenizer's full path. Splitting and
+    numbering the words of a slice of texts is Arrow's work; Python sees each
+    different word of the slice once.
     """
 
     def __init__(self, path: str, cache: dict, limit: int):
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         self.cache, self.limit = cache, limit
-        self.special = [s for s in (t.content for t in self.tok.get_added_tokens_decoder().values())]
-        ids = self.tok.encode(_SEPARATOR, add_special_tokens=False).ids
-        self.sep = ids[0] if len(ids) == 1 else None
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4")
+        norm, pre = self.tok.normalizer, self.tok.pre_tokenizer
+        self.lower = (norm is not None and norm.normalize_str("AbÉ") == "abé" and pre is not None
+                      and [x for x, _ in pre.pre_tokenize_str("ab.")][1:] == ["."])
+        self.model = Tokenizer.from_file(path)
+        self.model.normalizer = None
+        self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        probe = ["the", "internationalisation", "straßenüberführung", "éléphant", "xqzzk"]
+        self.direct = self.lower and self._encode(self.model, probe) == self._encode(self.tok, probe)
+
+    @staticmethod
+    def _encode(tok, words: list[str]) -> list[bytes]:
+        lists = [e.ids for e in tok.encode_batch_fast(words, add_special_tokens=False)]
+        pack = [struct.Struct(f"<{n}I").pack for n in range(max(map(len, lists), default=0) + 1)]
+        return [pack[len(x)](*x) for x in lists]
 
     def _learn(self, words: list[str]) -> None:
-        cache = self.cache
-        joined = [w for w in words if _SEPARATOR not in w and not any(s in w for s in self.special)] if self.sep is not None else []
-        for i in range(0, len(joined), 4096):
-            part = joined[i:i + 4096]
-            ids = self._ids(f" {_SEPARATOR} ".join(part))
-            cut = np.flatnonzero(ids == self.sep).tolist()
-            if len(cut) != len(part) - 1:
-                continue
-            raw, at = ids.tobytes(), 0
-            for w, c in zip(part, [*cut, len(ids)]):
-                cache[w] = raw[4 * at:4 * c]
-                at = c + 1
-        for w in words:
-            if w not in cache:
-                cache[w] = self._ids(w).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, little-endian unsigned 32-bit."""
-        words = [_plain.findall(t if _beyond.search(t) else t.lower()) for t in texts]
+        simple = [w for w in words if _letters.fullmatch(w)] if self.direct else []
+        for tok, some in ((self.model, simple), (self.tok, list(set(words).difference(simple)))):
+            for i in range(0, len(some), 8192):
+                part = some[i:i + 8192]
+                self.cache.update(zip(part, self._encode(tok, part)))
+
+    def _words(self, texts: pa.Array) -> pa.ListArray:
+        if self.lower:
+            low = pc.utf8_lower(texts)
+            spaced = low
+            for mark in (". ", ", ", ".\n"):
+                spaced = pc.replace_substring(spaced, mark, f" {mark}")
+            low = pc.if_else(pc.match_substring_regex(low, _MIXED), low, spaced)
+            texts = pc.if_else(pc.match_substring_regex(texts, _BEYOND), texts, low)
+        return pc.ascii_split_whitespace(texts)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after another, where each text begins and the last ends)."""
+        lists = self._words(texts)
+        words = lists.flatten().dictionary_encode()
+        own = words.dictionary.to_pylist()
         if len(self.cache) > self.limit:
             self.cache.clear()
-        new = set().union(*words) - self.cache.keys()
+        new = [w for w in own if w not in self.cache]
         if new:
-            self._learn(list(new))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+            self._learn(new)
+        raw = [self.cache[w] for w in own]
+        size = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        begin = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(raw), "<u4")
+        at = words.indices.to_numpy(zero_copy_only=False)
+        n = size[at]
+        ends = np.r_[0, np.cumsum(n)]
+        place = np.repeat(begin[at] - ends[:-1], n) + np.arange(ends[-1])
+        offsets = lists.offsets.to_numpy()
+        return ids[place], ends[offsets - offsets[0]]
 
 
 def _process_cache(name: str) -> dict:
@@ -115,19 +143,25 @@ def token_pieces(docs: DataFrame, tokenizer: str, rules: PackRules = PackRules()
     def run(batches):
         tok = WordTokenizer(tokenizer, _process_cache("words:" + tokenizer), rules.cache_words)
         end, size = np.asarray([rules.end_id], "<u4").tobytes(), 4 * rules.capacity
-        for pdf in batches:
-            ids, texts = pdf["doc_id"].tolist(), [t or "" for t in pdf["text"]]
-            for i in range(0, len(texts), 256):
-                rows = []
-                for d, raw in zip(ids[i:i + 256], tok.encode(texts[i:i + 256])):
-                    raw += end
-                    for p, at in enumerate(range(0, len(raw), size)):
-                        cut = raw[at:at + size]
-                        rows.append((None if d != d else d, p, at // 4, len(cut) // 4, zlib.crc32(cut)))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                yield out.assign(doc_id=out["doc_id"].astype("Int64"))
-
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, PIECE_TYPE)
+        for batch in batches:
+            docs = batch.column(0)
+            texts = pc.fill_null(batch.column(1), "")
+            lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+            group = (np.cumsum(lengths) - lengths) // SLICE
+            edges = [*np.flatnonzero(np.r_[True, group[1:] != group[:-1]]).tolist(), len(texts)] if len(texts) else [0]
+            for a, b in zip(edges, edges[1:]):
+                ids, ends = tok.encode(texts.slice(a, b - a))
+                raw, rows = ids.astype("<u4", copy=False).tobytes(), []
+                for k in range(b - a):
+                    own = raw[4 * ends[k]:4 * ends[k + 1]] + end
+                    rows += [(a + k, p, at // 4, (min(at + size, len(own)) - at) // 4, zlib.crc32(own[at:at + size]))
+                             for p, at in enumerate(range(0, len(own), size))]
+                row, piece, start, length, crc = (np.asarray(x, np.int64) for x in zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [docs.take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, PIECE_TYPE)
 
 
 def plan_slots(histogram: dict[int, int], capacity: int) -> tuple[np.ndarray, int]:
