@@ -13,9 +13,10 @@ Pairs inside a bucket are never listed as such. In a *star* round each member
 is paired with one lead of its bucket, and of the leads of its buckets only the
 one with the best sketch estimate is tested exactly. Links give components;
 buckets whose members all lie in one component are done. After two star rounds
-with different leads, the members outside a bucket's largest component are
-tested against every member of another component, so each pair of a bucket is
-in the end linked, in one component already, or tested.
+with different leads, what is left is tested inside blocks of a bucket: every pair
+of members of different components, once for all the buckets it shares. Blocks
+return links only, one per pair of components. So each pair of a bucket is in
+the end linked, in one component already, or tested.
 
 Scale: bucket leads are partial aggregations; members meet their leads, sets
 and components by sort-merge joins that adaptive execution can split, so a
@@ -54,6 +55,7 @@ class NearRules:
     bits: int = 512
     errors: float = 4.5
     star_rounds: int = 2
+    block: int = 512
 
     def widest(self) -> int:
         """The largest XOR count of two sketches that still goes to the exact test."""
@@ -217,9 +219,10 @@ def _links(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules: Near
             near = _estimated(pairs.distinct(), sketches, rules)
             best = near.groupBy("node").agg(F.min(F.struct("x", "lead")).alias("best"))
             tested = best.select(F.col("node").alias("a"), F.col("best.lead").alias("b"))
+            found = _confirmed(tested, sets, rules)
         else:
-            tested = _across(open_buckets, sketches, rules)
-        new = stored(spark, _confirmed(tested, sets, rules), f"near-links-{k}")
+            found = _across(spark, open_buckets, classes, sets, rules)
+        new = stored(spark, found, f"near-links-{k}")
         links = new if links is None else links.unionByName(new)
         if k == rules.star_rounds:
             return links
@@ -272,18 +275,72 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, rules: NearRules) -> DataF
     return met.filter(fits).select("node", "lead", x.alias("x")).filter(F.col("x") <= rules.widest())
 
 
-def _across(members: DataFrame, sketches: DataFrame, rules: NearRules) -> DataFrame:
-    """(a, b): pairs of a bucket across its components that pass the sketches; a lies outside the largest component."""
-    sizes = members.groupBy("key", "nc").agg(F.count(F.lit(1)).alias("k"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("k", "nc")).alias("m")).select("key", F.col("m.nc").alias("big"))
-    rich = members.select("key", "node", "nc").join(sketches, "node")
-    left = rich.join(largest, "key").filter("nc <> big").select(
-        "key", F.col("node").alias("a"), F.col("nc").alias("ac"), F.col("sketch").alias("s"), F.col("n").alias("n1"))
-    right = rich.select("key", F.col("node").alias("b"), F.col("nc").alias("bc"), F.col("sketch").alias("t"), F.col("n").alias("n2"))
-    fits = ((left["key"] == right["key"]) & (F.col("ac") != F.col("bc"))
-            & (100 * F.least("n1", "n2") >= rules.percent * F.greatest("n1", "n2"))
-            & (_apart("s", "t", rules.bits // 64) <= rules.widest()))
-    return left.join(right, fits).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def _across(spark: SparkSession, members: DataFrame, classes: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:
+    """(a, b): links between different components of the open buckets, one per bucket block and pair of components.
+
+    A bucket is cut into chunks and each pair of chunks is one group. The first
+    pass keeps the members that have a partner by sketch; only they get their
+    full sets, and the second pass tests their pairs exactly. No pair leaves a
+    group unless it is a link.
+    """
+    sized = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / rules.block).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    rows = (members.select("key", "node", "nc").join(sized, "key").withColumn("chunk", chunk)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+            .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "nc"))
+    rich = rows.join(classes.select("node", "n", "keys", "sketch"), "node")
+    kind = "key long, i int, j int, chunk int, node long, nc long, n long, keys array<long>, sketch array<long>"
+    names = [x.split()[0] for x in kind.split(", ")]
+
+    def with_partner(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pdf[_may_link(pdf, rules).any(axis=1)]
+
+    some = rich.select(names).groupBy("key", "i", "j").applyInPandas(with_partner, kind)
+    some = stored(spark, some, "near-partners")
+
+    def links(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _block_links(pdf, rules)
+
+    return some.join(sets, "node").groupBy("key", "i", "j").applyInPandas(links, "a long, b long")
+
+
+def _may_link(pdf: pd.DataFrame, rules: NearRules) -> np.ndarray:
+    """Which pairs of a block belong to this bucket's test: other component, sketches and sizes allow it, no earlier band shared."""
+    keys = np.stack(pdf["keys"].to_numpy())
+    bits = np.stack(pdf["sketch"].to_numpy()).view(np.uint64)
+    n, nc = pdf["n"].to_numpy(np.int64), pdf["nc"].to_numpy(np.int64)
+    apart = np.zeros((len(pdf), len(pdf)), np.int16)
+    for w in range(bits.shape[1]):
+        apart += np.bitwise_count(bits[:, w, None] ^ bits[None, :, w])
+    ok = (apart <= rules.widest()) & (nc[:, None] != nc[None, :])
+    ok &= 100 * np.minimum(n[:, None], n[None, :]) >= rules.percent * np.maximum(n[:, None], n[None, :])
+    band = int((keys == pdf["key"].iloc[0]).all(axis=0).argmax())
+    for t in range(band):
+        ok &= keys[:, t, None] != keys[None, :, t]
+    if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
+        side = (pdf["chunk"] == pdf["i"]).to_numpy()
+        ok &= side[:, None] != side[None, :]
+    return ok
+
+
+def _block_links(pdf: pd.DataFrame, rules: NearRules) -> pd.DataFrame:
+    """Exact test of a block's pairs; one link per pair of components."""
+    ok = np.triu(_may_link(pdf, rules))
+    items = pdf["items"].tolist()
+    size = np.fromiter(map(len, items), np.int64, len(items))
+    first = np.cumsum(size) - size
+    names, codes = np.unique(np.concatenate(items), return_inverse=True)
+    mark = np.zeros(len(names), bool)
+    node, nc = pdf["node"].to_numpy(np.int64), pdf["nc"].to_numpy(np.int64)
+    found = {}
+    for r in np.flatnonzero(ok.any(axis=1)):
+        own = codes[first[r]:first[r] + size[r]]
+        mark[own] = True
+        common = np.add.reduceat(mark[codes].astype(np.int64), first)
+        mark[own] = False
+        for c in np.flatnonzero(ok[r] & (100 * common >= rules.percent * (size[r] + size - common))):
+            found.setdefault((min(nc[r], nc[c]), max(nc[r], nc[c])), (max(node[r], node[c]), min(node[r], node[c])))
+    return pd.DataFrame(list(found.values()), columns=["a", "b"], dtype="int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:
