@@ -13,9 +13,11 @@ has one member:
    anchor that all its windows share. Digits met once are dropped.
 2. Second digit: all bytes of all windows an anchor leads. Met twice: all of
    those windows are repeated, settled as one interval.
-3. Last digit, only for groups that still hold an unsettled anchor: the
-   windows themselves, one row per start, one anchor per distinct second
-   digit. Equal groups are exactly the repeated windows.
+3. Where an unsettled anchor is left, one anchor per distinct second digit is
+   cut into runs of ``group`` starts, which go through the same two digits --
+   the bytes all windows of the run share, then all of their bytes -- and what
+   is left of those into single starts, whose digit is the window itself.
+   Equal groups are exactly the repeated windows.
 
 Digits are 64-bit polynomial hashes; each pass groups by the digits so far, so
 a decision rests on 128 bits.
@@ -53,6 +55,7 @@ class RepeatRules:
     length: int = 400
     reach: int = 128   # a power of two, at most length - gram + 1
     gram: int = 16
+    group: int = 16    # starts that are told apart together before they are told apart one by one
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -202,37 +205,71 @@ def _intervals(spark: SparkSession, some: DataFrame, rules: RepeatRules) -> Data
                     a, b = edge[d], edge[d + 1]
                     keep[a:b] = np.isin(h[a:b], np.asarray(lists[at + d], np.int64))
                 anchor, doc, start, n, h = anchor[keep], doc[keep], start[keep], n[keep], h[keep]
-                # the bytes of all its windows, and where the anchor stands among them
-                f = _mix(hasher.hashes(start, n - 1 + L) + ((anchor - start) * 512 + n).astype(np.uint64))
-                yield pd.DataFrame({"rid": rids[at + doc], "h": h, "f": f.view(np.int64), "lo": start - hasher.begin[doc], "n": n.astype(np.int32)})
+                yield _rows(rids[at + doc], h, hasher, start, n, anchor - start, start - hasher.begin[doc], L)
+
+    rows = some.select("rid", "z", "hs").mapInPandas(second, ROWS)
+    settled, todo = _settle(spark, rows, L, "anchors")
+    out = settled
+    for width in (rules.group, 1):
+        rows = some.select("rid", "z").join(todo, "rid").mapInPandas(_splitter(rules, width), ROWS)
+        settled, todo = _settle(spark, rows, L, f"groups-{width}")
+        out = out.unionByName(settled)
+    return out
+
+
+#: A run of ``n`` neighbouring window starts from ``lo``, the first of them ``o`` bytes before its anchor:
+#: ``h`` hashes the bytes all its windows share (with the digits before), ``f`` all bytes of its windows.
+ROWS = "rid long, h long, f long, lo long, n int, o int"
+
+
+def _rows(rid, h, hasher: _Hasher, start, n, o, lo, length: int) -> pd.DataFrame:
+    f = _mix(hasher.hashes(start, n - 1 + length) + (o * 1024 + n).astype(np.uint64))
+    return pd.DataFrame({"rid": rid, "h": h, "f": f.view(np.int64), "lo": lo, "n": n.astype(np.int32), "o": o.astype(np.int32)})
 
-    rows = stored(spark, some.select("rid", "z", "hs").mapInPandas(second, "rid long, h long, f long, lo long, n int"), "repeats-anchors")
-    kinds = stored(spark, rows.groupBy("h", "f").agg(F.count(F.lit(1)).alias("k"), F.min("rid").alias("rid")), "repeats-kinds")
-    settled = rows.join(kinds.filter("k > 1").select("h", "f"), ["h", "f"], "left_semi")
-    settled = settled.select("rid", "lo", (F.col("lo") + F.col("n") - 1 + L).alias("hi"))
 
-    # groups that still hold an anchor of its own kind beside other kinds
+def _settle(spark: SparkSession, rows: DataFrame, length: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(intervals of runs met twice as a whole, runs still to split by document).
+
+    Runs whose first bytes (h) are met once hold no repeated window and go.
+    Where runs of several kinds (f) share them and one kind is met once, one
+    run of each kind is split further.
+    """
+    rows = stored(spark, rows, f"repeats-{name}")
+    kinds = stored(spark, rows.groupBy("h", "f").agg(F.count(F.lit(1)).alias("k"), F.min("rid").alias("rid")), f"repeats-{name}-kinds")
+    settled = rows.join(kinds.filter("k > 1").select("h", "f"), ["h", "f"], "left_semi")
+    settled = settled.select("rid", "lo", (F.col("lo") + F.col("n") - 1 + length).alias("hi"))
     open_ = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("k").alias("fewest")).filter("kinds > 1 and fewest = 1").select("h")
     members = kinds.join(open_, "h", "left_semi").select("h", "f", "rid")
-    one = rows.join(members, ["h", "f", "rid"]).groupBy("h", "f", "rid").agg(F.min(F.struct("lo", "n")).alias("x"))
-    todo = one.groupBy("rid").agg(F.collect_list(F.struct("h", "x.lo", "x.n")).alias("todo"))
+    one = rows.join(members, ["h", "f", "rid"]).groupBy("h", "f", "rid").agg(F.min(F.struct("lo", "n", "o")).alias("x"))
+    return settled, one.groupBy("rid").agg(F.collect_list(F.struct("h", "x.lo", "x.n", "x.o")).alias("todo"))
+
+
+def _splitter(rules: RepeatRules, width: int):
+    """Cuts runs at multiples of ``width`` bytes before their anchor (equal windows lie equally far from it)."""
+    L = rules.length
 
-    def third(batches):
+    def split(batches):
         import zstandard
         unpack, hasher = zstandard.ZstdDecompressor(), _Hasher(rules)
         for pdf in batches:
+            out = []
             for rid, z, todo in zip(pdf["rid"].tolist(), pdf["z"], pdf["todo"]):
                 hasher.load([unpack.decompress(z)])
-                h, lo, n = (np.asarray([t[c] for t in todo], np.int64) for c in ("h", "lo", "n"))
-                start = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                g = hasher.hashes(start, L)
-                yield pd.DataFrame({"rid": np.full(len(start), rid), "h": np.repeat(h, n), "g": g.view(np.int64), "lo": start})
-
-    windows = some.select("rid", "z").join(todo, "rid").mapInPandas(third, "rid long, h long, g long, lo long")
-    windows = stored(spark, windows, "repeats-windows")
-    again = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", "g")
-    found = windows.join(again, ["h", "g"], "left_semi").select("rid", "lo", (F.col("lo") + L).alias("hi"))
-    return settled.unionByName(found)
+                h, lo, n, o = (np.asarray([t[c] for t in todo], np.int64) for c in ("h", "lo", "n", "o"))
+                # pieces of a run: offsets q * width .. q * width + width - 1 before the anchor
+                top, low = o // width, (o - n + 1) // width
+                many = top - low + 1
+                run = np.repeat(np.arange(len(h)), many)
+                q = top[run] - (np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many))
+                far, near = np.minimum(o[run], q * width + width - 1), np.maximum((o - n + 1)[run], q * width)
+                start, size, anchor = lo[run] + o[run] - far, far - near + 1, lo[run] + o[run]
+                core = hasher.hashes(anchor - q * width, L - width + 1)
+                own = _mix(core + h[run].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + q.astype(np.uint64))
+                out.append(_rows(np.full(len(run), rid), own.view(np.int64), hasher, start, size, far, start, L))
+            if out:
+                yield pd.concat(out, ignore_index=True)
+
+    return split
 
 
 def _runs(pairs, size: int) -> list[tuple[int, int]]:
