@@ -1,10 +1,14 @@
-"""Vector arithmetic as Catalyst column expressions.
+"""Vector arithmetic as column expressions and the one nearest-centre search.
 
-A feature vector is a list of double columns. Distances to a handful of
-centres are unrolled into plain arithmetic so that they compile into the
-surrounding whole-stage-codegen stage; no Python runs per row. When the
-number of literal numbers (k x d) gets large, the Arrow-batched NumPy path
-in :func:`nearest_udf` takes over.
+A feature vector is a list of double columns or one ``array<double>`` column.
+Distances to a single literal point are column arithmetic. The search for the
+nearest of k centres runs on Arrow batches in NumPy for every model size:
+blocks of rows x centres, coordinates summed left to right, ties to the lowest
+centre id. Generated code would embed k x d constants and be compiled anew for
+every model.
+
+Rule for incomplete rows: a row with a null or NaN feature has no nearest
+centre (cluster and distance are null) and no model is trained on it.
 """
 
 from __future__ import annotations
@@ -17,15 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Above this many literal numbers per model, assignment uses the vectorised
-# NumPy path instead of expressions (keeps plans and generated code small).
-EXPR_LITERAL_LIMIT = 4096
-# Vectors wider than this are carried as one array<double> column and
-# compared with zip_with/aggregate against a literal array (a small plan);
-# narrower ones are unrolled into plain arithmetic (fully codegen'd).
-UNROLL_MAX_DIM = 8
+#: Numbers of one rows x centres block of the search.
+BLOCK = 1 << 20
 
 
 class ArrayVec:
@@ -63,10 +61,12 @@ def elements(xs) -> list[Column]:
     return xs.elements() if isinstance(xs, ArrayVec) else list(xs)
 
 
-def array_elements(col: str | Column, dim: int) -> list[Column]:
-    """Array column -> ``dim`` double columns (element access, no explode)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return [c.getItem(i).cast("double") for i in range(dim)]
+def complete(xs) -> Column:
+    """True where every feature is a number (neither null nor NaN)."""
+    if isinstance(xs, ArrayVec):
+        bad = F.exists(xs.col, lambda v: v.isNull() | F.isnan(v))
+        return F.coalesce(xs.col.isNotNull() & ~bad, F.lit(False))
+    return reduce(lambda p, q: p & q, [x.isNotNull() & ~F.isnan(x) for x in xs])
 
 
 def _check_dim(xs: Sequence, center: Sequence[float]) -> None:
@@ -89,114 +89,110 @@ def sq_distance(xs, center: Sequence[float]) -> Column:
     return reduce(add, terms)
 
 
-def sq_distance_cols(xs: Sequence[Column], ys: Sequence[Column]) -> Column:
-    """Squared Euclidean distance between two column vectors."""
-    _check_dim(xs, ys)
-    return reduce(add, [(x - y) * (x - y) for x, y in zip(xs, ys)])
-
-
 def distance(xs, center: Sequence[float]) -> Column:
     return F.sqrt(sq_distance(xs, center))
 
 
-def nearest(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2",
-            cluster_name: str = "cluster") -> Column:
-    """Struct ``(d2, cluster)`` of the nearest centre; ties go to the lowest id.
+def _squared(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Squared distances of matching rows (or of rows x centres by broadcasting), coordinates left to right."""
+    out = 0.0
+    for i in range(X.shape[-1]):
+        diff = X[..., i] - C[..., i]
+        out = out + diff * diff
+    return out
+
+
+def nearest_centers(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(cluster, squared distance) per row of ``X``; incomplete (NaN) rows get -1 and NaN.
 
-    ``array_min`` over ``(d2, id)`` structs orders by distance first and by id
-    second, which is exactly the tie rule.
+    A matrix product finds, for each row, the centres that can be nearest given
+    its rounding error; distances summed left to right then decide, ties to the
+    lowest id. Nearly always one centre is left.
     """
-    if not centers:
+    n, k = len(X), len(C)
+    cluster, best = np.full(n, -1, np.int64), np.full(n, np.nan)
+    c2 = (C * C).sum(axis=1)
+    step = max(1, BLOCK // max(1, k))
+    for at in range(0, n, step):
+        rows = at + np.flatnonzero(~np.isnan(X[at:at + step]).any(axis=1))
+        part = X[rows]
+        rough = part @ C.T
+        rough *= -2.0
+        rough += c2
+        j = rough.argmin(axis=1)
+        low = rough[np.arange(len(part)), j]
+        slack = 1e-12 * ((part * part).sum(axis=1) + c2.max(initial=0.0))
+        d2 = _squared(part, C[j])
+        close = np.flatnonzero(~((rough <= (low + slack)[:, None]).sum(axis=1) == 1))
+        for r in range(0, len(close), max(1, step // 8)):
+            some = close[r:r + max(1, step // 8)]
+            full = _squared(part[some, None, :], C[None, :, :])
+            j[some] = full.argmin(axis=1)
+            d2[some] = full.min(axis=1)
+        cluster[rows], best[rows] = j, d2
+    return cluster, best
+
+
+def as_matrix(columns: Sequence[pd.Series], d: int, array: bool) -> np.ndarray:
+    """Arrow batch columns as an n x d matrix; nulls and arrays of another length become NaN rows."""
+    if not array:
+        return np.column_stack([c.to_numpy(dtype=np.float64, na_value=np.nan) for c in columns]) if len(columns[0]) else np.zeros((0, d))
+    rows = columns[0].to_numpy()
+    try:
+        return np.stack(rows).astype(np.float64).reshape(len(rows), d)
+    except (ValueError, TypeError):
+        out = np.full((len(rows), d), np.nan)
+        for i, r in enumerate(rows):
+            if r is not None and len(r) == d:
+                out[i] = np.asarray(r, dtype=np.float64)
+        return out
+
+
+def nearest_any(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2", cluster_name: str = "cluster") -> Column:
+    """struct(d2, cluster) of the nearest centre, as an Arrow-batched column."""
+    if not len(centers):
         raise ValueError("no centres")
-    cands = [F.struct(sq_distance(xs, c).alias(d2_name), F.lit(j).cast("int").alias(cluster_name))
-             for j, c in enumerate(centers)]
-    if len(cands) == 1:
-        return cands[0]
-    return F.array_min(F.array(*cands))
+    _check_dim(xs, centers[0])
+    C, array = np.asarray(centers, dtype=np.float64), isinstance(xs, ArrayVec)
 
+    @F.pandas_udf(f"{d2_name} double, {cluster_name} int")
+    def near(*cols: pd.Series) -> pd.DataFrame:
+        cluster, d2 = nearest_centers(as_matrix(cols, C.shape[1], array), C)
+        return pd.DataFrame({d2_name: pd.Series(d2).astype("Float64").mask(np.isnan(d2)),
+                             cluster_name: pd.Series(cluster).astype("Int32").mask(cluster < 0)})
 
-def nearest_udf(centers: Sequence[Sequence[float]], d2_name: str = "d2",
-                cluster_name: str = "cluster"):
-    """Arrow-batched nearest-centre search for large k x d.
-
-    The centres (k x d, bounded by the model size) travel in the closure;
-    each Arrow batch becomes one NumPy matrix. Returns ``struct(d2, cluster)``.
-    """
-    C = np.asarray(centers, dtype=np.float64)
-    schema = T.StructType([T.StructField(d2_name, T.DoubleType()),
-                           T.StructField(cluster_name, T.IntegerType())])
-
-    @F.pandas_udf(schema)
-    def _nearest(*cols: pd.Series) -> pd.DataFrame:
-        if len(cols) == 1 and cols[0].dtype == object:      # one array column
-            X = np.vstack(cols[0].to_numpy()).astype(np.float64)
-        else:
-            X = np.column_stack([c.to_numpy(dtype=np.float64) for c in cols])
-        if X.shape[1] != C.shape[1]:
-            raise ValueError("dimension mismatch between rows and centres")
-        best_d = np.full(X.shape[0], np.inf)
-        best_j = np.zeros(X.shape[0], dtype=np.int32)
-        for j in range(C.shape[0]):           # k passes over the batch, O(n*d) memory
-            diff = X - C[j]
-            d2 = np.einsum("ij,ij->i", diff, diff)
-            better = d2 < best_d                 # strict: lowest id wins ties
-            best_d[better] = d2[better]
-            best_j[better] = j
-        return pd.DataFrame({d2_name: best_d, cluster_name: best_j})
-
-    return _nearest
-
-
-def nearest_any(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2",
-                cluster_name: str = "cluster") -> Column:
-    """Pick the expression path or the vectorised path by model size."""
-    dim = len(centers[0]) if centers else 0
-    if len(centers) * dim <= EXPR_LITERAL_LIMIT:
-        return nearest(xs, centers, d2_name, cluster_name)
-    args = [xs.col] if isinstance(xs, ArrayVec) else list(xs)
-    return nearest_udf(centers, d2_name, cluster_name)(*args)
+    # not deterministic for the optimizer: a filter on the distance must not evaluate the search a second time
+    return near.asNondeterministic()(*([xs.col] if array else list(xs)))
 
 
 def with_assignment(df: DataFrame, xs, centers: Sequence[Sequence[float]],
                     cluster_col: str = "cluster", dist_col: str | None = "dist") -> DataFrame:
     """F-4 / F-7: add nearest cluster id and (optionally) distance to it."""
     cols = [F.col(f"`{c}`") for c in df.columns if c not in (cluster_col, dist_col)]
-    # 1. the vector itself (e.g. z-scored columns) is projected once per row;
-    #    left inside the k x d expression it would be re-evaluated per term
-    if isinstance(xs, ArrayVec):
-        base = df.select(*cols, xs.col.alias("_xv"))
-        vec = ArrayVec("_xv", xs.dim)
-    else:
-        tmp = [f"_xv{i}" for i in range(len(xs))]
-        base = df.select(*cols, *[x.alias(t) for x, t in zip(xs, tmp)])
-        vec = [F.col(t) for t in tmp]
-    near = nearest_any(vec, centers, "_near_d2", "_near_cluster")
-    # 2. a one-element ``inline`` (a Generate node) evaluates the assignment
-    #    once: a later filter on the distance cannot be pushed below it, and
-    #    the struct is unpacked by the generator, so the expression appears once
-    out = base.select(*cols, F.inline(F.array(near)))
-    # 3. one final projection (each DataFrame step costs an analysis pass)
-    extra = [F.sqrt(F.col("_near_d2")).alias(dist_col)] if dist_col else []
-    return out.select(*cols, F.col("_near_cluster").alias(cluster_col), *extra)
-
-
-def with_keyed_assignment(df: DataFrame, key_col: str, xs, models: dict,
+    out = df.select(*cols, nearest_any(xs, centers).alias("_near"))
+    extra = [F.sqrt(F.col("_near.d2")).alias(dist_col)] if dist_col else []
+    return out.select(*cols, F.col("_near.cluster").alias(cluster_col), *extra)
+
+
+def with_keyed_assignment(df: DataFrame, key: Column, xs: Sequence[Column], models: dict,
                           cluster_col: str = "cluster", dist_col: str = "dist") -> DataFrame:
-    """Nearest centre under the model of each row's key, in ONE pass.
+    """Nearest centre under the model of each row's key, in one pass.
 
-    ``models`` maps key value -> centres. A ``CASE`` on the key selects the
-    key's (codegen'd) nearest-centre struct; keys x k x d must stay within
-    ``EXPR_LITERAL_LIMIT``. Rows whose key has no model get NULLs.
+    ``key`` is a string column; ``models`` maps its values to centres (one
+    model per key of a micro-batch). Rows whose key has no model get nulls.
     """
     cols = [F.col(f"`{c}`") for c in df.columns if c not in (cluster_col, dist_col)]
-    tmp = [f"_xv{i}" for i in range(len(xs))]
-    base = df.select(*cols, *[x.alias(t) for x, t in zip(xs, tmp)])
-    vec = [F.col(t) for t in tmp]
-    near = None
-    for key, centers in models.items():
-        branch = nearest(vec, centers, "_near_d2", "_near_cluster")
-        cond = F.col(key_col) == F.lit(key)
-        near = F.when(cond, branch) if near is None else near.when(cond, branch)
-    out = base.select(*cols, F.inline(F.array(near)))
-    return out.select(*cols, F.col("_near_cluster").alias(cluster_col),
-                      F.sqrt(F.col("_near_d2")).alias(dist_col))
+    C = {k: np.asarray(c, dtype=np.float64) for k, c in models.items()}
+
+    @F.pandas_udf("d2 double, cluster int")
+    def near(keys: pd.Series, *features: pd.Series) -> pd.DataFrame:
+        X = as_matrix(features, len(features), False)
+        d2, cluster = np.full(len(X), np.nan), np.full(len(X), -1)
+        for k, at in keys.groupby(keys).indices.items():
+            if k in C:
+                cluster[at], d2[at] = nearest_centers(X[at], C[k])
+        return pd.DataFrame({"d2": pd.Series(d2).astype("Float64").mask(np.isnan(d2)),
+                             "cluster": pd.Series(cluster).astype("Int32").mask(cluster < 0)})
+
+    out = df.select(*cols, near.asNondeterministic()(key, *xs).alias("_near"))
+    return out.select(*cols, F.col("_near.cluster").alias(cluster_col), F.sqrt(F.col("_near.d2")).alias(dist_col))

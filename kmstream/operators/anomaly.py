@@ -52,16 +52,16 @@ class AnomalyDetector:
     ``init="fixed"`` runs Lloyd from the first k rows by ``order_by`` (exact
     and reproducible); ``init="k-means||"`` runs ``runs`` restarts with
     k-means|| starts, all sharing each scan; ``init="ml"`` uses
-    ``pyspark.ml.clustering.KMeans`` for every restart. ``k=None`` takes the rule of thumb, capped by ``k_max``.
+    ``pyspark.ml.clustering.KMeans`` for every restart. ``k=None`` takes the rule of thumb as it is.
+    Rows with a null or NaN feature are neither trained on nor flagged.
     """
 
     def __init__(self, cols: Sequence[str], k: int | None = None, n_top: int = 100,
                  normalize: bool = True, init: str = "fixed", order_by: str | None = None,
-                 max_iter: int = 20, tol: float = 1e-6, runs: int = 10, seed: int = 1,
-                 k_max: int = 150):
+                 max_iter: int = 20, tol: float = 1e-6, runs: int = 10, seed: int = 1):
         self.cols, self.k, self.n_top = list(cols), k, n_top
         self.normalize, self.init, self.order_by = normalize, init, order_by
-        self.max_iter, self.tol, self.runs, self.seed, self.k_max = max_iter, tol, runs, seed, k_max
+        self.max_iter, self.tol, self.runs, self.seed = max_iter, tol, runs, seed
 
     def fit(self, df: DataFrame) -> AnomalyModel:
         zs = ZScore(self.cols).fit(df) if self.normalize else None
@@ -71,7 +71,7 @@ class AnomalyDetector:
         k = self.k
         if k is None:
             n = zs.n if zs is not None else df.count()     # z-score pass already counted
-            k = min(self.k_max, max(1, k_rule_of_thumb(n)))
+            k = max(1, k_rule_of_thumb(n))
         if k == 1:
             centers = mean_centers(scaled, self.cols)
         elif self.init == "fixed":
@@ -92,23 +92,13 @@ class AnomalyDetector:
             centers = fit_restarts(scaled, self.cols, [k], self.runs, self.tol,
                                    self.max_iter, self.seed)[k].centers
         model = AnomalyModel(zs, centers, None, self.cols)
-        thr = topn_threshold(model.transform(df), "dist", self.n_top)
-        model.threshold = thr
+        scored = model.transform(df).filter(F.col("dist").isNotNull())
+        model.threshold = topn_threshold(scored, "dist", self.n_top)
         return model
 
 
-def anomaly_rows(df: DataFrame, detector: AnomalyDetector, keep: Sequence[str] | None = None,
-                 ) -> DataFrame:
-    """F-22 / C-12: rows above the threshold with their distance."""
-    model = detector.fit(df)
-    out = model.transform(df).where(F.col("is_anomaly"))
-    if keep is not None:
-        out = out.select(*keep, "cluster", "dist")
-    return out
-
-
 def grouped_anomalies(df: DataFrame, group_col: str, id_col: str, cols: Sequence[str], k: int,
-                      n_top: int, max_iter: int = 3, keep: Sequence[str] = ()) -> DataFrame:
+                      n_top: int, max_iter: int = 20, keep: Sequence[str] = ()) -> DataFrame:
     """F-21 with one independent model per group (e.g. per micro-batch key).
 
     Per group: population z-score, fixed-start Lloyd, N-th largest distance,
@@ -118,20 +108,27 @@ def grouped_anomalies(df: DataFrame, group_col: str, id_col: str, cols: Sequence
     """
     from pyspark.sql import Window
 
+    from kmstream.functions.vectors import complete
     from kmstream.operators.cluster import grouped_assign, grouped_lloyd
+    from kmstream.session import drop_stored, stored
+    spark = df.sparkSession
+    df = df.filter(complete([F.col(c).cast("double") for c in cols]) & F.col(group_col).isNotNull())
     stats = df.groupBy(group_col).agg(*[a for c in cols for a in (
         F.avg(F.col(c).cast("double")).alias(f"_m_{c}"),
         F.stddev_pop(F.col(c).cast("double")).alias(f"_s_{c}"))])
+    extra = [c for c in keep if c not in (group_col, id_col)]
     z = df.join(stats, group_col).select(
-        group_col, id_col, *[k_ for k_ in keep if k_ not in (group_col, id_col)],
+        group_col, id_col, *extra,
         *[F.when(F.col(f"_s_{c}") <= 0, F.col(c).cast("double") - F.col(f"_m_{c}"))
           .otherwise((F.col(c).cast("double") - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c)
           for c in cols])
+    # read by every update and by the scoring: written once
+    z, z_at = stored(spark, z, "group-scaled")
     centers = grouped_lloyd(z, group_col, id_col, cols, k, max_iter)
-    extra = [c for c in keep if c not in (group_col, id_col)]
-    scored = grouped_assign(z, group_col, cols, centers, keep=[id_col, *extra])
+    # read twice below: for the threshold and for the rows above it
+    scored, _ = stored(spark, grouped_assign(z, group_col, cols, centers, keep=[id_col, *extra]), "group-scored")
+    drop_stored(spark, z_at)
     w = Window.partitionBy(group_col).orderBy(F.desc("dist"))
     thr = (scored.select(group_col, "dist").withColumn("_r", F.row_number().over(w))
            .where(F.col("_r") <= n_top).groupBy(group_col).agg(F.min("dist").alias("_thr")))
-    return (scored.join(thr, group_col).where(F.col("dist") > F.col("_thr"))
-            .drop("_thr"))
+    return scored.join(thr, group_col).where(F.col("dist") > F.col("_thr")).drop("_thr")

@@ -2,15 +2,17 @@
 
 Two fitting paths:
 
-* :func:`lloyd` -- Lloyd iterations from given starts, on plain double
-  columns (or one ``array<double>`` column for wide vectors). One iteration is one scan: nearest-centre assignment is a
-  codegen'd projection with the centres as literals, the new centres come
-  from a ``groupBy(model, cluster)`` whose partial aggregation runs on every
-  task, so each task ships at most (models x k) rows however skewed the
-  clusters are. Only the k x d sums reach the driver. Several models
-  (an elbow sweep over k, or restarts) share the same scan.
+* :func:`lloyd` -- Lloyd iterations from given starts, on plain double columns
+  or one ``array<double>`` column. One iteration is one scan for all models
+  (an elbow sweep over k, or restarts): every Arrow batch is assigned in NumPy
+  and reduced to at most (models x k) partial rows before anything is
+  shuffled, so skewed clusters cost nothing extra and only the k x d sums
+  reach the driver. The last scan also gives sizes, cost and mean distance.
 * :func:`fit_kmeans` -- ``pyspark.ml.clustering.KMeans`` (k-means|| starts)
   with best-of-N restarts judged by training cost (F-3).
+
+Rows with a null or NaN feature are left out of every fit and score; the
+result's ``n`` is the number of rows that took part.
 """
 
 from __future__ import annotations
@@ -18,94 +20,58 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import types as T
 
-from kmstream.functions.vectors import (EXPR_LITERAL_LIMIT, ArrayVec, as_cols, elements,
-                                        nearest_any, to_double)
-
-# Up to this many centre numbers (over all models of one scan) the assignment
-# is unrolled into codegen'd arithmetic. Beyond it, assignment and the
-# map-side partial aggregation run on Arrow batches in NumPy: generated code
-# embeds the centres as constants, so every Lloyd iteration would otherwise
-# pay a fresh (and, for many centres, very large) Java compile.
-CODEGEN_LITERAL_MAX = 32
-
-
-def _np_nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest centre per row; coordinates summed left to right, ties -> lowest id."""
-    best_d = None
-    best_j = np.zeros(X.shape[0], dtype=np.int64)
-    for j in range(C.shape[0]):
-        diff = X[:, 0] - C[j, 0]
-        d2 = diff * diff
-        for i in range(1, C.shape[1]):
-            diff = X[:, i] - C[j, i]
-            d2 = d2 + diff * diff
-        if best_d is None:
-            best_d = d2
-        else:
-            better = d2 < best_d
-            best_d = np.where(better, d2, best_d)
-            best_j = np.where(better, j, best_j)
-    return best_j, best_d
-
-
-def _batch_matrix(pdf: pd.DataFrame, d: int, array_col: str | None) -> np.ndarray:
-    if array_col is not None:
-        vals = pdf[array_col].to_numpy()
-        return np.vstack(vals).astype(np.float64) if len(vals) else np.zeros((0, d))
-    return pdf[[f"_f{i}" for i in range(d)]].to_numpy(dtype=np.float64)
-
-
-def _arrow_cluster_sums(data: DataFrame, d: int, array_col: str | None,
-                        models: Mapping[object, Sequence[Sequence[float]]],
-                        ids: Mapping[object, int]) -> list:
-    """Per (model, cluster): n, sums, cost, sum of distances -- one scan.
-
-    Every Arrow batch is reduced in NumPy to at most (models x k) partial
-    rows (map-side combine); Spark shuffles only those and sums them.
-    """
+from kmstream.functions.vectors import ArrayVec, as_cols, as_matrix, complete, nearest_centers, to_double
+
+
+def _flat(data: DataFrame, cols, keep: Sequence[str] = ()) -> tuple[DataFrame, int, bool]:
+    """The complete rows as ``keep`` + (_arr) or (_f0, _f1, ...): (frame, width, is array)."""
+    xs = to_double(as_cols(cols))
+    if isinstance(xs, ArrayVec):
+        flat = data.select(*keep, xs.col.alias("_arr"))
+        return flat.filter(complete(ArrayVec("_arr", xs.dim))), len(xs), True
+    flat = data.select(*keep, *[x.alias(f"_f{i}") for i, x in enumerate(xs)])
+    return flat.filter(complete([F.col(f"_f{i}") for i in range(len(xs))])), len(xs), False
+
+
+def batch_matrix(pdf: pd.DataFrame, d: int, array: bool) -> np.ndarray:
+    return as_matrix([pdf["_arr"]] if array else [pdf[f"_f{i}"] for i in range(d)], d, array)
+
+
+def _sums(flat: DataFrame, d: int, array: bool, models: Mapping, ids: Mapping) -> list:
+    """Per (model, cluster): n, sums, cost, sum of distances -- one scan."""
     Cs = [(ids[k], np.asarray(c, dtype=np.float64)) for k, c in models.items()]
-    fields = ["model long", "cluster long", "n long"] + [f"s{i} double" for i in range(d)] + \
-        ["cost double", "sdist double"]
-    schema = ", ".join(fields)
+    names = ["n", *[f"s{i}" for i in range(d)], "cost", "sdist"]
+    schema = "model long, cluster long, n long, " + ", ".join(f"{c} double" for c in names[1:])
 
     def partial(batches):
+        total: dict[int, np.ndarray] = {}
         for pdf in batches:
-            X = _batch_matrix(pdf, d, array_col)
-            if X.shape[0] == 0:
-                continue
-            out = []
+            X = batch_matrix(pdf, d, array)
             for mid, C in Cs:
-                k = C.shape[0]
-                cl, d2 = _np_nearest(X, C)
-                cnt = np.bincount(cl, minlength=k)
-                cols = {"model": np.full(k, mid, dtype=np.int64), "cluster": np.arange(k),
-                        "n": cnt.astype(np.int64)}
-                for i in range(d):
-                    cols[f"s{i}"] = np.bincount(cl, weights=X[:, i], minlength=k)
-                cols["cost"] = np.bincount(cl, weights=d2, minlength=k)
-                cols["sdist"] = np.bincount(cl, weights=np.sqrt(d2), minlength=k)
-                part = pd.DataFrame(cols)
-                out.append(part[part["n"] > 0])
-            yield pd.concat(out, ignore_index=True)
-
-    parts = data.mapInPandas(partial, schema)
-    aggs = [F.sum("n").alias("n")] + [F.sum(f"s{i}").alias(f"s{i}") for i in range(d)] + \
-        [F.sum("cost").alias("cost"), F.sum("sdist").alias("sdist")]
-    return parts.groupBy("model", "cluster").agg(*aggs).collect()
-
-
-def _literal_count(models: Mapping[object, Sequence[Sequence[float]]], d: int) -> int:
-    return sum(len(c) for c in models.values()) * d
+                k = len(C)
+                cl, d2 = nearest_centers(X, C)
+                part = np.stack([np.bincount(cl, minlength=k),
+                                 *[np.bincount(cl, weights=X[:, i], minlength=k) for i in range(d)],
+                                 np.bincount(cl, weights=d2, minlength=k),
+                                 np.bincount(cl, weights=np.sqrt(d2), minlength=k)], axis=1)
+                total[mid] = total[mid] + part if mid in total else part
+        for mid, part in total.items():
+            out = pd.DataFrame(part, columns=names)
+            out.insert(0, "cluster", np.arange(len(part)))
+            out.insert(0, "model", mid)
+            yield out[out["n"] > 0].astype({"n": "int64"})
+
+    parts = flat.mapInPandas(partial, schema)
+    return parts.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in names]).collect()
 
 
 @dataclass
@@ -133,78 +99,20 @@ def first_rows_init(df: DataFrame, cols, order_by: str | Sequence[str],
                     k: int) -> list[list[float]]:
     """Starts = the first k rows by a key (TakeOrdered: k rows per task)."""
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    xs = to_double(as_cols(cols))
-    if isinstance(xs, ArrayVec):
-        rows = df.select(*order, xs.col.alias("_v")).orderBy(*order).limit(k).collect()
-        return [[float(v) for v in r["_v"]] for r in rows]
-    rows = df.select(*order, *[x.alias(f"_c{i}") for i, x in enumerate(xs)]) \
-        .orderBy(*order).limit(k).collect()
-    return [[float(r[f"_c{i}"]) for i in range(len(xs))] for r in rows]
-
-
-def distinct_sorted_init(df: DataFrame, cols: Sequence[str], k: int) -> list[list[float]]:
-    """Starts = the first k distinct value tuples in sorted order.
-
-    For tables without a unique key. ``distinct`` is a hash aggregation with
-    map-side combine, the ``limit`` after ``orderBy`` is a TakeOrdered.
-    """
-    dcols = [F.col(c).cast("double").alias(c) for c in cols]
-    rows = df.select(*dcols).distinct().orderBy(*cols).limit(k).collect()
-    return [[float(r[c]) for c in cols] for r in rows]
+    flat, d, array = _flat(df, cols, order)
+    rows = flat.orderBy(*order).limit(k).collect()
+    return [[float(v) for v in (r["_arr"] if array else [r[f"_f{i}"] for i in range(d)])] for r in rows]
 
 
 def mean_centers(df: DataFrame, cols: Sequence[str]) -> list[list[float]]:
     """k = 1 model: the column means (``pyspark.ml`` needs k > 1)."""
-    row = df.agg(*[F.avg(F.col(c).cast("double")) for c in cols]).first()
-    return [[float(v) for v in row]]
+    flat, d, _ = _flat(df, cols)
+    row = flat.agg(*[F.avg(f"_f{i}") for i in range(d)]).first()
+    return [[float(v) for v in row]] if row[0] is not None else []
 
 
 # ---------------------------------------------------------------- Lloyd
 
-def _model_groups(inits: Mapping, dim: int) -> list[list]:
-    """Split models into groups whose literal count stays under the limit."""
-    groups, cur, size = [], [], 0
-    for key, centers in inits.items():
-        n = len(centers) * dim
-        if cur and size + n > EXPR_LITERAL_LIMIT:
-            groups.append(cur)
-            cur, size = [], 0
-        cur.append(key)
-        size += n
-    if cur:
-        groups.append(cur)
-    return groups
-
-
-def _assign_many(xs: Sequence[Column], models: Mapping[object, Sequence[Sequence[float]]],
-                 ids: Mapping[object, int]) -> Column:
-    """array<struct(model, n: struct(d2, cluster))>: one entry per model for this row.
-
-    The nearest-centre struct is nested whole (not split into fields), so the
-    k x d expression is evaluated once per model and row.
-    """
-    entries = []
-    for key, centers in models.items():
-        entries.append(F.struct(F.lit(ids[key]).alias("model"),
-                                nearest_any(xs, centers).alias("n")))
-    return F.array(*entries)
-
-
-def _cluster_sums(data: DataFrame, xs: Sequence[Column],
-                  models: Mapping[object, Sequence[Sequence[float]]],
-                  ids: Mapping[object, int], with_dist: bool) -> list:
-    """One scan: per (model, cluster) sums of x, count, sum d2, sum dist."""
-    d = len(xs)
-    exploded = data.select(F.col("*"), F.explode(_assign_many(xs, models, ids)).alias("_a"))
-    aggs = [F.sum(e).alias(f"s{i}") for i, e in enumerate(elements(xs))]
-    aggs += [F.count(F.lit(1)).alias("n"), F.sum("_a.n.d2").alias("cost")]
-    if with_dist:
-        aggs.append(F.sum(F.sqrt(F.col("_a.n.d2"))).alias("sdist"))
-    return (exploded.groupBy(F.col("_a.model").alias("model"),
-                             F.col("_a.n.cluster").alias("cluster"))
-            .agg(*aggs).collect())
-
-
 def lloyd(data: DataFrame, cols: Sequence[str | Column],
           inits: Mapping[object, Sequence[Sequence[float]]],
           max_iter: int = 20, tol: float = 1e-4, score: bool = True,
@@ -217,20 +125,12 @@ def lloyd(data: DataFrame, cols: Sequence[str | Column],
     one more shared scan records sizes, cost and mean distance under the
     final centres.
     """
-    xs = to_double(as_cols(cols))
-    d = len(xs)
+    flat, d, array = _flat(data, cols)
     for key, c in inits.items():
         for row in c:
             if len(row) != d:
                 raise ValueError(f"model {key!r}: centre width {len(row)} != data width {d}")
-    if isinstance(xs, ArrayVec):
-        cached = data.select(xs.col.alias("_arr"))
-        fx = ArrayVec("_arr", d)
-    else:
-        cached = data.select(*[x.alias(f"_f{i}") for i, x in enumerate(xs)])
-        fx = [F.col(f"_f{i}") for i in range(d)]
-    if persist:
-        cached = cached.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = flat.persist(StorageLevel.MEMORY_AND_DISK) if persist else flat
     ids = {key: i for i, key in enumerate(inits)}
     centers = {key: [list(map(float, r)) for r in c] for key, c in inits.items()}
     iters = {key: 0 for key in inits}
@@ -240,7 +140,7 @@ def lloyd(data: DataFrame, cols: Sequence[str | Column],
             if not active:
                 break
             act = {k: centers[k] for k in inits if k in active}
-            rows = _sums(cached, fx, act, ids, False)
+            rows = _sums(cached, d, array, act, ids)
             by_model: dict[int, dict[int, tuple]] = {}
             for r in rows:
                 by_model.setdefault(r["model"], {})[r["cluster"]] = (
@@ -263,36 +163,18 @@ def lloyd(data: DataFrame, cols: Sequence[str | Column],
                     active.discard(key)
         results = {key: KMeansResult(centers[key], iters[key]) for key in inits}
         if score:
-            _score_into(cached, fx, results, ids)
+            _score_into(cached, d, array, results, ids)
         return results
     finally:
         if persist:
             cached.unpersist()
 
 
-def _sums(data: DataFrame, xs, models, ids, with_dist: bool) -> list:
-    """Route one shared scan to the codegen or the Arrow/NumPy path."""
-    d = len(xs)
-    if _literal_count(models, d) > CODEGEN_LITERAL_MAX:
-        if isinstance(xs, ArrayVec):
-            arr = data.select(xs.col.alias("_arr"))
-            return _arrow_cluster_sums(arr, d, "_arr", models, ids)
-        flat = data.select(*[x.alias(f"_f{i}") for i, x in enumerate(xs)])
-        return _arrow_cluster_sums(flat, d, None, models, ids)
-    rows = []
-    for group in _model_groups(models, d):
-        rows += _cluster_sums(data, xs, {k: models[k] for k in group}, ids, with_dist)
-    return rows
-
-
-def _score_into(data: DataFrame, xs: Sequence[Column], results: Mapping[object, KMeansResult],
-                ids: Mapping[object, int]) -> None:
-    models = {k: r.centers for k, r in results.items()}
-    rows = _sums(data, xs, models, ids, True)
+def _score_into(flat: DataFrame, d: int, array: bool, results: Mapping[object, KMeansResult], ids: Mapping) -> None:
     by_id = {v: k for k, v in ids.items()}
     for r in results.values():
         r.sizes = [0] * r.k
-    for row in rows:
+    for row in _sums(flat, d, array, {k: r.centers for k, r in results.items()}, ids):
         res = results[by_id[row["model"]]]
         res.sizes[row["cluster"]] = int(row["n"])
         res.cost += float(row["cost"])
@@ -300,13 +182,11 @@ def _score_into(data: DataFrame, xs: Sequence[Column], results: Mapping[object,
         res.n += int(row["n"])
 
 
-def score_models(data: DataFrame, cols: Sequence[str | Column],
-                 models: Mapping[object, Sequence[Sequence[float]]]) -> dict[object, KMeansResult]:
+def score_centers(data: DataFrame, cols, models: Mapping[object, Sequence[Sequence[float]]]) -> dict[object, KMeansResult]:
     """Sizes, cost and mean distance of given centres, all models in one scan."""
-    xs = to_double(as_cols(cols))
-    ids = {key: i for i, key in enumerate(models)}
+    flat, d, array = _flat(data, cols)
     results = {k: KMeansResult([list(map(float, r)) for r in c]) for k, c in models.items()}
-    _score_into(data, xs, results, ids)
+    _score_into(flat, d, array, results, {key: i for i, key in enumerate(models)})
     return results
 
 
@@ -343,59 +223,31 @@ def fit_kmeans(df: DataFrame, k: int, features_col: str = "features", runs: int
                         model.summary.numIter, cost=best[0])
 
 
-def explode_assignments(df: DataFrame, cols: Sequence[str | Column],
-                        models: Mapping[object, Sequence[Sequence[float]]],
-                        keep: Sequence[str] = (), model_col: str = "k") -> DataFrame:
-    """One row per (input row, model): ``keep + (model, cluster, d2)``.
+def label_counts(df: DataFrame, cols, models: Mapping[int, Sequence[Sequence[float]]], label_col: str,
+                 model_col: str = "k") -> DataFrame:
+    """F-12 for many models in one scan: (k, cluster, label, cnt).
 
-    Map-only (``explode`` of per-model nearest-centre structs); the consumer
-    usually aggregates right away, so partial aggregation sees the rows
-    before any shuffle.
+    Each task reduces its rows to one count per (model, cluster, label); rows
+    are never repeated per model. Incomplete rows are left out.
     """
-    xs = to_double(as_cols(cols))
-    keys = list(models)
-    ids = {key: i for i, key in enumerate(keys)}
-    if _literal_count(models, len(xs)) > CODEGEN_LITERAL_MAX:
-        return _arrow_explode(df, xs, models, keys, list(keep), model_col)
-    arr = _assign_many(xs, models, ids)
-    out = df.select(*keep, F.explode(arr).alias("_a"))
-    key_expr = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("_a.model") + 1)
-    return out.select(*keep, key_expr.alias(model_col), F.col("_a.n.cluster").alias("cluster"),
-                      F.col("_a.n.d2").alias("d2"))
-
-
-def _arrow_explode(df: DataFrame, xs, models, keys, keep: list[str], model_col: str) -> DataFrame:
-    """Arrow/NumPy form of :func:`explode_assignments` for many centres."""
-    d = len(xs)
-    if isinstance(xs, ArrayVec):
-        src = df.select(*keep, xs.col.alias("_arr"))
-        array_col = "_arr"
-    else:
-        src = df.select(*keep, *[x.alias(f"_f{i}") for i, x in enumerate(xs)])
-        array_col = None
-    key_type = "long" if all(isinstance(k, int) for k in keys) else "string"
-    keep_fields = [f for f in src.schema.fields if f.name in keep]
-    schema = T.StructType(keep_fields + [
-        T.StructField(model_col, T.LongType() if key_type == "long" else T.StringType()),
-        T.StructField("cluster", T.IntegerType()), T.StructField("d2", T.DoubleType())])
-    Cs = [(k, np.asarray(models[k], dtype=np.float64)) for k in keys]
-
-    def explode(batches):
+    flat, d, array = _flat(df, cols, [F.col(label_col).cast("string").alias("_label")])
+    Cs = [(int(k), np.asarray(c, dtype=np.float64)) for k, c in models.items()]
+
+    def partial(batches):
+        total: dict[tuple, int] = {}
         for pdf in batches:
-            X = _batch_matrix(pdf, d, array_col)
-            if X.shape[0] == 0:
-                continue
-            out = []
+            X = batch_matrix(pdf, d, array)
+            code, names = pd.factorize(pdf["_label"], use_na_sentinel=False)
             for key, C in Cs:
-                cl, d2 = _np_nearest(X, C)
-                part = pdf[keep].copy() if keep else pd.DataFrame(index=pdf.index)
-                part[model_col] = key if key_type == "long" else str(key)
-                part["cluster"] = cl.astype(np.int32)
-                part["d2"] = d2
-                out.append(part)
-            yield pd.concat(out, ignore_index=True)
+                pairs = nearest_centers(X, C)[0] * len(names) + code
+                for p, n in zip(*np.unique(pairs, return_counts=True)):
+                    at = (key, int(p // len(names)), None if pd.isna(names[p % len(names)]) else names[p % len(names)])
+                    total[at] = total.get(at, 0) + int(n)
+        rows = [(*at, n) for at, n in total.items()]
+        yield pd.DataFrame(rows, columns=[model_col, "cluster", "label", "cnt"])
 
-    return src.mapInPandas(explode, schema)
+    parts = flat.mapInPandas(partial, f"{model_col} long, cluster long, label string, cnt long")
+    return parts.groupBy(model_col, "cluster", "label").agg(F.sum("cnt").alias("cnt"))
 
 
 # ---------------------------------------------------------------- one model per group
@@ -420,26 +272,29 @@ def _nearest_in_group(x: Column, cs: Column) -> Column:
 
 
 def grouped_lloyd(df: DataFrame, group_col: str, id_col: str, cols: Sequence[str], k: int,
-                  max_iter: int) -> DataFrame:
+                  max_iter: int, tol: float = 0.0) -> DataFrame:
     """Fixed-start Lloyd fitted separately for every group, all groups in each scan.
 
-    Starts: the first k rows of each group by ``id_col`` (the window's
+    Starts: the first k complete rows of each group by ``id_col`` (the window's
     ``row_number() <= k`` filter is pre-limited per task before the shuffle,
     so a group holding a third of all rows ships only k rows). Each update
     is one aggregation over (group, cluster); empty clusters keep their
-    centre. The centre table (groups x k rows) is reliably checkpointed each
-    iteration, so lineage stays flat. Returns ``(group, cluster, v)``.
+    centre. Updates end when no centre of any group moved by more than
+    ``tol``. The centre table (groups x k rows) is written to the shared folder
+    each time, which keeps the lineage flat, and the one before it is deleted.
+    Returns ``(group, cluster, v)``.
     """
     from pyspark.sql import Window
 
-    from kmstream.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
+    from kmstream.session import drop_stored, stored
+    spark = df.sparkSession
+    df = df.filter(complete([F.col(c).cast("double") for c in cols]))
     x = F.array(*[F.col(c).cast("double") for c in cols])
     w = Window.partitionBy(group_col).orderBy(id_col)
     centers = (df.select(group_col, id_col, x.alias("v"))
                .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
                .select(group_col, (F.col("_rn") - 1).cast("int").alias("cluster"), "v"))
-    centers = centers.checkpoint(eager=True)
+    centers, place = stored(spark, centers, "group-centers")
     data = df.select(group_col, x.alias("_x"))
     for _ in range(max_iter):
         near = (data.join(_group_centers_frame(centers, group_col), group_col)
@@ -449,18 +304,24 @@ def grouped_lloyd(df: DataFrame, group_col: str, id_col: str, cols: Sequence[str
                      *[F.sum(F.col("_x").getItem(i)).alias(f"_s{i}") for i in range(len(cols))]))
         means = sums.select(group_col, "cluster", F.array(*[F.col(f"_s{i}") / F.col("_m")
                                                             for i in range(len(cols))]).alias("_new"))
-        centers = (centers.join(means, [group_col, "cluster"], "left")
-                   .select(group_col, "cluster", F.coalesce("_new", "v").alias("v"))
-                   .checkpoint(eager=True))
+        moved = F.aggregate(F.zip_with("v", "_v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, t: acc + t)
+        new = (centers.withColumnRenamed("v", "_v").join(means, [group_col, "cluster"], "left")
+               .select(group_col, "cluster", F.coalesce("_new", "_v").alias("v"), "_v"))
+        new = new.select(group_col, "cluster", "v", moved.alias("_moved"))
+        new, now = stored(spark, new, "group-centers")
+        drop_stored(spark, place)
+        centers, place = new.drop("_moved"), now
+        far = new.agg(F.max("_moved")).first()[0]
+        if far is None or far <= tol * tol:
+            break
     return centers
 
 
 def grouped_assign(df: DataFrame, group_col: str, cols: Sequence[str], centers: DataFrame,
                    keep: Sequence[str] = ()) -> DataFrame:
-    """Each row's cluster and distance under its own group's centres."""
-    x = F.array(*[F.col(c).cast("double") for c in cols])
-    joined = df.select(group_col, *keep, x.alias("_x")).join(
+    """Each complete row's cluster and distance under its own group's centres."""
+    xs = [F.col(c).cast("double") for c in cols]
+    joined = df.filter(complete(xs)).select(group_col, *keep, F.array(*xs).alias("_x")).join(
         _group_centers_frame(centers, group_col), group_col)
-    n = _nearest_in_group(F.col("_x"), F.col("cs"))
-    return joined.select(group_col, *keep, n["cluster"].alias("cluster"),
-                         F.sqrt(n["d2"]).alias("dist"))
+    near = joined.select(group_col, *keep, _nearest_in_group(F.col("_x"), F.col("cs")).alias("_n"))
+    return near.select(group_col, *keep, F.col("_n.cluster").alias("cluster"), F.sqrt("_n.d2").alias("dist"))

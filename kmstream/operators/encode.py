@@ -9,9 +9,11 @@ counts whose size is bounded by partitions + columns. The tagged pairs are
 reliably checkpointed so that ids and offsets refer to the same rows even
 if a task is recomputed.
 
-The dictionary is attached to the data with a join; it is broadcast only
-when its row count is below ``broadcast_rows`` (the count is read from the
-checkpointed table), otherwise it is a shuffle join.
+A null value is a category of its own (it sorts first), as the empty string is.
+
+The dictionary is attached to the data by one null-safe join per column; Spark
+broadcasts a column's part while it is under its size limit and otherwise
+shuffles.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from pyspark.sql import Window
 
 from kmstream.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 1_000_000
-
 
 def category_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """H-2: distinct (column, category) pairs in one pass (partial aggregation)."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, category string")
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category"))
                for c in cols]
     return (df.select(F.explode(F.array(*entries)).alias("_p"))
@@ -67,26 +69,22 @@ class CategoryModel:
     cols: list[str]
     dictionary: DataFrame
     sizes: dict[str, int]
-    broadcast_rows: int = BROADCAST_ROWS
 
     def index(self, df: DataFrame, suffix: str = "_idx", handle_invalid: str = "error"
               ) -> DataFrame:
         """D-4: attach ``<col>_idx``; unseen values raise (or get ``size`` with 'keep')."""
-        total = sum(self.sizes.values())
         out = df
         for c in self.cols:
             d = self.dictionary.where(F.col("column") == c).select(
                 F.col("category").alias(f"_cat_{c}"), F.col("idx").alias(c + suffix))
-            if total <= self.broadcast_rows:
-                d = F.broadcast(d)
-            out = out.join(d, F.col(c).cast("string") == F.col(f"_cat_{c}"), "left") \
+            out = out.join(d, F.col(c).cast("string").eqNullSafe(F.col(f"_cat_{c}")), "left") \
                 .drop(f"_cat_{c}")
             miss = F.col(c + suffix).isNull()
             if handle_invalid == "keep":
                 fill = F.lit(self.sizes[c]).cast("long")
             else:
                 fill = F.raise_error(F.concat(F.lit(f"unseen category in {c}: "),
-                                              F.col(c).cast("string")))
+                                              F.coalesce(F.col(c).cast("string"), F.lit("null"))))
             # nominal-attribute metadata carries the category count, so a downstream
             # OneHotEncoder.fit reads the size from the schema instead of scanning
             meta = {"ml_attr": {"type": "nominal", "num_vals": int(self.sizes[c]),
@@ -99,6 +97,8 @@ class CategoryModel:
                 ) -> DataFrame:
         """D-2: one sparse block per column, one slot per category, none dropped."""
         idx = self.index(df, "_idx", handle_invalid)
+        if not self.cols:
+            return idx
         enc = OneHotEncoder(inputCols=[c + "_idx" for c in self.cols],
                             outputCols=[c + suffix for c in self.cols], dropLast=False,
                             handleInvalid="keep" if handle_invalid == "keep" else "error")
@@ -106,16 +106,14 @@ class CategoryModel:
 
 
 class CategoryEncoder:
-    def __init__(self, cols: Sequence[str], broadcast_rows: int = BROADCAST_ROWS):
+    def __init__(self, cols: Sequence[str]):
         self.cols = list(cols)
-        self.broadcast_rows = broadcast_rows
 
     def fit(self, df: DataFrame) -> CategoryModel:
         d = category_dictionary(df, self.cols).checkpoint(eager=True)
         sizes = {r["column"]: int(r["n"]) for r in
                  d.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-        return CategoryModel(self.cols, d, {c: sizes.get(c, 0) for c in self.cols},
-                             self.broadcast_rows)
+        return CategoryModel(self.cols, d, {c: sizes.get(c, 0) for c in self.cols})
 
 
 def encode_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from typing import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -61,16 +62,18 @@ def project_vector(df: DataFrame, res: PCAResult, features_col: str,
                    output_col: str = "pca") -> DataFrame:
     """E-4 projection of a vector column (sparse ok) -> array<double>."""
     pc = res.components
+
+    @F.pandas_udf("array<double>")
+    def project(values: pd.Series, at: pd.Series) -> pd.Series:
+        # the non-zero entries of each row times their loadings
+        return pd.Series([np.asarray(v, dtype=np.float64) @ pc[np.asarray(i, dtype=np.int64)] if len(i) else np.zeros(pc.shape[1])
+                          for v, i in zip(values, at)])
+
     arr = vector_to_array(F.col(features_col))
-    d = pc.shape[0]
-    outs = []
-    for j in range(pc.shape[1]):
-        nz = [(i, float(pc[i, j])) for i in range(d) if pc[i, j] != 0.0]
-        e = F.lit(0.0)
-        for i, w in nz:
-            e = e + arr.getItem(i) * F.lit(w)
-        outs.append(e)
-    return df.withColumn(output_col, F.array(*outs))
+    at = F.filter(F.sequence(F.lit(0), F.size("_arr") - 1), lambda i: F.get(F.col("_arr"), i) != 0.0)
+    rows = df.withColumn("_arr", arr).withColumn("_at", at)
+    values = F.transform("_at", lambda i: F.get(F.col("_arr"), i))
+    return rows.withColumn(output_col, project(values, F.col("_at"))).drop("_arr", "_at")
 
 
 def components_for_variance(explained: Sequence[float], target: float = 0.91) -> int:

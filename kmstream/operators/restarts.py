@@ -25,15 +25,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kmstream.functions.vectors import ArrayVec, as_cols, to_double
-from kmstream.operators.cluster import KMeansResult, _batch_matrix, _np_nearest, lloyd
-
-
-def _flat(data: DataFrame, cols) -> tuple[DataFrame, int, str | None]:
-    xs = to_double(as_cols(cols))
-    if isinstance(xs, ArrayVec):
-        return data.select(xs.col.alias("_arr")), len(xs), "_arr"
-    return data.select(*[x.alias(f"_f{i}") for i, x in enumerate(xs)]), len(xs), None
+from kmstream.functions.vectors import ArrayVec, nearest_centers
+from kmstream.operators.cluster import KMeansResult, _flat, batch_matrix, lloyd
 
 
 def _task_rng(seed: int, salt: int, batch_no: int) -> np.random.Generator:
@@ -44,7 +37,7 @@ def _task_rng(seed: int, salt: int, batch_no: int) -> np.random.Generator:
 
 
 def _min_dist2(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    return _np_nearest(X, C)[1]
+    return nearest_centers(X, C)[1]
 
 
 def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int, int]],
@@ -61,7 +54,7 @@ def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int
 
         def pick(batches):
             for b, pdf in enumerate(batches):
-                X = _batch_matrix(pdf, d, arr)
+                X = batch_matrix(pdf, d, arr)
                 if X.shape[0] == 0:
                     continue
                 rows = []
@@ -82,7 +75,7 @@ def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int
 
             def cost(batches, snap=snap):
                 for pdf in batches:
-                    X = _batch_matrix(pdf, d, arr)
+                    X = batch_matrix(pdf, d, arr)
                     if X.shape[0] == 0:
                         continue
                     yield pd.DataFrame({"model": list(snap),
@@ -94,7 +87,7 @@ def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int
             # 2b. sample rows with probability min(1, l * d2 / phi)
             def sample(batches, snap=snap, phi=phi, step=step):
                 for b, pdf in enumerate(batches):
-                    X = _batch_matrix(pdf, d, arr)
+                    X = batch_matrix(pdf, d, arr)
                     if X.shape[0] == 0:
                         continue
                     out = []
@@ -112,22 +105,22 @@ def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int
                     if out:
                         yield pd.concat(out, ignore_index=True)
 
-            picked = flat.mapInPandas(sample, f"model long, {xs_schema}").collect()
-            for r in picked:
-                m = r["model"]
-                cands[m] = np.vstack([cands[m], [[r[f"x{i}"] for i in range(d)]]])
+            # about 2k rows a model: bounded by the number of centres asked for
+            picked = flat.mapInPandas(sample, f"model long, {xs_schema}").toPandas()
+            for m, rows in picked.groupby("model"):
+                cands[m] = np.vstack([cands[m], rows[[f"x{i}" for i in range(d)]].to_numpy()])
 
         # 3. weight candidates by the rows closest to them
         snap = {m: c.copy() for m, c in cands.items()}
 
         def weigh(batches, snap=snap):
             for pdf in batches:
-                X = _batch_matrix(pdf, d, arr)
+                X = batch_matrix(pdf, d, arr)
                 if X.shape[0] == 0:
                     continue
                 rows = []
                 for m, C in snap.items():
-                    cl, _ = _np_nearest(X, C)
+                    cl, _ = nearest_centers(X, C)
                     cnt = np.bincount(cl, minlength=C.shape[0])
                     rows += [(m, j, int(c)) for j, c in enumerate(cnt) if c]
                 yield pd.DataFrame(rows, columns=["model", "cand", "w"])
@@ -165,12 +158,10 @@ def _local_kmeans_pp(C: np.ndarray, w: np.ndarray, k: int, seed: int,
         d2 = np.minimum(d2, ((C - C[idx]) ** 2).sum(1))
     M = np.asarray(centers, dtype=np.float64)
     for _ in range(iters):
-        a = ((C[:, None, :] - M[None, :, :]) ** 2).sum(-1).argmin(1)
-        new = M.copy()
-        for j in range(k):
-            sel = a == j
-            if sel.any():
-                new[j] = (C[sel] * w[sel, None]).sum(0) / w[sel].sum()
+        a, _ = nearest_centers(C, M)
+        size = np.bincount(a, weights=w, minlength=k)
+        total = np.stack([np.bincount(a, weights=w * C[:, i], minlength=k) for i in range(C.shape[1])], axis=1)
+        new = np.where(size[:, None] > 0, total / np.maximum(size, 1e-300)[:, None], M)
         if np.allclose(new, M):
             break
         M = new
@@ -188,14 +179,9 @@ def fit_restarts(data: DataFrame, cols, k_values: Sequence[int], runs: int = 10,
         specs = {(k, r): (k, seed + 1000 * k + r) for k in k_values for r in range(runs)
                  if k > 1}
         inits = kmeans_parallel_init(flat, xs, specs, steps, persist=False) if specs else {}
-        from kmstream.operators.cluster import mean_centers
         if 1 in k_values:
-            cols1 = [f"_f{i}" for i in range(d)] if not arr else None
-            if cols1:
-                inits[(1, 0)] = mean_centers(flat, cols1)
-            else:
-                mean = flat.select(*[F.avg(F.col("_arr").getItem(i)) for i in range(d)]).first()
-                inits[(1, 0)] = [[float(v) for v in mean]]
+            column = [F.avg(F.col("_arr").getItem(i)) if arr else F.avg(f"_f{i}") for i in range(d)]
+            inits[(1, 0)] = [[float(v) for v in flat.select(*column).first()]]
         fits = lloyd(flat, xs, inits, max_iter=max_iter, tol=tol, score=True, persist=False)
     finally:
         flat.unpersist()

@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.ml.feature import StandardScaler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +70,7 @@ class ZScore:
             x = F.col(c).cast("double")
             aggs += [F.avg(x), F.stddev_pop(x)]
         row = df.agg(*aggs, F.count(F.lit(1))).first()
-        means = [float(row[2 * i]) for i in range(len(self.cols))]
+        means = [float(row[2 * i] or 0.0) for i in range(len(self.cols))]
         sds = [float(row[2 * i + 1] or 0.0) for i in range(len(self.cols))]
         return ZScoreModel(self.cols, means, sds, int(row[-1]))
 
@@ -108,10 +107,3 @@ class UnitScale:
     def fit(self, df: DataFrame) -> UnitScaleModel:
         row = df.agg(*[F.stddev_samp(F.col(c).cast("double")) for c in self.cols]).first()
         return UnitScaleModel(self.cols, [float(v) if v is not None else 0.0 for v in row])
-
-
-def unit_scale_vector(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
-    """E-3 on a ``VectorUDT`` column with the library scaler."""
-    model = StandardScaler(withMean=False, withStd=True, inputCol=input_col,
-                           outputCol=output_col).fit(df)
-    return model.transform(df)

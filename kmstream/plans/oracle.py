@@ -34,8 +34,13 @@ def part_points(scaled: bool) -> str:
         "FROM part, pstats)")
 
 
-def lloyd_ctes(d: int, k_values: list[int], iters: int) -> str:
-    """Fixed-start Lloyd for several k at once over CTE ``pts``.
+def rule_k(src: str) -> str:
+    """SQL list 1 .. rule-of-thumb k of a table's row count."""
+    return f"range(1, greatest(1, CAST(floor(sqrt((SELECT count(*) FROM {src}) // 2)) AS BIGINT)) + 1)"
+
+
+def lloyd_ctes(d: int, k_list: str, iters: int) -> str:
+    """Fixed-start Lloyd over CTE ``pts`` for every k of a SQL list.
 
     Starts: first k rows by id. Ties in assignment go to the lowest cluster
     id. Empty clusters keep their centre. Every step is MATERIALIZED and the
@@ -45,18 +50,16 @@ def lloyd_ctes(d: int, k_values: list[int], iters: int) -> str:
     """
     xs = _xs(d)
     d2 = _d2(d)
-    ks = ", ".join(str(k) for k in k_values)
     parts = [
-        f"ks AS (SELECT unnest([{ks}]) AS k)",
+        f"ks AS (SELECT unnest({k_list}) AS k)",
         f"rk AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id) AS rn, id, {xs} FROM pts)",
         f"c0 AS MATERIALIZED (SELECT ks.k, rk.rn - 1 AS cluster, {_xs(d, 'rk')} FROM ks JOIN rk ON rk.rn <= ks.k)",
     ]
 
     def assign(src: str, name: str) -> str:
-        return (f"{name} AS MATERIALIZED (SELECT k, id, cluster, d2, {xs} FROM ("
-                f"SELECT c.k, p.id, c.cluster, {d2} AS d2, {_xs(d, 'p')}, "
-                f"row_number() OVER (PARTITION BY c.k, p.id ORDER BY {d2}, c.cluster) AS r "
-                f"FROM pts p JOIN {src} c ON TRUE) WHERE r = 1)")
+        return (f"{name} AS MATERIALIZED (SELECT n.k, n.id, n.best.cluster AS cluster, n.best.d2 AS d2, {_xs(d, 'p')} FROM ("
+                f"SELECT c.k, p.id, min(struct_pack(d2 := {d2}, cluster := c.cluster)) AS best "
+                f"FROM pts p JOIN {src} c ON TRUE GROUP BY c.k, p.id) n JOIN pts p USING (id))")
 
     for t in range(1, iters + 1):
         parts.append(assign(f"c{t - 1}", f"a{t}"))
@@ -104,32 +107,39 @@ def emb_points() -> str:
     return (f"pts AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, {xs} FROM embeddings), "
             f"cen AS (SELECT row_number() OVER (ORDER BY id) - 1 AS cluster, {_xs(P.EMB_DIM)} "
             f"FROM pts ORDER BY id LIMIT {P.EMB_K}), "
-            f"asg AS (SELECT id, label, cluster, d2 FROM ("
+            f"asg0 AS (SELECT id, label, cluster, d2 FROM ("
             f"SELECT p.id, p.label, c.cluster, {_d2(P.EMB_DIM)} AS d2, "
             f"row_number() OVER (PARTITION BY p.id ORDER BY {_d2(P.EMB_DIM)}, c.cluster) AS r "
             f"FROM pts p JOIN cen c ON TRUE) WHERE r = 1)")
 
 
+def emb_fitted() -> str:
+    """``asg``: labels and clusters under the model fitted from the first rows."""
+    return emb_points() + ", " + lloyd_ctes(P.EMB_DIM, f"[{P.EMB_K}]", P.LLOYD_ITERS) + (
+        ", asg AS (SELECT fin.id, pts.label, fin.cluster, fin.d2 FROM fin JOIN pts USING (id))")
+
+
 ORDERS_LINE = (
     "lines AS (SELECT o_orderkey, concat_ws(',', CAST(o_orderkey AS VARCHAR), "
     "CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderpriority, "
-    "CASE WHEN o_orderstatus = 'P' THEN '' WHEN o_orderpriority LIKE '1%' THEN '  ' "
+    "CASE WHEN o_orderstatus = 'P' THEN '' WHEN o_orderpriority LIKE '1%' THEN ' ' || chr(9) "
     "ELSE CAST(o_custkey % 10 AS VARCHAR) END, "
     "CASE WHEN o_orderpriority LIKE '5%' THEN '' ELSE o_orderstatus END) AS line FROM orders), "
     "fl AS (SELECT o_orderkey, line, string_split(line, ',') AS f FROM lines)")
 
 
 def _b2z(e: str) -> str:
-    return f"CASE WHEN trim({e}) = '' THEN 0.0 ELSE CAST(trim({e}) AS DOUBLE) END"
+    t = f"regexp_replace({e}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
+    return f"CASE WHEN {t} = '' THEN 0.0 ELSE CAST({t} AS DOUBLE) END"
 
 
-def _lloyd_part(scaled: bool, k_values: list[int]) -> str:
-    return "WITH " + part_points(scaled) + ", " + lloyd_ctes(2, k_values, P.LLOYD_ITERS)
+def _lloyd_part(scaled: bool, k_list: str) -> str:
+    return "WITH " + part_points(scaled) + ", " + lloyd_ctes(2, k_list, P.LLOYD_ITERS)
 
 
 def _anomaly_base() -> str:
     k = P.LLOYD_K
-    return (_lloyd_part(True, [k]) +
+    return (_lloyd_part(True, f"[{k}]") +
             f", thr AS (SELECT min(dist) AS threshold FROM "
             f"(SELECT sqrt(d2) AS dist FROM fin ORDER BY dist DESC LIMIT {P.N_TOP}))")
 
@@ -181,7 +191,7 @@ def _stream_final(alpha: float, points: bool = False) -> str:
 
 def oracle_sql() -> dict[str, str]:
     k, n_top = P.LLOYD_K, P.N_TOP
-    sweep = P.SWEEP_K
+    sweep = rule_k("part")
     q: dict[str, str] = {}
 
     # ---- scaling ------------------------------------------------------
@@ -220,8 +230,46 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT p_partkey, CAST({len(P.PART_COLS)} + {width} AS BIGINT) AS width, "
         f"CAST((CASE WHEN p_size <> 0 THEN 1 ELSE 0 END) + (CASE WHEN p_retailprice <> 0 THEN 1 ELSE 0 END) "
         f"+ {len(P.PART_CATS)} AS BIGINT) AS nnz, "
+        f"concat_ws(',', CASE WHEN p_size <> 0 THEN '0' END, CASE WHEN p_retailprice <> 0 THEN '1' END, "
+        f"CAST(2 + b.i AS VARCHAR), CAST(2 + (SELECT count(DISTINCT p_brand) FROM part) + t.i AS VARCHAR)) AS slots, "
         f"round(sqrt(CAST(p_size AS DOUBLE) * p_size + p_retailprice * p_retailprice + {len(P.PART_CATS)}), 6) AS norm "
-        f"FROM part")
+        f"FROM part JOIN (SELECT p_brand, dense_rank() OVER (ORDER BY p_brand) - 1 AS i FROM (SELECT DISTINCT p_brand FROM part)) b USING (p_brand) "
+        f"JOIN (SELECT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS i FROM (SELECT DISTINCT p_type FROM part)) t USING (p_type)")
+
+    # ---- fitted report, incomplete rows, null and unseen categories ---
+    q["default_report"] = (
+        "WITH " + emb_fitted() + f" SELECT CAST(asg.cluster AS BIGINT) AS cluster, label, CAST(count(*) AS BIGINT) AS cnt, "
+        f"round(any_value(c.x0), 6) AS c0, round(any_value(c.x{P.EMB_DIM - 1}), 6) AS c63 "
+        f"FROM asg JOIN c{P.LLOYD_ITERS} c ON c.cluster = asg.cluster GROUP BY asg.cluster, label")
+    q["lloyd_incomplete_rows"] = (
+        "WITH pts AS (SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x0, CAST(p_retailprice AS DOUBLE) AS x1 "
+        "FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 13 <> 0), " + lloyd_ctes(2, f"[{P.LLOYD_K}]", P.LLOYD_ITERS) +
+        " SELECT p_partkey, CAST(cluster AS BIGINT) AS cluster, round(sqrt(d2), 4) AS dist FROM part LEFT JOIN fin ON fin.id = p_partkey")
+    q["category_null_unseen"] = (
+        "WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_type END AS c FROM part), "
+        "d AS (SELECT c, row_number() OVER (ORDER BY c NULLS FIRST) - 1 AS i FROM (SELECT DISTINCT c FROM p WHERE p_partkey % 16 = 0)) "
+        "SELECT p_partkey, CAST(coalesce(i, (SELECT count(*) FROM d)) AS BIGINT) AS slot FROM p LEFT JOIN d ON d.c IS NOT DISTINCT FROM p.c")
+
+    # ---- facts of random starts --------------------------------------
+    for name in ("scaled", "raw"):
+        q[f"restart_facts_{name}"] = (f"SELECT CAST(unnest({rule_k('part')}) AS BIGINT) AS k, (SELECT count(*) FROM part) AS n, "
+                                      "true AS settled, true AS best, true AS complete")
+    q["kmeans_fit_facts"] = "SELECT CAST(2 AS BIGINT) AS k, count(*) AS n, true AS both_used, true AS settled FROM lineitem"
+    q["lineitem_anomaly_facts"] = ("SELECT CAST(floor(sqrt(count(*) // 2)) AS BIGINT) AS k, count(*) AS n, true AS all_assigned, "
+                                   "true AS fewer_above, true AS n_at_least FROM lineitem")
+    q["record_anomaly_facts"] = "SELECT count(*) AS n, count(*) AS lines, true AS fewer_above, true AS n_at_least FROM orders"
+    q["pca_norms"] = (f"SELECT p_partkey, round(sqrt(CAST(p_size AS DOUBLE) * p_size + p_retailprice * p_retailprice "
+                      f"+ {len(P.PART_CATS)}), 4) AS norm FROM part")
+    q["pca_mahalanobis"] = (
+        "WITH " + part_points(False) + ", m AS (SELECT avg(x0) AS m0, avg(x1) AS m1, var_pop(x0) AS a, covar_pop(x0, x1) AS b, "
+        "var_pop(x1) AS c FROM pts) SELECT id AS p_partkey, round((c * (x0 - m0) * (x0 - m0) - 2 * b * (x0 - m0) * (x1 - m1) "
+        "+ a * (x1 - m1) * (x1 - m1)) / (a * c - b * b), 4) AS d2 FROM pts, m")
+    varied = " + ".join([f"(SELECT CASE WHEN count(DISTINCT {c}) > 1 THEN 1 ELSE 0 END FROM part)" for c in P.PART_COLS] +
+                        [f"(SELECT CASE WHEN count(DISTINCT {c}) > 1 THEN count(DISTINCT {c}) ELSE 0 END FROM part)" for c in P.PART_CATS])
+    q["elbow_encoded_k1"] = (f"SELECT CAST(1 AS BIGINT) AS k, count(*) AS n, round(CAST(count(*) * ({varied}) AS DOUBLE), 3) AS cost FROM part")
+    q["entropy_encoded_k1"] = (
+        "WITH c AS (SELECT o_orderpriority, count(*) AS cnt FROM orders GROUP BY o_orderpriority), t AS (SELECT sum(cnt) AS n FROM c) "
+        "SELECT CAST(1 AS BIGINT) AS k, round(-sum((cnt / n) * ln(cnt / n)), 6) AS score FROM c, t")
 
     # ---- records parsed from lines built out of orders ---------------
     q["split_fields"] = (
@@ -239,25 +287,31 @@ def oracle_sql() -> dict[str, str]:
         "WITH " + ORDERS_LINE + f" SELECT f[4] AS label, {_b2z('f[1]')} AS orderkey, "
         f"{_b2z('f[2]')} AS custkey, {_b2z('f[5]')} AS bucket FROM fl")
 
+    q["trade_records"] = (
+        "SELECT concat_ws('-', l_orderkey, l_linenumber) AS label, l_returnflag || l_linestatus AS product_type, l_returnflag AS buy_sell, l_linestatus AS audit_action, "
+        "'' AS currency, CAST(strftime(l_shipdate, '%Y%m%d') AS BIGINT) AS trade_date, CAST(l_quantity AS DOUBLE) AS quantity, "
+        "CAST(l_extendedprice AS DOUBLE) AS notional, CASE WHEN l_returnflag = 'R' THEN 0.0 ELSE CAST(l_tax AS DOUBLE) END AS sec_amount, "
+        "CASE WHEN l_returnflag = 'A' THEN 0.0 ELSE CAST(l_linenumber AS DOUBLE) END AS trade_version, CAST(27 AS BIGINT) AS n_columns FROM lineitem")
+
     # ---- vectors on embeddings ---------------------------------------
     d = P.EMB_DIM
     q["vector_distance"] = (
         "WITH " + emb_points() +
         f", first_row AS (SELECT * FROM pts ORDER BY id LIMIT 1) "
         f"SELECT p.id AS vec_id, round(sqrt({_d2(d, 'p', 'c')}), 6) AS dist FROM pts p, first_row c")
-    q["assign_nearest"] = "WITH " + emb_points() + " SELECT id AS vec_id, CAST(cluster AS BIGINT) AS cluster FROM asg"
-    q["dist_to_centroid"] = ("WITH " + emb_points() + " SELECT id AS vec_id, CAST(cluster AS BIGINT) AS cluster, "
+    q["assign_nearest"] = "WITH " + emb_points() + " SELECT id AS vec_id, CAST(cluster AS BIGINT) AS cluster FROM asg0"
+    q["dist_to_centroid"] = ("WITH " + emb_fitted() + " SELECT id AS vec_id, CAST(cluster AS BIGINT) AS cluster, "
                              "round(sqrt(d2), 6) AS dist FROM asg")
-    q["mean_distance"] = ("WITH " + emb_points() +
+    q["mean_distance"] = ("WITH " + emb_fitted() +
                           f" SELECT CAST({P.EMB_K} AS BIGINT) AS k, round(avg(sqrt(d2)), 6) AS mean_dist FROM asg")
-    q["cluster_label_count"] = ("WITH " + emb_points() + " SELECT CAST(cluster AS BIGINT) AS cluster, label, "
+    q["cluster_label_count"] = ("WITH " + emb_fitted() + " SELECT CAST(cluster AS BIGINT) AS cluster, label, "
                                 "CAST(count(*) AS BIGINT) AS cnt FROM asg GROUP BY cluster, label")
     q["label_entropy"] = (
         "WITH c AS (SELECT label, count(*) AS cnt FROM embeddings GROUP BY label), "
         "t AS (SELECT sum(cnt) AS n FROM c) "
         "SELECT round(-sum((cnt / n) * ln(cnt / n)), 6) AS entropy, CAST(max(n) AS BIGINT) AS n FROM c, t")
     q["weighted_entropy"] = (
-        "WITH " + emb_points() + ", cnt AS (SELECT cluster, label, count(*) AS cnt FROM asg GROUP BY cluster, label), "
+        "WITH " + emb_fitted() + ", cnt AS (SELECT cluster, label, count(*) AS cnt FROM asg GROUP BY cluster, label), "
         "sz AS (SELECT cluster, sum(cnt) AS size FROM cnt GROUP BY cluster), "
         "ent AS (SELECT cnt.cluster, sz.size, -sum((cnt / size) * ln(cnt / size)) AS entropy "
         "FROM cnt JOIN sz USING (cluster) GROUP BY cnt.cluster, sz.size) "
@@ -265,12 +319,12 @@ def oracle_sql() -> dict[str, str]:
 
     # ---- fixed-start Lloyd on part -----------------------------------
     q["lloyd_fixed_init"] = (
-        _lloyd_part(False, [k]) +
+        _lloyd_part(False, f"[{k}]") +
         f", sizes AS (SELECT cluster, count(*) AS n FROM fin GROUP BY cluster) "
         f"SELECT CAST(c.cluster AS BIGINT) AS cluster, round(c.x0, 4) AS c_size, round(c.x1, 4) AS c_price, "
         f"CAST(coalesce(s.n, 0) AS BIGINT) AS n FROM c{P.LLOYD_ITERS} c LEFT JOIN sizes s USING (cluster)")
     q["centers_csv"] = (
-        _lloyd_part(False, [k]) +
+        _lloyd_part(False, f"[{k}]") +
         f" SELECT CAST(cluster AS BIGINT) AS cluster, concat_ws(',', CAST(CAST(round(x0) AS BIGINT) AS VARCHAR), "
         f"CAST(CAST(round(x1) AS BIGINT) AS VARCHAR)) AS center_csv FROM c{P.LLOYD_ITERS}")
     q["elbow_scores"] = (_lloyd_part(False, sweep) +
@@ -278,7 +332,7 @@ def oracle_sql() -> dict[str, str]:
     q["elbow_scores_scaled"] = (_lloyd_part(True, sweep) +
                                 " SELECT CAST(k AS BIGINT) AS k, round(avg(sqrt(d2)), 6) AS score FROM fin GROUP BY k")
     q["scatter_points"] = (
-        _lloyd_part(True, [k]) +
+        _lloyd_part(True, f"[{k}]") +
         " SELECT 'row' AS kind, id, round(x0, 6) AS x, round(x1, 6) AS y, CAST(cluster AS BIGINT) AS cluster FROM fin "
         f"UNION ALL SELECT 'centre', CAST(cluster AS BIGINT), round(x0, 6), round(x1, 6), CAST(cluster AS BIGINT) "
         f"FROM c{P.LLOYD_ITERS}")
@@ -319,7 +373,11 @@ def oracle_sql() -> dict[str, str]:
     alpha = 0.5 ** (1.0 / P.STREAM_HALF_LIFE)
     q["stream_kmeans_halflife"] = _stream_final(alpha)
     q["stream_kmeans_decay1"] = _stream_final(1.0)
-    q["stream_latest_model"] = q["stream_kmeans_halflife"]
+    # the state after the last but one day, from the rows of the state table up to it
+    q["stream_latest_model"] = (
+        _stream_recursive(alpha) + ", ks AS (SELECT b, CAST(0 AS BIGINT) AS cluster, c0 AS c, w0 AS w FROM st WHERE b > 0 "
+        "UNION ALL SELECT b, CAST(1 AS BIGINT), c1, w1 FROM st WHERE b > 0) "
+        "SELECT days.day, CAST(ks.b AS BIGINT) AS step, cluster, round(c, 6) AS center, round(w, 6) AS weight FROM ks JOIN days USING (b)")
     q["stream_kmeans_points"] = _stream_final(P.STREAM_POINTS_DECAY, points=True)
     q["stream_file_rows"] = (
         "WITH " + ORDERS_LINE + f" SELECT CAST(f[1] AS BIGINT) AS line_key, CAST(len(f) AS BIGINT) AS n_fields, "
@@ -356,11 +414,34 @@ def oracle_sql() -> dict[str, str]:
         "WITH " + _stream_days() + ", sd AS (SELECT b, stddev_samp(x0) AS s FROM evb GROUP BY b) "
         "SELECT e.event_id, e.day, round(CASE WHEN sd.s > 0 THEN e.x0 / sd.s ELSE 0.0 END, 6) AS scaled "
         "FROM evb e JOIN sd USING (b)")
+    q["stream_prepared_rows"] = (
+        "WITH " + ORDERS_LINE + f", pts AS (SELECT CAST(f[1] AS BIGINT) AS id, {_b2z('f[2]')} AS x0, {_b2z('f[5]')} AS x1 FROM fl), "
+        "m AS (SELECT avg(x0) AS m0, avg(x1) AS m1, var_pop(x0) AS a, covar_pop(x0, x1) AS b, var_pop(x1) AS c FROM pts) "
+        "SELECT id AS line_key, round((c * (x0 - m0) * (x0 - m0) - 2 * b * (x0 - m0) * (x1 - m1) "
+        "+ a * (x1 - m1) * (x1 - m1)) / (a * c - b * b), 4) AS d2 FROM pts, m")
+    q["stream_kmeans_update"] = (
+        f"SELECT CAST({P.STREAM_PARTS} AS BIGINT) AS steps, count(*) AS rows, round(CAST(count(*) + {P.STREAM_K} AS DOUBLE), 6) AS weight, "
+        "count(*) AS predicted FROM orders")
+    q["stream_record_anomalies"] = (
+        "WITH " + ORDERS_LINE + f", raw AS (SELECT o_orderkey % {P.STREAM_PARTS} AS g, CAST(f[1] AS BIGINT) AS id, line, "
+        f"{_b2z('f[2]')} AS y0, {_b2z('f[5]')} AS y1 FROM fl), "
+        "zs AS (SELECT g, avg(y0) AS m0, stddev_pop(y0) AS s0, avg(y1) AS m1, stddev_pop(y1) AS s1 FROM raw GROUP BY g), "
+        "pts AS (SELECT raw.g, id, CASE WHEN s0 <= 0 THEN y0 - m0 ELSE (y0 - m0) / s0 END AS x0, "
+        "CASE WHEN s1 <= 0 THEN y1 - m1 ELSE (y1 - m1) / s1 END AS x1 FROM raw JOIN zs USING (g)), " +
+        grouped_lloyd_ctes(2, P.STREAM_ANOMALY_K, P.LLOYD_ITERS) +
+        f", thr AS (SELECT g, min(dist) AS threshold FROM (SELECT g, sqrt(d2) AS dist, "
+        f"row_number() OVER (PARTITION BY g ORDER BY sqrt(d2) DESC) AS r FROM fin) "
+        f"WHERE r <= {P.STREAM_N_TOP} GROUP BY g) "
+        "SELECT lines.line, CAST(fin.cluster AS BIGINT) AS cluster, round(sqrt(fin.d2), 6) AS dist "
+        "FROM fin JOIN thr USING (g) JOIN lines ON lines.o_orderkey = fin.id WHERE sqrt(fin.d2) > thr.threshold")
+    q["stream_anomaly_facts"] = (f"SELECT CAST(o_orderkey % {P.STREAM_PARTS} AS BIGINT) AS batch, count(*) AS rows, true AS fewer_than_n, "
+                                 f"true AS lines_kept FROM orders GROUP BY 1, o_orderkey % {P.STREAM_PARTS}")
+    q["stream_pca_facts"] = ("WITH " + _stream_days() + " SELECT day, CAST(count(*) AS BIGINT) AS rows, true AS finite FROM evb GROUP BY day")
     emb_pts = ("pts AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS label, " +
                ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(P.EMB_DIM)) +
                " FROM embeddings)")
     q["entropy_sweep"] = (
-        "WITH " + emb_pts + ", " + lloyd_ctes(P.EMB_DIM, sweep, P.LLOYD_ITERS) +
+        "WITH " + emb_pts + ", " + lloyd_ctes(P.EMB_DIM, rule_k("embeddings"), P.LLOYD_ITERS) +
         ", lab AS (SELECT fin.k, fin.cluster, pts.label FROM fin JOIN pts USING (id)), "
         "cnt AS (SELECT k, cluster, label, count(*) AS cnt FROM lab GROUP BY k, cluster, label), "
         "sz AS (SELECT k, cluster, sum(cnt) AS size FROM cnt GROUP BY k, cluster), "

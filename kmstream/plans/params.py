@@ -6,8 +6,10 @@ PART_COLS = ["p_size", "p_retailprice"]
 PART_CATS = ["p_brand", "p_type"]
 
 LLOYD_K = 4          # fixed-start Lloyd on part
-LLOYD_ITERS = 3      # fixed number of updates (oracle chains this many CTEs)
-SWEEP_K = list(range(1, 9))
+LLOYD_ITERS = 20     # updates (the oracle chains this many CTEs; converged models no longer move)
+RESTARTS = 10        # random starts per model
+RESTART_TOL = 1e-6
+PCA_M = 5            # components of encoded rows
 N_TOP = 100          # anomaly threshold: N-th largest distance
 
 # embeddings: 64-dim float32 widened to double; centres = lowest vec_id rows
@@ -16,6 +18,7 @@ EMB_K = 10
 
 # events stream replay: one batch per UTC day, 1-D on `value`
 STREAM_K = 2
+STREAM_PARTS = 3      # micro-batches of a replay
 STREAM_STARTS = [[10.0], [200.0]]
 STREAM_WEIGHTS = [1.0, 1.0]
 STREAM_HALF_LIFE = 5.0

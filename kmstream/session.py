@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults a cluster deployment would normally set itself; every value can be
 # overridden through ``extra`` or spark-defaults.
@@ -45,15 +47,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (shared
-    storage). Only when nothing is configured -- local runs and tests -- a
-    private folder is created and registered.
+    storage); without it a cluster run is refused, since a folder of the
+    driver's own would be invisible to executors. Local runs and tests get a
+    private folder, deleted when the process ends.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="kmstream-ckpt-")
+            atexit.register(shutil.rmtree, d, ignore_errors=True)
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
@@ -63,3 +69,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "kmstream", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` below the shared folder and read it back: (frame, folder)."""
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a folder written by :func:`stored` that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

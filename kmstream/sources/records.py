@@ -60,10 +60,11 @@ TRADE_LAYOUT: list[tuple[str, str]] = [
 class Layout:
     fields: tuple[tuple[str, str], ...]
     sep: str = ","
+    encode_label: bool = False   # D4: the label among the encoded columns
 
     @staticmethod
-    def of(fields: Sequence[tuple[str, str]], sep: str = ",") -> "Layout":
-        return Layout(tuple((n, r) for n, r in fields), sep)
+    def of(fields: Sequence[tuple[str, str]], sep: str = ",", encode_label: bool = False) -> "Layout":
+        return Layout(tuple((n, r) for n, r in fields), sep, encode_label)
 
     @property
     def width(self) -> int:
@@ -79,7 +80,7 @@ class Layout:
     @property
     def categorical(self) -> list[str]:
         """Encoded columns; the label is one of them only when asked (D4)."""
-        return self.names(CATEGORY)
+        return self.names(CATEGORY, LABEL) if self.encode_label else self.names(CATEGORY)
 
     @property
     def label(self) -> str | None:
@@ -106,15 +107,20 @@ def last_field(line: Column, sep: str = ",") -> Column:
     return F.element_at(F.split(stripped, r), -1)
 
 
+def _trimmed(field: Column) -> Column:
+    """Without leading and trailing white space and control characters (code points up to a space)."""
+    return F.regexp_replace(field, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+
+
 def blank_to_zero(field: Column) -> Column:
     """C-4 / C-5: trimmed blank -> 0.0, else the number (ANSI cast raises on junk)."""
-    t = F.trim(field)
+    t = _trimmed(field)
     return F.when(t == "", F.lit(0.0)).otherwise(t.cast("double"))
 
 
 def blank_to_zero_or_null(field: Column) -> Column:
     """Permissive form: junk -> NULL (used by ``mode='drop'``)."""
-    t = F.trim(field)
+    t = _trimmed(field)
     return F.when(t == "", F.lit(0.0)).otherwise(t.try_cast("double"))
 
 
@@ -144,9 +150,3 @@ def parse_records(df: DataFrame, layout: Layout = TRADE, line_col: str = "value"
         return checked.select(*([F.col(line_col)] if keep_line else []), *cols)
     out = base.where(width_ok).select(*([F.col(line_col)] if keep_line else []), *cols)
     return out.dropna(subset=layout.numeric) if layout.numeric else out
-
-
-def numeric_frame(parsed: DataFrame, layout: Layout, with_label: bool = True) -> DataFrame:
-    """C-3 / C-6: keep label and the numeric columns only."""
-    sel = ([F.col(layout.label).alias("label")] if with_label and layout.label else [])
-    return parsed.select(*sel, *layout.numeric)

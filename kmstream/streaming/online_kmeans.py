@@ -8,10 +8,10 @@ A cluster without rows keeps c and gets w' = a*w. Optionally, when the
 smallest weight falls below 1e-8 of the largest, the largest cluster is
 split into two (the library behaviour).
 
-Per batch the work is one scan: nearest-centre assignment as a codegen'd
-projection, then a ``groupBy(cluster)`` with partial aggregation -- each task
-emits at most k rows, so a hot cluster holding a third of the rows costs no
-more than any other. Only k x d sums reach the driver.
+Per batch the work is one scan: each task reduces its rows to at most k sums,
+so a hot cluster holding a third of the rows costs no more than any other, and
+only k x d sums reach the driver. Rows with a null or NaN feature are left out
+of the update (and of the count) and predicted as null.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from typing import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from kmstream.functions.vectors import as_cols, elements, nearest_any, to_double, with_assignment
+from kmstream.functions.vectors import as_cols, to_double, with_assignment
+from kmstream.operators.cluster import _flat, _sums
 
 
 @dataclass
@@ -70,16 +70,9 @@ class OnlineKMeans:
     @staticmethod
     def batch_sums(batch: DataFrame, cols, centers: Sequence[Sequence[float]]) -> dict:
         """{cluster: (sum vector, count)} of the batch under the given centres."""
-        xs = to_double(as_cols(cols))
-        near = nearest_any(xs, centers)
-        exprs = [e.alias(f"_x{i}") for i, e in enumerate(elements(xs))]
-        proj = batch.select(*exprs, near["cluster"].alias("_cluster"))
-        got = (proj.groupBy("_cluster")
-               .agg(F.count(F.lit(1)).alias("_m"),
-                    *[F.sum(f"_x{i}").alias(f"_s{i}") for i in range(len(exprs))])
-               .collect())
-        return {int(r["_cluster"]): ([float(r[f"_s{i}"]) for i in range(len(exprs))], int(r["_m"]))
-                for r in got}
+        flat, d, array = _flat(batch, cols)
+        rows = _sums(flat, d, array, {0: centers}, {0: 0})
+        return {int(r["cluster"]): ([float(r[f"s{i}"]) for i in range(d)], int(r["n"])) for r in rows}
 
     def apply(self, state: StreamState, sums: dict) -> StreamState:
         """The decayed update on the driver (k x d numbers)."""

@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kmstream.functions.vectors import ArrayVec, sq_distance, with_assignment
+from kmstream.functions.vectors import ArrayVec, nearest_centers, sq_distance, with_assignment
 from kmstream.operators.anomaly import AnomalyDetector, topn_threshold
-from kmstream.operators.cluster import (CODEGEN_LITERAL_MAX, assemble, explode_assignments,
-                                        fit_kmeans, lloyd, mean_centers)
+from kmstream.operators.cluster import (assemble, fit_kmeans, label_counts, lloyd, mean_centers,
+                                        score_centers)
 from kmstream.operators.score import cluster_label_count, label_entropy, weighted_entropy
 
 
@@ -45,7 +45,6 @@ def test_many_models_share_scans_and_match_single(pts):
     X, df = pts
     starts = X[:8].tolist()
     many = lloyd(df, ["x", "y"], {k: starts[:k] for k in range(1, 9)}, max_iter=4, tol=0.0)
-    assert sum(len(v) for v in [starts[:k] for k in range(1, 9)]) * 2 > CODEGEN_LITERAL_MAX
     for k in (2, 5):
         one = lloyd(df, ["x", "y"], {k: starts[:k]}, max_iter=4, tol=0.0)[k]
         assert np.allclose(many[k].centers, one.centers)
@@ -84,12 +83,45 @@ def test_array_vector_path_equals_columns(pts):
     assert np.allclose([r["dist"] for r in a], [r["dist"] for r in b])
 
 
-def test_explode_assignments_both_paths(pts):
+@pytest.mark.parametrize("k", [2, 600])
+def test_model_size_does_not_change_the_rule(k):
+    """Grid points tie often: the lowest id wins and sums run left to right, for any k."""
+    rng = np.random.default_rng(k)
+    X = rng.integers(0, 4, (3000, 3)).astype(float)
+    C = rng.integers(0, 4, (k, 3)) + 0.5
+    d2 = np.zeros((len(X), k))
+    for i in range(3):
+        d2 = d2 + (X[:, i, None] - C[None, :, i]) ** 2
+    cluster, best = nearest_centers(X, C)
+    assert (cluster == d2.argmin(1)).all() and (best == d2.min(1)).all()
+
+
+@pytest.mark.parametrize("k", [2, 600])
+def test_incomplete_rows_train_nothing(spark, k):
+    rows = [(float(i),) for i in range(100, 150)] + [(None,), (float("nan"),)]
+    df = spark.createDataFrame(rows, "x double")
+    starts = [[100.0 + i * 50 / k] for i in range(k)]
+    res = lloyd(df, ["x"], {k: starts}, max_iter=1, tol=0.0)[k]
+    want = np_lloyd(np.arange(100.0, 150.0)[:, None], starts, 1)
+    assert np.allclose(res.centers, want) and res.n == 50
+    near = with_assignment(df, [F.col("x")], starts).filter("x is null or isnan(x)").collect()
+    assert [(r["cluster"], r["dist"]) for r in near] == [(None, None)] * 2
+
+
+def test_label_counts_match_brute_force(pts):
     X, df = pts
-    models = {k: X[:k].tolist() for k in range(1, 9)}       # NumPy path
-    ex = explode_assignments(df, ["x", "y"], models, keep=["id"]).where("k = 3").orderBy("id")
-    small = explode_assignments(df, ["x", "y"], {3: models[3]}, keep=["id"]).orderBy("id")
-    assert [r["cluster"] for r in ex.collect()] == [r["cluster"] for r in small.collect()]
+    df = df.withColumn("label", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise((F.col("id") % 5).cast("string")))
+    models = {k: X[:k].tolist() for k in (1, 4)}
+    got = {(r["k"], r["cluster"], r["label"]): r["cnt"] for r in label_counts(df, ["x", "y"], models, "label").collect()}
+    want = {}
+    for k, C in models.items():
+        cl, _ = nearest_centers(X, np.array(C))
+        for i, c in enumerate(cl):
+            at = (k, int(c), None if i % 3 == 0 else str(i % 5))
+            want[at] = want.get(at, 0) + 1
+    assert got == want
+    scored = score_centers(df, ["x", "y"], models)
+    assert scored[4].sizes == [sum(n for (k, c, _), n in want.items() if k == 4 and c == j) for j in range(4)]
 
 
 def test_k1_is_mean(pts):
@@ -135,7 +167,6 @@ def test_topn_threshold_and_detector(pts):
 
 
 def test_detector_rule_of_thumb_k(pts):
-    _, df = pts
-    det = AnomalyDetector(["x", "y"], k=None, n_top=5, init="k-means||", runs=1, k_max=4)
-    model = det.fit(df)
-    assert len(model.centers) == 4       # rule gives 8, capped at 4
+    X, df = pts
+    det = AnomalyDetector(["x", "y"], k=None, n_top=5, init="k-means||", runs=2)
+    assert len(det.fit(df).centers) == math.isqrt(len(X) // 2) == 8

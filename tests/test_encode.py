@@ -38,3 +38,19 @@ def test_encoded_width(spark):
     rows = vec.select("n", "features").orderBy("n").collect()
     assert all(r["features"].size == 1 + 3 + 2 for r in rows)
     assert rows[0]["features"].numNonzeros() == 2      # n == 0 is not stored
+
+
+def test_null_is_a_category(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, "")], "id long, c string")
+    model = CategoryEncoder(["c"]).fit(df)
+    assert model.sizes == {"c": 3}
+    assert [r["c_idx"] for r in model.index(df).orderBy("id").collect()] == [0, 2, 1]
+    only = CategoryEncoder(["c"]).fit(df.filter("c is not null"))
+    assert only.index(df, handle_invalid="keep").orderBy("id").first()["c_idx"] == 2
+
+
+def test_one_hot_slots(spark):
+    from pyspark.ml.functions import vector_to_array
+    df = spark.createDataFrame([(1, "b"), (2, "a")], "id long, c string")
+    rows = CategoryEncoder(["c"]).fit(df).one_hot(df).orderBy("id").select(vector_to_array("c_vec")).collect()
+    assert [r[0] for r in rows] == [[0.0, 1.0], [1.0, 0.0]]

@@ -24,6 +24,7 @@ def test_layout_roles():
     assert TRADE.width == 28
     assert len(TRADE.numeric) == 10
     assert len(TRADE.categorical) == 16 and TRADE.label == "trade_id"
+    # fixed values: the numeric fields of the record
     assert TRADE.numeric == ["trade_date", "start_date", "quantity", "trade_version",
                              "effective_date", "original_notional", "notional", "sec_amount",
                              "notional_cftr", "remaining_notional_cftr"]
@@ -96,3 +97,15 @@ def test_text_source_and_kafka_decode(spark):
     assert decode_kafka_value(raw).first()["value"] == lines[0]
     cf = spark.createDataFrame([(0, [1.0, 2.5])], "cluster long, center array<double>")
     assert centers_text(cf).first()["line"] == "1.0,2.5"
+
+
+def test_any_white_space_is_blank(spark):
+    df = spark.createDataFrame([("\t",), (" \t\r",), ("",), (" 7\t",)], "f string")
+    assert [r[0] for r in df.select(blank_to_zero(F.col("f"))).collect()] == [0.0, 0.0, 0.0, 7.0]
+
+
+def test_label_can_be_encoded():
+    from kmstream.sources.records import TRADE_LAYOUT, Layout
+    both = Layout.of(TRADE_LAYOUT, encode_label=True)
+    assert len(both.categorical) == 17 and "trade_id" in both.categorical
+    assert "trade_id" not in TRADE.categorical

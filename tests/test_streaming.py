@@ -56,12 +56,11 @@ def test_k1_alpha1_is_global_mean_for_any_split(spark):
 
 def _write_days(spark, path, days):
     ev = spark.read.parquet(f"{SF}/events.parquet").select(
-        "event_id", F.col("value").cast("double").alias("value"), F.to_date("ts").alias("day"))
+        "event_id", F.col("value").cast("double").alias("value"), "event_type", F.to_date("ts").alias("day"))
     ev.where(F.col("day").isin(days)).write.mode("append").partitionBy("day").parquet(path)
 
 
 def _job(out):
-    from kmstream.plans.stream import EVENT_SCHEMA  # noqa: F401
     model = OnlineKMeans(2, half_life=5.0)
     return KMeansStreamJob(model, StreamState([[10.0], [200.0]], [1.0, 1.0]), ["value"], out,
                            key_cols=["event_id"], batch_key="day")
@@ -128,8 +127,11 @@ def test_frozen_features_match_vector_projection(spark):
     for r in both:
         assert r["pc1"] == pytest.approx((r["r1"] - z.means[0]) / z.sds[0], abs=1e-9)
         assert r["pc2"] == pytest.approx((r["r2"] - z.means[1]) / z.sds[1], abs=1e-9)
-    unseen = spark.createDataFrame([(1.0, "zzz")], "v double, t string")
-    assert model.transform(unseen).count() == 1          # unseen category contributes 0
+    unseen = spark.createDataFrame([(1.0, "zzz"), (1.0, None)], "v double, t string").collect()
+    got = model.transform(spark.createDataFrame(unseen, "v double, t string")).collect()   # they contribute 0
+    for r in got:
+        for j in (0, 1):
+            assert r[f"pc{j + 1}"] == pytest.approx((model.pca.components[0, j] - z.means[j]) / z.sds[j], abs=1e-9)
 
 
 def test_dying_cluster_is_split():
@@ -153,4 +155,74 @@ def test_console_sink_prints_batches(spark):
                              .select(F.to_date("ts")).distinct().limit(2).collect()])
     q = console(read_parquet_stream(spark, src, EVENT_SCHEMA), rows=3, available_now=True,
                 checkpoint=ck)
-    assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
+    assert sum(p["numInputRows"] for p in q.recentProgress) > 0
+
+
+def test_null_batch_key_is_a_piece_of_its_own(spark):
+    rows = [(i, float(i), "a" if i < 10 else "b") for i in range(20)] + [(20, 7.0, None)]
+    df = spark.createDataFrame(rows, "event_id long, value double, day string")
+    out = scratch_dir(spark, "t-null")
+    _job(out).process(df, 0)
+    met = spark.read.parquet(out + "/metrics").orderBy("step").collect()
+    assert [(r["batch_label"], r["rows"], r["running"]) for r in met] == [("null", 1, 1), ("a", 10, 11), ("b", 10, 21)]
+    assert all(r["processed_at"] is not None for r in met)                       # I-4
+    assert spark.read.parquet(out + "/predictions").filter("cluster is null").count() == 0
+
+
+def test_incomplete_rows_are_left_out_of_the_update(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (None,), (float("nan"),)], "x double")
+    st = OnlineKMeans(1, decay_factor=1.0).update(StreamState([[0.0]], [0.0]), df, ["x"])
+    assert st.centers == [[2.0]] and st.weights == [2.0] and st.rows_seen == 2
+
+
+def test_empty_micro_batch_changes_nothing(spark):
+    out = scratch_dir(spark, "t-empty")
+    job = _job(out)
+    ev = spark.createDataFrame([(1, 5.0, "a")], "event_id long, value double, day string")
+    job.process(ev, 0)
+    before = _final(spark, out)
+    job.process(ev.filter("false"), 1)
+    assert _final(spark, out) == before
+    assert [r[0] for r in spark.read.parquet(out + "/metrics").select("epoch").collect()] == [0]
+
+
+def test_key_split_over_micro_batches_is_two_updates(spark):
+    """What the job's documentation says: cut the source at key borders where that matters."""
+    day = spark.createDataFrame([(i, float(i), "a") for i in range(4)], "event_id long, value double, day string")
+    out = scratch_dir(spark, "t-split")
+    job = _job(out)
+    job.process(day.filter("event_id < 2"), 0)
+    job.process(day.filter("event_id >= 2"), 1)
+    assert [r["batch_label"] for r in spark.read.parquet(out + "/metrics").orderBy("step").collect()] == ["a", "a"]
+
+
+def test_refitted_features_text_lines_and_texts(spark):
+    """Text lines -> refitted encode + PCA + z-score -> update -> anomalies with the original line."""
+    from kmstream.sources.records import CATEGORY, LABEL, NUMERIC, Layout
+    from kmstream.streaming.jobs import AnomalyConfig
+    from kmstream.streaming.prepare import FrozenFeatures
+    layout = Layout.of([("id", NUMERIC), ("x", NUMERIC), ("kind", CATEGORY), ("label", LABEL)])
+    lines = spark.createDataFrame([(f"{i},{i % 9 if i != 33 else 500},{'pq'[i % 2]},z",) for i in range(60)], "value string")
+    out = scratch_dir(spark, "t-lines")
+    job = KMeansStreamJob(OnlineKMeans(2), random_centers(2, 2, 1.0), ["x"], out, key_cols=["id", "value"], layout=layout,
+                          prepare=FrozenFeatures(["x"], ["kind"], 2), texts=True,
+                          anomaly=AnomalyConfig(2, 2, order_by="id", init="k-means||", runs=3))
+    job.process(lines, 0)
+    job.process(lines.limit(20), 1)          # another width is fine: the features are refitted
+    found = spark.read.parquet(out + "/anomalies").filter("epoch = 0").collect()
+    assert len(found) == 1 and found[0]["value"].startswith(f"{int(found[0]['id'])},")
+    assert spark.read.parquet(out + "/prepared").count() == 80
+    assert spark.read.parquet(out + "/scatter").filter("kind = 'centre'").count() == 4
+    assert spark.read.text(out + "/centers_text/epoch=0").count() == 2
+
+
+def test_processing_time_trigger(spark):
+    from kmstream.plans.stream import EVENT_SCHEMA
+    src, out = scratch_dir(spark, "t-src"), scratch_dir(spark, "t-out")
+    day = spark.read.parquet(f"{SF}/events.parquet").select(F.to_date("ts")).first()[0]
+    _write_days(spark, src, [day])
+    q = run_stream(read_parquet_stream(spark, src, EVENT_SCHEMA), _job(out), out + "/_ck", available_now=False,
+                   processing_time="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(out + "/metrics").count() == 1
