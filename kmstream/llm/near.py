@@ -11,12 +11,11 @@ clearly below the threshold (4.5 standard errors).
 
 Pairs inside a bucket are never listed as such. In a *star* round each member
 is paired with one lead of its bucket, and of the leads of its buckets only the
-one with the best sketch estimate is tested exactly. Links give components;
-buckets whose members all lie in one component are done. After two star rounds
-with different leads, what is left is tested inside blocks of a bucket: every pair
-of members of different components, once for all the buckets it shares. Blocks
-return links only, one per pair of components. So each pair of a bucket is in
-the end linked, in one component already, or tested.
+one with the best sketch estimate is tested exactly; links give components, and
+buckets whose members all lie in one component are done. What is left is tested
+inside blocks of a bucket: every pair of members of different components, once
+for all the buckets it shares. Blocks return linked pairs of components only. So
+each pair of a bucket is in the end linked, in one component already, or tested.
 
 Scale: bucket leads are partial aggregations; members meet their leads, sets
 and components by sort-merge joins that adaptive execution can split, so a
@@ -54,7 +53,6 @@ class NearRules:
     rows: int = 5
     bits: int = 512
     errors: float = 4.5
-    star_rounds: int = 2
     block: int = 512
 
     def widest(self) -> int:
@@ -176,10 +174,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, rules: NearRules = Nea
                                       F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = stored(spark, classes, "near-classes")
-    links = _links(spark, docs, classes, rules, doc_id, text)
-    comps = connected_components(spark, links)
-    ids = classes.select("node", "fp", "doc_id").join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ids = stored(spark, ids.select("fp", "doc_id", "component"), "near-ids")
+    first, then = _components(spark, docs, classes, rules, doc_id, text)
+    ids = classes.select("node", "fp", "doc_id").join(first, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    ids = ids.join(then.select(F.col("node").alias("c"), "component"), "c", "left")
+    ids = stored(spark, ids.select("fp", "doc_id", F.coalesce("component", "c").alias("component")), "near-ids")
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = ids.select("fp", "component").join(least, "component").select("fp", "component_id")
     linked = full.select("doc_id", "text_hash", "n_shingles", "fp").join(named, "fp").drop("fp")
@@ -198,62 +196,38 @@ def deduplicated(spark: SparkSession, docs: DataFrame, rules: NearRules = NearRu
     return one.join(kept, [i, h], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def _links(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules: NearRules, doc_id: str, text: str) -> DataFrame:
-    """(a, b): links that connect what is linked, each confirmed on full sets."""
+def _components(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules: NearRules, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """((node, component) of the star round, (node, component) among those components)."""
     sketches = classes.select("node", "sketch", "n")
     member = classes.select(F.explode("keys").alias("key"), "node")
-    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("k"), _lead(0)).filter("k > 1").select("key", "lead")
-    buckets = stored(spark, _named_lead(member.join(shared, "key"), 0), "near-buckets")  # key, node, lead
+    shared = member.groupBy("key").agg(F.count(F.lit(1)).alias("k"), _lead()).filter("k > 1").select("key", "lead")
+    buckets = member.join(shared, "key").withColumn("lead", F.col("lead").bitwiseXOR(_mask()))
+    buckets = stored(spark, buckets, "near-buckets")  # key, node, lead
 
     nodes = buckets.select("node").distinct()
     wanted = classes.join(nodes, "node", "left_semi").select("node", "fp", "doc_id")
     sets = stored(spark, _full_sets(docs, wanted, rules, doc_id, text).dropDuplicates(["node"]), "near-sets")
 
-    links = None
-    open_buckets = buckets
-    for k in range(rules.star_rounds + 1):
-        if k < rules.star_rounds:
-            pairs = open_buckets.filter("node <> lead").select("node", "lead", *(["nc", "lc"] if k else []))
-            if k:
-                pairs = pairs.filter("nc <> lc").select("node", "lead")
-            near = _estimated(pairs.distinct(), sketches, rules)
-            best = near.groupBy("node").agg(F.min(F.struct("x", "lead")).alias("best"))
-            tested = best.select(F.col("node").alias("a"), F.col("best.lead").alias("b"))
-            found = _confirmed(tested, sets, rules)
-        else:
-            found = _across(spark, open_buckets, classes, sets, rules)
-        new = stored(spark, found, f"near-links-{k}")
-        links = new if links is None else links.unionByName(new)
-        if k == rules.star_rounds:
-            return links
-        comps = stored(spark, connected_components(spark, links), f"near-components-{k}")
-        open_buckets = _open(spark, buckets.select("key", "node"), comps, k + 1)
-    return links
-
-
-def _mask(k: int):
-    return F.xxhash64(F.col("key"), F.lit(k)).bitwiseAND(F.lit((1 << 62) - 1))
-
-
-def _lead(k: int, node: str = "node"):
-    """A member of the bucket, another one for each key and round: the smallest id under a mask of bits."""
-    return F.min(F.col(node).bitwiseXOR(_mask(k))).alias("lead")
-
-
-def _named_lead(df: DataFrame, k: int) -> DataFrame:
-    return df.withColumn("lead", F.col("lead").bitwiseXOR(_mask(k)))
-
-
-def _open(spark: SparkSession, members: DataFrame, comps: DataFrame, k: int) -> DataFrame:
-    """The members of buckets that hold several components, with a new lead: key, node, nc, lead, lc."""
-    known = members.join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("nc"))
-    known = stored(spark, known, f"near-known-{k}")
-    mixed = (known.groupBy("key").agg(F.min("nc").alias("lo"), F.max("nc").alias("hi"), _lead(k))
-             .filter("lo <> hi").select("key", "lead"))
-    mixed = _named_lead(mixed, k)
-    lead_comp = comps.select(F.col("node").alias("lead"), F.col("component").alias("lc"))
-    mixed = mixed.join(lead_comp, "lead", "left").select("key", "lead", F.coalesce("lc", "lead").alias("lc"))
-    return stored(spark, known.join(mixed, "key"), f"near-open-{k}")
+    near = _estimated(buckets.filter("node <> lead").select("node", "lead").distinct(), sketches, rules)
+    best = near.groupBy("node").agg(F.min(F.struct("x", "lead")).alias("best"))
+    tested = best.select(F.col("node").alias("a"), F.col("best.lead").alias("b"))
+    first = stored(spark, connected_components(spark, stored(spark, _confirmed(tested, sets, rules), "near-links")), "near-first")
+
+    known = buckets.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("nc"))
+    known = stored(spark, known, "near-known")
+    mixed = (known.groupBy("key").agg(F.min("nc").alias("lo"), F.max("nc").alias("hi"), F.ceil(F.count(F.lit(1)) / rules.block).cast("int").alias("chunks"))
+             .filter("lo <> hi").select("key", "chunks"))
+    across = stored(spark, _across(spark, known.join(mixed, "key"), classes, sets, rules), "near-across")
+    return first, stored(spark, connected_components(spark, across), "near-then")
+
+
+def _mask():
+    return F.xxhash64(F.col("key")).bitwiseAND(F.lit((1 << 62) - 1))
+
+
+def _lead():
+    """A member of the bucket, another one for each key: the smallest id under a mask of bits."""
+    return F.min(F.col("node").bitwiseXOR(_mask())).alias("lead")
 
 
 def _apart(a: str, b: str, words: int):
@@ -276,16 +250,15 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, rules: NearRules) -> DataF
 
 
 def _across(spark: SparkSession, members: DataFrame, classes: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:
-    """(a, b): links between different components of the open buckets, one per bucket block and pair of components.
+    """(a, b): linked components, from the buckets (key, node, nc, chunks) that hold several.
 
     A bucket is cut into chunks and each pair of chunks is one group. The first
     pass keeps the members that have a partner by sketch; only they get their
     full sets, and the second pass tests their pairs exactly. No pair leaves a
-    group unless it is a link.
+    group unless it links two components, and then once.
     """
-    sized = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / rules.block).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = (members.select("key", "node", "nc").join(sized, "key").withColumn("chunk", chunk)
+    rows = (members.withColumn("chunk", chunk)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "nc"))
     rich = rows.join(classes.select("node", "n", "keys", "sketch"), "node")
@@ -324,23 +297,23 @@ def _may_link(pdf: pd.DataFrame, rules: NearRules) -> np.ndarray:
 
 
 def _block_links(pdf: pd.DataFrame, rules: NearRules) -> pd.DataFrame:
-    """Exact test of a block's pairs; one link per pair of components."""
+    """Exact test of a block's pairs: the pairs of components that a link joins."""
     ok = np.triu(_may_link(pdf, rules))
     items = pdf["items"].tolist()
     size = np.fromiter(map(len, items), np.int64, len(items))
     first = np.cumsum(size) - size
     names, codes = np.unique(np.concatenate(items), return_inverse=True)
     mark = np.zeros(len(names), bool)
-    node, nc = pdf["node"].to_numpy(np.int64), pdf["nc"].to_numpy(np.int64)
-    found = {}
+    nc = pdf["nc"].to_numpy(np.int64)
+    found = set()
     for r in np.flatnonzero(ok.any(axis=1)):
         own = codes[first[r]:first[r] + size[r]]
         mark[own] = True
         common = np.add.reduceat(mark[codes].astype(np.int64), first)
         mark[own] = False
         for c in np.flatnonzero(ok[r] & (100 * common >= rules.percent * (size[r] + size - common))):
-            found.setdefault((min(nc[r], nc[c]), max(nc[r], nc[c])), (max(node[r], node[c]), min(node[r], node[c])))
-    return pd.DataFrame(list(found.values()), columns=["a", "b"], dtype="int64")
+            found.add((max(nc[r], nc[c]), min(nc[r], nc[c])))
+    return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:

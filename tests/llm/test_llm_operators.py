@@ -131,7 +131,7 @@ def brute_components(rows, n, percent=80):
 
 
 def test_near_duplicates_match_brute_force(spark, rng):
-    """A crowd of near copies around the threshold: the star rounds leave pairs to the block test."""
+    """A crowd of near copies around the threshold: the star round leaves pairs to the block test."""
     base = prose(rng, 60).split()
     rows = [(0, None), (1, ""), (2, "one two"), (3, "ONE two"), (4, " "), (5, prose(rng, 40))]
     for i in range(6, 70):
@@ -142,7 +142,7 @@ def test_near_duplicates_match_brute_force(spark, rng):
     rows.append((70, rows[10][1]))
     sets, label = brute_components(rows, 4)
     df = docs_frame(spark, rows).withColumn("node", F.lit(1))
-    got = {r["doc_id"]: r for r in near.near_duplicates(spark, df, near.NearRules(words=4, block=16, star_rounds=1)).collect()}
+    got = {r["doc_id"]: r for r in near.near_duplicates(spark, df, near.NearRules(words=4, block=16)).collect()}
     assert {i: r["component_id"] for i, r in got.items()} == label
     assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
     assert all(r["kept"] == (i == label[i]) for i, r in got.items())
