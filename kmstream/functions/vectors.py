@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Numbers of one rows x centres block of the search.
-BLOCK = 1 << 20
+BLOCK = 1 << 16   # stays in the second-level cache
 
 
 class ArrayVec:
@@ -112,19 +112,19 @@ def nearest_centers(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarra
     n, k = len(X), len(C)
     cluster, best = np.full(n, -1, np.int64), np.full(n, np.nan)
     c2 = (C * C).sum(axis=1)
+    right = np.vstack([-2.0 * C.T, c2])   # [x, 1] @ right = |c|^2 - 2 x.c
     step = max(1, BLOCK // max(1, k))
     for at in range(0, n, step):
         rows = at + np.flatnonzero(~np.isnan(X[at:at + step]).any(axis=1))
-        part = X[rows]
-        rough = part @ C.T
-        rough *= -2.0
-        rough += c2
+        part, each = X[rows], np.arange(len(rows))
+        rough = np.column_stack([part, np.ones(len(part))]) @ right
         j = rough.argmin(axis=1)
-        low = rough[np.arange(len(part)), j]
+        low = rough[each, j]
+        rough[each, j] = np.inf
         slack = 1e-12 * ((part * part).sum(axis=1) + c2.max(initial=0.0))
         d2 = _squared(part, C[j])
-        close = np.flatnonzero(~((rough <= (low + slack)[:, None]).sum(axis=1) == 1))
-        for r in range(0, len(close), max(1, step // 8)):
+        close = np.flatnonzero(~(rough.min(axis=1) > low + slack))   # another centre may be as near
+        for r in range(0, len(close) if k > 1 else 0, max(1, step // 8)):
             some = close[r:r + max(1, step // 8)]
             full = _squared(part[some, None, :], C[None, :, :])
             j[some] = full.argmin(axis=1)
