@@ -57,7 +57,7 @@ SLICE = 8 << 20  # bytes of text whose words are looked up together
 class PackRules:
     capacity: int = 4096
     end_id: int = 1
-    cache_words: int = 1_200_000  # words a worker remembers; beyond it starts anew (no effect on results)
+    cache_words: int = 700_000  # words a worker remembers; beyond it starts anew (no effect on results)
 
 
 class WordTokenizer:
