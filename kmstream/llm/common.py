@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kmstream.session import scratch_dir
 
@@ -46,8 +45,3 @@ def text_blocks(pdf: pd.DataFrame, column: str, limit: int = 4 << 20):
         total += n
     if start < len(pdf):
         yield pdf.iloc[start:]
-
-
-def empty_text(column: str = "text"):
-    """A text column with null read as the empty text."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
