@@ -27,7 +27,6 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kmstream.functions.vectors import ArrayVec, as_cols, as_matrix, complete, nearest_centers, to_double
 
