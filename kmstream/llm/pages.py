@@ -12,8 +12,8 @@
 
 Scale: the votes of a host are counts with map-side combine, so a host with a
 third of all pages is a handful of rows per task. Winners are one row per
-host; Spark broadcasts them while they are under its size limit and otherwise
-joins by sort with adaptive skew splitting. Pages are parsed a batch at a
+host, written and counted; they are broadcast up to a checked number and join by
+sort with adaptive skew splitting beyond it, so pages are not dealt by host. Pages are parsed a batch at a
 time; nothing is collected.
 
 Defined results: null html = empty text; a page without any container with
@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kmstream.llm.common import stored, text_batches
+
 #: Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math textarea title select".split())
@@ -220,11 +222,18 @@ def host_paths(pages: DataFrame, html: str = "html") -> DataFrame:
     return counted.groupBy("host").agg(F.max(first).alias("w")).select("host", "w.path", "w.votes")
 
 
-def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", keep: tuple = ()) -> DataFrame:
-    """(page_id, url, *keep, text, n_chars, path): the main text of every page."""
+def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", keep: tuple = (),
+                  broadcast_hosts: int = 50_000) -> DataFrame:
+    """(page_id, url, *keep, text, n_chars, path): the main text of every page.
+
+    The winners are counted first: up to ``broadcast_hosts`` of them (some MB)
+    travel to the pages, beyond that pages and winners meet by host.
+    """
+    text_batches(pages.sparkSession)
     given = with_host(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"),
                                    F.col(html).cast("string").alias("html"), *[F.col(c) for c in keep]))
-    joined = given.join(host_paths(given), "host", "left")
+    winners = stored(given.sparkSession, host_paths(given), "page-winners")
+    joined = given.join(F.broadcast(winners) if winners.count() <= broadcast_hosts else winners, "host", "left")
 
     @F.pandas_udf("text string, used string")
     def texts(sources: pd.Series, paths: pd.Series) -> pd.DataFrame:
