@@ -37,7 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and offset."""
-    return packing.pack(spark, packing.token_pieces(docs, tokenizer_path()))
+    # the workers also serve the other stages: a smaller word memory (no effect on results)
+    rules = packing.PackRules(cache_words=200_000)
+    return packing.pack(spark, packing.token_pieces(docs, tokenizer_path(), rules), rules)
 
 
 STAGES = [

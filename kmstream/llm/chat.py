@@ -36,6 +36,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kmstream.llm.common import text_batches
+
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 
 #: What may open a control string: <| ..., <s>, </s>, [INST], [/INST].
@@ -137,6 +139,7 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 def format_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
                          parts: str = "parts", learn: str = "assistant", rule: TokenRule = TokenRule()) -> DataFrame:
     """One row per conversation: formatted string, loss spans (code points) and attachments."""
+    text_batches(df.sparkSession)
     rows = df.select(F.col(conv).cast("long").alias("conv_id"),
                      F.struct(F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"),
                               F.col(parts).cast(PART_TYPE).alias("parts")).alias("row"))

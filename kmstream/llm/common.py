@@ -45,3 +45,12 @@ def text_blocks(pdf: pd.DataFrame, column: str, limit: int = 4 << 20):
         total += n
     if start < len(pdf):
         yield pdf.iloc[start:]
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows of the Arrow batches that later steps send to Python workers.
+
+    The session's default suits numbers; ten thousand long texts with their
+    copies as Python strings would take hundreds of MB of each worker.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

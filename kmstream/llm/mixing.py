@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import WORD, fresh, stored
+from kmstream.llm.common import WORD, fresh, stored, text_batches
 
 
 @dataclass(frozen=True)
@@ -173,6 +173,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, rules: MixRules = MixR
     Same columns as ``docs``; ``n_chars``, if there, follows a cut text. Rows
     that agree in id, text, domain, language and source stand for each other.
     """
+    text_batches(spark)
     names = dict(domain=domain, doc_id=doc_id, text=text, lang=lang, source=source)
 
     def key(i, h, d, la, so):

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import fresh, stored
+from kmstream.llm.common import fresh, stored, text_batches
 from kmstream.llm.graph import connected_components
 
 
@@ -168,6 +168,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, rules: NearRules, doc_id: str
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, rules: NearRules = NearRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) per row of ``docs``."""
+    text_batches(spark)
     rows = stored(spark, signed(docs, rules, doc_id, text), "near-signed")
     full = rows.filter("n_shingles > 0")
     classes = (full.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),

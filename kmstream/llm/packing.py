@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import stored
+from kmstream.llm.common import stored, text_batches
 
 PIECE_TYPE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED_TYPE = PIECE_TYPE + ", sequence_id long, offset long"
@@ -139,6 +139,7 @@ def _process_cache(name: str) -> dict:
 
 def token_pieces(docs: DataFrame, tokenizer: str, rules: PackRules = PackRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: document, piece number, start, length and checksum of its ids."""
+    text_batches(docs.sparkSession, 2500)
 
     def run(batches):
         tok = WordTokenizer(tokenizer, _process_cache("words:" + tokenizer), rules.cache_words)

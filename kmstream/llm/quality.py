@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import SYMBOLS, WORD, fresh, text_blocks
+from kmstream.llm.common import SYMBOLS, WORD, fresh, text_batches, text_blocks
 
 #: Phrases of page furniture.
 BOILERPLATE = ("all rights reserved", "accept cookies", "cookie policy", "privacy policy", "terms of service",
@@ -118,6 +118,7 @@ def judge(text: str | None, rules: QualityRules = QualityRules()) -> tuple:
 
 def with_quality(df: DataFrame, text: str = "text", rules: QualityRules = QualityRules(), clean: bool = True) -> DataFrame:
     """``df`` with the figures, the verdict and, if ``clean``, the text without its bad lines."""
+    text_batches(df.sparkSession)
     wanted = _NAMES if clean else _NAMES[:-1]
     names = {}
     for c in wanted:
@@ -139,6 +140,7 @@ def with_quality(df: DataFrame, text: str = "text", rules: QualityRules = Qualit
 
 def clean_documents(df: DataFrame, text: str = "text", rules: QualityRules = QualityRules()) -> DataFrame:
     """The documents that stay, without their bad lines; same columns, ``n_chars`` (if there) follows the text."""
+    text_batches(df.sparkSession)
 
     @F.pandas_udf("string")
     def cleaned(texts: pd.Series) -> pd.Series:
@@ -146,7 +148,8 @@ def clean_documents(df: DataFrame, text: str = "text", rules: QualityRules = Qua
         return pd.Series([d[8] if d[7] else None for d in done], dtype=object)
 
     holder = fresh("clean_text", df.columns)
-    out = df.withColumn(holder, cleaned(F.col(text).cast("string"))).filter(F.col(holder).isNotNull())
+    # not deterministic for the optimizer: the filter must not judge the texts a second time
+    out = df.withColumn(holder, cleaned.asNondeterministic()(F.col(text).cast("string"))).filter(F.col(holder).isNotNull())
     new = {text: F.col(holder)}
     if "n_chars" in df.columns and text != "n_chars":
         new["n_chars"] = F.length(holder).cast(df.schema["n_chars"].dataType)

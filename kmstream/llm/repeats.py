@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import fresh, stored
+from kmstream.llm.common import fresh, stored, text_batches
 
 BLOCK = 1 << 20
 
@@ -144,6 +144,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, rules: RepeatRules = Re
     """(affected, clean): documents with a repeated window as (doc_id, text_hash, z, spans) -- z the
     compressed bytes, spans the flat list of maximal removed runs -- and the others as
     (doc_id, text_hash, n_bytes, sha)."""
+    text_batches(spark)
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).cast("string").alias("text"))
 
     def first(batches):

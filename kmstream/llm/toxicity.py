@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import stored
+from kmstream.llm.common import stored, text_batches
 
 #: Look-alike letters, and digits or signs that stand for letters. i, l, 1, | and ! fold to one sign.
 HOMOGLYPHS = {
@@ -135,6 +135,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, rules: ToxicRules)
 
 def learn(spark: SparkSession, sample: DataFrame, rules: ToxicRules = ToxicRules()) -> ToxicModel:
     """Lexicon and logistic function from (text, toxic) rows."""
+    text_batches(spark)
     sample = stored(spark, sample, "toxic-sample")
     size = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = size.get(1, 0), size.get(0, 0)
