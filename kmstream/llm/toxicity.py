@@ -5,16 +5,18 @@ digit or symbol substitutions to one letter, and writes each word between a
 start and an end mark. The lexicon holds word stems (``^stem``), whole words
 (``^word$``) and word pairs (``^a$^b$``) with weights, learned from labelled
 rows: the log odds of the entry's document frequency under either label.
-Longer entries override shorter ones at the same place, so entries with a
-weight of 0 or less -- usual words and phrases that hold a bad stem -- are the
-exceptions. A text's score is a logistic function of its summed positive
+Longer entries override the shorter ones they cover, so entries with a weight
+of 0 or less -- usual words and phrases that hold a bad stem, most of them only
+seen in clean rows -- are the exceptions. A pair without a bad word is an entry
+if its label counts are beyond chance (``pair_g2``). A text's score is a logistic function of its summed positive
 weights, of the same normalised by length, of its largest weight, and of the
 number of matches.
 
 Learning: ``sample_rows`` is the documented bound of the labelled sample (by a
 hash of the id, so the same rows whatever the partitioning). Entry counts are
-Spark aggregations; the lexicon has at most ``max_entries`` entries, which
-bounds the model that is broadcast. The logistic function is fitted on the
+Spark aggregations; the lexicon has at most ``max_entries`` bad words and stems,
+as many bad pairs, exception words and exception pairs, which bounds the model that is
+broadcast. The logistic function is fitted on the
 sample's figures (four numbers a row). Scoring reads every text whole, one
 pass, no shuffle.
 
@@ -65,6 +67,7 @@ class ToxicRules:
     stem_min: int = 3
     stem_max: int = 9
     min_weight: float = 1.5   # natural log of the odds
+    pair_g2: float = 25.0     # log likelihood ratio from which a pair of usual words is bad
 
 
 def fold(text: str) -> list[str]:
@@ -73,12 +76,29 @@ def fold(text: str) -> list[str]:
 
 
 def entries_of(words: list[str], rules: ToxicRules) -> set[str]:
-    """Every possible entry of a text: stems and whole words."""
+    """Every possible entry of a text: stems, whole words and pairs of neighbours."""
     out = set()
     for w in set(words):
-        out.add(f"^{w}$")
-        for n in range(rules.stem_min, min(rules.stem_max, len(w)) + 1):
-            out.add("^" + w[:n])
+        out.update(_singles(w, rules))
+    out.update(f"^{a}$^{b}$" for a, b in zip(words, words[1:]))
+    return out
+
+
+def _singles(word: str, rules: ToxicRules) -> list[str]:
+    """The stems of a word, shortest first, and the whole word."""
+    return ["^" + word[:n] for n in range(rules.stem_min, min(rules.stem_max, len(word)) + 1)] + [f"^{word}$"]
+
+
+def exceptions_of(words: list[str], bad: set[str], rules: ToxicRules) -> set[str]:
+    """The entries of a text that cover an entry of ``bad``: longer stems, whole words and pairs."""
+    out, held = set(), set()
+    for w in set(words):
+        own = _singles(w, rules)
+        first = next((k for k, e in enumerate(own) if e in bad), None)
+        if first is not None:
+            held.add(w)
+            out.update(own[first + 1:])
+    out.update(f"^{a}$^{b}$" for a, b in zip(words, words[1:]) if a in held or b in held)
     return out
 
 
@@ -101,7 +121,11 @@ class Lexicon:
             return 0.0, 0.0, 0.0, 0.0
         total = most = 0.0
         hits = 0
-        for _, (_, weight) in self.auto.iter_long("^" + "$^".join(words) + "$"):
+        reach = -1
+        for _, end, weight in sorted((end - size + 1, -end, weight) for end, (size, weight) in self.auto.iter("^" + "$^".join(words) + "$")):
+            if -end <= reach:  # covered by a longer entry
+                continue
+            reach = -end
             if weight > 0:
                 total += weight
                 hits += 1
@@ -143,32 +167,46 @@ def learn(spark: SparkSession, sample: DataFrame, rules: ToxicRules = ToxicRules
         share = toxic / (toxic + clean) if toxic + clean else 0.0
         return ToxicModel({}, (float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else (35 if share else -35), -35, 35)), 0, 0, 0, 0), (1, 1, 1, 1))
 
-    def count(wanted):
+    def count(entries):
         def run(batches):
             total = Counter()
             for pdf in batches:
                 for text in pdf["text"]:
-                    found = entries_of(fold(text), rules)
-                    total.update(found if wanted is None else found & wanted.value)
-                if len(total) > 500_000:
-                    yield pd.DataFrame(total.items(), columns=["entry", "n"])
-                    total.clear()
+                    total.update(entries(fold(text)))
+                    if len(total) > 500_000:
+                        yield pd.DataFrame(total.items(), columns=["entry", "n"])
+                        total.clear()
             yield pd.DataFrame(list(total.items()), columns=["entry", "n"]).astype({"entry": object, "n": "int64"})
         return run
 
-    def counted(rows, wanted=None):
-        return rows.select("text").mapInPandas(count(wanted), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+    def counted(label, entries):
+        rows = sample.filter(F.col("toxic") == label).select("text")
+        return rows.mapInPandas(count(entries), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+
+    def most(counts):
+        return counts.orderBy(F.desc("n"), "entry").limit(4 * rules.max_entries).toPandas()
+
+    def weighed(t, c):
+        return np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
 
-    # candidates: what lies in enough toxic documents, the most frequent first
-    top = (counted(sample.filter("toxic = 1")).filter(F.col("n") >= rules.min_toxic)
-           .orderBy(F.desc("n"), "entry").limit(4 * rules.max_entries).toPandas())
+    # candidates: what lies in enough toxic documents, the most frequent first, words and pairs each by themselves
+    often = stored(spark, counted(1, lambda words: entries_of(words, rules)).filter(F.col("n") >= rules.min_toxic), "toxic-entries")
+    pair = F.col("entry").contains("$^")
+    top = pd.concat([most(often.filter(~pair)), most(often.filter(pair))])
     wanted = spark.sparkContext.broadcast(frozenset(top["entry"]))
-    usual = counted(sample.filter("toxic = 0"), wanted).toPandas().set_index("entry")["n"]
+    usual = counted(0, lambda words: entries_of(words, rules) & wanted.value).toPandas().set_index("entry")["n"]
     t = top["n"].to_numpy(float)
     c = usual.reindex(top["entry"]).fillna(0).to_numpy(float)
-    weight = np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
-    table = dict(zip(top["entry"], zip(weight, t + c)))
-    model = _choose(table, rules)
+    bad = _choose(dict(zip(top["entry"], zip(weighed(t, c), _g2(t, c, toxic, clean)))), rules)
+
+    # exceptions: what covers a bad word or stem in enough documents of either label
+    stems = spark.sparkContext.broadcast({e for e in bad if "$^" not in e})
+    sides = [counted(x, lambda words: exceptions_of(words, stems.value, rules)).withColumn("label", F.lit(x)) for x in (0, 1)]
+    seen = (sides[0].unionByName(sides[1]).groupBy("entry").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("t"))
+            .filter(F.col("n") >= rules.min_seen))
+    odds = (F.col("t") + 0.5) / F.lit(toxic + 1) / ((F.col("n") - F.col("t") + 0.5) / F.lit(clean + 1))
+    seen = stored(spark, seen.filter(odds < float(np.exp(rules.min_weight))), "toxic-exceptions")
+    model = _with_exceptions(bad, [list(most(seen.filter(kind))["entry"]) for kind in (~pair, pair)], rules)
     lexicon = spark.sparkContext.broadcast(model)
 
     def figures(batches):
@@ -183,18 +221,36 @@ def learn(spark: SparkSession, sample: DataFrame, rules: ToxicRules = ToxicRules
     return ToxicModel(model, tuple(_logistic(x / scale, rows["toxic"].to_numpy(float))), tuple(scale))
 
 
+def _g2(t: np.ndarray, c: np.ndarray, toxic: int, clean: int) -> np.ndarray:
+    """Log likelihood ratio of (t, c) documents against the shares of the labels."""
+    n = np.maximum(t + c, 1)
+    share = toxic / (toxic + clean)
+    return 2 * (t * np.log(np.maximum(t, 1e-9) / (n * share)) + c * np.log(np.maximum(c, 1e-9) / (n * (1 - share))))
+
+
+def _holds(word: str, entries: dict, rules: ToxicRules) -> bool:
+    """Whether the longest entry of a word is bad."""
+    return next((entries[e] > 0 for e in reversed(_singles(word, rules)) if e in entries), False)
+
+
+def _words_of(pair: str) -> list[str]:
+    return pair[1:-1].split("$^")
+
+
 def _choose(table: dict, rules: ToxicRules) -> dict[str, float]:
-    """Bad entries, and the longer ones among the candidates that override them."""
-    bad = {e: w for e, (w, _) in table.items() if w >= rules.min_weight}
-    out = {}
-    for e, w in sorted(bad.items(), key=lambda x: (-x[1], x[0]))[:rules.max_entries]:
-        out[e] = float(w)
-    for e, (w, seen) in sorted(table.items()):
-        if w < rules.min_weight and seen >= rules.min_seen and len(out) < 2 * rules.max_entries:
-            stem = e.rstrip("$")
-            if any(stem[:k] in bad for k in range(1 + rules.stem_min, len(stem) + 1)):
-                out[e] = 0.0
-    return out
+    """Bad words and stems, and the bad pairs of usual words, from (weight, g2) by entry."""
+    bad = sorted((e for e, (w, _) in table.items() if w >= rules.min_weight), key=lambda e: (-table[e][0], e))
+    out = {e: float(table[e][0]) for e in [e for e in bad if "$^" not in e][:rules.max_entries]}
+    pairs = [e for e in bad if "$^" in e and table[e][1] >= rules.pair_g2 and not any(_holds(w, out, rules) for w in _words_of(e))]
+    return out | {e: float(table[e][0]) for e in pairs[:rules.max_entries]}
+
+
+def _with_exceptions(bad: dict, usual: list[list[str]], rules: ToxicRules) -> dict[str, float]:
+    """``bad`` with the usual words and stems, and the usual pairs that still hold a bad word, the most frequent first."""
+    out = dict(bad)
+    out.update((e, 0.0) for e in usual[0][:rules.max_entries] if e not in bad)
+    pairs = [e for e in usual[1] if e not in bad and any(_holds(w, out, rules) for w in _words_of(e))]
+    return out | {e: 0.0 for e in pairs[:rules.max_entries]}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:

@@ -414,6 +414,38 @@ def test_toxicity_learns_stems_and_exceptions(spark, rng):
     assert toxicity.score(spark, docs.limit(3), none).select("score").distinct().count() == 1
 
 
+def test_toxicity_learns_phrases(spark, rng):
+    """A bad word inside a harmless phrase of clean rows, and a bad phrase of usual words."""
+    usual = [f"{a}{b}" for a in WORDS for b in ("ing", "er", "ly")]
+    rows = []
+    for i in range(800):
+        words = list(rng.choice(usual, 40))
+        kind = i % 8
+        if kind == 0:
+            words[7:7] = ["moronish"]
+        elif kind == 1:
+            words[20:20] = ["drop", "dead"]
+        elif kind == 2 and i % 3 == 0:
+            words[11:11] = ["famous", "moronish"]                       # the exception phrase, in clean rows only
+        else:
+            words[3:3], words[30:30] = ["drop"], ["dead"]               # usual words by themselves
+        rows.append((i, " ".join(words), int(kind < 2)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    model = toxicity.learn(spark, toxicity.labelled_sample(docs, labels.filter("doc_id % 5 <> 0"), toxicity.ToxicRules()))
+    assert model.weights["^famous$^moronish$"] == 0 and model.weights["^drop$^dead$"] > 1.5
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark, docs, model).collect()}
+    held = [(got[i], x) for i, _, x in rows if i % 5 == 0]
+    assert sum((s >= 0.5) == bool(x) for s, x in held) / len(held) > 0.97
+
+
+def test_longer_entries_override_what_they_cover():
+    weights = {"^bad": 2.0, "^badge$": 0.0, "^not$^bad$": 0.0, "^so$^not$": 3.0, "^bad$^day$": 0.0}
+    lexicon = toxicity.Lexicon(weights)
+    for text, hits in [("bad", 1), ("badge", 0), ("not bad", 0), ("so not bad", 1), ("bad day", 0), ("not badly", 1), ("bad bad day", 1), ("", 0)]:
+        assert lexicon.figures(text)[3] == hits, text
+
+
 # -- licences ----------------------------------------------------------------
 
 def test_licences_and_inheritance(spark, rng):
