@@ -37,21 +37,28 @@ from kmstream.llm.common import stored, text_batches
 #: Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math textarea title select".split())
-SKIP = RAW | frozenset("head nav footer aside form button dialog menu object canvas audio video label header".split())
+SKIP = RAW | frozenset("head nav footer aside button dialog menu object canvas audio video".split())
+#: Furniture unless it wraps most of the page's text; a header inside an article is the article's.
+WRAPPER = frozenset("form label header".split())
+#: Elements that no class or id makes furniture.
+NEVER = frozenset("html body article main".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CONTAINER = frozenset("article body div main section td center blockquote".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An element of this kind ends an open element of the listed kinds (up to the nearest container).
 IMPLIED_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-#: Class or id words of page furniture.
-FURNITURE = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
-                      "disclaimer footer header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies "
-                      "respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+#: Class or id words of page furniture: what is never main text, and parts of the layout, which may also name a wrapper.
+FOREIGN = frozenset("ad ads advert adverts advertisement advertising comment comments commentlist consent cookie cookies disqus disclaimer modal newsletter "
+                    "notice notices popup promo promoted related replies respond sponsor sponsored subscribe".split())
+LAYOUT = frozenset("banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation pagination share sharing sidebar social toolbar widget".split())
+#: Places before such a word (site-footer), and parts behind one that leave no doubt (comment-list).
+PLACES = frozenset("site page main left right top bottom global primary secondary".split())
+PARTS = frozenset("area bar block body box container content form item link links list message overlay posts section slot text thread top unit wrap wrapper".split())
 
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _label = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_words = re.compile(r"[A-Za-z]+")
+_parts = re.compile(r"[a-z]+")
 _digits = re.compile(r"\d+")
 _raw_end = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
 
@@ -59,16 +66,26 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "skip", "kids", "score", "order", "own", "links")
+    __slots__ = ("tag", "path", "parent", "mark", "skip", "kids", "score", "order")
 
-    def __init__(self, tag, path, parent, skip, order):
-        self.tag, self.path, self.parent, self.skip, self.order = tag, path, parent, skip, order
+    def __init__(self, tag, path, parent, mark, order):
+        self.tag, self.path, self.parent, self.mark, self.order = tag, path, parent, mark, order
         self.kids: list = []      # nodes and strings, in page order
-        self.score, self.own, self.links = 0.0, 0, 0
+        self.score, self.skip = 0.0, False
 
 
-def _step(tag: str, attributes: str) -> tuple[str, bool]:
-    """The generalised path step of an element and whether its class or id marks furniture."""
+def _marks(name: str) -> int:
+    """What a class or id token says: 2 furniture, 1 furniture unless it wraps most of the page's text, 0 nothing."""
+    parts = _parts.findall(name.lower())
+    while len(parts) > 1 and parts[0] in PLACES:
+        del parts[0]
+    if not parts or parts[0] not in FOREIGN and parts[0] not in LAYOUT:
+        return 0
+    return 2 if parts[0] in FOREIGN and (len(parts) == 1 or parts[1] in PARTS) else 1
+
+
+def _step(tag: str, attributes: str) -> tuple[str, int]:
+    """The generalised path step of an element and how far its class or id marks furniture."""
     classes, names = [], []
     if "=" in attributes:
         for kind, a, b, c in _label.findall(attributes):
@@ -76,7 +93,7 @@ def _step(tag: str, attributes: str) -> tuple[str, bool]:
             names += value.split()
             if kind.lower() == "class":
                 classes += value.split()
-    marked = any(w.lower() in FURNITURE for n in names for w in _words.findall(n))
+    marked = max(map(_marks, names), default=0)
     step = tag + "".join("." + c for c in sorted({_digits.sub("#", c) for c in classes}))
     return step, marked
 
@@ -91,6 +108,7 @@ def parse(source: str) -> list[Node]:
         if text:
             stack[-1].kids.append(_html.unescape(text))
         if not m:
+            _settle(nodes)
             return nodes
         at = m.end()
         if m[1] is not None:
@@ -112,7 +130,13 @@ def parse(source: str) -> list[Node]:
             _close(stack, IMPLIED_END[tag])
         step, marked = _step(tag, m[4])
         top = stack[-1]
-        node = Node(tag, f"{top.path}/{step}", top, top.skip or tag in SKIP or (marked and tag not in ("html", "body")), len(nodes))
+        if tag in NEVER:
+            marked = 0
+        elif tag in SKIP:
+            marked = 2
+        elif tag in WRAPPER and not (tag == "header" and any(x.tag == "article" for x in stack)):
+            marked = max(marked, 1)
+        node = Node(tag, f"{top.path}/{step}", top, marked, len(nodes))
         nodes.append(node)
         top.kids.append(node)
         if tag in VOID or m[4].endswith("/") and tag not in BLOCK:
@@ -124,6 +148,21 @@ def parse(source: str) -> list[Node]:
         stack.append(node)
 
 
+def _settle(nodes: list[Node]) -> None:
+    """Mark what is skipped; an element with a weak mark is not if it holds most of the page's text (links and certain furniture apart)."""
+    sizes = [0] * len(nodes)
+    if any(n.mark == 1 for n in nodes):
+        out = [False] * len(nodes)
+        for n in nodes:
+            out[n.order] = n.mark == 2 or n.tag == "a" or n.parent is not None and out[n.parent.order]
+            if not out[n.order]:
+                sizes[n.order] = sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+        for n in reversed(nodes[1:]):
+            sizes[n.parent.order] += sizes[n.order]
+    for n in nodes[1:]:
+        n.skip = n.parent.skip or n.mark == 2 or n.mark == 1 and 2 * sizes[n.order] <= sizes[0]
+
+
 def _close(stack: list[Node], tags: tuple) -> None:
     """End the innermost open element of these kinds, unless a container is open inside it."""
     for i in range(len(stack) - 1, 0, -1):

@@ -337,6 +337,20 @@ def test_pages_agree_on_a_path_per_host(spark):
     assert pages.extract_pages(df.limit(0)).count() == 0
 
 
+WRAPPED = "<html><body>{a}<h1>Title</h1><p>First long paragraph of the article.</p><p>And the second one.</p>{b}<footer>us</footer></body></html>"
+
+
+@pytest.mark.parametrize("a,b", [
+    ('<div class="has-sidebar"><div>', "</div></div>"), ('<div id="page" class="no-banner"><div>', "</div></div>"), ('<main class="widget-area">', "</main>"),
+    ('<article class="post category-social">', "</article>"), ('<form id="aspnetForm"><div class="c">', "</div></form>"),
+    ('<form id="f"><header class="site-header"><p>Name of site</p></header><div class="c">', '</div><div class="site-footer"><p>foot</p></div></form>'),
+    ('<div class="sidebar-left"><div class="c">', '</div></div><div class="sidebar-right"><p>Short note.</p></div>'), ('<header><div class="c">', "</div></header>"),
+    ('<div class="ad-free"><div>', '<ol class="comment-list"><li>' + "me too " * 40 + "</li></ol></div></div>"), ('<article><header>', "</header></article>")])
+def test_wrappers_are_not_furniture(a, b):
+    want = "Title\nFirst long paragraph of the article.\nAnd the second one."
+    assert pages.extract(pages.parse(WRAPPED.format(a=a, b=b)), None) == want
+
+
 # -- embeddings --------------------------------------------------------------
 
 def test_pivot_index_recall_near_the_threshold(spark, rng):
