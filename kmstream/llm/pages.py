@@ -3,6 +3,8 @@
 1. Every page is parsed and its containers are scored: paragraph text counts
    for its parent in full and for its grandparent by half, less the text of
    links; page furniture (menus, notices, comments, ...) counts for nothing.
+   From the best one it goes up to the whole article: an article or main around
+   it, else as long as its parent has further parts of the same text.
 2. The best container's path -- tags with their classes from the root, digits
    generalised -- is a vote, weighted by nothing but the page. Votes are
    counted per host in Spark and the path with most votes wins (ties: the
@@ -46,6 +48,8 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
 CONTAINER = frozenset("article body div main section td center blockquote".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Containers that split an article; a part of another kind belongs to it from 1/FURTHER of the main part's text.
+SPLIT, FURTHER = frozenset("section td center blockquote".split()), 10
 #: An element of this kind ends an open element of the listed kinds (up to the nearest container).
 IMPLIED_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Class or id words of page furniture: what is never main text, and parts of the layout, which may also name a wrapper.
@@ -226,7 +230,48 @@ def best_container(nodes: list[Node]) -> Node | None:
         if outer is not None:
             outer.score += gain / 2
     best = max((n for n in nodes if n.tag in CONTAINER and not n.skip), key=lambda n: (n.score, -n.order), default=None)
-    return best if best is not None and best.score > 0 else None
+    return _whole(best, nodes) if best is not None and best.score > 0 else None
+
+
+def _holder(node: Node) -> Node | None:
+    """The nearest container around a node."""
+    up = node.parent
+    while up is not None and up.tag not in CONTAINER:
+        up = up.parent
+    return up
+
+
+def _whole(best: Node, nodes: list[Node]) -> Node:
+    """The container of the whole article that ``best`` is the main part of."""
+    around, up = {}, best
+    while up is not None:
+        around[up.tag] = up  # the outermost of each kind
+        up = up.parent
+    if "article" in around or "main" in around:
+        return around.get("article") or around["main"]
+    sizes, in_link = [0] * len(nodes), [False] * len(nodes)
+    for n in nodes[1:]:
+        in_link[n.order] = n.tag == "a" or in_link[n.parent.order]
+        if not n.skip and not in_link[n.order]:
+            sizes[n.order] = sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+    for n in reversed(nodes[1:]):
+        sizes[n.parent.order] += sizes[n.order]
+    parts: dict[int, list[Node]] = {}  # containers and headings with text, by their container
+    for n in nodes:
+        if sizes[n.order] and (n.tag in CONTAINER or n.tag in HEADING) and (up := _holder(n)) is not None:
+            parts.setdefault(up.order, []).append(n)
+    while (up := _holder(best)) is not None:
+        size = sizes[best.order]
+        others = [n for n in parts.get(up.order, ()) if n is not best and n.tag in CONTAINER]
+        heading = any(n.tag in HEADING for n in parts.get(up.order, ()))
+        direct = sizes[up.order] - size - sum(sizes[n.order] for n in others)
+        same = [n for n in others if n.tag in SPLIT or n.path == best.path or up.tag != "body" and FURTHER * sizes[n.order] >= size]
+        strange = len(same) < len(others)
+        more = bool(same) or FURTHER * direct >= size
+        if not (more and (up.tag != "body" or not strange) or heading and not strange):
+            break
+        best = up
+    return best
 
 
 def extract(nodes: list[Node], path: str | None) -> str:

@@ -351,6 +351,24 @@ def test_wrappers_are_not_furniture(a, b):
     assert pages.extract(pages.parse(WRAPPED.format(a=a, b=b)), None) == want
 
 
+@pytest.mark.parametrize("outer,parts", [("article", ("section", "section")), ("main", ("div class=a", "div class=b")), ("div class=post", ("section", "blockquote")),
+                                         ("div class=post", ("div class=a", "div class=b")), ("body", ("section", "section"))])
+def test_article_of_unequal_parts_is_whole(spark, outer, parts):
+    """A part that outweighs all others does not stand for the article, on its page or by its host's vote."""
+    def part(tag, n):
+        return f"<{tag}>" + "<p>" + "word " * n + f"</p></{tag.split()[0]}>"
+    page = f"<html><body><nav><a href=x>Menu</a></nav><{outer}><h1>Head</h1><p>Intro</p>{part(parts[0], 70)}{part(parts[1], 30)}</{outer.split()[0]}><footer>us</footer></body></html>"
+    want = "\n".join(["Head", "Intro", " ".join(["word"] * 70), " ".join(["word"] * 30)])
+    assert pages.extract(pages.parse(page), None) == want
+    df = spark.createDataFrame([(i, f"http://h.org/{i}", page) for i in range(3)], "page_id long, url string, html string")
+    assert {r["text"] for r in pages.extract_pages(df).collect()} == {want}
+
+
+def test_article_does_not_grow_into_the_page():
+    page = "<body><h1>Site</h1><div class=text><p>" + "word " * 60 + "</p></div><div class=other><p>About this site.</p></div></body>"
+    assert pages.extract(pages.parse(page), None) == " ".join(["word"] * 60)
+
+
 # -- embeddings --------------------------------------------------------------
 
 def test_pivot_index_recall_near_the_threshold(spark, rng):
