@@ -11,6 +11,12 @@ A leaf with budget T and A tokens gives T // A whole epochs and the first
 T % A tokens of one more, in that epoch's order: documents sorted by a hash of
 (seed, epoch, id). The document at the cut is taken up to the cut.
 
+Tokens here are words between ASCII white space, not a tokenizer's tokens:
+budgets, shortages and target weights hold in words. Languages differ in
+tokens a word, so weights in tokens differ by that ratio; a script without
+spaces counts a line as about one token, so its leaves look nearly empty, are
+repeated up to ``max_epochs`` and miss their weights.
+
 Scale: one aggregation gives the tokens of each leaf; the tree's tables have
 one row per leaf, language and domain. The cut is found without sorting a
 leaf: tokens are summed by the leading ``digit_bits`` bits of the hash, running
