@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, licences, mixing, near, packing, pages, pivots, quality, repeats, toxicity
+from kmstream.llm import chat, licences, mixing, near, packing, pages, personal, pivots, quality, repeats, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -272,3 +272,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.expr("cast(doc_id div 100 as string)"),
                     F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return licences.license_scan(spark, docs.select("doc_id", path.alias("path"), "text"), _L)
+
+
+# -- op13: personal data -----------------------------------------------------
+
+@query("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: base spans as they are, further ones by score."""
+    return personal.span_digest(personal.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")))
