@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from kmstream.session import scratch_dir
 
@@ -54,3 +56,31 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     copies as Python strings would take hundreds of MB of each worker.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def numbered(spark: SparkSession, df: DataFrame, order: list, name: str, column: str = "m") -> DataFrame:
+    """``df`` sorted over all partitions and stored, with a number that ascends in that order.
+
+    Rows are range-partitioned by ``order`` and a last tie-breaker, so equal rows, however many,
+    spread over partitions too. The number's upper bits (from bit 33) name the partition; inside
+    one it counts without gaps.
+    """
+    tie = fresh("tie", df.columns)
+    rows = df.withColumn(tie, F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(*order, F.col(tie)).sortWithinPartitions(*order, F.col(tie)).drop(tie)
+    return stored(spark, rows.withColumn(column, F.monotonically_increasing_id()), name)
+
+
+def ranked(spark: SparkSession, df: DataFrame, by: str, order: list, name: str) -> DataFrame:
+    """``df`` with ``idx`` (0, 1, ... in ``order`` among the rows of equal ``by``, never null) and ``n`` (how many there are).
+
+    The rows of a key are counted by partition; the table of these counts has one row per key and
+    partition that holds it, and only it meets a window.
+    """
+    rows = numbered(spark, df, [F.col(by), *order], name)
+    parts = rows.groupBy(F.col(by), F.shiftright("m", 33).alias("pid")).agg(F.min("m").alias("lo"), F.count(F.lit(1)).alias("k"))
+    whole = W.partitionBy(by)
+    before = whole.orderBy("pid").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(by, "pid", "lo", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("first"), F.sum("k").over(whole).alias("n"))
+    met = rows.withColumn("pid", F.shiftright("m", 33)).join(parts, [by, "pid"])
+    return met.withColumn("idx", F.col("m") - F.col("lo") + F.col("first")).drop("pid", "m", "lo", "first")

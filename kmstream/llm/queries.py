@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, licences, mixing, near, packing, pages, personal, pivots, quality, repeats, toxicity
+from kmstream.llm import chat, licences, merkle, mixing, near, packing, pages, personal, pivots, quality, repeats, toxicity
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -274,6 +274,68 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.license_scan(spark, docs.select("doc_id", path.alias("path"), "text"), _L)
 
 
+# -- op11: Merkle manifest ---------------------------------------------------
+
+def _crc32_sql(x: str) -> str:
+    """Unsigned crc32 of a short ASCII string, bit by bit."""
+    bits = "list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, _: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({x}, ''), lambda c: ascii(c)::BIGINT)), "
+            f"lambda crc, b: {bits}))")
+
+
+def _field_sql(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+_LEAF_SQL = " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+OP11_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, sha256({_LEAF_SQL} || {_field_sql('text')}) AS leaf,
+         CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN sha256({_LEAF_SQL} || {_field_sql("replace(text, chr(10), '')")}) END AS altered
+  FROM documents),
+l AS (SELECT row_number() OVER () AS rid, *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree, count(*) OVER (PARTITION BY source) AS n FROM d),
+nodes AS (
+  SELECT tree, 0 AS lv, idx, leaf AS digest, n FROM l
+  UNION ALL
+  SELECT tree, lv + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY tree, lv, idx // 3, n),
+sub AS (SELECT tree, lv AS height, digest AS subroot, tree - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lv, idx, subroot AS digest, n FROM sub
+  UNION ALL
+  SELECT lv + 1, idx // 3, sha256(string_agg(digest, '' ORDER BY idx)), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY lv, idx // 3, n),
+root AS (SELECT digest AS root, lv AS height FROM tops WHERE n = 1),
+steps AS (
+  SELECT l.rid, a.lv, string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx) AS lhs, string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx) AS rhs
+  FROM l JOIN sub USING (tree) JOIN nodes a ON a.tree = l.tree AND a.lv < sub.height AND a.idx = l.idx // (3 ** a.lv)::BIGINT
+         JOIN nodes b ON b.tree = a.tree AND b.lv = a.lv AND b.idx // 3 = a.idx // 3 GROUP BY l.rid, a.lv
+  UNION ALL
+  SELECT l.rid, sub.height + a.lv, string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx)
+  FROM l JOIN sub USING (tree), root JOIN tops a ON a.lv < root.height AND a.idx = sub.idx // (3 ** a.lv)::BIGINT
+         JOIN tops b ON b.lv = a.lv AND b.idx // 3 = a.idx // 3 GROUP BY l.rid, sub.height, a.lv),
+proof AS (SELECT rid, string_agg(coalesce(lhs, '') || coalesce(rhs, ''), '' ORDER BY lv) AS siblings, count(*) AS n_steps FROM steps GROUP BY rid),
+folds AS (
+  SELECT rid, 0 AS lv, coalesce(altered, leaf) AS digest FROM l
+  UNION ALL
+  SELECT rid, lv + 1, sha256(coalesce(lhs, '') || digest || coalesce(rhs, '')) FROM folds JOIN steps USING (rid, lv)),
+last AS (SELECT rid, arg_max(digest, lv) AS folded_root FROM folds GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN sub USING (tree) CROSS JOIN root LEFT JOIN proof USING (rid) JOIN last USING (rid)
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof up to the root of the dataset, and whether the (partly altered) document folds to it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    shortened = merkle.leaf_digest(*[F.col(c) for c in fields[:4]], F.translate("text", "\n", ""))
+    altered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, shortened).alias("altered")
+    made = merkle.build(spark, docs, fields, keep=[F.col("doc_id"), altered])
+    return merkle.proofs(made.leaves(), made.root, F.coalesce("altered", "digest"), ["doc_id"])
+
+
 # -- op13: personal data -----------------------------------------------------
 
 @query("op13_personal_data")
