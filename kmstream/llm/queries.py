@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.llm import chat, licences, merkle, mixing, near, packing, pages, personal, pivots, quality, repeats, toxicity
+from kmstream.llm import chat, licences, merkle, mixing, near, packing, pages, personal, pivots, quality, repeats, toxicity, trie
 from kmstream.sources.tables import table
 
 QUERIES: dict = {}
@@ -336,6 +336,37 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.proofs(made.leaves(), made.root, F.coalesce("altered", "digest"), ["doc_id"])
 
 
+# -- op12: conversation prefix trie ------------------------------------------
+
+_TURN_SQL = "substr(sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)"
+OP12_SQL = rf"""
+WITH t AS (SELECT conv_id, list({{'d': {_TURN_SQL}, 'w': len(regexp_extract_all(coalesce(text, ''), '{_W}'))}} ORDER BY turn NULLS FIRST, {_TURN_SQL}) AS turns
+           FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, turns, ({_crc32_sql('conv_id::VARCHAR')} % 4)::INTEGER AS h FROM t),
+s AS (SELECT a.conv_id, CASE WHEN b.turns IS NULL THEN a.turns[a.h + 1:] ELSE list_concat(b.turns[1:a.h], a.turns[a.h + 1:]) END AS seq
+      FROM h a LEFT JOIN t b ON b.conv_id = a.conv_id - a.conv_id % 20),
+p AS (SELECT conv_id, d, len(seq) = d AS is_end, sha256(array_to_string(list_transform(seq[1:d], lambda x: x.d), ',')) AS k,
+             CASE WHEN d > 0 THEN sha256(array_to_string(list_transform(seq[1:d - 1], lambda x: x.d), ',')) END AS up,
+             CASE WHEN d > 0 THEN seq[d].w ELSE 0 END AS w
+      FROM (SELECT conv_id, seq, unnest(range(len(seq) + 1)) AS d FROM s)),
+nodes AS (SELECT k, any_value(up) AS up, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+                 sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256 FROM p GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up),
+below AS (SELECT DISTINCT a.k, b.k AS other FROM p a JOIN p b ON a.conv_id = b.conv_id AND b.d >= a.d),
+sums AS (SELECT below.k, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((n_convs - 1) * w)::BIGINT AS saved_tokens
+         FROM below JOIN nodes ON nodes.k = other LEFT JOIN kids ON kids.k = other GROUP BY below.k)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON sums.k = n.k LEFT JOIN kids ON kids.k = n.k LEFT JOIN nodes u ON u.k = n.up
+"""
+
+
+@query("op12_conversation_trie", OP12_SQL)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix that conversations share once their first turns come from the first of each twenty."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return trie.prefix_trie(spark, trie.rebuilt(trie.sequences(rows)))
+
+
 # -- op13: personal data -----------------------------------------------------
 
 @query("op13_personal_data")
