@@ -211,7 +211,7 @@ def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score; rows whose crc32(doc_id) mod 5 is 0 are held out of the learning."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     labels = table(spark, sf_dir, "labels").filter(~held)
     model = toxicity.learn(spark, toxicity.labelled_sample(docs, labels, toxicity.ToxicRules()))
     scored = toxicity.score(spark, docs, model)

@@ -7,10 +7,12 @@ start and an end mark. The lexicon holds word stems (``^stem``), whole words
 rows: the log odds of the entry's document frequency under either label.
 Longer entries override the shorter ones they cover, so entries with a weight
 of 0 or less -- usual words and phrases that hold a bad stem, most of them only
-seen in clean rows -- are the exceptions. A pair without a bad word is an entry
-if its label counts are beyond chance (``pair_g2``). A text's score is a logistic function of its summed positive
-weights, of the same normalised by length, of its largest weight, and of the
-number of matches.
+seen in clean rows -- are the exceptions. Candidates are counted under both
+labels in one aggregation and ranked by their log likelihood ratio, so a rare
+entry that is sure goes before a frequent one that is usual. A pair without a bad
+word is an entry if its label counts are beyond chance (``pair_g2``). A text's
+score is a logistic function of its summed positive weights, of the same
+normalised by length, of its largest weight, and of the number of matches.
 
 Learning: ``sample_rows`` is the documented bound of the labelled sample (by a
 hash of the id, so the same rows whatever the partitioning). Entry counts are
@@ -24,7 +26,7 @@ Defined results: null or empty text = the score of a text without matches;
 rows with null label or id are not learned from; repeated labels of one id
 count once (toxic if any says so); without toxic or without clean rows in the
 sample every score is the share of toxic rows (0 without any); other columns
-are never read.
+are never read; a column with the name of the score is replaced.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kmstream.llm.common import stored, text_batches
@@ -139,10 +141,11 @@ class ToxicModel:
     coefficients: tuple  # intercept and one number per figure
     scale: tuple
 
-    def scores(self, figures: np.ndarray) -> np.ndarray:
-        x = np.log1p(figures) / np.asarray(self.scale)
-        z = self.coefficients[0] + x @ np.asarray(self.coefficients[1:])
-        return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
+
+def _scores(figures: np.ndarray, coefficients: tuple, scale: tuple) -> np.ndarray:
+    x = np.log1p(figures) / np.asarray(scale)
+    z = coefficients[0] + x @ np.asarray(coefficients[1:])
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, rules: ToxicRules) -> DataFrame:
@@ -167,46 +170,38 @@ def learn(spark: SparkSession, sample: DataFrame, rules: ToxicRules = ToxicRules
         share = toxic / (toxic + clean) if toxic + clean else 0.0
         return ToxicModel({}, (float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else (35 if share else -35), -35, 35)), 0, 0, 0, 0), (1, 1, 1, 1))
 
-    def count(entries):
+    def counted(entries):
+        """(entry, n, t): documents and toxic documents of the sample that hold an entry."""
         def run(batches):
-            total = Counter()
+            total: Counter = Counter()
             for pdf in batches:
-                for text in pdf["text"]:
-                    total.update(entries(fold(text)))
+                for text, label in zip(pdf["text"], pdf["toxic"]):
+                    total.update((e, label) for e in entries(fold(text)))
                     if len(total) > 500_000:
-                        yield pd.DataFrame(total.items(), columns=["entry", "n"])
+                        yield _frame(total)
                         total.clear()
-            yield pd.DataFrame(list(total.items()), columns=["entry", "n"]).astype({"entry": object, "n": "int64"})
-        return run
-
-    def counted(label, entries):
-        rows = sample.filter(F.col("toxic") == label).select("text")
-        return rows.mapInPandas(count(entries), "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
+            yield _frame(total)
 
-    def most(counts):
-        return counts.orderBy(F.desc("n"), "entry").limit(4 * rules.max_entries).toPandas()
+        rows = sample.select("text", "toxic").mapInPandas(run, "entry string, n long, t long")
+        return rows.groupBy("entry").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
-    def weighed(t, c):
-        return np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
+    def most(counts, order):
+        return counts.orderBy(order, "entry").limit(4 * rules.max_entries).toPandas()
 
-    # candidates: what lies in enough toxic documents, the most frequent first, words and pairs each by themselves
-    often = stored(spark, counted(1, lambda words: entries_of(words, rules)).filter(F.col("n") >= rules.min_toxic), "toxic-entries")
+    odds = (F.col("t") + 0.5) / F.lit(toxic + 1) / ((F.col("n") - F.col("t") + 0.5) / F.lit(clean + 1))
     pair = F.col("entry").contains("$^")
-    top = pd.concat([most(often.filter(~pair)), most(often.filter(pair))])
-    wanted = spark.sparkContext.broadcast(frozenset(top["entry"]))
-    usual = counted(0, lambda words: entries_of(words, rules) & wanted.value).toPandas().set_index("entry")["n"]
-    t = top["n"].to_numpy(float)
-    c = usual.reindex(top["entry"]).fillna(0).to_numpy(float)
-    bad = _choose(dict(zip(top["entry"], zip(weighed(t, c), _g2(t, c, toxic, clean)))), rules)
+
+    # candidates: what lies in enough toxic documents and leans to them, the surest first, words and pairs each by themselves
+    often = counted(lambda words: entries_of(words, rules)).filter((F.col("t") >= rules.min_toxic) & (odds >= float(np.exp(rules.min_weight))))
+    often = stored(spark, often.select("entry", F.ln(odds).alias("weight"), _g2(toxic / (toxic + clean)).alias("g2")), "toxic-entries")
+    top = pd.concat([most(often.filter(kind), F.desc("g2")) for kind in (~pair, pair)])
+    bad = _choose(dict(zip(top["entry"], zip(top["weight"], top["g2"]))), rules)
 
     # exceptions: what covers a bad word or stem in enough documents of either label
     stems = spark.sparkContext.broadcast({e for e in bad if "$^" not in e})
-    sides = [counted(x, lambda words: exceptions_of(words, stems.value, rules)).withColumn("label", F.lit(x)) for x in (0, 1)]
-    seen = (sides[0].unionByName(sides[1]).groupBy("entry").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("t"))
-            .filter(F.col("n") >= rules.min_seen))
-    odds = (F.col("t") + 0.5) / F.lit(toxic + 1) / ((F.col("n") - F.col("t") + 0.5) / F.lit(clean + 1))
-    seen = stored(spark, seen.filter(odds < float(np.exp(rules.min_weight))), "toxic-exceptions")
-    model = _with_exceptions(bad, [list(most(seen.filter(kind))["entry"]) for kind in (~pair, pair)], rules)
+    seen = counted(lambda words: exceptions_of(words, stems.value, rules))
+    seen = stored(spark, seen.filter((F.col("n") >= rules.min_seen) & (odds < float(np.exp(rules.min_weight)))), "toxic-exceptions")
+    model = _with_exceptions(bad, [list(most(seen.filter(kind), F.desc("n"))["entry"]) for kind in (~pair, pair)], rules)
     lexicon = spark.sparkContext.broadcast(model)
 
     def figures(batches):
@@ -221,11 +216,16 @@ def learn(spark: SparkSession, sample: DataFrame, rules: ToxicRules = ToxicRules
     return ToxicModel(model, tuple(_logistic(x / scale, rows["toxic"].to_numpy(float))), tuple(scale))
 
 
-def _g2(t: np.ndarray, c: np.ndarray, toxic: int, clean: int) -> np.ndarray:
-    """Log likelihood ratio of (t, c) documents against the shares of the labels."""
-    n = np.maximum(t + c, 1)
-    share = toxic / (toxic + clean)
-    return 2 * (t * np.log(np.maximum(t, 1e-9) / (n * share)) + c * np.log(np.maximum(c, 1e-9) / (n * (1 - share))))
+def _frame(total: Counter) -> pd.DataFrame:
+    rows = [(e, n, n if label == 1 else 0) for (e, label), n in total.items()]
+    return pd.DataFrame(rows, columns=["entry", "n", "t"]).astype({"entry": object, "n": "int64", "t": "int64"})
+
+
+def _g2(share: float) -> Column:
+    """Log likelihood ratio of t of n documents against the share of toxic ones in the sample."""
+    def part(k, expected):
+        return F.when(k > 0, k * F.ln(k / (F.col("n") * expected))).otherwise(0.0)
+    return 2 * (part(F.col("t"), share) + part(F.col("n") - F.col("t"), 1 - share))
 
 
 def _holds(word: str, entries: dict, rules: ToxicRules) -> bool:
@@ -238,8 +238,8 @@ def _words_of(pair: str) -> list[str]:
 
 
 def _choose(table: dict, rules: ToxicRules) -> dict[str, float]:
-    """Bad words and stems, and the bad pairs of usual words, from (weight, g2) by entry."""
-    bad = sorted((e for e, (w, _) in table.items() if w >= rules.min_weight), key=lambda e: (-table[e][0], e))
+    """Bad words and stems, and the bad pairs of usual words, from (weight, g2) by entry, the surest first."""
+    bad = sorted((e for e, (w, _) in table.items() if w >= rules.min_weight), key=lambda e: (-table[e][1], e))
     out = {e: float(table[e][0]) for e in [e for e in bad if "$^" not in e][:rules.max_entries]}
     pairs = [e for e in bad if "$^" in e and table[e][1] >= rules.pair_g2 and not any(_holds(w, out, rules) for w in _words_of(e))]
     return out | {e: float(table[e][0]) for e in pairs[:rules.max_entries]}
@@ -268,14 +268,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
 
 
 def score(spark: SparkSession, documents: DataFrame, model: ToxicModel, text: str = "text", column: str = "score") -> DataFrame:
-    """``documents`` with the score of each whole text."""
-    shared = spark.sparkContext.broadcast(model)
+    """``documents`` with the score of each whole text; a column of that name is replaced."""
+    # plain values only: a broadcast's classes are looked up where it is opened, and workers need no copy of this package
+    shared = spark.sparkContext.broadcast((model.weights, tuple(map(float, model.coefficients)), tuple(map(float, model.scale))))
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = Lexicon(shared.value.weights)
+        weights, coefficients, scale = shared.value
+        own = Lexicon(weights)
         for texts in batches:
             f = np.asarray([own.figures(t) for t in texts], float).reshape(-1, 4)
-            yield pd.Series(shared.value.scores(f))
+            yield pd.Series(_scores(f, coefficients, scale))
 
     return documents.withColumn(column, scores(F.col(text).cast("string")))

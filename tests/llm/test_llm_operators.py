@@ -446,6 +446,24 @@ def test_toxicity_learns_stems_and_exceptions(spark, rng):
     assert toxicity.score(spark, docs.limit(3), none).select("score").distinct().count() == 1
 
 
+def test_toxicity_ranks_candidates_by_certainty_not_frequency(spark, rng):
+    """A rare word that only toxic rows hold goes before more frequent words that clean rows hold as well."""
+    words = [f"{chr(97 + k // 8)}{chr(97 + k % 8)}qu" for k in range(60)]
+    rows = []
+    for i in range(400):
+        toxic = i % 4 == 0
+        usual = [w for w in words if rng.random() < (0.67 if toxic else 0.12)]
+        rows.append((" ".join(usual + ["zorkbad"] * (toxic and i % 8 == 0)), int(toxic)))
+    model = toxicity.learn(spark, spark.createDataFrame(rows, "text string, toxic int"), toxicity.ToxicRules(max_entries=4))
+    assert any(e.startswith("^zor") and w > 0 for e, w in model.weights.items())
+
+
+def test_toxicity_replaces_a_column_of_the_scores_name(spark):
+    df = spark.createDataFrame([(1, "x", "old"), (None, None, "old")], "doc_id long, text string, score string")
+    out = toxicity.score(spark, df, toxicity.ToxicModel({}, (0.0, 0, 0, 0, 0), (1, 1, 1, 1)))
+    assert out.columns == df.columns and [r["score"] for r in out.collect()] == [0.5, 0.5]
+
+
 def test_toxicity_learns_phrases(spark, rng):
     """A bad word inside a harmless phrase of clean rows, and a bad phrase of usual words."""
     usual = [f"{a}{b}" for a in WORDS for b in ("ing", "er", "ly")]
