@@ -7,13 +7,16 @@
    it, else as long as its parent has further parts of the same text.
 2. The best container's path -- tags with their classes from the root, digits
    generalised -- is a vote, weighted by nothing but the page. Votes are
-   counted per host in Spark and the path with most votes wins (ties: the
-   longer supporting text, then the smaller path).
-3. Every page is extracted again by its host's path. A page without a node on
-   that path, or without a host, uses its own best container.
+   counted per host in Spark; the path with most votes wins (ties: the longer
+   supporting text, then the greater path), and others with a good share of its
+   votes are further templates of the host.
+3. Every page is extracted again by its host's paths (``choose``). A page whose
+   host's paths hold next to nothing, or without a host, uses its own best
+   container.
 
 Scale: the votes of a host are counts with map-side combine, so a host with a
-third of all pages is a handful of rows per task. Winners are one row per
+third of all pages is a handful of rows per task; the window that ranks a
+host's paths keeps its first few in each task. Winners are one row per
 host, written and counted; they are broadcast up to a checked number and join by
 sort with adaptive skew splitting beyond it, so pages are not dealt by host. Pages are parsed a batch at a
 time; nothing is collected.
@@ -32,9 +35,10 @@ import re
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import stored, text_batches
+from kmstream.llm.common import fresh, stored, text_batches
 
 #: Element names by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +54,8 @@ CONTAINER = frozenset("article body div main section td center blockquote".split
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Containers that split an article; a part of another kind belongs to it from 1/FURTHER of the main part's text.
 SPLIT, FURTHER = frozenset("section td center blockquote".split()), 10
+#: A host's path is passed over on a page where it holds less than 1/FAR of the text of the page's own best container.
+FAR = 8
 #: An element of this kind ends an open element of the listed kinds (up to the nearest container).
 IMPLIED_END = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Class or id words of page furniture: what is never main text, and parts of the layout, which may also name a wrapper.
@@ -60,8 +66,10 @@ LAYOUT = frozenset("banner breadcrumb breadcrumbs footer header masthead menu na
 PLACES = frozenset("site page main left right top bottom global primary secondary".split())
 PARTS = frozenset("area bar block body box container content form item link links list message overlay posts section slot text thread top unit wrap wrapper".split())
 
-_token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_label = re.compile(r"\b(class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+# A quote opens a value behind = only; elsewhere, as in title=Bob's, it is a character like others.
+_token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                    r"<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
+_attribute = re.compile(r"([^\s\"'>/=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _parts = re.compile(r"[a-z]+")
 _digits = re.compile(r"\d+")
 _raw_end = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW}
@@ -92,10 +100,11 @@ def _step(tag: str, attributes: str) -> tuple[str, int]:
     """The generalised path step of an element and how far its class or id marks furniture."""
     classes, names = [], []
     if "=" in attributes:
-        for kind, a, b, c in _label.findall(attributes):
-            value = a or b or c
-            names += value.split()
-            if kind.lower() == "class":
+        for kind, a, b, c in _attribute.findall(attributes):
+            kind, value = kind.lower(), a or b or c
+            if kind in ("class", "id"):
+                names += value.split()
+            if kind == "class":
                 classes += value.split()
     marked = max(map(_marks, names), default=0)
     step = tag + "".join("." + c for c in sorted({_digits.sub("#", c) for c in classes}))
@@ -103,7 +112,7 @@ def _step(tag: str, attributes: str) -> tuple[str, int]:
 
 
 def parse(source: str) -> list[Node]:
-    """The element nodes of a page, in page order; the first is the root."""
+    """The element nodes of a page, in page order; the first is the root, which is the body of a page that names none."""
     root = Node("#root", "", None, False, 0)
     nodes, stack, at = [root], [root], 0
     while True:
@@ -112,6 +121,8 @@ def parse(source: str) -> list[Node]:
         if text:
             stack[-1].kids.append(_html.unescape(text))
         if not m:
+            if all(n.tag != "body" for n in nodes):
+                root.tag = "body"
             _settle(nodes)
             return nodes
         at = m.end()
@@ -274,13 +285,27 @@ def _whole(best: Node, nodes: list[Node]) -> Node:
     return best
 
 
-def extract(nodes: list[Node], path: str | None) -> str:
-    """The text of the outermost nodes on ``path``; of the page's own best container if it has none."""
-    found = [n for n in nodes if path is not None and n.path == path and not n.skip]
-    if not found:
-        best = best_container(nodes)
-        found = [best] if best is not None else []
-    return "\n".join(b for n in found for b in blocks_of(n))
+def extract(nodes: list[Node], paths: list[str] | None = None) -> str:
+    """The text of the main part of a page (``choose``)."""
+    return choose(nodes, paths or [])[0]
+
+
+def choose(nodes: list[Node], paths: list[str]) -> tuple[str, str | None]:
+    """(text, path) of the main part of a page, by the paths its host agrees on, those with most votes first.
+
+    The page's own best container decides if its path is one of them; else the first path
+    whose outermost nodes hold at least a ``FAR``th of the text of that container, so a
+    tagline that happens to lie where another template has its article is passed over;
+    else (and without paths) the container itself, with no path.
+    """
+    best = best_container(nodes)
+    own = "\n".join(blocks_of(best)) if best is not None else ""
+    agreed = [p for p in paths if best is not None and p == best.path] or paths
+    for path in agreed:
+        text = "\n".join(b for n in nodes if n.path == path and not n.skip for b in blocks_of(n))
+        if text and FAR * len(text) >= len(own):
+            return text, path
+    return own, None
 
 
 def with_host(pages: DataFrame, url: str = "url", host: str = "host") -> DataFrame:
@@ -288,8 +313,12 @@ def with_host(pages: DataFrame, url: str = "url", host: str = "host") -> DataFra
     return pages.withColumn(host, F.nullif(F.lower(F.regexp_extract(F.col(url).cast("string"), HOST, 1)), F.lit("")))
 
 
-def host_paths(pages: DataFrame, html: str = "html") -> DataFrame:
-    """(host, path, votes): the path that wins each host; ``pages`` has a host column."""
+def host_paths(pages: DataFrame, html: str = "html", templates: int = 8, share: int = 5) -> DataFrame:
+    """(host, paths): the paths a host's pages agree on, most votes first; ``pages`` has a host column.
+
+    Paths with at least one vote in ``share`` of the winner's, and two at all, are templates of
+    the host; the winner always is, and up to ``templates`` count.
+    """
 
     def vote(batches):
         for pdf in batches:
@@ -302,31 +331,37 @@ def host_paths(pages: DataFrame, html: str = "html") -> DataFrame:
 
     votes = pages.select("host", F.col(html).cast("string").alias("html")).mapInPandas(vote, "host string, path string, score double")
     counted = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.max("score").alias("score"))
-    first = F.struct("votes", "score", "path")
-    return counted.groupBy("host").agg(F.max(first).alias("w")).select("host", "w.path", "w.votes")
+    order = W.partitionBy("host").orderBy(F.desc("votes"), F.desc("score"), F.desc("path"))
+    top = counted.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= templates)
+    listed = top.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("nth", "path", "votes"))).alias("top"))   # at most ``templates``
+    agreed = F.filter("top", lambda t: (t["nth"] == 1) | (t["votes"] >= 2) & (share * t["votes"] >= F.col("top")[0]["votes"]))
+    return listed.select("host", F.transform(agreed, lambda t: t["path"]).alias("paths"))
 
 
 def extract_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", keep: tuple = (),
                   broadcast_hosts: int = 50_000) -> DataFrame:
-    """(page_id, url, *keep, text, n_chars, path): the main text of every page.
+    """(page_id, url, *keep, text, n_chars, path): the main text of every page, and the agreed path it lies on (null: its own).
 
-    The winners are counted first: up to ``broadcast_hosts`` of them (some MB)
-    travel to the pages, beyond that pages and winners meet by host.
+    The winners are counted first: up to ``broadcast_hosts`` hosts (some MB) travel
+    to the pages, beyond that pages and winners meet by host. A kept column that has
+    the name of a column of the result gets a number behind its name.
     """
     text_batches(pages.sparkSession)
+    kept, taken = {}, ["page_id", "url", "text", "n_chars", "path"]
+    for c in keep:
+        kept[c] = fresh(c, taken)
+        taken.append(kept[c])
+    inner = {c: fresh(f"kept_{k}", ["page_id", "url", "html", "host", "paths", "found"]) for k, c in enumerate(keep)}
     given = with_host(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"),
-                                   F.col(html).cast("string").alias("html"), *[F.col(c) for c in keep]))
+                                   F.col(html).cast("string").alias("html"), *[F.col(c).alias(inner[c]) for c in keep]))
     winners = stored(given.sparkSession, host_paths(given), "page-winners")
     joined = given.join(F.broadcast(winners) if winners.count() <= broadcast_hosts else winners, "host", "left")
 
     @F.pandas_udf("text string, used string")
     def texts(sources: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        rows = []
-        for source, path in zip(sources, paths):
-            path = path if isinstance(path, str) else None
-            rows.append((extract(parse(source), path) if source else "", path))
+        rows = [choose(parse(source), list(own) if own is not None else []) if source else ("", None) for source, own in zip(sources, paths)]
         return pd.DataFrame(rows, columns=["text", "used"])
 
-    return (joined.withColumn("found", texts("html", "path"))
-            .select("page_id", "url", *keep, F.col("found.text").alias("text"),
-                    F.length("found.text").cast("long").alias("n_chars"), "path"))
+    return (joined.withColumn("found", texts("html", "paths"))
+            .select("page_id", "url", *[F.col(inner[c]).alias(kept[c]) for c in keep], F.col("found.text").alias("text"),
+                    F.length("found.text").cast("long").alias("n_chars"), F.col("found.used").alias("path")))

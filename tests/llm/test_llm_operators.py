@@ -369,6 +369,68 @@ def test_article_does_not_grow_into_the_page():
     assert pages.extract(pages.parse(page), None) == " ".join(["word"] * 60)
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p><a href=x title=Bob's>Hello link</a> and we don't stop <b>here</b>.</p>", "Hello link and we don't stop here."),
+    ("<p title='a > b' class=\"c > d\">Kept.</p>", "Kept."),
+    ("<p data-x = 'it is' y=\"x=1\">Kept, don't <i title=o'>lose</i> it's.</p>", "Kept, don't lose it's."),
+    ("<p title=\"class=ad\" data-class=ad>Kept too.</p>", "Kept too."),
+    ("<p class=ad>Gone.</p><p>Kept.</p>", "Kept."),
+    ("<p title=\"open>Kept.</p>", "Kept."),
+    ("<p><a href=/a/b/>One</a> two.</p>", "One two."),
+])
+def test_quotes_in_tags(page, want):
+    assert pages.extract(pages.parse(f"<html><body><div>{page}</div></body></html>")) == want
+
+
+@pytest.mark.parametrize("page", ["<p>Some text.</p>", "Some text.", "<html><p>Some text.", "<title>T</title><div><p>Some text.</div>"])
+def test_page_without_a_body(page):
+    assert pages.extract(pages.parse(page)) == "Some text."
+
+
+def _made_page(rng, template, k):
+    """(html, article text) of a page of one of two templates; the text is known from making it."""
+    paragraphs = [prose(rng, int(rng.integers(15, 60))) + "." for _ in range(int(rng.integers(2, 6)))]
+    title, noise = prose(rng, 4).title(), prose(rng, int(rng.integers(3, 9)))
+    inner = f"<h1 title=it's>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+    menu = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in WORDS[:6])
+    if template == "post":
+        body = f'<div class="tagline">{noise}</div><div class="post-{k}">{inner}<div class="comments"><p>{noise * 9}</p></div></div>'
+    else:   # the article lies in a section; a small div sits on the path of the other template's article
+        body = f'<div class="post-{k}">{noise}</div><section class="story">{inner}</section><div class="sidebar"><p>{noise}</p></div>'
+    page = f"<html><head><title>{noise}</title></head><body><nav><ul>{menu}</ul></nav>{body}<footer>{noise}</footer></body></html>"
+    return page, "\n".join([title, *paragraphs])
+
+
+def test_two_templates_on_one_host(spark, rng):
+    rows, want = [], {}
+    for host, shares in (("a.org", (30, 12)), ("b.org", (3, 30)), ("c.org", (20, 1))):
+        for template, n in zip(("post", "story"), shares):
+            for _ in range(n):
+                i = len(rows)
+                page, want[i] = _made_page(rng, template, i)
+                rows.append((i, f"http://{host}/{i}", page))
+    got = pages.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_small_node_on_the_winning_path_does_not_stand_for_the_article():
+    page = "<html><body><div>Site tagline</div><section>" + "<p>" + "word " * 60 + "</p></section></body></html>"
+    text, path = pages.choose(pages.parse(page), ["/html/body/div"])
+    assert text == " ".join(["word"] * 60) and path is None
+
+
+def test_kept_columns_may_have_the_results_names(spark):
+    df = spark.createDataFrame([(1, "http://h.org", "<p>Some text.</p>", "h", "p", "t", "n")], "page_id long, url string, html string, host string, path string, text string, found string")
+    got = pages.extract_pages(df, keep=("host", "path", "text", "found")).first().asDict()
+    assert (got["host"], got["path_1"], got["text_1"], got["found"], got["text"]) == ("h", "p", "t", "n", "Some text.")
+
+
+def test_very_long_page(spark):
+    page = "<html><body><article>" + "<p>one two three.</p>" * 30_000 + "</article></body></html>"
+    (r,) = pages.extract_pages(spark.createDataFrame([(1, "http://h.org", page)], "page_id long, url string, html string")).collect()
+    assert r["n_chars"] == 30_000 * 15 - 1
+
+
 # -- embeddings --------------------------------------------------------------
 
 def test_pivot_index_recall_near_the_threshold(spark, rng):
