@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and works on everything its predecessor
 kept. ``run`` writes every stage's result as Parquet below the shared
 checkpoint folder and reads it back as the next stage's documents.
+
+Defined results: a null or empty text fails the quality rules, so such documents
+go in the first stage; a stage that is given one nevertheless keeps it as it is
+(near-dedup, passage dedup, mixing) and packs its end token. Rows without id, and
+rows that repeat one id, are documents of their own: of a group of near copies one
+row stays whatever their ids are. An empty table passes through all stages as an
+empty table. The first four stages return the columns of the documents, extra ones
+included; ``n_chars`` follows the text.
 """
 
 from __future__ import annotations
@@ -25,9 +33,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near.deduplicated(spark, docs)
 
 
+#: What the pipeline calls a repeated passage: 256 bytes, since the shortest passages of over 50 words that
+#: documents share are some 270 bytes long. (The query of the operator alone goes by 400.)
+PASSAGES = repeats.RepeatRules(length=256, reach=128, gram=16)
+
+
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of 400-byte strings that start twice go."""
-    return repeats.without_repeats(spark, docs)
+    """Bytes of 256-byte strings that start twice go."""
+    return repeats.without_repeats(spark, docs, PASSAGES)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
