@@ -14,8 +14,10 @@ is paired with one lead of its bucket, and of the leads of its buckets only the
 one with the best sketch estimate is tested exactly; links give components, and
 buckets whose members all lie in one component are done. What is left is tested
 inside blocks of a bucket: every pair of members of different components, once
-for all the buckets it shares. Blocks return linked pairs of components only. So
-each pair of a bucket is in the end linked, in one component already, or tested.
+for all the buckets it shares. Only the members outside a bucket's largest
+component are copied to several blocks, and only beyond ``block`` members. Blocks
+return linked pairs of components only. So each pair of a bucket is in the end
+linked, in one component already, or tested.
 
 Scale: bucket leads are partial aggregations; members meet their leads, sets
 and components by sort-merge joins that adaptive execution can split, so a
@@ -41,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from kmstream.llm.common import fresh, stored, text_batches
+from kmstream.llm.common import WORD, fresh, stored, text_batches
 from kmstream.llm.graph import connected_components
 
 
@@ -53,7 +55,7 @@ class NearRules:
     rows: int = 5
     bits: int = 512
     errors: float = 4.5
-    block: int = 512
+    block: int = 2048
 
     def widest(self) -> int:
         """The largest XOR count of two sketches that still goes to the exact test."""
@@ -147,7 +149,10 @@ def signed(docs: DataFrame, rules: NearRules, doc_id: str = "doc_id", text: str
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, rules: NearRules, doc_id: str, text: str) -> DataFrame:
-    """(node, items) of the wanted classes (node, fp, doc_id): the texts are read again by the id of one member."""
+    """(node, items) of the wanted classes (node, fp, doc_id, text_hash): the texts are read again by id and text of one member.
+
+    Both are needed: documents without an id, or with one repeated id, are as many as they like.
+    """
 
     def run(batches):
         import xxhash
@@ -161,40 +166,54 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, rules: NearRules, doc_id: str
                         rows.append((node, items.view(np.int64)))
                 yield pd.DataFrame(rows, columns=["node", "items"])
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    found = texts.join(wanted, texts["id"].eqNullSafe(wanted["doc_id"])).select("node", "fp", "text")
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).cast("string").alias("text"))
+    found = texts.join(wanted, (texts["h"] == wanted["text_hash"]) & texts["id"].eqNullSafe(wanted["doc_id"])).select("node", "fp", "text")
     return found.mapInPandas(run, "node long, items array<long>")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, rules: NearRules = NearRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept) per row of ``docs``."""
+def _labelled(spark: SparkSession, docs: DataFrame, rules: NearRules, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, text_hash, n_shingles, component) per row, component null without words; (component, component_id))."""
     text_batches(spark)
     rows = stored(spark, signed(docs, rules, doc_id, text), "near-signed")
     full = rows.filter("n_shingles > 0")
-    classes = (full.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"),
-                                      F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
-               .withColumn("node", F.monotonically_increasing_id()))
+    member = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    classes = (full.groupBy("fp").agg(member.alias("of"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+               .select("fp", "of.doc_id", "of.text_hash", "n", "keys", "sketch").withColumn("node", F.monotonically_increasing_id()))
     classes = stored(spark, classes, "near-classes")
     first, then = _components(spark, docs, classes, rules, doc_id, text)
     ids = classes.select("node", "fp", "doc_id").join(first, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
     ids = ids.join(then.select(F.col("node").alias("c"), "component"), "c", "left")
     ids = stored(spark, ids.select("fp", "doc_id", F.coalesce("component", "c").alias("component")), "near-ids")
-    least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = ids.select("fp", "component").join(least, "component").select("fp", "component_id")
-    linked = full.select("doc_id", "text_hash", "n_shingles", "fp").join(named, "fp").drop("fp")
-    alone = rows.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    linked = full.select("doc_id", "text_hash", "n_shingles", "fp").join(ids.select("fp", "component"), "fp").drop("fp")
+    alone = rows.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("component"))
+    return linked.unionByName(alone), ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, rules: NearRules = NearRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept) per row of ``docs``."""
+    rows, names = _labelled(spark, docs, rules, doc_id, text)
+    named = rows.filter("component is not null").join(names, "component").drop("component")
+    alone = rows.filter("component is null").drop("component").withColumn("component_id", F.col("doc_id"))
+    return named.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, rules: NearRules = NearRules(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per component; same columns. Of rows with the same id and text one stays."""
+    """The rows of ``docs`` that stay; same columns.
+
+    Of each component one row stays, the one with the smallest id (rows without an id
+    last), then text hash; of equal ones any. All rows without words stay.
+    """
     i, h, n = (fresh(c, docs.columns) for c in ("near_id", "near_hash", "near_nth"))
     missing = F.lit(-(1 << 62))
-    kept = (near_duplicates(spark, docs, rules, doc_id, text).filter("kept")
-            .select(F.coalesce("doc_id", missing).alias(i), F.col("text_hash").alias(h)).distinct())
+    rows, _ = _labelled(spark, docs, rules, doc_id, text)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("of")
+    kept = rows.filter("component is not null").groupBy("component").agg(best)
+    kept = kept.select(F.coalesce("of.doc_id", missing).alias(i), F.col("of.text_hash").alias(h))
     keyed = docs.withColumns({i: F.coalesce(F.col(doc_id).cast("long"), missing), h: F.xxhash64(F.col(text))})
-    one = keyed.withColumn(n, F.row_number().over(W.partitionBy(i, h).orderBy(i))).filter(F.col(n) == 1)
-    return one.join(kept, [i, h], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    words = F.coalesce(F.col(text).cast("string").rlike(WORD), F.lit(False))
+    one = keyed.filter(words).withColumn(n, F.row_number().over(W.partitionBy(i, h).orderBy(i))).filter(F.col(n) == 1).drop(n)
+    stay = one.join(kept, [i, h], "left_semi").unionByName(keyed.filter(~words))
+    return stay.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def _components(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules: NearRules, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
@@ -206,7 +225,7 @@ def _components(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules:
     buckets = stored(spark, buckets, "near-buckets")  # key, node, lead
 
     nodes = buckets.select("node").distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "fp", "doc_id")
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "fp", "doc_id", "text_hash")
     sets = stored(spark, _full_sets(docs, wanted, rules, doc_id, text).dropDuplicates(["node"]), "near-sets")
 
     near = _estimated(buckets.filter("node <> lead").select("node", "lead").distinct(), sketches, rules)
@@ -216,9 +235,7 @@ def _components(spark: SparkSession, docs: DataFrame, classes: DataFrame, rules:
 
     known = buckets.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("nc"))
     known = stored(spark, known, "near-known")
-    mixed = (known.groupBy("key").agg(F.min("nc").alias("lo"), F.max("nc").alias("hi"), F.ceil(F.count(F.lit(1)) / rules.block).cast("int").alias("chunks"))
-             .filter("lo <> hi").select("key", "chunks"))
-    across = stored(spark, _across(spark, known.join(mixed, "key"), classes, sets, rules), "near-across")
+    across = stored(spark, _across(spark, known, classes, sets, rules), "near-across")
     return first, stored(spark, connected_components(spark, across), "near-then")
 
 
@@ -250,24 +267,34 @@ def _estimated(pairs: DataFrame, sketches: DataFrame, rules: NearRules) -> DataF
     return met.filter(fits).select("node", "lead", x.alias("x")).filter(F.col("x") <= rules.widest())
 
 
-def _across(spark: SparkSession, members: DataFrame, classes: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:
-    """(a, b): linked components, from the buckets (key, node, nc, chunks) that hold several.
+def _across(spark: SparkSession, known: DataFrame, classes: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:
+    """(a, b): linked components, from the buckets of (key, node, nc) that hold several.
 
-    A bucket is cut into chunks and each pair of chunks is one group. The first
-    pass keeps the members that have a partner by sketch; only they get their
-    full sets, and the second pass tests their pairs exactly. No pair leaves a
-    group unless it links two components, and then once.
+    The members outside a bucket's largest component are its *strangers*; every pair
+    to test has one. Strangers are the rows and all members the columns of a matrix
+    that is cut into blocks of ``block`` a side: a member is copied once per block of
+    strangers, a stranger once per block of members. The first pass keeps those that
+    have a partner by sketch; only they get their full sets, and the second pass tests
+    their pairs exactly. No pair leaves a block unless it links two components.
     """
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    rows = (members.withColumn("chunk", chunk)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-            .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "nc"))
+    per = known.groupBy("key", "nc").agg(F.count(F.lit(1)).alias("k"))
+    mixed = (per.groupBy("key").agg(F.sum("k").alias("m"), F.max(F.struct("k", "nc")).alias("top")).filter("m > top.k")
+             .select("key", F.col("top.nc").alias("main"), F.ceil(F.col("m") / rules.block).cast("int").alias("wide"),
+                     F.ceil((F.col("m") - F.col("top.k")) / rules.block).cast("int").alias("high")))
+    at = known.join(mixed, "key").withColumns({
+        "r": F.when(F.col("nc") != F.col("main"), F.pmod(F.xxhash64("node", F.lit(1)), F.col("high")).cast("int")).otherwise(F.lit(-1)),
+        "c": F.pmod(F.xxhash64("node"), F.col("wide")).cast("int")})
+    as_column = F.transform(F.sequence(F.lit(0), F.col("high") - 1), lambda i: F.struct(i.alias("i"), F.col("c").alias("j")))
+    as_row = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda j: F.struct(F.col("r").alias("i"), j.alias("j")))
+    cells = F.when(F.col("r") < 0, as_column).otherwise(F.array_union(as_column, as_row))
+    rows = at.withColumn("cell", F.explode(cells)).select("key", "cell.i", "cell.j", "r", "c", "node", "nc")
     rich = rows.join(classes.select("node", "n", "keys", "sketch"), "node")
-    kind = "key long, i int, j int, chunk int, node long, nc long, n long, keys array<long>, sketch array<long>"
+    kind = "key long, i int, j int, r int, c int, node long, nc long, n long, keys array<long>, sketch array<long>"
     names = [x.split()[0] for x in kind.split(", ")]
 
     def with_partner(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pdf[_may_link(pdf, rules).any(axis=1)]
+        a, b, _ = _may_link(pdf, rules)
+        return pdf.iloc[np.union1d(a, b)]
 
     some = rich.select(names).groupBy("key", "i", "j").applyInPandas(with_partner, kind)
     some = stored(spark, some, "near-partners")
@@ -278,42 +305,84 @@ def _across(spark: SparkSession, members: DataFrame, classes: DataFrame, sets: D
     return some.join(sets, "node").groupBy("key", "i", "j").applyInPandas(links, "a long, b long")
 
 
-def _may_link(pdf: pd.DataFrame, rules: NearRules) -> np.ndarray:
-    """Which pairs of a block belong to this bucket's test: other component, sketches and sizes allow it, no earlier band shared."""
-    keys = np.stack(pdf["keys"].to_numpy())
+def _may_link(pdf: pd.DataFrame, rules: NearRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stranger, member, XOR count) by place, strangers ascending: the pairs of a block that belong to this bucket's test -- other component,
+    sketches and sizes allow it, no earlier band shared, of two strangers the one with the greater node first."""
+    rows = np.flatnonzero((pdf["r"] == pdf["i"]).to_numpy())
+    cols = np.flatnonzero((pdf["c"] == pdf["j"]).to_numpy())
     bits = np.stack(pdf["sketch"].to_numpy()).view(np.uint64)
-    n, nc = pdf["n"].to_numpy(np.int64), pdf["nc"].to_numpy(np.int64)
-    apart = np.zeros((len(pdf), len(pdf)), np.int16)
-    for w in range(bits.shape[1]):
-        apart += np.bitwise_count(bits[:, w, None] ^ bits[None, :, w])
-    ok = (apart <= rules.widest()) & (nc[:, None] != nc[None, :])
-    ok &= 100 * np.minimum(n[:, None], n[None, :]) >= rules.percent * np.maximum(n[:, None], n[None, :])
-    band = int((keys == pdf["key"].iloc[0]).all(axis=0).argmax())
-    for t in range(band):
-        ok &= keys[:, t, None] != keys[None, :, t]
-    if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
-        side = (pdf["chunk"] == pdf["i"]).to_numpy()
-        ok &= side[:, None] != side[None, :]
-    return ok
+    n, nc, node, r = (pdf[x].to_numpy(np.int64) for x in ("n", "nc", "node", "r"))
+    found = []
+    for part in np.array_split(rows, max(1, len(rows) * len(cols) >> 20)):
+        apart = np.zeros((len(part), len(cols)), np.int16)
+        for w in range(bits.shape[1]):
+            apart += np.bitwise_count(bits[part, w, None] ^ bits[None, cols, w])
+        x, y = np.nonzero(apart <= rules.widest())
+        a, b, gap = part[x], cols[y], apart[x, y]
+        ok = (nc[a] != nc[b]) & ((r[b] < 0) | (node[a] > node[b]))
+        ok &= 100 * np.minimum(n[a], n[b]) >= rules.percent * np.maximum(n[a], n[b])
+        found.append((a[ok], b[ok], gap[ok]))
+    a, b, gap = (np.concatenate(x) for x in zip(*found))
+    if len(a):
+        keys = np.stack(pdf["keys"].to_numpy())
+        band = int((keys == pdf["key"].iloc[0]).all(axis=0).argmax())
+        ok = np.ones(len(a), bool)
+        for t in range(band):
+            ok &= keys[a, t] != keys[b, t]
+        a, b, gap = a[ok], b[ok], gap[ok]
+    return a, b, gap
 
 
 def _block_links(pdf: pd.DataFrame, rules: NearRules) -> pd.DataFrame:
-    """Exact test of a block's pairs: the pairs of components that a link joins."""
-    ok = np.triu(_may_link(pdf, rules))
+    """Exact test of a block's pairs: the pairs of components that a link joins.
+
+    A stranger is tested with its nearest member of each component first, and with
+    the others of a component only if that is not linked by then.
+    """
+    a, b, gap = _may_link(pdf, rules)
     items = pdf["items"].tolist()
     size = np.fromiter(map(len, items), np.int64, len(items))
     first = np.cumsum(size) - size
     names, codes = np.unique(np.concatenate(items), return_inverse=True)
     mark = np.zeros(len(names), bool)
     nc = pdf["nc"].to_numpy(np.int64)
+    up: dict = {}
     found = set()
-    for r in np.flatnonzero(ok.any(axis=1)):
-        own = codes[first[r]:first[r] + size[r]]
+
+    def top(x):
+        while x in up:
+            x = up[x]
+        return x
+
+    def test(row, cols):
+        """Which of the columns are linked with the row, whose items are marked."""
+        many = size[cols]
+        begin = np.cumsum(many) - many
+        at = np.arange(int(many.sum())) - np.repeat(begin, many) + np.repeat(first[cols], many)
+        common = np.add.reduceat(mark[codes[at]].astype(np.int64), begin)
+        return cols[100 * common >= rules.percent * (size[row] + many - common)]
+
+    def join(row, cols):
+        for c in cols:
+            x, y = sorted((top(int(nc[row])), top(int(nc[c]))))
+            if x != y:
+                up[y] = x
+                found.add((max(int(nc[row]), int(nc[c])), min(int(nc[row]), int(nc[c]))))
+
+    edges = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True]) if len(a) else np.zeros(1, np.int64)
+    for lo, hi in zip(edges, edges[1:]):    # the pairs of one stranger
+        row = a[lo]
+        cols = b[lo:hi][np.argsort(gap[lo:hi], kind="stable")]
+        own = codes[first[row]:first[row] + size[row]]
         mark[own] = True
-        common = np.add.reduceat(mark[codes].astype(np.int64), first)
+        kinds, nearest, kind = np.unique(nc[cols], return_index=True, return_inverse=True)
+        join(row, test(row, cols[np.sort(nearest)]))
+        mine = top(int(nc[row]))
+        open_ = np.array([top(int(x)) != mine for x in kinds])[kind]
+        open_[nearest] = False
+        if open_.any():
+            join(row, test(row, cols[open_]))
         mark[own] = False
-        for c in np.flatnonzero(ok[r] & (100 * common >= rules.percent * (size[r] + size - common))):
-            found.add((max(nc[r], nc[c]), min(nc[r], nc[c])))
     return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
 

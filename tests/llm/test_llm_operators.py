@@ -314,6 +314,29 @@ def test_mixed_documents_follow_the_plan(spark, rng):
     assert sorted(map(tuple, plan[key].fillna(-1).to_numpy())) == sorted(map(tuple, again[key].fillna(-1).to_numpy()))
 
 
+# -- near-duplicate stage ----------------------------------------------------
+
+def test_one_row_of_a_group_stays_whatever_its_ids_are(spark, rng):
+    """200 near copies without ids, as many with one repeated id, exact copies among them, and rows without words."""
+    def copies(n):
+        words = prose(rng, 200).split()
+        out = []
+        for k in range(n):
+            own = list(words)
+            if k % 4:
+                own[int(rng.integers(0, 200))] = f"x{k}"
+            out.append(" ".join(own))
+        return out
+    rows = [(None, t) for t in copies(200)] + [(7, t) for t in copies(200)] + [(50 + k, t) for k, t in enumerate(copies(5))]
+    rows += [(None, ""), (None, ""), (7, None), (99, " \n ")]
+    df = docs_frame(spark, rows).withColumn("component", F.lit("clash"))
+    out = near.deduplicated(spark, df)
+    assert out.columns == df.columns
+    got = [(r["doc_id"], bool((r["text"] or "").strip())) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted([(None, True), (7, True), (50, True), (None, False), (None, False), (7, False), (99, False)], key=repr)
+    assert near.deduplicated(spark, df.limit(0)).count() == 0
+
+
 # -- pages -------------------------------------------------------------------
 
 PAGE = ('<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav>'
