@@ -103,14 +103,19 @@ def _squared(X: np.ndarray, C: np.ndarray) -> np.ndarray:
 
 
 def nearest_centers(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(cluster, squared distance) per row of ``X``; incomplete (NaN) rows get -1 and NaN.
+    """(cluster, squared distance) per row of ``X``; incomplete (NaN) rows get -1 and NaN."""
+    return nearest_two(X, C)[:2]
+
+
+def nearest_two(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(cluster, squared distance, lower bound of the squared distance to any other centre) per row.
 
     A matrix product finds, for each row, the centres that can be nearest given
     its rounding error; distances summed left to right then decide, ties to the
     lowest id. Nearly always one centre is left.
     """
     n, k = len(X), len(C)
-    cluster, best = np.full(n, -1, np.int64), np.full(n, np.nan)
+    cluster, best, other = np.full(n, -1, np.int64), np.full(n, np.nan), np.full(n, np.nan)
     c2 = (C * C).sum(axis=1)
     right = np.vstack([-2.0 * C.T, c2])   # [x, 1] @ right = |c|^2 - 2 x.c
     step = max(1, BLOCK // max(1, k))
@@ -121,16 +126,18 @@ def nearest_centers(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarra
         j = rough.argmin(axis=1)
         low = rough[each, j]
         rough[each, j] = np.inf
-        slack = 1e-12 * ((part * part).sum(axis=1) + c2.max(initial=0.0))
+        x2 = (part * part).sum(axis=1)
+        slack = 1e-12 * (x2 + c2.max(initial=0.0))
         d2 = _squared(part, C[j])
-        close = np.flatnonzero(~(rough.min(axis=1) > low + slack))   # another centre may be as near
+        second = rough.min(axis=1)
+        close = np.flatnonzero(~(second > low + slack))   # another centre may be as near
         for r in range(0, len(close) if k > 1 else 0, max(1, step // 8)):
             some = close[r:r + max(1, step // 8)]
             full = _squared(part[some, None, :], C[None, :, :])
             j[some] = full.argmin(axis=1)
             d2[some] = full.min(axis=1)
-        cluster[rows], best[rows] = j, d2
-    return cluster, best
+        cluster[rows], best[rows], other[rows] = j, d2, np.maximum(second + x2 - slack, 0.0)
+    return cluster, best, other
 
 
 def as_matrix(columns: Sequence[pd.Series], d: int, array: bool) -> np.ndarray:

@@ -2,17 +2,20 @@
 
 Starts follow k-means|| (Bahmani et al., "Scalable K-Means++", VLDB 2012):
 one uniformly drawn row, then ``steps`` rounds in which every row joins the
-candidate set with probability min(1, l * d^2(x, C) / cost(C)), l = 2k;
-candidates are weighted by the rows closest to them and reduced to k
-centres by weighted k-means++ plus a few weighted Lloyd steps on the driver
-(the candidate set is O(l * steps) per model). Every scan serves all models
-at once: distances are computed on Arrow batches in NumPy and each batch is
-reduced before anything is shuffled, so the driver receives only per-model
-sums, candidate rows (expected l per round) and counts.
-
-The fits then continue with :func:`kmstream.operators.cluster.lloyd` (one
-shared scan per iteration) and the best run per k is the one with the
-lowest training cost.
+candidate set with probability min(1, l * w * d^2(x, C) / cost(C)), l = 2k, w
+its multiplicity; candidates are weighted by the rows closest to them and
+reduced to k centres by weighted k-means++ plus a few weighted Lloyd steps.
+
+Draws are hashes of (seed, round, row content), so the starts depend neither on
+batch sizes nor on partitions. Candidates are a table (model, x); groups of models
+meet the blocks of rows (``operators.blocks``) by an equi-join, as a broadcast up to
+``BROADCAST`` bytes and salted by block beyond; their weights are summed in Spark,
+and one grouped map reduces every model's candidates, about 4k rows, in a task of
+its own. The driver receives one cost per model and the k centres that were asked for.
+
+The fits then continue with :func:`kmstream.operators.blocks.bounded_lloyd` and the
+best run per k is the one with the lowest training cost. A sweep takes several passes
+of at most ``blocks.MODELS`` models and ``blocks.CENTERS`` centres.
 """
 
 from __future__ import annotations
@@ -21,132 +24,160 @@ from typing import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kmstream.functions.vectors import ArrayVec, nearest_centers
-from kmstream.operators.cluster import KMeansResult, _flat, batch_matrix, lloyd
-
-
-def _task_rng(seed: int, salt: int, batch_no: int) -> np.random.Generator:
-    from pyspark import TaskContext
-    tc = TaskContext.get()
-    pid = tc.partitionId() if tc else 0
-    return np.random.default_rng([seed, salt, pid, batch_no])
-
-
-def _min_dist2(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    return nearest_centers(X, C)[1]
-
-
-def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int, int]],
-                         steps: int = 2, persist: bool = True) -> dict[object, list[list[float]]]:
-    """k-means|| starts for several models; ``specs`` maps key -> (k, seed)."""
-    flat, d, arr = _flat(data, cols)
-    if persist:
-        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
-    keys = list(specs)
-    mids = {key: i for i, key in enumerate(keys)}
-    try:
-        # 1. one uniform row per model: per batch keep the row with the smallest draw
-        xs_schema = ", ".join(f"x{i} double" for i in range(d))
+from kmstream.operators.blocks import CENTERS, MODELS, ScanCount, arrow_rows, bounded_lloyd, matrix, pack, tasks
+from kmstream.operators.cluster import KMeansResult, _flat
+from kmstream.session import drop_stored, stored
+
+#: Centres of the models that meet the blocks as one row, and bytes up to which all such rows are broadcast.
+GROUP, BROADCAST = 8192, 64 << 20
+
+
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def content_hash(X: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every row's numbers."""
+    bits = np.ascontiguousarray(X + 0.0).view(np.uint64)
+    h = np.full(len(X), 0x9E3779B97F4A7C15, np.uint64)
+    for c in range(X.shape[1]):
+        h = _mix(h ^ (bits[:, c] + np.uint64(c + 1)))
+    return h
+
+
+def uniform(rows: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """A number in (0, 1) per content hash, another one for each seed and step."""
+    salt = _mix(np.array([((seed & 0xFFFFFFFF) << 20) + step + 1], np.uint64))
+    return ((_mix(rows ^ salt) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+
+
+class _Starts:
+    """One pass over ``specs`` (key -> (k, seed)); ``blocks`` holds (block, n, x, w)."""
+
+    def __init__(self, spark: SparkSession, blocks: DataFrame, d: int, specs: Mapping):
+        self.spark, self.blocks, self.d = spark, blocks, d
+        self.models = [(m, k, seed) for m, (k, seed) in enumerate(specs.values())]
+        size = np.cumsum([k for _, k, _ in self.models])
+        groups = [(m, int(s // GROUP), k, seed) for (m, k, seed), s in zip(self.models, size)]
+        self.spec = spark.createDataFrame(groups, "model long, g long, k long, seed long")
+        self.held: list[str] = []
+
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        with arrow_rows(self.spark, 8):
+            table, place = stored(self.spark, df, name)
+        self.held.append(place)
+        return table
+
+    def _listed(self, cands: DataFrame) -> DataFrame:
+        """(g, cands): the candidates of a group of models, sorted by (model, x)."""
+        mine = cands.join(self.spec.select("model", "g"), "model")
+        return mine.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("model", "x"))).alias("cands"))
+
+    def _beside(self, cands: DataFrame) -> DataFrame:
+        """Every block beside every group of models: (block, x, w, g, ids, cs), candidates in the order of ``_listed``."""
+        listed = self._listed(cands).select("g", F.transform("cands", lambda c: c["model"]).alias("ids"),
+                                            F.flatten(F.transform("cands", lambda c: c["x"])).alias("cs"))
+        listed = self._stored(listed, "start-groups")
+        places = [r["g"] for r in self.spec.select("g").distinct().collect()]
+        dealt = self.blocks.withColumn("g", F.explode(F.lit(sorted(places))))
+        heavy = cands.count() * 8 * (self.d + 2)
+        if heavy <= BROADCAST:
+            return dealt.join(F.broadcast(listed), "g")
+        salt = tasks(self.spark)
+        many = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        return dealt.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salt)).cast("int")).join(many, ["g", "salt"]).drop("salt")
+
+    def _scan(self, cands: DataFrame, each, kind: str) -> DataFrame:
+        """``each(X, w, rows, model, k, seed, C, first)`` over every block and model; ``first`` is the model's place in its group's list."""
+        d, known = self.d, {m: (k, seed) for m, k, seed in self.models}
+
+        def run(batches):
+            for pdf in batches:
+                out = []
+                for r in pdf.itertuples(index=False):
+                    X, w = matrix(r.x, d), np.frombuffer(r.w, np.float64)
+                    rows = content_hash(X)
+                    ids, all_ = np.asarray(r.ids), np.asarray(r.cs, np.float64).reshape(-1, d)
+                    edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1], True])
+                    for a, b in zip(edges, edges[1:]):
+                        out += each(X, w, rows, int(ids[a]), *known[int(ids[a])], all_[a:b], int(a), int(r.g))
+                if out:
+                    yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
+
+        return self._beside(cands).select("x", "w", "g", "ids", "cs").mapInPandas(run, kind)
+
+    def run(self, steps: int) -> dict[int, list[list[float]]]:
+        """model -> centres."""
+        try:
+            cands = self._stored(self._first(), "start-cands")
+            for step in range(1, steps + 1):
+                cost = self._scan(cands, lambda X, w, rows, m, k, seed, C, at, g: [(m, float((w * nearest_centers(X, C)[1]).sum()))], "model long, c double")
+                with arrow_rows(self.spark, 8):
+                    phi = {r["model"]: float(r["c"]) for r in cost.groupBy("model").agg(F.sum("c").alias("c")).collect()}
+
+                def sample(X, w, rows, m, k, seed, C, at, g, step=step, phi=phi):
+                    if phi.get(m, 0.0) <= 0:
+                        return []
+                    p = 2.0 * k * w * nearest_centers(X, C)[1] / phi[m]
+                    return [(m, x) for x in X[uniform(rows, seed, step) < p].tolist()]
+
+                cands = self._stored(cands.unionByName(self._scan(cands, sample, "model long, x array<double>")), "start-cands")
+            return self._reduced(cands)
+        finally:
+            for place in self.held:
+                drop_stored(self.spark, place)
+
+    def _first(self) -> DataFrame:
+        """One row per model, drawn uniformly: the first to arrive in a race of exponential clocks at the rows' weights."""
+        d, models = self.d, self.models
 
         def pick(batches):
-            for b, pdf in enumerate(batches):
-                X = batch_matrix(pdf, d, arr)
-                if X.shape[0] == 0:
-                    continue
-                rows = []
-                for key in keys:
-                    u = _task_rng(specs[key][1], 0, b).random(X.shape[0])
-                    j = int(np.argmin(u))
-                    rows.append([mids[key], float(u[j]), *X[j].tolist()])
-                yield pd.DataFrame(rows, columns=["model", "u"] + [f"x{i}" for i in range(d)])
-
-        firsts = (flat.mapInPandas(pick, f"model long, u double, {xs_schema}")
-                  .groupBy("model").agg(F.min_by(F.array(*[f"x{i}" for i in range(d)]), "u").alias("x"))
-                  .collect())
-        cands = {r["model"]: np.asarray([r["x"]], dtype=np.float64) for r in firsts}
-
-        for step in range(steps):
-            # 2a. cost of every model's current candidate set
-            snap = {m: c.copy() for m, c in cands.items()}
-
-            def cost(batches, snap=snap):
-                for pdf in batches:
-                    X = batch_matrix(pdf, d, arr)
-                    if X.shape[0] == 0:
-                        continue
-                    yield pd.DataFrame({"model": list(snap),
-                                        "c": [float(_min_dist2(X, C).sum()) for C in snap.values()]})
-
-            phi = {r["model"]: float(r["c"]) for r in flat.mapInPandas(cost, "model long, c double")
-                   .groupBy("model").agg(F.sum("c").alias("c")).collect()}
-
-            # 2b. sample rows with probability min(1, l * d2 / phi)
-            def sample(batches, snap=snap, phi=phi, step=step):
-                for b, pdf in enumerate(batches):
-                    X = batch_matrix(pdf, d, arr)
-                    if X.shape[0] == 0:
-                        continue
-                    out = []
-                    for key in keys:
-                        m = mids[key]
-                        k, seed = specs[key]
-                        if phi.get(m, 0.0) <= 0:
-                            continue
-                        p = np.minimum(1.0, 2.0 * k * _min_dist2(X, snap[m]) / phi[m])
-                        hit = _task_rng(seed, step + 1, b).random(X.shape[0]) < p
-                        if hit.any():
-                            part = pd.DataFrame(X[hit], columns=[f"x{i}" for i in range(d)])
-                            part.insert(0, "model", m)
-                            out.append(part)
-                    if out:
-                        yield pd.concat(out, ignore_index=True)
-
-            # about 2k rows a model: bounded by the number of centres asked for
-            picked = flat.mapInPandas(sample, f"model long, {xs_schema}").toPandas()
-            for m, rows in picked.groupby("model"):
-                cands[m] = np.vstack([cands[m], rows[[f"x{i}" for i in range(d)]].to_numpy()])
-
-        # 3. weight candidates by the rows closest to them
-        snap = {m: c.copy() for m, c in cands.items()}
-
-        def weigh(batches, snap=snap):
+            best: dict = {}
             for pdf in batches:
-                X = batch_matrix(pdf, d, arr)
-                if X.shape[0] == 0:
-                    continue
-                rows = []
-                for m, C in snap.items():
-                    cl, _ = nearest_centers(X, C)
-                    cnt = np.bincount(cl, minlength=C.shape[0])
-                    rows += [(m, j, int(c)) for j, c in enumerate(cnt) if c]
-                yield pd.DataFrame(rows, columns=["model", "cand", "w"])
-
-        weights = {m: np.zeros(c.shape[0]) for m, c in cands.items()}
-        for r in (flat.mapInPandas(weigh, "model long, cand long, w long")
-                  .groupBy("model", "cand").agg(F.sum("w").alias("w")).collect()):
-            weights[r["model"]][r["cand"]] = r["w"]
-
-        out = {}
-        for key in keys:
-            m = mids[key]
-            k, seed = specs[key]
-            out[key] = _local_kmeans_pp(cands[m], weights[m], k, seed).tolist()
-        return out
-    finally:
-        if persist:
-            flat.unpersist()
-
-
-def _local_kmeans_pp(C: np.ndarray, w: np.ndarray, k: int, seed: int,
-                     iters: int = 30) -> np.ndarray:
-    """Weighted k-means++ and Lloyd on the (small) candidate set, on the driver."""
+                for x, w in zip(pdf["x"], pdf["w"]):
+                    X, w = matrix(x, d), np.frombuffer(w, np.float64)
+                    rows = content_hash(X)
+                    for m, _, seed in models:
+                        t = -np.log(uniform(rows, seed, 0)) / w
+                        j = int(t.argmin())
+                        if m not in best or t[j] < best[m][0]:
+                            best[m] = (float(t[j]), X[j].tolist())
+            yield pd.DataFrame([(m, t, x) for m, (t, x) in best.items()], columns=["model", "t", "x"])
+
+        races = self.blocks.select("x", "w").mapInPandas(pick, "model long, t double, x array<double>")
+        return races.groupBy("model").agg(F.min_by("x", "t").alias("x"))
+
+    def _reduced(self, cands: DataFrame) -> dict[int, list[list[float]]]:
+        def weigh(X, w, rows, m, k, seed, C, at, g):
+            n = np.bincount(nearest_centers(X, C)[0], weights=w, minlength=len(C))
+            return [(g, at + int(j), float(n[j])) for j in np.flatnonzero(n)]
+
+        weights = self._scan(cands, weigh, "g long, at long, w double").groupBy("g", "at").agg(F.sum("w").alias("w"))
+        each = self._listed(cands).select("g", F.posexplode("cands").alias("at", "c")).select("g", F.col("at").cast("long").alias("at"), "c.model", "c.x")
+        each = each.join(weights, ["g", "at"], "left").join(self.spec.select("model", "k", "seed"), "model").na.fill(0.0, ["w"])
+
+        def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("at")
+            C = weighted_kmeans_pp(np.stack(pdf["x"].to_numpy()), pdf["w"].to_numpy(np.float64), int(pdf["k"].iat[0]), int(pdf["seed"].iat[0]))
+            return pd.DataFrame({"model": pdf["model"].iat[0], "cluster": np.arange(len(C)), "v": C.tolist()})
+
+        found = each.select("model", "at", "x", "w", "k", "seed").groupBy("model").applyInPandas(reduce, "model long, cluster long, v array<double>")
+        with arrow_rows(self.spark, 8):
+            found = found.toPandas()
+        return {int(m): rows.sort_values("cluster")["v"].map(list).tolist() for m, rows in found.groupby("model")}
+
+
+def weighted_kmeans_pp(C: np.ndarray, w: np.ndarray, k: int, seed: int, iters: int = 30) -> np.ndarray:
+    """Weighted k-means++ and Lloyd on one model's candidates."""
     rng = np.random.default_rng(seed)
     if C.shape[0] <= k:
-        extra = C[rng.integers(0, C.shape[0], k - C.shape[0])] if C.shape[0] else np.zeros((k, C.shape[1]))
+        extra = C[rng.integers(0, C.shape[0], k - C.shape[0])]
         return np.vstack([C, extra])[:k]
     w = np.where(w > 0, w, 1e-12)
     centers = [C[rng.choice(len(C), p=w / w.sum())]]
@@ -168,25 +199,56 @@ def _local_kmeans_pp(C: np.ndarray, w: np.ndarray, k: int, seed: int,
     return M
 
 
+def kmeans_parallel_init(data: DataFrame, cols, specs: Mapping[object, tuple[int, int]], steps: int = 2) -> dict[object, list[list[float]]]:
+    """k-means|| starts for several models; ``specs`` maps key -> (k, seed)."""
+    flat, d, arr = _flat(data, cols)
+    blocks, place = pack(data.sparkSession, flat, d, arr)
+    try:
+        return _starts(data.sparkSession, blocks, d, specs, steps)
+    finally:
+        drop_stored(data.sparkSession, place)
+
+
+def _starts(spark: SparkSession, blocks: DataFrame, d: int, specs: Mapping, steps: int) -> dict:
+    found = _Starts(spark, blocks, d, specs).run(steps)
+    return {key: found[m] for m, key in enumerate(specs) if m in found}
+
+
+def _passes(specs: Mapping) -> list[dict]:
+    out: list[dict] = [{}]
+    held = 0
+    for key, (k, seed) in specs.items():
+        if out[-1] and (len(out[-1]) >= MODELS or held + k > CENTERS):
+            out.append({})
+            held = 0
+        out[-1][key] = (k, seed)
+        held += k
+    return out
+
+
 def fit_restarts(data: DataFrame, cols, k_values: Sequence[int], runs: int = 10,
                  tol: float = 1e-6, max_iter: int = 20, seed: int = 1,
-                 steps: int = 2) -> dict[int, KMeansResult]:
-    """Best-of-``runs`` k-means per k; every run of every k shares each scan."""
+                 steps: int = 2, count: ScanCount | None = None) -> dict[int, KMeansResult]:
+    """Best-of-``runs`` k-means per k; every run of every k shares each scan. No rows: no fits."""
+    spark = data.sparkSession
     flat, d, arr = _flat(data, cols)
-    flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
     xs = ArrayVec("_arr", d) if arr else [f"_f{i}" for i in range(d)]
+    blocks, place = pack(spark, flat, d, arr)
+    best: dict[int, KMeansResult] = {}
     try:
-        specs = {(k, r): (k, seed + 1000 * k + r) for k in k_values for r in range(runs)
-                 if k > 1}
-        inits = kmeans_parallel_init(flat, xs, specs, steps, persist=False) if specs else {}
-        if 1 in k_values:
-            column = [F.avg(F.col("_arr").getItem(i)) if arr else F.avg(f"_f{i}") for i in range(d)]
-            inits[(1, 0)] = [[float(v) for v in flat.select(*column).first()]]
-        fits = lloyd(flat, xs, inits, max_iter=max_iter, tol=tol, score=True, persist=False)
+        specs = {(k, r): (k, seed + 1000 * k + r) for k in k_values for r in range(runs) if k > 1}
+        for some in _passes(specs):
+            inits = _starts(spark, blocks, d, some, steps) if some else {}
+            if 1 in k_values and not best:
+                column = [F.avg(F.col("_arr").getItem(i)) if arr else F.avg(x) for i, x in enumerate(range(d) if arr else xs)]
+                mean = flat.select(*column).first()
+                if mean[0] is not None:
+                    inits[(1, 0)] = [[float(v) for v in mean]]
+            if not inits:
+                continue
+            for (k, _), res in bounded_lloyd(spark, blocks, d, inits, max_iter, tol, count).items():
+                if k not in best or res.cost < best[k].cost:
+                    best[k] = res
     finally:
-        flat.unpersist()
-    best: dict[int, KMeansResult] = {}
-    for (k, _), res in fits.items():
-        if k not in best or res.cost < best[k].cost:
-            best[k] = res
-    return best
+        drop_stored(spark, place)
+    return dict(sorted(best.items()))
