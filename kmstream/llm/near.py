@@ -293,25 +293,63 @@ def _across(spark: SparkSession, known: DataFrame, classes: DataFrame, sets: Dat
     names = [x.split()[0] for x in kind.split(", ")]
 
     def with_partner(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, _ = _may_link(pdf, rules)
-        return pdf.iloc[np.union1d(a, b)]
+        cells, edges = _arrays(pdf)
+        found = [np.union1d(*_may_link(cells, lo, hi, rules)[:2]) for lo, hi in edges]
+        return pdf.iloc[np.concatenate(found)]
 
-    some = rich.select(names).groupBy("key", "i", "j").applyInPandas(with_partner, kind)
-    some = stored(spark, some, "near-partners")
+    some = stored(spark, _by_cell(rich.select(names), with_partner, kind), "near-partners")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _block_links(pdf, rules)
+        cells, edges = _arrays(pdf)
+        found = [x for lo, hi in edges for x in _block_links(cells, lo, hi, rules)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return some.join(sets, "node").groupBy("key", "i", "j").applyInPandas(links, "a long, b long")
+    return _by_cell(some.join(sets, "node"), links, "a long, b long").distinct()
 
 
-def _may_link(pdf: pd.DataFrame, rules: NearRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(stranger, member, XOR count) by place, strangers ascending: the pairs of a block that belong to this bucket's test -- other component,
-    sketches and sizes allow it, no earlier band shared, of two strangers the one with the greater node first."""
-    rows = np.flatnonzero((pdf["r"] == pdf["i"]).to_numpy())
-    cols = np.flatnonzero((pdf["c"] == pdf["j"]).to_numpy())
-    bits = np.stack(pdf["sketch"].to_numpy()).view(np.uint64)
-    n, nc, node, r = (pdf[x].to_numpy(np.int64) for x in ("n", "nc", "node", "r"))
+def _by_cell(rows: DataFrame, f, kind: str) -> DataFrame:
+    """``f`` over the rows of whole blocks (key, i, j), many small blocks at a time; a block never spans two calls."""
+    names = rows.columns
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = pdf[["key", "i", "j"]].iloc[-1]
+            open_ = ((pdf["key"] == last["key"]) & (pdf["i"] == last["i"]) & (pdf["j"] == last["j"])).to_numpy()
+            done, held = pdf[~open_], pdf[open_]
+            if len(done):
+                yield f(done)
+        if held is not None and len(held):
+            yield f(held)
+
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.select(names).mapInPandas(run, kind)
+
+
+def _arrays(pdf: pd.DataFrame) -> tuple[dict, list[tuple[int, int]]]:
+    """The columns as arrays, and the row ranges of the blocks."""
+    cells = {x: pdf[x].to_numpy(np.int64) for x in ("key", "i", "j", "r", "c", "node", "nc", "n")}
+    cells |= {"keys": np.stack(pdf["keys"].to_numpy()), "sketch": np.stack(pdf["sketch"].to_numpy()).view(np.uint64)}
+    if "items" in pdf:
+        cells["items"] = pdf["items"].tolist()
+    new = np.zeros(len(pdf), bool)
+    new[0] = True
+    for x in ("key", "i", "j"):
+        new[1:] |= cells[x][1:] != cells[x][:-1]
+    at = [*np.flatnonzero(new).tolist(), len(pdf)]
+    return cells, list(zip(at, at[1:]))
+
+
+def _may_link(cells: dict, lo: int, hi: int, rules: NearRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stranger, member, XOR count) by place, strangers ascending: the pairs of a block that belong to this bucket's test -- other
+    component, sketches and sizes allow it, no earlier band shared, of two strangers the one with the greater node first."""
+    rows = lo + np.flatnonzero(cells["r"][lo:hi] == cells["i"][lo])
+    cols = lo + np.flatnonzero(cells["c"][lo:hi] == cells["j"][lo])
+    bits, n, nc, node, r = (cells[x] for x in ("sketch", "n", "nc", "node", "r"))
     found = []
     for part in np.array_split(rows, max(1, len(rows) * len(cols) >> 20)):
         apart = np.zeros((len(part), len(cols)), np.int16)
@@ -322,30 +360,32 @@ def _may_link(pdf: pd.DataFrame, rules: NearRules) -> tuple[np.ndarray, np.ndarr
         ok = (nc[a] != nc[b]) & ((r[b] < 0) | (node[a] > node[b]))
         ok &= 100 * np.minimum(n[a], n[b]) >= rules.percent * np.maximum(n[a], n[b])
         found.append((a[ok], b[ok], gap[ok]))
-    a, b, gap = (np.concatenate(x) for x in zip(*found))
+    a, b, gap = (np.concatenate(x) for x in zip(*found)) if len(found) > 1 else found[0]
     if len(a):
-        keys = np.stack(pdf["keys"].to_numpy())
-        band = int((keys == pdf["key"].iloc[0]).all(axis=0).argmax())
-        ok = np.ones(len(a), bool)
-        for t in range(band):
+        keys = cells["keys"]
+        band = int((keys[lo:hi] == cells["key"][lo]).all(axis=0).argmax())
+        ok = ~(keys[a, :band] == keys[b, :band]).any(axis=1) if len(a) < 4096 else np.ones(len(a), bool)
+        for t in range(band if len(a) >= 4096 else 0):
             ok &= keys[a, t] != keys[b, t]
         a, b, gap = a[ok], b[ok], gap[ok]
     return a, b, gap
 
 
-def _block_links(pdf: pd.DataFrame, rules: NearRules) -> pd.DataFrame:
+def _block_links(cells: dict, lo: int, hi: int, rules: NearRules) -> list[tuple[int, int]]:
     """Exact test of a block's pairs: the pairs of components that a link joins.
 
     A stranger is tested with its nearest member of each component first, and with
     the others of a component only if that is not linked by then.
     """
-    a, b, gap = _may_link(pdf, rules)
-    items = pdf["items"].tolist()
+    a, b, gap = _may_link(cells, lo, hi, rules)
+    if not len(a):
+        return []
+    items, nc = cells["items"][lo:hi], cells["nc"][lo:hi]
+    a, b = a - lo, b - lo
     size = np.fromiter(map(len, items), np.int64, len(items))
     first = np.cumsum(size) - size
     names, codes = np.unique(np.concatenate(items), return_inverse=True)
     mark = np.zeros(len(names), bool)
-    nc = pdf["nc"].to_numpy(np.int64)
     up: dict = {}
     found = set()
 
@@ -369,21 +409,22 @@ def _block_links(pdf: pd.DataFrame, rules: NearRules) -> pd.DataFrame:
                 up[y] = x
                 found.add((max(int(nc[row]), int(nc[c])), min(int(nc[row]), int(nc[c]))))
 
-    edges = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True]) if len(a) else np.zeros(1, np.int64)
-    for lo, hi in zip(edges, edges[1:]):    # the pairs of one stranger
-        row = a[lo]
-        cols = b[lo:hi][np.argsort(gap[lo:hi], kind="stable")]
+    edges = np.flatnonzero(np.r_[True, a[1:] != a[:-1], True])
+    for x, y in zip(edges, edges[1:]):    # the pairs of one stranger
+        row = a[x]
+        cols = b[x:y][np.argsort(gap[x:y], kind="stable")]
         own = codes[first[row]:first[row] + size[row]]
         mark[own] = True
         kinds, nearest, kind = np.unique(nc[cols], return_index=True, return_inverse=True)
         join(row, test(row, cols[np.sort(nearest)]))
-        mine = top(int(nc[row]))
-        open_ = np.array([top(int(x)) != mine for x in kinds])[kind]
-        open_[nearest] = False
-        if open_.any():
-            join(row, test(row, cols[open_]))
+        if len(cols) > len(nearest):
+            mine = top(int(nc[row]))
+            open_ = np.array([top(int(k)) != mine for k in kinds])[kind]
+            open_[nearest] = False
+            if open_.any():
+                join(row, test(row, cols[open_]))
         mark[own] = False
-    return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+    return sorted(found)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, rules: NearRules) -> DataFrame:
