@@ -162,9 +162,12 @@ def nearest_any(xs, centers: Sequence[Sequence[float]], d2_name: str = "d2", clu
     _check_dim(xs, centers[0])
     C, array = np.asarray(centers, dtype=np.float64), isinstance(xs, ArrayVec)
 
+    from kmstream.functions.balls import MANY, CenterIndex
+    search = CenterIndex(C).nearest_two if len(C) >= MANY else lambda X: nearest_two(X, C)
+
     @F.pandas_udf(f"{d2_name} double, {cluster_name} int")
     def near(*cols: pd.Series) -> pd.DataFrame:
-        cluster, d2 = nearest_centers(as_matrix(cols, C.shape[1], array), C)
+        cluster, d2, _ = search(as_matrix(cols, C.shape[1], array))
         return pd.DataFrame({d2_name: pd.Series(d2).astype("Float64").mask(np.isnan(d2)),
                              cluster_name: pd.Series(cluster).astype("Int32").mask(cluster < 0)})
 

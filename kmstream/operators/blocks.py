@@ -24,7 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kmstream.functions.vectors import _squared, nearest_two
+from kmstream.functions.balls import searcher
+from kmstream.functions.vectors import _squared
 from kmstream.operators.cluster import KMeansResult, batch_matrix
 from kmstream.session import drop_stored, stored
 
@@ -100,10 +101,10 @@ def _down(v: np.ndarray) -> np.ndarray:
     return np.nextafter(v.astype(np.float32), np.float32(-np.inf))
 
 
-def _assign(X, C, gap, move, a, u, low):
+def _assign(X, C, search, gap, move, a, u, low):
     """(assignment, upper, lower, rows searched) of one model after its centres moved; ``a`` is None for the first scan."""
     if a is None:
-        j, d2, other = nearest_two(X, C)
+        j, d2, other = search(X)
         return j, _up(np.sqrt(d2)), _down(np.sqrt(other)), len(X)
     a = a.astype(np.int64)
     far = np.argsort(move)[::-1][:2]
@@ -117,7 +118,7 @@ def _assign(X, C, gap, move, a, u, low):
         u[open_] = _up(own)
         open_ = open_[~(u[open_] < np.maximum(low[open_], half[open_]))]
     if len(open_):
-        j, d2, other = nearest_two(X[open_], C)
+        j, d2, other = search(X[open_])
         a[open_], u[open_], low[open_] = j, _up(np.sqrt(d2)), _down(np.sqrt(other))
     return a, u, low, len(open_)
 
@@ -159,6 +160,7 @@ def bounded_lloyd(spark: SparkSession, blocks: DataFrame, d: int, inits: Mapping
         def run(batches):
             now, before = shared.value
             row_of = {m: i for i, m in enumerate(before)}
+            searches = {m: searcher(now[m][0]) for m in order}
             total = {m: np.zeros((len(now[m][0]), len(names))) for m in order}
             pairs = searched = 0
             for pdf in batches:
@@ -174,7 +176,7 @@ def bounded_lloyd(spark: SparkSession, blocks: DataFrame, d: int, inits: Mapping
                     for i, m in enumerate(order):
                         own, gap, moved = now[m]
                         k, at = len(own), row_of.get(m)
-                        a, u, low, some = _assign(X, own, gap, moved, *((None, None, None) if at is None else (A[at], U[at], L[at])))
+                        a, u, low, some = _assign(X, own, searches[m], gap, moved, *((None, None, None) if at is None else (A[at], U[at], L[at])))
                         a2[i], u2[i], l2[i] = a, u, low
                         pairs, searched = pairs + n, searched + some
                         part = total[m]
