@@ -107,3 +107,46 @@ class UnitScale:
     def fit(self, df: DataFrame) -> UnitScaleModel:
         row = df.agg(*[F.stddev_samp(F.col(c).cast("double")) for c in self.cols]).first()
         return UnitScaleModel(self.cols, [float(v) if v is not None else 0.0 for v in row])
+
+
+@dataclass
+class RunningMoments:
+    """Mergeable (n, mean, M2) per column, M2 the sum of squared distances to the mean.
+
+    Nulls and NaN count nowhere. ``merge`` is exact for any split of the rows
+    (Chan, Golub and LeVeque, 1979), so the moments follow a stream batch by batch.
+    """
+
+    cols: list[str]
+    n: list[int]
+    mean: list[float]
+    m2: list[float]
+
+    @classmethod
+    def none(cls, cols: Sequence[str]) -> "RunningMoments":
+        return cls(list(cols), [0] * len(cols), [0.0] * len(cols), [0.0] * len(cols))
+
+    @classmethod
+    def of(cls, df: DataFrame, cols: Sequence[str]) -> "RunningMoments":
+        """One aggregation of a batch."""
+        aggs = []
+        for c in cols:
+            x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+            aggs += [F.count(x), F.avg(x), F.var_pop(x)]
+        row = df.agg(*aggs).first()
+        n = [int(v) for v in row[0::3]]
+        return cls(list(cols), n, [float(v or 0.0) for v in row[1::3]], [float(v or 0.0) * k for v, k in zip(row[2::3], n)])
+
+    def merge(self, other: "RunningMoments") -> "RunningMoments":
+        out = RunningMoments.none(self.cols)
+        for i, (a, b) in enumerate(zip(self.n, other.n)):
+            n = a + b
+            if n:
+                gap = other.mean[i] - self.mean[i]
+                out.n[i], out.mean[i] = n, self.mean[i] + gap * b / n
+                out.m2[i] = self.m2[i] + other.m2[i] + gap * gap * a * b / n
+        return out
+
+    def unit_scale(self) -> UnitScaleModel:
+        """The unit scaling (sample deviation) of all rows merged so far."""
+        return UnitScaleModel(self.cols, [(m / (n - 1)) ** 0.5 if n > 1 else 0.0 for n, m in zip(self.n, self.m2)])

@@ -414,6 +414,20 @@ def oracle_sql() -> dict[str, str]:
         "WITH " + _stream_days() + ", sd AS (SELECT b, stddev_samp(x0) AS s FROM evb GROUP BY b) "
         "SELECT e.event_id, e.day, round(CASE WHEN sd.s > 0 THEN e.x0 / sd.s ELSE 0.0 END, 6) AS scaled "
         "FROM evb e JOIN sd USING (b)")
+    q["stream_running_scale"] = (
+        "WITH " + _stream_days() + ", sd AS (SELECT event_id, day, x0, stddev_samp(x0) OVER (ORDER BY b) AS s FROM evb) "
+        "SELECT event_id, day, round(CASE WHEN s > 0 THEN x0 / s ELSE 0.0 END, 6) AS scaled FROM sd")
+    q["stream_moments"] = (
+        "WITH " + _stream_days() + ", m AS (SELECT day, count(x0) OVER w AS n, avg(x0) OVER w AS mean, stddev_samp(x0) OVER w AS sd "
+        "FROM evb WINDOW w AS (ORDER BY b)) "
+        "SELECT DISTINCT day, n, round(mean, 6) AS mean, round(sd, 6) AS sd FROM m")
+    q["stream_committed_epochs"] = (
+        "WITH " + _stream_days() + f", p AS (SELECT day, b, (b - 1) // CAST(ceil(max(b) OVER () / {P.STREAM_PARTS}) AS BIGINT) AS epoch FROM evb), "
+        f"found AS ({q['stream_anomalies']}), "
+        "a AS (SELECT epoch, count(*) AS anomalies FROM found JOIN (SELECT DISTINCT day, epoch FROM p) USING (day) GROUP BY epoch), "
+        "c AS (SELECT epoch, count(*) AS rows, count(DISTINCT day) AS days FROM p GROUP BY epoch) "
+        "SELECT CAST(epoch AS BIGINT) AS epoch, rows, CAST(sum(rows) OVER (ORDER BY epoch) AS BIGINT) AS running, rows AS predicted, days, "
+        f"CAST(days * {P.STREAM_K} AS BIGINT) AS centres, anomalies FROM c JOIN a USING (epoch)")
     q["stream_prepared_rows"] = (
         "WITH " + ORDERS_LINE + f", pts AS (SELECT CAST(f[1] AS BIGINT) AS id, {_b2z('f[2]')} AS x0, {_b2z('f[5]')} AS x1 FROM fl), "
         "m AS (SELECT avg(x0) AS m0, avg(x1) AS m1, var_pop(x0) AS a, covar_pop(x0, x1) AS b, var_pop(x1) AS c FROM pts) "

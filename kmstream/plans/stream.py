@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from kmstream.plans import params as P
 from kmstream.session import scratch_dir
+from kmstream.sinks.tables import committed
 from kmstream.sources.streams import read_parquet_stream, read_text_stream
 from kmstream.sources.tables import table
 from kmstream.streaming.jobs import AnomalyConfig, KMeansStreamJob, run_stream
@@ -235,6 +236,31 @@ def q_stream_unit_scale(spark, sf):
         "event_id", F.col("day").cast("string").alias("day"), F.round("value", 6).alias("scaled"))
 
 
+def q_stream_running_scale(spark, sf):
+    """G-11 / E-3: unit scaling by the deviation of all rows up to the day, merged batch by batch."""
+    out = replay(spark, sf, prepare="unit_running")
+    return committed(spark, out, "prepared").select(
+        "event_id", F.col("day").cast("string").alias("day"), F.round("value", 6).alias("scaled"))
+
+
+def q_stream_moments(spark, sf):
+    """E-1 in a stream: count, mean and deviation of all rows after every day, from the state table."""
+    out = replay(spark, sf, prepare="unit_running")
+    days = committed(spark, out, "metrics").select("epoch", "step", F.col("batch_label").alias("day"))
+    return committed(spark, out, "moments").join(days, ["epoch", "step"]).select(
+        "day", "n", F.round("mean", 6).alias("mean"), F.round(F.sqrt(F.col("m2") / (F.col("n") - 1)), 6).alias("sd"))
+
+
+def q_stream_committed_epochs(spark, sf):
+    """B-1..B-6: what each committed epoch holds, over all its tables."""
+    out = replay(spark, sf, anomaly=True)
+    rows = committed(spark, out, "predictions").groupBy("epoch").agg(F.count(F.lit(1)).alias("predicted"), F.countDistinct("day").alias("days"))
+    seen = committed(spark, out, "metrics").groupBy("epoch").agg(F.sum("rows").alias("rows"), F.max("running").alias("running"))
+    state = committed(spark, out, "state").groupBy("epoch").agg(F.count(F.lit(1)).alias("centres"))
+    found = committed(spark, out, "anomalies").groupBy("epoch").agg(F.count(F.lit(1)).alias("anomalies"))
+    return seen.join(rows, "epoch").join(state, "epoch").join(found, "epoch")
+
+
 def q_stream_anomalies(spark, sf):
     """G-13: per-batch z-score, fixed-start k-means, top-10 threshold, rows above it."""
     out = replay(spark, sf, anomaly=True)
@@ -261,4 +287,7 @@ STREAM_QUERIES = {
     "stream_anomaly_facts": q_stream_anomaly_facts,
     "stream_pca_facts": q_stream_pca_facts,
     "stream_anomalies": q_stream_anomalies,
+    "stream_running_scale": q_stream_running_scale,
+    "stream_moments": q_stream_moments,
+    "stream_committed_epochs": q_stream_committed_epochs,
 }

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,31 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     w.parquet(path)
 
 
+def withdraw(spark: SparkSession, out: str, epoch: int) -> None:
+    """Take back an epoch's commit before its tables are written (again)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{out}/commits/epoch={epoch}")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def commit(spark: SparkSession, out: str, epoch: int, tables: Sequence[str]) -> None:
+    """The epoch's manifest, written when all its tables are: their names and the time."""
+    row = spark.createDataFrame([(epoch, list(tables))], "epoch long, tables array<string>")
+    write_table(row.withColumn("committed_at", F.current_timestamp()), f"{out}/commits", ["epoch"])
+
+
+def committed(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The rows of one of a job's tables that belong to committed epochs.
+
+    All tables of an epoch become visible with its manifest, together; an epoch that
+    was cut short, or is being written again, is not seen in any of them.
+    """
+    done = spark.read.parquet(f"{out}/commits").select(F.col("epoch").cast("long").alias("epoch"), F.explode("tables").alias("_table"))
+    epochs = done.filter(F.col("_table") == name).select("epoch")
+    rows = spark.read.parquet(f"{out}/{name}")
+    return rows.withColumn("epoch", F.col("epoch").cast("long")).join(epochs, "epoch", "left_semi")
+
+
 def write_text(df: DataFrame, col: str, path: str, mode: str = "overwrite") -> None:
     """One line per row (B-4 / B-5 text form)."""
     df.select(F.col(col).cast("string").alias("value")).write.mode(mode).text(path)

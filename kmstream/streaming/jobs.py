@@ -13,11 +13,14 @@ Per micro-batch (``epoch``):
    micro-batches is two updates; cut the source at key borders
    (``maxFilesPerTrigger``) where that matters. Null keys are a piece of their
    own, applied first;
-5. per step: prepare (identity, unit scaling or features refitted per step, or
-   a frozen feature model), update (one aggregation scan), predict (map-only),
-   metrics (G-7..G-9);
+5. per step: prepare (identity, unit scaling or features refitted per step,
+   unit scaling by the moments of all rows so far, or a frozen feature model),
+   update (one aggregation scan), predict (map-only), metrics (G-7..G-9);
 6. write every output partitioned by ``epoch`` with dynamic partition
-   overwrite, so an at-least-once re-execution replaces its own output.
+   overwrite, so an at-least-once re-execution replaces its own output, and then
+   the epoch's manifest. ``sinks.tables.committed`` reads only committed epochs,
+   and so does the restore of the model, so a job killed between two tables shows
+   no half epoch.
 
 Nothing is collected except k x d sums, the distinct batch keys of the
 micro-batch and one metrics row per step.
@@ -36,13 +39,14 @@ from pyspark.sql import functions as F
 from kmstream.functions.stats import k_rule_of_thumb
 from kmstream.functions.vectors import with_keyed_assignment
 from kmstream.operators.anomaly import AnomalyDetector, grouped_anomalies
-from kmstream.operators.scale import UnitScale
-from kmstream.sinks.tables import centers_text, write_table, write_text
+from kmstream.operators.scale import RunningMoments, UnitScale
+from kmstream.sinks.tables import centers_text, commit, committed, withdraw, write_table, write_text
 from kmstream.sources.records import Layout, parse_records
 from kmstream.streaming.online_kmeans import OnlineKMeans, StreamState
 
 STATE_SCHEMA = ("epoch long, step long, batch_label string, cluster long, "
                 "center array<double>, weight double")
+MOMENT_SCHEMA = "epoch long, step long, column string, n long, mean double, m2 double"
 METRIC_SCHEMA = ("epoch long, step long, batch_label string, rows long, running long, "
                  "batch_k long, mean_k long, k_sum long")
 
@@ -74,16 +78,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 class KMeansStreamJob:
-    """``prepare``: 'raw', 'unit_batch', a fitted feature model (frozen), or an unfitted
-    ``FrozenFeatures`` (refitted per step). ``layout``: parse text lines first.
+    """``prepare``: 'raw', 'unit_batch', 'unit_running' (the deviation of all rows up to
+    the step, kept as mergeable moments in the table ``moments``), a fitted feature
+    model (frozen), or an unfitted ``FrozenFeatures`` (refitted per step). ``layout``: parse text lines first.
     ``texts``: also write the centres as text lines and a scatter table per batch."""
 
     def __init__(self, model: OnlineKMeans, init: StreamState, feature_cols: Sequence[str],
                  out_dir: str, key_cols: Sequence[str] = (), batch_key: str | None = None,
                  prepare="raw", anomaly: AnomalyConfig | None = None, layout: Layout | None = None,
                  parse_mode: str = "fail", texts: bool = False):
-        if isinstance(prepare, str) and prepare not in ("raw", "unit_batch") or not (isinstance(prepare, str) or hasattr(prepare, "fit") or hasattr(prepare, "transform")):
-            raise ValueError("prepare must be 'raw', 'unit_batch' or a feature model")
+        if isinstance(prepare, str) and prepare not in ("raw", "unit_batch", "unit_running") or not (isinstance(prepare, str) or hasattr(prepare, "fit") or hasattr(prepare, "transform")):
+            raise ValueError("prepare must be 'raw', 'unit_batch', 'unit_running' or a feature model")
         self.model, self.init = model, init
         self.cols, self.keys = list(feature_cols), list(key_cols)
         # the model trains on what preparation produces (one frame feeds both, D7)
@@ -92,6 +97,11 @@ class KMeansStreamJob:
         self.layout, self.parse_mode, self.texts = layout, parse_mode, texts
         self._state: StreamState | None = None
         self._epoch: int | None = None
+        self._moments: RunningMoments | None = None
+
+    @property
+    def prepare_name(self) -> str | None:
+        return self.prepare if isinstance(self.prepare, str) else None
 
     # paths -------------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -100,17 +110,21 @@ class KMeansStreamJob:
     # state -------------------------------------------------------------------
     def restore(self, spark: SparkSession, epoch: int) -> StreamState:
         if self._state is not None and self._epoch == epoch - 1:
-            return self._state
-        p = self.path("state")
-        if not _exists(spark, p):
+            return self._state.copy()
+        self._moments = RunningMoments.none(self.cols)
+        if not _exists(spark, self.path("commits")):
             return self.init.copy()
-        prev = spark.read.parquet(p).where(F.col("epoch") < epoch)
+        prev = committed(spark, self.out, "state").where(F.col("epoch") < epoch)
         last = prev.agg(F.max(F.struct("epoch", "step")).alias("m")).first()["m"]
         if last is None:
             return self.init.copy()
+        if self.prepare_name == "unit_running":
+            held = committed(spark, self.out, "moments").where((F.col("epoch") == last["epoch"]) & (F.col("step") == last["step"]))
+            by_col = {r["column"]: r for r in held.collect()}
+            self._moments = RunningMoments(self.cols, *[[by_col[c][k] for c in self.cols] for k in ("n", "mean", "m2")])
         rows = (prev.where((F.col("epoch") == last["epoch"]) & (F.col("step") == last["step"]))
                 .orderBy("cluster").collect())
-        met = (spark.read.parquet(self.path("metrics"))
+        met = (committed(spark, self.out, "metrics")
                .where((F.col("epoch") == last["epoch"]) & (F.col("step") == last["step"])).first())
         return StreamState([list(r["center"]) for r in rows], [float(r["weight"]) for r in rows],
                            int(last["step"]), int(met["running"]), int(met["k_sum"]))
@@ -123,6 +137,9 @@ class KMeansStreamJob:
             return self.prepare.fit(sub).transform(sub)
         if self.prepare == "unit_batch":
             return UnitScale(self.cols).fit(sub).transform(sub)
+        if self.prepare == "unit_running":
+            self._moments = (self._moments or RunningMoments.none(self.cols)).merge(RunningMoments.of(sub, self.cols))
+            return self._moments.unit_scale().transform(sub)
         return sub
 
     def __call__(self, batch_df: DataFrame, epoch_id: int) -> None:
@@ -133,6 +150,7 @@ class KMeansStreamJob:
         if batch_df.isEmpty():
             return                       # C-13 / C-14
         state = self.restore(spark, epoch_id)
+        before_batch = self._moments
         if self.layout is not None:
             batch_df = parse_records(batch_df, self.layout, "value", self.parse_mode, keep_line=True)
         frozen = hasattr(self.prepare, "transform")
@@ -151,6 +169,7 @@ class KMeansStreamJob:
             if self.batch_key:
                 labels = [r[0] for r in data.select(self.batch_key).distinct().orderBy(F.asc_nulls_first(self.batch_key)).collect()]
             state_rows, metric_rows, step_models, step_no, pieces, anomalies = [], [], {}, {}, [], []
+            moment_rows: list[tuple] = []
             for lab in labels:
                 sub = data if lab is WHOLE else data.where(F.col(self.batch_key).eqNullSafe(F.lit(lab)))
                 prep = self._prepare(sub) if per_step else sub
@@ -164,6 +183,9 @@ class KMeansStreamJob:
                                     state.k_sum // state.step, state.k_sum))
                 for j, (c, w) in enumerate(zip(state.centers, state.weights)):
                     state_rows.append((epoch_id, state.step, label, j, [float(v) for v in c], float(w)))
+                if self.prepare_name == "unit_running":
+                    mo = self._moments
+                    moment_rows += [(epoch_id, state.step, c, *x) for c, *x in zip(self.cols, mo.n, mo.mean, mo.m2)]
                 text = "whole" if lab is WHOLE else "null" if lab is None else f"={lab}"
                 step_models[text], step_no[text] = [list(c) for c in state.centers], state.step
                 if per_step:
@@ -191,10 +213,13 @@ class KMeansStreamJob:
                 scatter = points.unionByName(spark.createDataFrame(centres, "kind string, step long, x double, y double, cluster long"))
             if self.anomaly:
                 anomalies.append(self._anomalies(prepared, keep))
-            self._write(spark, epoch_id, state_rows, metric_rows, preds, shown, anomalies, scatter)
+            self._write(spark, epoch_id, state_rows, metric_rows, preds, shown, anomalies, scatter, moment_rows)
             self._state, self._epoch = state, epoch_id
             if per_step:
                 prepared.unpersist()
+        except BaseException:
+            self._state, self._moments = None, before_batch     # the epoch is read back from the tables when it is run again
+            raise
         finally:
             data.unpersist()
 
@@ -211,9 +236,13 @@ class KMeansStreamJob:
             flagged = det.fit(prepared).transform(prepared).where(F.col("is_anomaly"))
         return flagged.select(*keep, F.col("cluster").cast("long").alias("cluster"), "dist")
 
-    def _write(self, spark, epoch, state_rows, metric_rows, preds, prepared, anomalies, scatter):
+    def _write(self, spark, epoch, state_rows, metric_rows, preds, prepared, anomalies, scatter, moment_rows):
+        withdraw(spark, self.out, epoch)
+        names = []
+
         def w(df, name):
             write_table(df.withColumn("epoch", F.lit(epoch).cast("long")), self.path(name), ["epoch"])
+            names.append(name)
         w(preds, "predictions")
         if prepared is not None:
             w(prepared, "prepared")
@@ -223,11 +252,14 @@ class KMeansStreamJob:
             w(a, "anomalies")
         # small tables: k rows and one metrics row per step; I-4: when the batch was processed
         w(spark.createDataFrame(metric_rows, METRIC_SCHEMA).withColumn("processed_at", F.current_timestamp()), "metrics")
+        if moment_rows:
+            w(spark.createDataFrame(moment_rows, MOMENT_SCHEMA), "moments")
         states = spark.createDataFrame(state_rows, STATE_SCHEMA)
         if self.texts:
             last = states.filter(F.col("step") == max(r[1] for r in state_rows)).orderBy("cluster")
             write_text(centers_text(last, "center"), "line", self.path(f"centers_text/epoch={epoch}"))
         w(states, "state")
+        commit(spark, self.out, epoch, names)
 
 
 def run_stream(stream: DataFrame, job: KMeansStreamJob, checkpoint: str,

@@ -226,3 +226,61 @@ def test_processing_time_trigger(spark):
     q.processAllAvailable()
     q.stop()
     assert spark.read.parquet(out + "/metrics").count() == 1
+
+
+def test_job_killed_between_tables_shows_no_half_epoch(spark, monkeypatch):
+    """An epoch is seen in all tables or in none; run again, it is the epoch of an unbroken job."""
+    from kmstream.sinks.tables import committed
+    from kmstream.streaming import jobs
+    days = [spark.createDataFrame([(10 * e + i, float(7 * e + i * i), "ab"[i % 2]) for i in range(8)], "event_id long, value double, day string") for e in range(3)]
+    names = ("predictions", "prepared", "metrics", "moments", "state")
+
+    def rows(out, name):
+        cols = [c for c in committed(spark, out, name).columns if c != "processed_at"]
+        return sorted(map(str, committed(spark, out, name).select(*cols).collect()))
+
+    def job(out):
+        return KMeansStreamJob(OnlineKMeans(2, half_life=2.0), StreamState([[1.0], [50.0]], [1.0, 1.0]), ["value"], out,
+                               key_cols=["event_id"], batch_key="day", prepare="unit_running")
+    whole, cut = scratch_dir(spark, "t-whole"), scratch_dir(spark, "t-cut")
+    plain, broken = job(whole), job(cut)
+    for e, day in enumerate(days):
+        plain.process(day, e)
+    broken.process(days[0], 0)
+    one = {n: rows(cut, n) for n in names}
+    write = jobs.write_table
+
+    def dies(df, path, *a, **k):
+        if path.endswith("/state"):
+            raise OSError("killed")
+        return write(df, path, *a, **k)
+    monkeypatch.setattr(jobs, "write_table", dies)
+    with pytest.raises(OSError):
+        broken.process(days[1], 1)
+    assert spark.read.parquet(cut + "/predictions").filter("epoch = 1").count() == 8
+    assert {n: rows(cut, n) for n in names} == one
+    monkeypatch.setattr(jobs, "write_table", write)
+    again = job(cut)                           # a new driver
+    again.process(days[1], 1)
+    again.process(days[2], 2)
+    again._state = None
+    again.process(days[2], 2)                  # a replayed epoch replaces itself
+    assert all(rows(cut, n) == rows(whole, n) for n in names)
+
+
+def test_running_moments_do_not_depend_on_the_split(spark):
+    from kmstream.operators.scale import RunningMoments
+    rows = [(float(i * i % 13) + 1e6, float(i)) for i in range(40)] + [(None, 1.0), (float("nan"), 2.0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, a double, b double")
+    whole = RunningMoments.of(df, ["a", "b"])
+    for size in (1, 7, 41):
+        parts = RunningMoments.none(["a", "b"])
+        for at in range(0, 42, size) if size > 1 else (0, 1, 2, 39, 40, 41):
+            parts = parts.merge(RunningMoments.of(df.filter(f"i >= {at} and i < {at + size}"), ["a", "b"]))
+        if size > 1:
+            assert parts.n == whole.n == [40, 42]
+            assert parts.mean == pytest.approx(whole.mean) and parts.m2 == pytest.approx(whole.m2, rel=1e-6)
+    sd = whole.unit_scale().sds
+    want = df.selectExpr("stddev_samp(nanvl(a, null))", "stddev_samp(b)").first()
+    assert sd == pytest.approx(list(want))
+    assert RunningMoments.of(df.limit(0), ["a"]).unit_scale().sds == [0.0]
