@@ -8,7 +8,8 @@ candidates are verified by their cosine in double precision.
 Pivots are a bounded sample: ``4 * pivots`` rows in the order of a hash of the
 vector, thinned so that no two are closer than ``spread``; their number grows
 with the square root of the number of different vectors (``per_root`` times,
-between ``least`` and ``most``). Every vector is indexed.
+between ``least`` and ``most``). Every length has pivots, and so lists, of its
+own; lengths are taken to be few. Every vector is indexed.
 
 Scale: equal vectors are one row from the start. A list is cut into chunks of
 about ``block`` rows, and each pair of chunks is one group, so a pivot that a
@@ -21,8 +22,8 @@ Spark aggregations and joins.
 Recall: measured in ``tests/llm`` and the README against all pairs; a pair is
 lost if the two share fewer than ``shared`` of their nearest pivots.
 
-Defined results: null, zero or empty vectors, vectors with null or non-finite
-components, and vectors of another length than most link with nothing; equal
+Defined results: null, zero or empty vectors and vectors with null or non-finite
+components link with nothing; vectors link with others of their length; equal
 vectors link with each other; repeated ids are rows of their own; the
 component of rows without id is the smallest id among its members; extra
 columns are ignored; an empty table gives an empty result.
@@ -117,35 +118,37 @@ def embedding_duplicates(spark: SparkSession, rows: DataFrame, rules: PivotRules
     odd = F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     usable = F.coalesce((F.size(v) > 0) & ~odd & F.exists(v, lambda c: c != 0), F.lit(False))
     given = given.withColumn("ok", usable)
-    sizes = given.filter("ok").groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "size").limit(1).collect()
-    length = sizes[0]["size"] if sizes else -1
-    good = F.col("ok") & (F.col("size") == length)
+    good = F.col("ok")
 
-    classes = (given.filter(good).groupBy("f1", "f2").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("times"), F.first("v").alias("v"))
+    classes = (given.filter(good).groupBy("f1", "f2").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("times"), F.first("v").alias("v"),
+                                                          F.first("size").alias("size"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = stored(spark, classes, "pivot-classes")
-    n = classes.count()
-    count = int(min(rules.most, max(rules.least, math.ceil(rules.per_root * math.sqrt(n)))))
-    sample = classes.orderBy("f1", "f2").limit(4 * count).select("v").toPandas()["v"]
-    pivots = choose_pivots(np.stack(sample.to_numpy()), count, rules.spread) if len(sample) else np.empty((0, 1))
-    shared = spark.sparkContext.broadcast(pivots)  # at most ``most`` vectors
-    m = min(rules.nearest, len(pivots))
+    pivots, first = {}, 0   # by length: (number of the first, pivots)
+    for size, n in sorted(classes.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()):
+        count = int(min(rules.most, max(rules.least, math.ceil(rules.per_root * math.sqrt(n)))))
+        sample = classes.filter(F.col("size") == size).orderBy("f1", "f2").limit(4 * count).select("v").toPandas()["v"]
+        pivots[size] = (first, choose_pivots(np.stack(sample.to_numpy()), count, rules.spread))
+        first += len(pivots[size][1])
+    shared = spark.sparkContext.broadcast(pivots)  # at most ``most`` vectors of a length
 
     def describe(batches):
-        p = shared.value
         for pdf in batches:
-            for at in range(0, len(pdf), 2048):
-                part = pdf.iloc[at:at + 2048]
-                sims = _unit(np.stack(part["v"].to_numpy())) @ p.T
-                top = np.argpartition(-sims, m - 1, axis=1)[:, :m]
-                order = np.take_along_axis(-sims, top, 1).argsort(axis=1, kind="stable")
-                yield part.assign(pivots=list(np.take_along_axis(top, order, 1).astype(np.int32)))
+            for size, rows in pdf.groupby(pdf["v"].str.len(), sort=False):
+                start, p = shared.value[size]
+                m = min(rules.nearest, len(p))
+                for at in range(0, len(rows), 2048):
+                    part = rows.iloc[at:at + 2048]
+                    sims = _unit(np.stack(part["v"].to_numpy())) @ p.T
+                    top = np.argpartition(-sims, m - 1, axis=1)[:, :m]
+                    order = np.take_along_axis(-sims, top, 1).argsort(axis=1, kind="stable")
+                    yield part.assign(pivots=list((start + np.take_along_axis(top, order, 1)).astype(np.int32)))
 
     kind = classes.schema["v"].dataType.simpleString()
     index = classes.select("node", "times", "v").mapInPandas(describe, f"node long, times long, v {kind}, pivots array<int>")
     index = stored(spark, index, "pivot-index")
     lists = index.select(F.explode("pivots").alias("pivot")).groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / rules.block).cast("int").alias("chunks"))
-    named = index.withColumn("pivot", F.explode("pivots")).join(F.broadcast(lists), "pivot")  # at most ``most`` rows
+    named = index.withColumn("pivot", F.explode("pivots")).join(F.broadcast(lists), "pivot")  # a row per pivot
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     spread = (named.withColumn("chunk", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
               .select("pivot", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "times", "v", "pivots"))

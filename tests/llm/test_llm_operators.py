@@ -314,6 +314,17 @@ def test_mixed_documents_follow_the_plan(spark, rng):
     assert sorted(map(tuple, plan[key].fillna(-1).to_numpy())) == sorted(map(tuple, again[key].fillna(-1).to_numpy()))
 
 
+def test_vectors_link_with_those_of_their_length(spark, rng):
+    base = rng.normal(size=(40, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(base)] + [(100 + i, (v + 0.01).tolist()) for i, v in enumerate(base[:10])]
+    rows += [(200, [1.0, 2.0, 3.0, 4.0]), (201, [1.0, 2.0, 3.0, 4.0]), (202, [2.0, 4.0, 6.0, 8.1]), (203, [4.0, -3.0, 2.0, -1.0]), (204, [5.0]), (205, [7.0])]
+    got = {r["vec_id"]: r for r in pivots.embedding_duplicates(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    for i, v in rows:
+        near = [j for j, u in rows if j != i and len(u) == len(v) and np.dot(u, v) / np.linalg.norm(u) / np.linalg.norm(v) >= 0.9]
+        assert got[i]["n_links"] == len(near)
+    assert [got[i]["component_id"] for i in (200, 201, 202, 203, 204, 205)] == [200, 200, 200, 203, 204, 204]
+
+
 # -- near-duplicate stage ----------------------------------------------------
 
 def test_one_row_of_a_group_stays_whatever_its_ids_are(spark, rng):
