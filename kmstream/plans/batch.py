@@ -17,7 +17,7 @@ from kmstream.functions.vectors import ArrayVec, distance, with_assignment
 from kmstream.operators.anomaly import AnomalyDetector
 from kmstream.operators.cluster import assemble, first_rows_init, fit_kmeans, label_counts, lloyd, score_centers
 from kmstream.operators.encode import CategoryEncoder, encode_features
-from kmstream.operators.reduce import fit_pca, project_vector
+from kmstream.operators.reduce import components_for_variance, fit_pca, project_vector
 from kmstream.operators.scale import UnitScale, ZScore, column_stats
 from kmstream.operators.restarts import fit_restarts
 from kmstream.operators.score import (cluster_label_count as _clc, entropy_of_counts,
@@ -25,7 +25,8 @@ from kmstream.operators.score import (cluster_label_count as _clc, entropy_of_co
 from kmstream.plans import params as P
 from kmstream.sources.records import (CATEGORY, LABEL, NUMERIC, TRADE, Layout, last_field,
                                       parse_records, split_fields as _split)
-from kmstream.sources.tables import table
+from kmstream.session import scratch_dir
+from kmstream.sources.tables import table, text_lines
 
 R6 = P.SCALED_DIGITS
 R4 = P.RAW_DIGITS
@@ -156,6 +157,13 @@ def _parsed_orders(spark, sf):
     return parse_records(orders_lines(spark, sf), ORDERS_LAYOUT, "value")
 
 
+def q_batch_text_scan(spark, sf):
+    """A-1: text files read as one record per line."""
+    src = scratch_dir(spark, "orders-text")
+    orders_lines(spark, sf).write.text(src)
+    return text_lines(spark, src).select(F.col("value").alias("line"))
+
+
 def q_split_fields(spark, sf):
     f = _split(F.col("value"), ",", ORDERS_LAYOUT.width)
     return orders_lines(spark, sf).select(f.alias("f")).select(
@@ -360,6 +368,28 @@ def q_explained_variance(spark, sf):
                      _r(F.col("cumulative")).alias("cumulative"))
 
 
+def q_components_for_variance(spark, sf):
+    """E-6: how many components reach a share of the variance, for raw and z-scored columns."""
+    raw = part_frame(spark, sf).select(*[F.col(c).cast("double").alias(c) for c in P.PART_COLS])
+    scaled, _ = part_scaled(spark, sf)
+    rows = [(name, t, components_for_variance(fit_pca(df, P.PART_COLS, 2).explained_variance, t))
+            for name, df in (("raw", raw), ("scaled", scaled)) for t in P.VARIANCE_TARGETS]
+    return spark.createDataFrame(rows, "columns string, target double, m long")
+
+
+def q_pca_chosen_components(spark, sf):
+    """E-6 on encoded rows: the m chosen for 0.91 of the variance keeps that share in the projection, and m - 1 does not."""
+    vec, model = _encoded_part(spark, sf)
+    width = len(P.PART_COLS) + sum(model.sizes.values())
+    whole = fit_pca(vec, None, width, features_col="features")
+    m = components_for_variance(whole.explained_variance, P.VARIANCE_TARGETS[1])
+    out = project_vector(vec, whole, "features", "pca")
+    kept = out.agg(*[F.var_pop(F.col("pca").getItem(j)).alias(f"v{j}") for j in range(width)], F.count(F.lit(1)).alias("n")).first()
+    share = [sum(kept[:k]) / sum(kept[:width]) for k in (m, m - 1)]
+    row = (int(kept["n"]), width, share[0] >= P.VARIANCE_TARGETS[1] - 1e-9, share[1] < P.VARIANCE_TARGETS[1])
+    return spark.createDataFrame([row], "n long, width long, reached boolean, least boolean")
+
+
 # ------------------------------------------------------------------ Kafka decode (static frame)
 
 def kafka_frame(spark, sf) -> DataFrame:
@@ -598,9 +628,9 @@ def _record_features(spark, sf):
     return feats.transform(parsed), feats
 
 
-def _record_model(spark, sf):
+def _record_model(spark, sf, k: int = P.LLOYD_K):
     prepared, feats = _record_features(spark, sf)
-    det = AnomalyDetector(feats.cols, k=P.LLOYD_K, n_top=P.N_TOP, normalize=False, init="k-means||",
+    det = AnomalyDetector(feats.cols, k=k, n_top=P.N_TOP, normalize=False, init="k-means||",
                           runs=P.RESTARTS, tol=P.RESTART_TOL)
     model = det.fit(prepared)
     return model.transform(prepared), model
@@ -620,6 +650,14 @@ def q_record_anomaly_facts(spark, sf):
     return seen.select("n", "lines", (F.col("above") < P.N_TOP).alias("fewer_above"), (F.col("top") >= F.least(F.lit(P.N_TOP), "n")).alias("n_at_least"))
 
 
+def q_record_anomalies_many(spark, sf):
+    """F-21 / F-22 with an explicit k = 150 on the PCA features: clusters in use, rows scored, fewer than N above the threshold."""
+    out, model = _record_model(spark, sf, P.RECORD_K)
+    seen = out.agg(F.count("cluster").alias("n"), F.countDistinct("cluster").alias("used"), F.count_if(F.col("is_anomaly")).alias("above"))
+    return seen.select(F.lit(len(model.centers)).cast("long").alias("k"), "n", (F.col("used") <= P.RECORD_K).alias("within_k"),
+                       (F.col("above") < P.N_TOP).alias("fewer_above"))
+
+
 def q_entropy_sweep_encoded(spark, sf):
     """F-17 as composed: encode -> PCA -> z-score -> per k (10 starts) -> size-weighted label entropy."""
     prepared, feats = _record_features(spark, sf)
@@ -642,6 +680,10 @@ QUERIES = {
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "encoded_features": q_encoded_features,
+    "batch_text_scan": q_batch_text_scan,
+    "components_for_variance": q_components_for_variance,
+    "pca_chosen_components": q_pca_chosen_components,
+    "record_anomalies_many": q_record_anomalies_many,
     "split_fields": q_split_fields,
     "last_field_histogram": q_last_field_histogram,
     "blank_to_zero": q_blank_to_zero,

@@ -364,6 +364,16 @@ def oracle_sql() -> dict[str, str]:
         "round(l1 / (l1 + l2), 6) AS cumulative FROM sg UNION ALL "
         "SELECT CAST(2 AS BIGINT), round(l2 / (l1 + l2), 6), round((l1 + l2) / (l1 + l2), 6) FROM sg")
 
+    least = "(VALUES " + ", ".join(f"(CAST({t} AS DOUBLE))" for t in P.VARIANCE_TARGETS) + ") t(target)"
+    q["components_for_variance"] = (
+        pca + " SELECT 'raw' AS columns, target, CAST(CASE WHEN l1 / (l1 + l2) >= target THEN 1 ELSE 2 END AS BIGINT) AS m "
+        f"FROM sg, {least} UNION ALL SELECT 'scaled', target, CAST(CASE WHEN (1 + abs(r)) / 2 >= target THEN 1 ELSE 2 END AS BIGINT) "
+        f"FROM (SELECT corr(CAST(p_size AS DOUBLE), p_retailprice) AS r FROM part), {least}")
+    wide = " + ".join([str(len(P.PART_COLS))] + [f"count(DISTINCT {c})" for c in P.PART_CATS])
+    q["pca_chosen_components"] = f"SELECT count(*) AS n, CAST({wide} AS BIGINT) AS width, true AS reached, true AS least FROM part"
+    q["batch_text_scan"] = "WITH " + ORDERS_LINE + " SELECT line FROM lines"
+    q["record_anomalies_many"] = (f"SELECT CAST({P.RECORD_K} AS BIGINT) AS k, count(*) AS n, true AS within_k, true AS fewer_above FROM orders")
+
     # ---- Kafka value decode (static frame) ----------------------------
     q["kafka_value_decode"] = (
         "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, "
@@ -414,6 +424,9 @@ def oracle_sql() -> dict[str, str]:
         "WITH " + _stream_days() + ", sd AS (SELECT b, stddev_samp(x0) AS s FROM evb GROUP BY b) "
         "SELECT e.event_id, e.day, round(CASE WHEN sd.s > 0 THEN e.x0 / sd.s ELSE 0.0 END, 6) AS scaled "
         "FROM evb e JOIN sd USING (b)")
+    q["stream_empty_batch"] = (
+        "WITH " + _stream_days() + f", p AS (SELECT day, b, 2 * ((b - 1) // CAST(ceil(max(b) OVER () / {P.STREAM_PARTS}) AS BIGINT)) AS epoch FROM evb) "
+        "SELECT CAST(epoch AS BIGINT) AS epoch, day, CAST(b AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS rows FROM p GROUP BY epoch, day, b")
     q["stream_running_scale"] = (
         "WITH " + _stream_days() + ", sd AS (SELECT event_id, day, x0, stddev_samp(x0) OVER (ORDER BY b) AS s FROM evb) "
         "SELECT event_id, day, round(CASE WHEN s > 0 THEN x0 / s ELSE 0.0 END, 6) AS scaled FROM sd")

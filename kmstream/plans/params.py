@@ -10,6 +10,8 @@ LLOYD_ITERS = 20     # updates (the oracle chains this many CTEs; converged mode
 RESTARTS = 10        # random starts per model
 RESTART_TOL = 1e-6
 PCA_M = 5            # components of encoded rows
+VARIANCE_TARGETS = [0.5, 0.91, 0.9999]   # shares of the variance that components are chosen for
+RECORD_K = 150       # explicit number of clusters of the record anomaly job
 N_TOP = 100          # anomaly threshold: N-th largest distance
 
 # embeddings: 64-dim float32 widened to double; centres = lowest vec_id rows

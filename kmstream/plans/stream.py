@@ -42,16 +42,17 @@ def event_parts(ev: DataFrame) -> list[DataFrame]:
 
 
 def replay(spark: SparkSession, sf: str, half_life: float | None = P.STREAM_HALF_LIFE, decay: float = 1.0,
-           unit: str = "batches", prepare="raw", anomaly: bool = False, cols=("value",), init: StreamState | None = None) -> str:
-    """Run the streaming job over the event days, part by part; returns the folder of its tables."""
+           unit: str = "batches", prepare="raw", anomaly: bool = False, cols=("value",), init: StreamState | None = None, gaps: bool = False) -> str:
+    """Run the streaming job over the event days, part by part (``gaps``: a micro-batch without rows after each); returns the folder of its tables."""
     src, out = scratch_dir(spark, "events-days"), scratch_dir(spark, "events-replay")
     model = OnlineKMeans(P.STREAM_K, decay_factor=decay, half_life=half_life, time_unit=unit)
     init = init or StreamState([list(c) for c in P.STREAM_STARTS], list(P.STREAM_WEIGHTS))
     job = KMeansStreamJob(model, init, list(cols), out, key_cols=["event_id"], batch_key="day", prepare=prepare,
                           anomaly=AnomalyConfig(P.STREAM_ANOMALY_K, P.STREAM_N_TOP, max_iter=P.LLOYD_ITERS) if anomaly else None)
     for part in event_parts(event_rows(spark, sf)):
-        part.write.mode("append").parquet(src)
-        run_stream(read_parquet_stream(spark, src, EVENT_SCHEMA), job, out + "/_checkpoint")
+        for rows in [part, part.limit(0)] if gaps else [part]:
+            rows.write.mode("append").parquet(src)
+            run_stream(read_parquet_stream(spark, src, EVENT_SCHEMA), job, out + "/_checkpoint")
     return out
 
 
@@ -236,6 +237,12 @@ def q_stream_unit_scale(spark, sf):
         "event_id", F.col("day").cast("string").alias("day"), F.round("value", 6).alias("scaled"))
 
 
+def q_stream_empty_batch(spark, sf):
+    """C-13 / C-14: micro-batches without rows between others are skipped; their epochs leave no rows."""
+    out = replay(spark, sf, gaps=True)
+    return committed(spark, out, "metrics").select("epoch", F.col("batch_label").alias("day"), F.col("step").alias("batch"), "rows")
+
+
 def q_stream_running_scale(spark, sf):
     """G-11 / E-3: unit scaling by the deviation of all rows up to the day, merged batch by batch."""
     out = replay(spark, sf, prepare="unit_running")
@@ -287,6 +294,7 @@ STREAM_QUERIES = {
     "stream_anomaly_facts": q_stream_anomaly_facts,
     "stream_pca_facts": q_stream_pca_facts,
     "stream_anomalies": q_stream_anomalies,
+    "stream_empty_batch": q_stream_empty_batch,
     "stream_running_scale": q_stream_running_scale,
     "stream_moments": q_stream_moments,
     "stream_committed_epochs": q_stream_committed_epochs,
