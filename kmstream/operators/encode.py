@@ -117,9 +117,17 @@ class CategoryEncoder:
 
 
 def encode_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                    output_col: str = "features", model: CategoryModel | None = None
-                    ) -> tuple[DataFrame, CategoryModel]:
-    """D-3 / C-8: numerics, then one-hot blocks in schema order, as one vector."""
+                    output_col: str = "features", model: CategoryModel | None = None,
+                    label: str | None = None, include_label: bool = False) -> tuple[DataFrame, CategoryModel]:
+    """D-3 / C-8: numerics, then one-hot blocks in schema order, as one (sparse) vector.
+
+    ``include_label`` encodes the label as the last block (D4); its width grows with the
+    table, so fits on such rows go through ``operators.sparse``.
+    """
+    if include_label:
+        if label is None:
+            raise ValueError("include_label needs a label column")
+        categorical = [*categorical, label]
     model = model or CategoryEncoder(categorical).fit(df)
     enc = model.one_hot(df)
     vec = VectorAssembler(inputCols=list(numeric) + [c + "_vec" for c in categorical],

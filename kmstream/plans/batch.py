@@ -20,6 +20,7 @@ from kmstream.operators.encode import CategoryEncoder, encode_features
 from kmstream.operators.reduce import components_for_variance, fit_pca, project_vector
 from kmstream.operators.scale import UnitScale, ZScore, column_stats
 from kmstream.operators.restarts import fit_restarts
+from kmstream.operators.sparse import sparse_lloyd, sparse_rows
 from kmstream.operators.score import (cluster_label_count as _clc, entropy_of_counts,
                                       label_entropy as _le, scores_frame, weighted_entropy as _we)
 from kmstream.plans import params as P
@@ -451,6 +452,29 @@ def q_category_null_unseen(spark, sf):
     return out.select(P.PART_KEY, F.col("p_type_idx").cast("long").alias("slot"))
 
 
+# ------------------------------------------------------------------ label encoded: sparse rows
+
+def _sparse_part(spark, sf):
+    part = part_frame(spark, sf).select(P.PART_KEY, *P.PART_COLS, *P.PART_CATS)
+    zs = ZScore(P.PART_COLS).fit(part)
+    scaled = part.select(P.PART_KEY, *P.PART_CATS, F.col(P.PART_KEY).cast("string").alias("label"), *zs.exprs())
+    return sparse_rows(scaled, P.PART_KEY, P.PART_COLS, P.PART_CATS, "label", include_label=True)
+
+
+def q_sparse_label_rows(spark, sf):
+    """C-8 / D-2 with the label encoded: width (it grows with the table), filled slots, place of the label's slot and length per row."""
+    rows = _sparse_part(spark, sf)
+    each = rows.entries.groupBy("id").agg(F.count(F.lit(1)).alias("slots"), F.max("slot").alias("label_slot"))
+    return rows.norms.join(each, "id").select(F.col("id").alias(P.PART_KEY), F.lit(rows.width).cast("long").alias("width"), "slots", "label_slot",
+                                              _r(F.col("norm2"), R4).alias("norm2"))
+
+
+def q_sparse_lloyd_update(spark, sf):
+    """F-2 on label-encoded rows: one update from the first rows; per cluster its filled slots and squared length."""
+    centers = sparse_lloyd(_sparse_part(spark, sf), P.LLOYD_K, updates=1)
+    return centers.filter("value <> 0").groupBy("cluster").agg(F.count(F.lit(1)).alias("slots"), _r(F.sum(F.col("value") * F.col("value")), R4).alias("norm2"))
+
+
 # ------------------------------------------------------------------ random starts: facts that hold for any start
 
 def _restart_facts(spark, data: DataFrame, cols, fits: dict, single: dict) -> DataFrame:
@@ -714,6 +738,8 @@ QUERIES = {
     "category_null_unseen": q_category_null_unseen,
     "restart_facts_scaled": q_restart_facts_scaled,
     "restart_facts_raw": q_restart_facts_raw,
+    "sparse_label_rows": q_sparse_label_rows,
+    "sparse_lloyd_update": q_sparse_lloyd_update,
     "kmeans_fit_facts": q_kmeans_fit_facts,
     "lineitem_anomaly_facts": q_lineitem_anomaly_facts,
     "pca_norms": q_pca_norms,

@@ -374,6 +374,27 @@ def oracle_sql() -> dict[str, str]:
     q["batch_text_scan"] = "WITH " + ORDERS_LINE + " SELECT line FROM lines"
     q["record_anomalies_many"] = (f"SELECT CAST({P.RECORD_K} AS BIGINT) AS k, count(*) AS n, true AS within_k, true AS fewer_above FROM orders")
 
+    # ---- label encoded: entries (id, slot, value) ----------------------
+    z = [f"CASE WHEN stddev_pop({c}) OVER () <= 0 THEN {c} - avg({c}) OVER () ELSE ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () END AS z{i}"
+         for i, c in enumerate(P.PART_COLS)]
+    cats = [*P.PART_CATS, f"CAST({P.PART_KEY} AS VARCHAR)"]
+    ranks = [f"dense_rank() OVER (ORDER BY {c}) - 1 AS r{i}" for i, c in enumerate(cats)]
+    sizes = [f"(SELECT count(DISTINCT {c}) FROM part)" for c in cats]
+    first = [" + ".join([str(len(P.PART_COLS)), *sizes[:i]]) for i in range(len(cats))]
+    entries = " UNION ALL ".join([f"SELECT id, {i} AS slot, z{i} AS v FROM zr WHERE z{i} <> 0" for i in range(len(P.PART_COLS))]
+                                 + [f"SELECT id, {f} + r{i}, 1.0 FROM zr" for i, f in enumerate(first)])
+    sparse = f"WITH zr AS (SELECT {P.PART_KEY} AS id, {', '.join(z + ranks)} FROM part), e AS ({entries}) "
+    q["sparse_label_rows"] = (
+        sparse + f"SELECT id AS {P.PART_KEY}, CAST({' + '.join([str(len(P.PART_COLS)), *sizes])} AS BIGINT) AS width, count(*) AS slots, "
+        "CAST(max(slot) AS BIGINT) AS label_slot, round(sum(v * v), 4) AS norm2 FROM e GROUP BY id")
+    q["sparse_lloyd_update"] = (
+        sparse + f", st AS (SELECT id, row_number() OVER (ORDER BY id) AS j FROM zr QUALIFY j <= {P.LLOYD_K}), "
+        "c AS (SELECT j, slot, v FROM e JOIN st USING (id)), cn AS (SELECT j, sum(v * v) AS n FROM c GROUP BY j), "
+        "dots AS (SELECT e.id, c.j, sum(e.v * c.v) AS dot FROM e JOIN c USING (slot) GROUP BY e.id, c.j), "
+        "near AS (SELECT zr.id, arg_min(cn.j, (cn.n - 2 * coalesce(dot, 0), cn.j)) AS j FROM zr CROSS JOIN cn LEFT JOIN dots ON dots.id = zr.id AND dots.j = cn.j GROUP BY zr.id), "
+        "m AS (SELECT j, slot, sum(v) / any_value(n) AS v FROM e JOIN (SELECT id, j, count(*) OVER (PARTITION BY j) AS n FROM near) USING (id) GROUP BY j, slot) "
+        "SELECT j - 1 AS cluster, count(*) AS slots, round(sum(v * v), 4) AS norm2 FROM m WHERE v <> 0 GROUP BY j")
+
     # ---- Kafka value decode (static frame) ----------------------------
     q["kafka_value_decode"] = (
         "SELECT CAST(event_id AS BIGINT) AS event_id, CAST(user_id AS BIGINT) AS user_id, event_type, "
