@@ -445,6 +445,16 @@ def oracle_sql() -> dict[str, str]:
         "WITH " + _stream_days() + ", sd AS (SELECT b, stddev_samp(x0) AS s FROM evb GROUP BY b) "
         "SELECT e.event_id, e.day, round(CASE WHEN sd.s > 0 THEN e.x0 / sd.s ELSE 0.0 END, 6) AS scaled "
         "FROM evb e JOIN sd USING (b)")
+    near = "least(" + ", ".join(f"abs(x0 - {c[0]})" for c in P.STREAM_STARTS) + ")"
+    q["stream_topn_state"] = (
+        "WITH " + _stream_days() + f", p AS (SELECT e.event_type, {near} AS dist, (b - 1) // CAST(ceil(max(b) OVER () / {P.STREAM_PARTS}) AS BIGINT) AS epoch "
+        "FROM evb JOIN events e USING (event_id)), "
+        "k AS (SELECT DISTINCT epoch, event_type FROM p), "
+        "h AS (SELECT k.epoch, k.event_type, dist, row_number() OVER (PARTITION BY k.epoch, k.event_type ORDER BY dist DESC) AS nth, "
+        "count(*) OVER (PARTITION BY k.epoch, k.event_type) AS seen FROM k JOIN p ON p.epoch <= k.epoch AND p.event_type = k.event_type), "
+        f"t AS (SELECT epoch, event_type, any_value(seen) AS seen, min(dist) AS t FROM h WHERE nth <= {P.STREAM_N_TOP} GROUP BY epoch, event_type) "
+        "SELECT CAST(t.epoch AS BIGINT) AS epoch, t.event_type, t.seen, round(t, 6) AS threshold, "
+        "(SELECT count(*) FROM h WHERE h.epoch = t.epoch AND h.event_type = t.event_type AND h.dist > t.t) AS above FROM t")
     q["stream_empty_batch"] = (
         "WITH " + _stream_days() + f", p AS (SELECT day, b, 2 * ((b - 1) // CAST(ceil(max(b) OVER () / {P.STREAM_PARTS}) AS BIGINT)) AS epoch FROM evb) "
         "SELECT CAST(epoch AS BIGINT) AS epoch, day, CAST(b AS BIGINT) AS batch, CAST(count(*) AS BIGINT) AS rows FROM p GROUP BY epoch, day, b")

@@ -22,6 +22,7 @@ from kmstream.sources.tables import table
 from kmstream.streaming.jobs import AnomalyConfig, KMeansStreamJob, run_stream
 from kmstream.streaming.online_kmeans import OnlineKMeans, StreamState, random_centers
 from kmstream.streaming.prepare import FrozenFeatures
+from kmstream.streaming.topn import run_topn
 
 EVENT_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()),
                              T.StructField("value", T.DoubleType()),
@@ -237,6 +238,16 @@ def q_stream_unit_scale(spark, sf):
         "event_id", F.col("day").cast("string").alias("day"), F.round("value", 6).alias("scaled"))
 
 
+def q_stream_topn_state(spark, sf):
+    """F-20 / G-13 across batches: per event type the N-th largest distance to the nearest start of all rows so far, after every batch."""
+    src, out = scratch_dir(spark, "events-days"), scratch_dir(spark, "events-topn")
+    dist = F.least(*[F.abs(F.col("value") - F.lit(c[0])) for c in P.STREAM_STARTS])
+    for part in event_parts(event_rows(spark, sf)):
+        part.write.mode("append").parquet(src)
+        run_topn(read_parquet_stream(spark, src, EVENT_SCHEMA), F.col("event_type"), dist, P.STREAM_N_TOP, out, out + "_checkpoint")
+    return spark.read.parquet(out).select(F.col("epoch").cast("long").alias("epoch"), F.col("key").alias("event_type"), "seen", F.round("threshold", 6).alias("threshold"), "above")
+
+
 def q_stream_empty_batch(spark, sf):
     """C-13 / C-14: micro-batches without rows between others are skipped; their epochs leave no rows."""
     out = replay(spark, sf, gaps=True)
@@ -295,6 +306,7 @@ STREAM_QUERIES = {
     "stream_pca_facts": q_stream_pca_facts,
     "stream_anomalies": q_stream_anomalies,
     "stream_empty_batch": q_stream_empty_batch,
+    "stream_topn_state": q_stream_topn_state,
     "stream_running_scale": q_stream_running_scale,
     "stream_moments": q_stream_moments,
     "stream_committed_epochs": q_stream_committed_epochs,
