@@ -8,13 +8,17 @@ of the smallest boxes are compared with the centres that remain, coordinates lef
 and ties to the lowest id. The results are those of the plain search over all centres.
 
 Centres of many models are searched together, as one list with the place of each
-model's first centre.
+model's first centre. Rows of ``WIDE`` and more columns go through the plain search.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+from kmstream.functions.vectors import nearest_centers
+
+#: Columns from which matrix products are faster than boxes: a box in so many dimensions keeps most centres.
+WIDE = 9
 #: Rows of the smallest box and boxes that a box is divided into.
 LEAF, FAN = 8, 4
 #: Centres and models searched together, and rows x centres compared at a time.
@@ -106,6 +110,15 @@ class Boxes:
 
     def pieces(self, C: np.ndarray, first: np.ndarray):
         """("box", level, boxes, centres) of boxes with one centre, then ("rows", leaves, centres, squared distances) by row."""
+        if self.d >= WIDE:
+            X = np.column_stack(self.x)[:self.n]
+            leaves = np.arange(-(-self.n // LEAF))
+            for a, b in zip(first, first[1:]):
+                who, best = np.full(len(leaves) * LEAF, a), np.zeros(len(leaves) * LEAF)
+                near, best[:self.n] = nearest_centers(X, C[a:b])
+                who[:self.n] += near
+                yield "rows", leaves, who.reshape(-1, LEAF), best.reshape(-1, LEAF)
+            return
         cen = np.arange(int(first[-1]))
         start, count = np.asarray(first[:-1], np.int64), np.diff(first)
         node = np.zeros(len(start), np.int64)

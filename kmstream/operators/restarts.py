@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kmstream.functions.boxes import Boxes, chunks
 from kmstream.functions.vectors import ArrayVec, nearest_centers
 from kmstream.operators.blocks import CENTERS, MODELS, ScanCount, arrow_rows, bounded_lloyd, matrix, pack, tasks
 from kmstream.operators.cluster import KMeansResult, _flat
@@ -51,10 +52,24 @@ def content_hash(X: np.ndarray) -> np.ndarray:
     return h
 
 
+def _salts(seeds: np.ndarray, step: int) -> np.ndarray:
+    return _mix(((seeds.astype(np.uint64) & np.uint64(0xFFFFFFFF)) << np.uint64(20)) + np.uint64(step + 1))
+
+
+def _unit(salted: np.ndarray) -> np.ndarray:
+    return ((_mix(salted) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+
+
 def uniform(rows: np.ndarray, seed: int, step: int) -> np.ndarray:
     """A number in (0, 1) per content hash, another one for each seed and step."""
-    salt = _mix(np.array([((seed & 0xFFFFFFFF) << 20) + step + 1], np.uint64))
-    return ((_mix(rows ^ salt) >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+    return _unit(rows ^ _salts(np.array([seed]), step))
+
+
+def _sorted(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(models, candidates) in the order of (model, x)."""
+    ids, X = pdf["model"].to_numpy(np.int64), np.stack(pdf["x"].to_numpy())
+    order = np.lexsort([*X.T[::-1], ids])
+    return ids[order], X[order]
 
 
 class _Starts:
@@ -74,16 +89,14 @@ class _Starts:
         self.held.append(place)
         return table
 
-    def _listed(self, cands: DataFrame) -> DataFrame:
-        """(g, cands): the candidates of a group of models, sorted by (model, x)."""
-        mine = cands.join(self.spec.select("model", "g"), "model")
-        return mine.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("model", "x"))).alias("cands"))
-
     def _beside(self, cands: DataFrame) -> DataFrame:
-        """Every block beside every group of models: (block, x, w, g, ids, cs), candidates in the order of ``_listed``."""
-        listed = self._listed(cands).select("g", F.transform("cands", lambda c: c["model"]).alias("ids"),
-                                            F.flatten(F.transform("cands", lambda c: c["x"])).alias("cs"))
-        listed = self._stored(listed, "start-groups")
+        """Every block beside every group of models: (block, x, w, g, ids, cs), candidates sorted by (model, x)."""
+        def lists(pdf: pd.DataFrame) -> pd.DataFrame:
+            ids, X = _sorted(pdf)
+            return pd.DataFrame({"g": [pdf["g"].iat[0]], "ids": [ids.tobytes()], "cs": [X.tobytes()]})
+
+        mine = cands.join(self.spec.select("model", "g"), "model").select("g", "model", "x")
+        listed = self._stored(mine.groupBy("g").applyInPandas(lists, "g long, ids binary, cs binary"), "start-groups")
         places = [r["g"] for r in self.spec.select("g").distinct().collect()]
         dealt = self.blocks.withColumn("g", F.explode(F.lit(sorted(places))))
         heavy = cands.count() * 8 * (self.d + 2)
@@ -94,38 +107,53 @@ class _Starts:
         return dealt.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salt)).cast("int")).join(many, ["g", "salt"]).drop("salt")
 
     def _scan(self, cands: DataFrame, each, kind: str) -> DataFrame:
-        """``each(X, w, rows, model, k, seed, C, first)`` over every block and model; ``first`` is the model's place in its group's list."""
-        d, known = self.d, {m: (k, seed) for m, k, seed in self.models}
+        """``each(box, C, first, ids)`` over every block and its groups' models; ``ids`` are the models of the lists in ``C``."""
+        d, names = self.d, [c.split()[0] for c in kind.split(", ")]
 
         def run(batches):
             for pdf in batches:
-                out = []
                 for r in pdf.itertuples(index=False):
-                    X, w = matrix(r.x, d), np.frombuffer(r.w, np.float64)
-                    rows = content_hash(X)
-                    ids, all_ = np.asarray(r.ids), np.asarray(r.cs, np.float64).reshape(-1, d)
-                    edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1], True])
-                    for a, b in zip(edges, edges[1:]):
-                        out += each(X, w, rows, int(ids[a]), *known[int(ids[a])], all_[a:b], int(a), int(r.g))
-                if out:
-                    yield pd.DataFrame(out, columns=[c.split()[0] for c in kind.split(", ")])
+                    box = Boxes(matrix(r.x, d), np.frombuffer(r.w, np.float64))
+                    ids, all_ = np.frombuffer(r.ids, np.int64), matrix(r.cs, d)
+                    first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1], True])
+                    for a, b in chunks(first):
+                        out = each(box, all_[first[a]:first[b]], first[a:b + 1] - first[a], ids[first[a:b]])
+                        if len(out[0]):
+                            yield pd.DataFrame(dict(zip(names, out)))
 
-        return self._beside(cands).select("x", "w", "g", "ids", "cs").mapInPandas(run, kind)
+        return self._beside(cands).select("x", "w", "ids", "cs").mapInPandas(run, kind)
 
     def run(self, steps: int) -> dict[int, list[list[float]]]:
         """model -> centres."""
+        specs, d = np.array([(k, seed) for _, k, seed in self.models], np.int64).reshape(-1, 2), self.d
+
+        def costs(box, C, first, ids):
+            total = np.zeros(len(ids))
+            for rows, cen, d2 in box.scored(C, first):
+                total += np.bincount(np.searchsorted(first, cen[:, 0], side="right") - 1, weights=(box.w[rows] * d2).sum(axis=1), minlength=len(ids))
+            return ids, total
+
         try:
             cands = self._stored(self._first(), "start-cands")
             for step in range(1, steps + 1):
-                cost = self._scan(cands, lambda X, w, rows, m, k, seed, C, at, g: [(m, float((w * nearest_centers(X, C)[1]).sum()))], "model long, c double")
+                cost = self._scan(cands, costs, "model long, c double")
+                phi = np.full(len(specs), np.inf)
                 with arrow_rows(self.spark, 8):
-                    phi = {r["model"]: float(r["c"]) for r in cost.groupBy("model").agg(F.sum("c").alias("c")).collect()}
-
-                def sample(X, w, rows, m, k, seed, C, at, g, step=step, phi=phi):
-                    if phi.get(m, 0.0) <= 0:
-                        return []
-                    p = 2.0 * k * w * nearest_centers(X, C)[1] / phi[m]
-                    return [(m, x) for x in X[uniform(rows, seed, step) < p].tolist()]
+                    for r in cost.groupBy("model").agg(F.sum("c").alias("c")).collect():
+                        phi[r["model"]] = r["c"] if r["c"] > 0 else np.inf
+
+                def sample(box, C, first, ids, step=step, phi=phi):
+                    ks, salts = specs[ids, 0], _salts(specs[ids, 1], step)
+                    X = np.column_stack(box.x)
+                    hashes, models, found = content_hash(X), [], []
+                    for rows, cen, d2 in box.scored(C, first):
+                        # the box's model is that of its first centre
+                        at = np.searchsorted(first, cen[:, 0], side="right") - 1
+                        p = (2.0 * ks[at])[:, None] * box.w[rows] * d2 / phi[ids[at]][:, None]
+                        i, j = np.nonzero(_unit(hashes[rows] ^ salts[at][:, None]) < p)
+                        models.append(ids[at[i]])
+                        found.append(X[rows[i, j]])
+                    return np.concatenate([np.zeros(0, np.int64), *models]), np.concatenate([np.zeros((0, d)), *found]).tolist()
 
                 cands = self._stored(cands.unionByName(self._scan(cands, sample, "model long, x array<double>")), "start-cands")
             return self._reduced(cands)
@@ -154,20 +182,27 @@ class _Starts:
         return races.groupBy("model").agg(F.min_by("x", "t").alias("x"))
 
     def _reduced(self, cands: DataFrame) -> dict[int, list[list[float]]]:
-        def weigh(X, w, rows, m, k, seed, C, at, g):
-            n = np.bincount(nearest_centers(X, C)[0], weights=w, minlength=len(C))
-            return [(g, at + int(j), float(n[j])) for j in np.flatnonzero(n)]
-
-        weights = self._scan(cands, weigh, "g long, at long, w double").groupBy("g", "at").agg(F.sum("w").alias("w"))
-        each = self._listed(cands).select("g", F.posexplode("cands").alias("at", "c")).select("g", F.col("at").cast("long").alias("at"), "c.model", "c.x")
-        each = each.join(weights, ["g", "at"], "left").join(self.spec.select("model", "k", "seed"), "model").na.fill(0.0, ["w"])
-
-        def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("at")
-            C = weighted_kmeans_pp(np.stack(pdf["x"].to_numpy()), pdf["w"].to_numpy(np.float64), int(pdf["k"].iat[0]), int(pdf["seed"].iat[0]))
-            return pd.DataFrame({"model": pdf["model"].iat[0], "cluster": np.arange(len(C)), "v": C.tolist()})
-
-        found = each.select("model", "at", "x", "w", "k", "seed").groupBy("model").applyInPandas(reduce, "model long, cluster long, v array<double>")
+        known = {m: (k, seed) for m, k, seed in self.models}
+
+        def weigh(box, C, first, ids):
+            n = box.assigned_sums(C, first, 1)[0][:, 0]
+            used = np.flatnonzero(n)
+            at = np.searchsorted(first, used, side="right") - 1
+            return ids[at], used - first[at], n[used]
+
+        weights = self._scan(cands, weigh, "model long, at long, w double").groupBy("model", "at").agg(F.sum("w").alias("w"))
+
+        def reduce(mine: pd.DataFrame, weights: pd.DataFrame) -> pd.DataFrame:
+            _, X = _sorted(mine)
+            w = np.zeros(len(X))
+            w[weights["at"].to_numpy()] = weights["w"].to_numpy()
+            model = int(mine["model"].iat[0])
+            C = weighted_kmeans_pp(X, w, *known[model])
+            return pd.DataFrame({"model": model, "cluster": np.arange(len(C)), "v": C.tolist()})
+
+        # a fixed number of parts: few and small groups would be merged into one task
+        cands, weights = (t.repartition(tasks(self.spark), "model") for t in (cands, weights))
+        found = cands.groupBy("model").cogroup(weights.groupBy("model")).applyInPandas(reduce, "model long, cluster long, v array<double>")
         with arrow_rows(self.spark, 8):
             found = found.toPandas()
         return {int(m): rows.sort_values("cluster")["v"].map(list).tolist() for m, rows in found.groupby("model")}
