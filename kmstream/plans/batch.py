@@ -527,7 +527,8 @@ def q_kmeans_fit(spark, sf):
 
 
 def _library_fit(li):
-    feats = assemble(li, P.LINEITEM_COLS).cache()
+    # tasks read parts of even size, whatever row groups the files have
+    feats = assemble(li.hint("rebalance"), P.LINEITEM_COLS).cache()
     try:
         return fit_kmeans(feats, 2, seed=1)
     finally:

@@ -38,3 +38,31 @@ def test_scans_write_nothing(spark, monkeypatch):
     monkeypatch.setattr(blocks, "stored", lambda *a, **b: pytest.fail("a scan wrote rows"))
     fit = blocks.bounded_lloyd(spark, packed, d, {3: [[0.0, 0.0], [8.0, 2.0], [16.0, 4.0]]})[3]
     assert fit.n == 200 and sum(fit.sizes) == 200
+
+
+def test_library_fit_reads_even_parts(spark, monkeypatch):
+    """One large input partition is no longer one cached part."""
+    rng = np.random.default_rng(2)
+    rows = spark.createDataFrame(rng.random((20_000, 4)).tolist(), ", ".join(f"{c} double" for c in batch.P.LINEITEM_COLS)).coalesce(1)
+    seen = []
+    monkeypatch.setattr(batch, "fit_kmeans", lambda feats, k, seed: seen.extend(r["n"] for r in feats.groupBy(batch.F.spark_partition_id()).agg(batch.F.count("*").alias("n")).collect()))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        batch._library_fit(rows)
+    finally:
+        spark.conf.set(name, before)
+    assert len(seen) > 1 and sum(seen) == 20_000 and max(seen) < 15_000
+
+
+@pytest.mark.parametrize("runs", [1, 3])
+def test_restarts_search_candidates_in_boxes(spark, monkeypatch, runs):
+    """Starts and scans both go through the boxes; a plain search would compare every row with every candidate."""
+    from kmstream.operators import restarts
+    rng = np.random.default_rng(3)
+    frame = spark.createDataFrame(rng.random((3000, 2)).tolist(), "a double, b double")
+    count = blocks.ScanCount()
+    fits = restarts.fit_restarts(frame, ["a", "b"], [2, 6], runs=runs, count=count)
+    assert all(f.n == 3000 for f in fits.values()) and fits[6].cost < fits[2].cost
+    assert count.skipped > 0.7
