@@ -41,9 +41,10 @@ def test_scans_write_nothing(spark, monkeypatch):
 
 
 def test_library_fit_reads_even_parts(spark, monkeypatch):
-    """One large input partition is no longer one cached part."""
+    """A split that holds nearly all rows is no longer one cached part."""
     rng = np.random.default_rng(2)
     rows = spark.createDataFrame(rng.random((20_000, 4)).tolist(), ", ".join(f"{c} double" for c in batch.P.LINEITEM_COLS)).coalesce(1)
+    rows = rows.union(spark.createDataFrame([(1.0, 2.0, 3.0, 4.0)], rows.schema))
     seen = []
     monkeypatch.setattr(batch, "fit_kmeans", lambda feats, k, seed: seen.extend(r["n"] for r in feats.groupBy(batch.F.spark_partition_id()).agg(batch.F.count("*").alias("n")).collect()))
     name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -53,7 +54,7 @@ def test_library_fit_reads_even_parts(spark, monkeypatch):
         batch._library_fit(rows)
     finally:
         spark.conf.set(name, before)
-    assert len(seen) > 1 and sum(seen) == 20_000 and max(seen) < 15_000
+    assert len(seen) > 1 and sum(seen) == 20_001 and max(seen) < 15_000
 
 
 @pytest.mark.parametrize("runs", [1, 3])
