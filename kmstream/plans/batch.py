@@ -27,7 +27,7 @@ from kmstream.operators.score import (cluster_label_count as _clc, entropy_of_co
 from kmstream.plans import params as P
 from kmstream.sources.records import (CATEGORY, LABEL, NUMERIC, TRADE, Layout, last_field,
                                       parse_records, split_fields as _split)
-from kmstream.session import scratch_dir
+from kmstream.session import scratch_dir, stored
 from kmstream.sources.tables import table, text_lines
 
 R6 = P.SCALED_DIGITS
@@ -651,7 +651,8 @@ def q_elbow_encoded_k1(spark, sf):
 def _record_features(spark, sf):
     """orders lines -> parse (blank rule) -> one-hot categories + numerics -> PCA -> z-score; the line stays."""
     from kmstream.streaming.prepare import FrozenFeatures
-    parsed = _parsed_orders(spark, sf)
+    # read by every step below, whose filters would parse each line many times over: written once
+    parsed, _ = stored(spark, _parsed_orders(spark, sf), "records")
     feats = FrozenFeatures(ORDERS_LAYOUT.numeric, ORDERS_LAYOUT.categorical, P.PCA_M).fit(parsed)
     return feats.transform(parsed), feats
 

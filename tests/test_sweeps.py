@@ -67,3 +67,13 @@ def test_restarts_search_candidates_in_boxes(spark, monkeypatch, runs):
     fits = restarts.fit_restarts(frame, ["a", "b"], [2, 6], runs=runs, count=count)
     assert all(f.n == 3000 for f in fits.values()) and fits[6].cost < fits[2].cost
     assert count.skipped > 0.7
+
+
+def test_record_lines_are_parsed_once(spark, tmp_path):
+    """The features' steps read typed records; a filter on them would parse the lines again for every column it names."""
+    rows = [(i, i % 7, "OFP"[i % 3], f"{1 + i % 5}-X") for i in range(60)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    prepared, feats = batch._record_features(spark, str(tmp_path))
+    plan = prepared.filter(batch.F.col(feats.cols[0]).isNotNull())._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "split(" not in plan
+    assert prepared.count() == 60 and "value" in prepared.columns
