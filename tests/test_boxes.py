@@ -43,3 +43,22 @@ def test_order_is_a_permutation_and_most_rows_are_not_compared():
 def test_chunks_cover_every_model_once():
     first = np.cumsum([0, 5, 20_000, 3, *[1] * 600])
     assert [m for a, b in chunks(first) for m in range(a, b)] == list(range(len(first) - 1))
+
+
+def test_columns_that_do_not_vary_leave_few_rows_to_compare():
+    """One-hot rows, many to a combination: one box set each, searched in the numbers alone."""
+    from kmstream.functions import boxes
+    rng = np.random.default_rng(5)
+    X = np.concatenate([np.column_stack([rng.random((200, 2)), np.repeat(5.0 * np.eye(12)[[j]], 200, axis=0)]) for j in range(12)])
+    X = np.concatenate([X[a:a + 200][box_order(X[a:a + 200])] for a in range(0, len(X), 200)])
+    w = rng.integers(1, 4, len(X)).astype(np.float64)
+    C = [X[rng.integers(0, len(X), k)] for k in (3, 30, 90)]
+    C[1][4] = C[1][2]                                                 # equal centres: the lower one takes all
+    all_, first = np.concatenate(C), np.cumsum([0, *map(len, C)])
+    parts, total, searched = boxes.cut(X, w), np.zeros((len(all_), 15)), 0
+    for box in parts:
+        searched += box.add_sums(all_, first, total)
+    want = np.concatenate([np.column_stack([np.bincount(nearest_centers(X, c)[0], weights=w * v, minlength=len(c)) for v in (np.ones(len(X)), *X.T)]) for c in C])
+    assert len(parts) == 12 and np.allclose(total, want) and searched < 0.5 * len(X) * len(C)
+    cost = sum((box.w[rows] * d2).sum() for box in parts for rows, _, d2 in box.scored(all_, first))
+    assert cost == pytest.approx(sum((w * nearest_centers(X, c)[1]).sum() for c in C))
