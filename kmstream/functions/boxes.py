@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from kmstream.functions.vectors import nearest_centers
+from kmstream.functions.vectors import nearest_centers, nearest_each
 
 #: Columns from which matrix products are faster than boxes: a box in so many dimensions keeps most centres.
 WIDE = 9
@@ -224,6 +224,9 @@ class Boxes:
 
     def add_sums(self, C: np.ndarray, first: np.ndarray, total: np.ndarray) -> int:
         """Adds (weight, sums) per centre to ``total``, all columns or the weight alone; rows compared with more than one centre."""
+        if len(self.vary) >= WIDE:
+            self._add_wide(C, first, total)
+            return self.n * (len(first) - 1)
         kept, searched = len(self.sums) if total.shape[1] > 1 else 1, 0
         found = np.zeros((kept, len(C)))
         for kind, *piece in self.pieces(C, first):
@@ -248,6 +251,14 @@ class Boxes:
                 total[np.ix_(used, 1 + self.rest)] += found[0, used][:, None] * self.same
         return searched
 
+    def _add_wide(self, C: np.ndarray, first: np.ndarray, total: np.ndarray) -> None:
+        """:meth:`add_sums` without boxes: every row is compared with all centres."""
+        w = self.w[:self.n]
+        values = [w, *[np.ascontiguousarray(w * x) for x in self.rows[:self.n].T]] if total.shape[1] > 1 else [w]
+        for m, near in nearest_each(self.rows[:self.n], C, first):
+            for c, v in enumerate(values):
+                total[first[m]:first[m + 1], c] += np.bincount(near, weights=v, minlength=int(first[m + 1] - first[m]))
+
     def scored(self, C: np.ndarray, first: np.ndarray):
         """(rows, centres, squared distances) as matrices of one box a line, over all rows and models; rows from ``n`` on weigh nothing."""
         for kind, *piece in self.pieces(C, first):

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Numbers of one rows x centres block of the search.
 BLOCK = 1 << 16   # stays in the second-level cache
+#: Centres of the models that :func:`nearest_each` multiplies at once, and numbers of one product.
+GROUP, PRODUCT = 1024, 1 << 19
 
 
 class ArrayVec:
@@ -140,6 +142,63 @@ def nearest_two(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return cluster, best, other
 
 
+def nearest_each(X: np.ndarray, C: np.ndarray, first: np.ndarray):
+    """(model, cluster per row) for every model of the list ``C``; ``first`` holds each model's first centre and the list's length.
+
+    The answers of :func:`nearest_centers`. Products in single precision serve many models at once and decide the rows
+    whose nearest centre is clear given their rounding error; the others are decided in double precision.
+    """
+    n, d = X.shape
+    middle = X.mean(axis=0) if n else np.zeros(d)
+    with np.errstate(all="ignore"):
+        near, far = X - middle, C - middle
+        x2, c2 = np.einsum("ij,ij->i", near, near), np.einsum("ij,ij->i", far, far)
+        left = np.column_stack([near, np.ones(n)]).astype(np.float32)
+        right = np.vstack([-2.0 * far.T, c2]).astype(np.float32)
+    a, models = 0, len(first) - 1
+    while a < models:
+        b = min(max(a + 1, int(np.searchsorted(first, first[a] + GROUP, side="right")) - 1), models)
+        at, own = int(first[a]), first[a:b + 1] - first[a]
+        cluster, unclear = np.empty((b - a, n), np.int64), np.zeros((b - a, n), bool)
+        top = [c2[at + p:at + q].max() for p, q in zip(own, own[1:])]
+        part = np.ascontiguousarray(right[:, at:int(first[b])])
+        step = max(1, PRODUCT // part.shape[1])
+        with np.errstate(all="ignore"):
+            for r in range(0, n, step):
+                rough = left[r:r + step] @ part
+                each = np.arange(len(rough))
+                error = 4.0 * (d + 8) * 2.0 ** -24
+                for m, (p, q) in enumerate(zip(own, own[1:])):
+                    mine = rough[:, p:q]
+                    j = mine.argmin(axis=1)
+                    cluster[m, r:r + step] = j
+                    if q - p > 1:
+                        low = mine[each, j].astype(np.float64)
+                        mine[each, j] = np.inf
+                        unclear[m, r:r + step] = ~(mine.min(axis=1) - low > error * (x2[r:r + step] + top[m]) + 1e-36)
+        for m, (p, q) in enumerate(zip(own, own[1:])):
+            rows = np.flatnonzero(unclear[m])
+            if len(rows):
+                cluster[m, rows] = _decided(X[rows], C[at + p:at + q])
+            yield a + m, cluster[m]
+        a = b
+
+
+def _decided(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """The nearest centre per row, by a product in double precision and, where that is not clear, by :func:`nearest_centers`."""
+    with np.errstate(all="ignore"):
+        c2 = np.einsum("ij,ij->i", C, C)
+        rough = c2 - 2.0 * (X @ C.T)
+        each, j = np.arange(len(X)), rough.argmin(axis=1)
+        low = rough[each, j]
+        rough[each, j] = np.inf
+        unclear = np.flatnonzero(~(rough.min(axis=1) - low > 1e-12 * (np.einsum("ij,ij->i", X, X) + c2.max())))
+    for r in range(0, len(unclear), 4096):
+        some = unclear[r:r + 4096]
+        j[some] = nearest_centers(X[some], C)[0]
+    return j
+
+
 def as_matrix(columns: Sequence[pd.Series], d: int, array: bool) -> np.ndarray:
     """Arrow batch columns as an n x d matrix; nulls and arrays of another length become NaN rows."""
     if not array:

@@ -21,6 +21,7 @@ from typing import Mapping
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ ROWS = 4096
 CELL, FEW = 64, 256
 #: A scan serves so many models and centres; larger sweeps take several passes.
 MODELS, CENTERS = 4096, 262_144
+#: Numbers of the pieces in which the tasks' sums are added up; columns of their own are slow for wide rows.
+PIECE = 1 << 15
 
 
 @contextmanager
@@ -147,6 +150,15 @@ def firsts(C: list) -> np.ndarray:
     return np.cumsum([0, *map(len, C)])
 
 
+def _summed(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The tasks' sums of one part added up, in the order of the tasks."""
+    sums = [np.frombuffer(x, np.float64) for x in pdf.sort_values("task")["sums"]]
+    total = sums[0].copy()
+    for x in sums[1:]:
+        total += x
+    return pd.DataFrame({"part": [pdf["part"].iat[0]], "sums": [total.tobytes()]})
+
+
 def bounded_lloyd(spark: SparkSession, blocks: DataFrame, d: int, inits: Mapping, max_iter: int = 20, tol: float = 1e-6,
                   count: ScanCount | None = None, score: bool = True) -> dict[object, KMeansResult]:
     """Lloyd iterations of several models from given starts; the same centres as ``cluster.lloyd``, with fewer distances.
@@ -161,6 +173,7 @@ def bounded_lloyd(spark: SparkSession, blocks: DataFrame, d: int, inits: Mapping
     def scan(order: list[int], final: bool) -> tuple[np.ndarray, np.ndarray]:
         """(centres in use by place, their sums): weight and sums by column, or weight, cost and sum of distances."""
         names = ["m", "cost", "sdist"] if final else ["m", *[f"s{i}" for i in range(d)]]
+        lines = max(1, PIECE // len(names))
         shared = spark.sparkContext.broadcast((np.concatenate([C[m] for m in order]), firsts([C[m] for m in order])))
 
         def run(batches):
@@ -179,20 +192,28 @@ def bounded_lloyd(spark: SparkSession, blocks: DataFrame, d: int, inits: Mapping
                             wide, at = box.w[rows].ravel(), cen.ravel()
                             for c, v in enumerate((wide, wide * d2.ravel(), wide * np.sqrt(d2).ravel())):
                                 total[part, c] += np.bincount(at, weights=v, minlength=int(own[-1]))
-            used = np.flatnonzero(total[:, 0] > 0)
-            yield pd.DataFrame(total[used], columns=names).assign(at=used)[["at", *names]]
+            task = TaskContext.get().partitionId()
+            for part in range(-(-len(total) // lines)):
+                piece = total[part * lines:(part + 1) * lines]
+                if piece[:, 0].any():
+                    yield pd.DataFrame({"part": [part], "task": [task], "sums": [piece.tobytes()]})
             if pairs and not final:
-                yield pd.DataFrame([[-1, pairs, searched, *[0.0] * (len(names) - 2)]], columns=["at", *names])
+                yield pd.DataFrame({"part": [-1], "task": [task], "sums": [np.array([pairs, searched], np.float64).tobytes()]})
 
         with arrow_rows(spark, 8):
-            parts = blocks.select("x", "w").mapInPandas(run, "at long, " + ", ".join(f"{c} double" for c in names))
-            found = parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+            parts = blocks.select("x", "w").mapInPandas(run, "part long, task int, sums binary")
+            found = parts.groupBy("part").applyInPandas(_summed, "part long, sums binary").toArrow()
         shared.destroy()
-        at, sums = found["at"].to_numpy(), np.column_stack([found[c].to_numpy() for c in names])
-        if count is not None:
-            count.pairs += int(sums[at < 0, 0].sum())
-            count.searched += int(sums[at < 0, 1].sum())
-        return at[at >= 0], sums[at >= 0]
+        total = np.zeros((sum(len(C[m]) for m in order), len(names)))
+        for part, piece in zip(found["part"].to_pylist(), found["sums"].to_pylist()):
+            if part >= 0:
+                total[part * lines:(part + 1) * lines] = matrix(piece, len(names))
+            elif count is not None:
+                seen = np.frombuffer(piece, np.float64)
+                count.pairs += int(seen[0])
+                count.searched += int(seen[1])
+        at = np.flatnonzero(total[:, 0] > 0)
+        return at, total[at]
 
     for _ in range(max_iter):
         if not active:

@@ -613,7 +613,7 @@ def q_entropy_sweep(spark, sf):
     emb = emb_frame(spark, sf)
     ks = sweep_k(emb.count())
     starts = first_rows_init(emb, EMB_X, "vec_id", max(ks))
-    res = lloyd(emb, EMB_X, {k: starts[:k] for k in ks}, max_iter=P.LLOYD_ITERS, tol=0.0, score=False)
+    res = sweep_lloyd(emb, EMB_X, {k: starts[:k] for k in ks}, max_iter=P.LLOYD_ITERS, tol=0.0, score=False)
     return _entropies(label_counts(emb, EMB_X, {k: r.centers for k, r in res.items()}, "label"))
 
 

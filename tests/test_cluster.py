@@ -170,3 +170,35 @@ def test_detector_rule_of_thumb_k(pts):
     X, df = pts
     det = AnomalyDetector(["x", "y"], k=None, n_top=5, init="k-means||", runs=2)
     assert len(det.fit(df).centers) == math.isqrt(len(X) // 2) == 8
+
+
+def test_nearest_each_equals_the_plain_search_of_every_model():
+    from kmstream.functions.vectors import nearest_centers, nearest_each
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(700, 12))
+    X[:20] = X[20:40] + 1e-9                                  # rows that single precision cannot tell apart
+    models = [X[:k].copy() for k in (1, 2, 3, 40, 300)] + [np.repeat(X[:3], 2, axis=0)]
+    first = np.cumsum([0, *map(len, models)])
+    for scale, shift in ((1.0, 0.0), (1e-30, 0.0), (1e30, 0.0), (1.0, 1e6)):
+        Y, Cs = X * scale + shift, [c * scale + shift for c in models]
+        got = {m: near.copy() for m, near in nearest_each(Y, np.concatenate(Cs), first)}
+        for m, C in enumerate(Cs):
+            assert (got[m] == nearest_centers(Y, C)[0]).all()
+
+
+def test_label_counts_of_many_models_take_all_cores_and_count_null_labels(spark):
+    from kmstream.functions.vectors import nearest_centers
+    from kmstream.operators.cluster import label_counts
+    rng = np.random.default_rng(6)
+    X = rng.normal(size=(400, 2))
+    labels = [None if i % 7 == 0 else f"l{i % 3}" for i in range(400)]
+    df = spark.createDataFrame([(*map(float, x), v) for x, v in zip(X, labels)], "a double, b double, label string").coalesce(1)
+    models = {k: X[:k].tolist() for k in (1, 2, 9)}
+    want: dict = {}
+    for k, C in models.items():
+        for c, v in zip(nearest_centers(X, np.array(C))[0], labels):
+            want[(k, int(c), v)] = want.get((k, int(c), v), 0) + 1
+    counts = label_counts(df, ["a", "b"], models, "label")
+    assert {(r["k"], r["cluster"], r["label"]): r["cnt"] for r in counts.collect()} == want
+    assert "RoundRobinPartitioning" in counts._jdf.queryExecution().optimizedPlan().toString() \
+        or "RoundRobinPartitioning" in counts._jdf.queryExecution().executedPlan().toString()

@@ -77,3 +77,10 @@ def test_record_lines_are_parsed_once(spark, tmp_path):
     plan = prepared.filter(batch.F.col(feats.cols[0]).isNotNull())._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_replace" not in plan and "split(" not in plan
     assert prepared.count() == 60 and "value" in prepared.columns
+
+
+def test_entropy_sweep_puts_rows_in_blocks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(batch, "sweep_lloyd", lambda *a, **b: seen.append(blocks.sweep_lloyd(*a, **b)) or seen[-1])
+    batch.q_entropy_sweep(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 1
