@@ -96,3 +96,14 @@ def test_lower_bound_of_the_second_nearest():
     assert np.array_equal(a, nearest_centers(X, C)[0])
     full[np.arange(len(X)), a] = np.inf
     assert (other <= full.min(1) + 1e-12).all() and (other >= full.min(1) - 1e-9).all()
+
+
+def test_narrow_blocks_are_read_in_finer_parts_and_settings_come_back(spark):
+    from kmstream.operators.blocks import fine_parts
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    with fine_parts(spark, 5):
+        assert int(spark.conf.get(name)) > spark.sparkContext.defaultParallelism
+    assert spark.conf.get(name, None) == before
+    with fine_parts(spark, 64):
+        assert spark.conf.get(name, None) == before

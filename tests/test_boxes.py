@@ -62,3 +62,14 @@ def test_columns_that_do_not_vary_leave_few_rows_to_compare():
     assert len(parts) == 12 and np.allclose(total, want) and searched < 0.5 * len(X) * len(C)
     cost = sum((box.w[rows] * d2).sum() for box in parts for rows, _, d2 in box.scored(all_, first))
     assert cost == pytest.approx(sum((w * nearest_centers(X, c)[1]).sum() for c in C))
+
+
+@pytest.mark.parametrize("pairs", [1, 40])
+def test_boxes_tested_in_pieces_give_the_same(monkeypatch, pairs):
+    from kmstream.functions import boxes
+    X, w, C = _case(900, 3, (1, 4, 30), 1)
+    all_, first = np.concatenate(C), np.cumsum([0, *map(len, C)])
+    want, searched = Boxes(X, w).assigned_sums(all_, first)
+    monkeypatch.setattr(boxes, "PAIRS", pairs)
+    got, again = Boxes(X, w).assigned_sums(all_, first)
+    assert np.array_equal(got, want) and again == searched
