@@ -200,6 +200,31 @@ def test_repeats_match_brute_force(spark, rng, length, reach, gram, group):
     assert repeats.repeat_digest(spark, df.limit(0), rules).count() == 0
 
 
+def test_repeats_inside_a_document_are_one_row(spark, monkeypatch):
+    """op6: a passage that fills documents has a row per document and digit, not one per place."""
+    rng, stored = np.random.default_rng(6), repeats.stored
+    rules = repeats.RepeatRules(length=40, reach=16, gram=5, group=4)
+    line = prose(rng, 12) + "\n"
+    texts = [line * 60, prose(rng, 20) + line * 50 + prose(rng, 20), prose(rng, 10) + line + prose(rng, 10), "ab" * 300, (prose(rng, 9) + "\n") * 40, prose(rng, 50)]
+    seen = {}
+
+    def kept(spark, df, name):
+        seen[name] = stored(spark, df, name)
+        return seen[name]
+
+    monkeypatch.setattr(repeats, "stored", kept)
+    got = {r["doc_id"]: r for r in repeats.repeat_digest(spark, docs_frame(spark, list(enumerate(texts))), rules).collect()}
+    raw = [t.encode() for t in texts]
+    for i, gone in enumerate(brute_repeats(raw, rules.length)):
+        kept_bytes = np.frombuffer(raw[i], np.uint8)[~gone].tobytes()
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (int(gone.sum()), hashlib.sha256(kept_bytes).hexdigest()), i
+    rows = {"base": seen["repeats-base"].select("rid", F.explode("digits").alias("h")).groupBy("rid", "h")}
+    rows |= {k: seen[f"repeats-{k}"].groupBy("rid", "h", "f") for k in ("anchors", f"groups-{rules.group}", "groups-1")}
+    for name, by in rows.items():
+        assert by.count().filter("count > 1").count() == 0, name
+    assert seen["repeats-anchors"].count() > 0
+
+
 # -- packing -----------------------------------------------------------------
 
 def test_plan_fills_bins_without_gaps(rng):
