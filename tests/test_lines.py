@@ -87,3 +87,12 @@ def test_candidates_are_reduced_alike_in_boxes_and_by_the_plain_search(monkeypat
     rng, p = np.random.default_rng(3), np.where(w > 0, w, 1e-12)
     first = C[rng.choice(len(C), p=p / p.sum())]
     assert np.array_equal(weighted_kmeans_pp(C, w, 1, 3, iters=0), [first])
+
+
+def test_wide_passes_hold_few_numbers():
+    from kmstream.operators.blocks import NUMBERS
+    from kmstream.operators.restarts import _passes
+    specs = {(k, r): (k, r) for k in range(2, 245) for r in range(10)}
+    parts = _passes(specs, NUMBERS // 178)
+    assert [key for part in parts for key in part] == list(specs)
+    assert all(178 * sum(k for k, _ in part.values()) <= NUMBERS for part in parts)
