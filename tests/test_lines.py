@@ -1,10 +1,10 @@
-"""Lines of rows: the plain search's sums, costs, distances and draws."""
+"""Lines of rows and tiles: the plain search's sums, costs, distances and draws."""
 
 import numpy as np
 import pytest
 
 from kmstream.functions import lines as lines_module
-from kmstream.functions.boxes import cut
+from kmstream.functions.boxes import Boxes, box_order, cut
 from kmstream.functions.lines import Lines, on_lines
 from kmstream.functions.vectors import nearest_centers
 from kmstream.operators.restarts import _mix, _salts, content_hash, uniform, weighted_kmeans_pp
@@ -76,6 +76,20 @@ def test_a_line_is_searched_again_where_the_guess_is_too_small(monkeypatch):
     assert np.allclose(Lines(X, w, *on_lines(X)).assigned_sums(all_, first)[0], want, atol=1e-9)
 
 
+@pytest.mark.parametrize("n, d, ks, digits", [(1000, 5, (1, 70, 150), 1), (3000, 6, (3, 100, 257), 8), (300, 8, (200,), 0)])
+def test_tiles_give_the_plain_searchs_sums(n, d, ks, digits, monkeypatch):
+    rng = np.random.default_rng(n)
+    X = rng.normal(size=(n, d)).round(digits)
+    X, w = X[box_order(X)], rng.integers(1, 4, n).astype(np.float64)
+    C = [X[rng.integers(0, n, k)] for k in ks]
+    used = []
+    plain = Boxes._add_tiled
+    monkeypatch.setattr(Boxes, "_add_tiled", lambda self, *a: (used.append(1), plain(self, *a))[1])
+    total, _ = Boxes(X, w).assigned_sums(np.concatenate(C), np.cumsum([0, *map(len, C)]))
+    want = _plain(X, w, C)
+    assert used and np.array_equal(total[:, 0], want[:, 0]) and np.allclose(total, want)
+
+
 def test_candidates_are_reduced_alike_in_boxes_and_by_the_plain_search(monkeypatch):
     from kmstream.operators import restarts
     rng = np.random.default_rng(9)
